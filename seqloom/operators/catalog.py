@@ -19,20 +19,23 @@ class MissingRecordError(LookupError):
     """A strict lookup found ids with no record."""
 
 
+def explode_children(df: DataFrame, children: str, child: str) -> DataFrame:
+    """One row per child of each record's nested list."""
+    return df.withColumn(child, F.explode(children)).drop(children)
+
+
 def expand_hierarchy(
     series: DataFrame,
     samples: DataFrame,
     runs: DataFrame,
+    files: DataFrame | None = None,
     series_id: str = "gse_id",
     sample_id: str = "gsm_id",
-    children: str = "child_gsm_ids",
-    runs_children: str = "child_srr_ids",
     run_id: str = "run_id",
 ) -> DataFrame:
-    """Follow the child lists from series to samples to runs; ids without a record drop out."""
-    wanted = series.withColumn(sample_id, F.explode(children)).drop(children)
-    with_samples = wanted.join(samples, sample_id)
-    return with_samples.withColumn(run_id, F.explode(runs_children)).drop(runs_children).join(runs, run_id)
+    """Follow parent ids down: series to samples to runs (to files); ids without a record drop out."""
+    found = series.join(samples, series_id).join(runs, sample_id)
+    return found if files is None else found.join(files, run_id)
 
 
 def join_parent(children: DataFrame, parents: DataFrame, key: Names) -> tuple[DataFrame, DataFrame]:

@@ -273,10 +273,9 @@ def replicate_index(df: DataFrame, sample: Names, order: Names, name: str = "rep
     return with_pos(df, order, sample, pos=name)
 
 
-def sample_tag(df: DataFrame, sample: Names, order: Names, name: str = "tag") -> DataFrame:
-    """`S1`, `S2`, ... inside each sample."""
-    numbered = replicate_index(df, sample, order, "__index")
-    return numbered.withColumn(name, F.concat(F.lit("S"), (F.col("__index") + 1).cast("string"))).drop("__index")
+def tag_of(index: Column) -> Column:
+    """`S1`, `S2`, ... for replicate indexes 0, 1, ..."""
+    return F.concat(F.lit("S"), (index + 1).cast("string"))
 
 
 def first_by_key(df: DataFrame, key: Names, order: Names = POS) -> DataFrame:
