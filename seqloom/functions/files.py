@@ -94,14 +94,20 @@ def raw_filename(run: Column, filetype: Column, read: Column, path: Column) -> C
 
 
 def dumped_filename(
-    sample: Column, filetype: Column, tag: Column, lane: Column, read: Column, suffix: str = "_001"
+    sample: Column,
+    filetype: Column,
+    tag: Column,
+    lane: Column,
+    read: Column,
+    suffix: str = "_001",
+    missing: str = "None",
 ) -> Column:
     """`{sample}_S{n}_{lane}_{read}_001.fastq.gz`, `{sample}.bam` or `{sample}.unknown`.
 
-    A missing lane or read is written as `None`, which the checks of the run table look for.
+    A missing lane or read is written as `None`, which the checks of the run table look
+    for. The newer form has an empty suffix and writes `Null`.
     """
-    missing = F.lit("None")
-    fastq = F.concat_ws("_", sample, tag, F.coalesce(lane, missing), F.coalesce(read, missing))
+    fastq = F.concat_ws("_", sample, tag, F.coalesce(lane, F.lit(missing)), F.coalesce(read, F.lit(missing)))
     return (
         F.when(F.lower(filetype) == "fastq", F.concat(fastq, F.lit(f"{suffix}.fastq.gz")))
         .when(F.lower(filetype) == "bam", F.concat(sample, F.lit(".bam")))

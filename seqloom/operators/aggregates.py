@@ -122,14 +122,16 @@ def join_strings(
     by: Names = None,
     part_rows: int = 100_000,
     name: str = "joined",
+    dense: bool = False,
 ) -> DataFrame:
     """Concatenate values in order, the separator only between items.
 
     One row per group while the group has up to `part_rows` rows. A larger group comes as
     consecutive parts, since no single row can hold it; joining the parts with `sep` gives
-    the whole text. Nulls are skipped. Whole-frame use needs dense positions.
+    the whole text. Nulls are skipped. Whole-frame use needs dense positions; `dense` says
+    that they are dense inside each group.
     """
-    parts = ordered_parts(df.withColumn("__text", as_column(df, value)), by, part_rows)
+    parts = ordered_parts(df.withColumn("__text", as_column(df, value)), by, part_rows, dense=dense)
     quoted = sep.replace("\\", "\\\\").replace("'", "\\'")
     text = F.expr(f"listagg(__text, '{quoted}') WITHIN GROUP (ORDER BY {POS})")
     return parts.groupBy(*as_names(by), "part").agg(text.alias(name))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, join_on_keys, same, total
+from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, same, total
 from seqloom.staging import stage
 
 # A group up to this many rows is numbered by one ordinary window.
@@ -22,7 +22,10 @@ MIN_BUCKET_ROWS = 4096
 # Keys with more than this many unused values per row are ordered by a sort instead.
 MAX_GAP = 64
 
-_BUCKET, _START, _TAG, _RANK = "__bucket", "__start", "__tag", "__rank"
+# Positions per bucket when group facts are attached to rows that are already numbered.
+POSITIONS_PER_BUCKET = 1 << 17
+
+_BUCKET, _FACT, _TAG, _RANK = "__bucket", "__fact", "__tag", "__rank"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -75,26 +78,36 @@ def _bucket_of(df: DataFrame, key: str) -> Column | None:
 
 
 def _number_in_buckets(df: DataFrame, by: list[str], key: str, pos: str) -> DataFrame:
-    """Number rows inside (group, bucket) and add the rows of the buckets before.
-
-    The offset of a bucket arrives as one marker row that sorts ahead of its data rows,
-    so one shuffle and one sort serve both, and null group keys need no special join.
-    `df` is read twice (counts, rows), so it must give the same rows each time.
-    """
+    """Number rows inside (group, bucket) and add the rows of the buckets before."""
     counts = df.groupBy(*by, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    markers = counts.select(
-        *by, _BUCKET, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_START), F.lit(0).alias(_TAG)
-    )
-    rows = df.withColumns({_START: F.lit(None).cast("long"), _TAG: F.lit(1)})
+    starts = counts.select(*by, _BUCKET, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_FACT))
+    ranked = _with_bucket_fact(df, starts, by, key, rank=True)
+    return ranked.withColumn(pos, F.col(_FACT) + F.col(_RANK)).drop(_BUCKET, _FACT, _RANK)
+
+
+def _with_bucket_fact(df: DataFrame, facts: DataFrame, by: list[str], key: str, rank: bool = False) -> DataFrame:
+    """Attach the fact of its (group, bucket) to every row, and its rank in the bucket.
+
+    The fact arrives as one marker row that sorts ahead of the bucket's data rows, so one
+    shuffle and one sort do the work of a join, and null group keys match. The shuffle is
+    asked for by name: input already partitioned by group would otherwise be left so,
+    with a large group in one task. `df` is read twice (facts, rows), so it must give the
+    same rows each time.
+    """
+    rows = df.withColumns({_FACT: F.lit(None).cast("long"), _TAG: F.lit(1)})
+    both = rows.unionByName(facts.withColumn(_TAG, F.lit(0)), allowMissingColumns=True)
     window = Window.partitionBy(*by, _BUCKET).orderBy(_TAG, key)
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    columns = {"__fact_of_bucket": F.first(_FACT).over(running)}
+    if rank:
+        columns[_RANK] = F.row_number().over(window) - 2
     return (
-        rows.unionByName(markers, allowMissingColumns=True)
-        .withColumns({_RANK: F.row_number().over(window), "__first": F.first(_START).over(running)})
+        both.repartition(*by, _BUCKET)
+        .withColumns(columns)
         .filter(F.col(_TAG) == 1)
-        .withColumn(pos, F.col("__first") + F.col(_RANK) - 2)
-        .drop(_BUCKET, _START, _TAG, _RANK, "__first")
+        .withColumn(_FACT, F.col("__fact_of_bucket"))
+        .drop(_TAG, "__fact_of_bucket")
     )
 
 
@@ -116,30 +129,37 @@ def _number_by_sort(df: DataFrame, by: list[str], order: list[str], pos: str) ->
         return _number_in_buckets(staged, by, "__row", pos).drop("__row")
     earlier = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     counts = staged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
-    starts = counts.select(_BUCKET, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_START))
+    starts = counts.select(_BUCKET, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_FACT))
     # One row per sort partition, so never more rows than spark.sql.shuffle.partitions.
     return (
         staged.join(F.broadcast(starts), _BUCKET)
-        .withColumn(pos, F.col(_START) + F.col("__row"))
-        .drop(_BUCKET, _START, "__row")
+        .withColumn(pos, F.col(_FACT) + F.col("__row"))
+        .drop(_BUCKET, _FACT, "__row")
     )
 
 
 def with_size(df: DataFrame, by: Names, name: str) -> DataFrame:
-    """Attach the row count of the frame, or of each row's group."""
+    """Attach the row count of the frame, or of each row's group, to numbered rows.
+
+    Groups are spread over buckets of positions, so a large group stays spread.
+    """
     keys = as_names(by)
     if not keys:
         return df.withColumn(name, total(df))
-    return join_on_keys(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys)
+    bucketed = df.withColumn(_BUCKET, F.expr(f"`{POS}` div {POSITIONS_PER_BUCKET}L"))
+    counts = bucketed.groupBy(*keys, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = counts.select(*keys, _BUCKET, F.sum("__n").over(Window.partitionBy(*keys)).alias(_FACT))
+    return _with_bucket_fact(bucketed, sizes, keys, POS).withColumnRenamed(_FACT, name).drop(_BUCKET)
 
 
-def ordered_parts(df: DataFrame, by: Names, part_rows: int, name: str = "part") -> DataFrame:
+def ordered_parts(df: DataFrame, by: Names, part_rows: int, name: str = "part", dense: bool = False) -> DataFrame:
     """Number bounded runs of consecutive rows, so a group of any size can be collected.
 
-    A group of up to `part_rows` rows is one part numbered 0.
+    A group of up to `part_rows` rows is one part numbered 0. `dense` says that positions
+    already count 0, 1, 2, ... inside each group; those of a whole frame always do.
     """
     keys = as_names(by)
-    if not keys:
+    if dense or not keys:
         return df.withColumn(name, F.expr(f"`{POS}` div {part_rows}L"))
     if largest_group(df, keys) <= part_rows:
         return df.withColumn(name, F.lit(0).cast("long"))
@@ -195,13 +215,16 @@ def last_index_of(
 
     `start` and `end` count from the back, as the result does.
     """
-    sized = with_size(df, by, "__size") if as_names(by) else df
-    size = F.col("__size") if as_names(by) else total(df)
-    offset = size - 1 - F.col(POS)
-    hit = same(F.col(column), value) & (offset >= start)
+    keys, equal = as_names(by), same(F.col(column), value)
+    if start == 0 and end is None:
+        back = F.count(F.lit(1)) - 1 - F.max(F.when(equal, F.col(POS)))
+        return grouped(df, keys, F.coalesce(back, F.lit(-1)).cast("long").alias(name))
+    sized = with_size(df, keys, "__size")
+    offset = F.col("__size") - 1 - F.col(POS)
+    hit = equal & (offset >= start)
     if end is not None:
         hit = hit & (offset < end)
-    return grouped(sized, by, F.coalesce(F.min(F.when(hit, offset)), F.lit(-1)).cast("long").alias(name))
+    return grouped(sized, keys, F.coalesce(F.min(F.when(hit, offset)), F.lit(-1)).cast("long").alias(name))
 
 
 # --- edits ---------------------------------------------------------------------------

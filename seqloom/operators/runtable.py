@@ -6,13 +6,14 @@ filetype, lane_id, read_type, dumped_filename, dumped_filepath and `_pos`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions import files
 from seqloom.operators.aggregates import join_strings
 from seqloom.operators.positions import balanced_split, with_pos
 from seqloom.selectors import POS, Names, as_names
+from seqloom.staging import stage
 
 
 class RunTableError(ValueError):
@@ -83,31 +84,32 @@ def repair_read_types(table: DataFrame, index_pos: int = 0) -> tuple[DataFrame,
     """Rewrite unusable read types of fastq runs by file order; single-file runs are reported.
 
     Two files become R1, R2. Three become R1, R2 and I1, the index read being file number
-    `index_pos` (0, 1 or 2). Only rows of those small runs are ordered; rows of all other
-    runs are spread by position, so a run of any size costs no large window group.
+    `index_pos` (0, 1 or 2). The first and last position of such a run tell its files
+    apart, so nothing is sorted and large runs, which are never rewritten, form no group.
     """
     bad = ~F.coalesce(F.regexp_like(F.col("read_type"), F.lit("^[RI][12]")), F.lit(False))
     is_fastq = F.col("filetype") == "fastq"
     facts = (
         table.filter(is_fastq)
         .groupBy("run_id")
-        .agg(F.bool_or(bad).alias("__bad"), F.count(F.lit(1)).alias("__files"))
-        .filter("__bad")
+        .agg(
+            F.bool_or(bad).alias("__bad"),
+            F.count(F.lit(1)).alias("__files"),
+            F.min(POS).alias("__first"),
+            F.max(POS).alias("__last"),
+        )
+        .filter("__bad AND __files <= 3")
     )
     three = ["R1", "R2"]
     three.insert(index_pos, "I1")
-    joined = table.join(facts.select("run_id", "__files"), "run_id", "left")
-    small = F.coalesce(F.col("__files").between(2, 3) & is_fastq, F.lit(False))
-    scatter = F.when(~small, F.col(POS))
-    nth = F.row_number().over(Window.partitionBy("run_id", scatter).orderBy(POS))
-    names = F.when(F.col("__files") == 2, F.array(F.lit("R1"), F.lit("R2"))).otherwise(
-        F.array(*[F.lit(t) for t in three])
-    )
-    fixed = joined.withColumns({"__small": small, "__nth": nth}).withColumn(
-        "read_type", F.when(F.col("__small"), F.get(names, F.col("__nth") - 1)).otherwise(F.col("read_type"))
+    place = F.when(F.col(POS) == F.col("__first"), 0).when(F.col(POS) == F.col("__last"), 2).otherwise(1)
+    read = F.when(F.col("__files") == 2, F.when(place == 0, F.lit("R1")).otherwise(F.lit("R2"))).when(
+        F.col("__files") == 3, F.get(F.array(*[F.lit(t) for t in three]), place)
     )
+    joined = table.join(facts.drop("__bad"), "run_id", "left")
+    fixed = joined.withColumn("read_type", F.coalesce(F.when(is_fastq, read), F.col("read_type")))
     reported = facts.filter(F.col("__files") == 1).select("run_id")
-    return fixed.drop("__files", "__small", "__nth"), reported
+    return fixed.drop("__files", "__first", "__last"), reported
 
 
 def assign_reads(table: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -118,19 +120,16 @@ def assign_reads(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     Unknown. A run is fastq when its first file is.
     """
     facts = table.groupBy("run_id").agg(
-        F.min_by("filetype", POS).alias("__type"), F.count(F.lit(1)).alias("__files")
+        F.min_by("filetype", POS).alias("__type"), F.count(F.lit(1)).alias("__files"), F.min(POS).alias("__first")
     )
-    joined = table.join(facts, "run_id")
-    pair = (F.col("__type") == "fastq") & (F.col("__files") == 2)
-    nth = F.row_number().over(Window.partitionBy("run_id", F.when(~pair, F.col(POS))).orderBy(POS))
     name = files.path_basename(F.col("path"))
     named = F.coalesce(*[F.nullif(F.regexp_extract(name, p, 1), F.lit("")) for p in ("_(R.)", "_(I.)")])
     read = (
         F.when(F.col("__type") != "fastq", F.lit("Unknown"))
-        .when(F.col("__files") == 2, F.concat(F.lit("R"), F.col("__nth").cast("string")))
+        .when(F.col("__files") == 2, F.when(F.col(POS) == F.col("__first"), "R1").otherwise("R2"))
         .when(F.col("__files").between(3, 4), named)
     )
-    out = joined.withColumn("__nth", nth).withColumn("read", read).drop("__type", "__files", "__nth")
+    out = table.join(facts, "run_id").withColumn("read", read).drop("__type", "__files", "__first")
     return out.filter(F.col("read").isNotNull()), out.filter(F.col("read").isNull()).drop("read")
 
 
@@ -149,41 +148,45 @@ def work_steps(table: DataFrame, finished: DataFrame, key: Names, workers: int)
     """One step per file of the pending runs, with the worker that will run it.
 
     Pending runs are ordered by first file and cut into `workers` balanced contiguous
-    groups. Returns the steps and the rejected rows (unknown kind or read type).
+    groups. Returns the steps and the rejected rows (unknown kind or read type). The
+    pending rows are written once, since runs and files are both taken from them.
     """
     keys = as_names(key)
-    pending = table.join(finished.select(*keys), keys, "left_anti")
-    known = (F.col("filetype") == "bam") | (
-        (F.col("filetype") == "fastq") & F.coalesce(F.col("read_type").isin(*files.READ_TYPES), F.lit(False))
-    )
     kind, run, read = F.col("filetype"), F.col("run_id"), F.col("read_type")
-    runs = pending.groupBy("run_id").agg(F.min(POS).alias("__seen"))
-    cut = balanced_split(with_pos(runs, "__seen"), workers, name="worker").select(
-        "run_id", "worker", F.col(POS).alias("__run_pos")
+    known = (kind == "bam") | ((kind == "fastq") & read.isin(*files.READ_TYPES))
+    pending = stage(
+        table.join(finished.select(*keys), keys, "left_anti").select(
+            "run_id",
+            POS,
+            F.when(kind == "bam", F.lit("fetch")).otherwise(F.lit("dump")).alias("action"),
+            F.col("cloud_filepath").alias("source"),
+            files.raw_filename(run, kind, read, F.col("cloud_filepath")).alias("raw_name"),
+            F.when(kind == "bam", F.concat(run, F.lit(".bam"))).otherwise(F.col("dumped_filename")).alias("target_name"),
+            F.coalesce(known, F.lit(False)).alias("__known"),
+        ),
+        "pending",
     )
-    steps = pending.join(cut, "run_id").select(
-        "worker",
-        "run_id",
-        "__run_pos",
-        POS,
-        F.when(kind == "bam", F.lit("fetch")).otherwise(F.lit("dump")).alias("action"),
-        F.col("cloud_filepath").alias("source"),
-        files.raw_filename(run, kind, read, F.col("cloud_filepath")).alias("raw_name"),
-        F.when(kind == "bam", F.concat(run, F.lit(".bam")))
-        .otherwise(F.col("dumped_filename"))
-        .alias("target_name"),
-        F.coalesce(known, F.lit(False)).alias("__known"),
-    )
-    accepted = steps.filter("__known").drop("__known")
-    return accepted, steps.filter(~F.col("__known")).drop("__known")
+    runs = pending.groupBy("run_id").agg(F.min(POS).alias("__seen"))
+    cut = balanced_split(with_pos(runs, "__seen"), workers, name="worker")
+    steps = pending.join(cut.select("run_id", "worker", F.col(POS).alias("run_pos")), "run_id")
+    return steps.filter("__known").drop("__known"), steps.filter("NOT __known").drop("__known")
 
 
 def work_manifest(steps: DataFrame, part_rows: int = 100_000) -> DataFrame:
     """The ordered text of each worker, one line per step; long texts come in parts."""
     line = F.concat_ws(" ", "action", "source", "raw_name", "target_name")
-    ordered = with_pos(
-        steps.select("worker", "__run_pos", F.col(POS).alias("__file_pos"), line.alias("line")),
-        ["__run_pos", "__file_pos"],
-        "worker",
-    )
-    return join_strings(ordered, "line", "\n", "worker", part_rows, name="script")
+    lines = steps.select("worker", "run_pos", F.col(POS).alias("file_pos"), line.alias("line"))
+    ordered = with_pos(lines, ["run_pos", "file_pos"], "worker")
+    return join_strings(ordered, "line", "\n", "worker", part_rows, name="script", dense=True)
+
+
+def count_steps(samples: DataFrame, runs: DataFrame, genomes: DataFrame, workers: int) -> DataFrame:
+    """One counting step per pending sample: file kind of its first run, reference path, worker.
+
+    `samples` has gsm_id, species and `_pos`; `runs` has gsm_id, filetype and `_pos`;
+    `genomes` has species and path. Samples without runs or with an unknown kind have no step.
+    """
+    kinds = runs.groupBy("gsm_id").agg(F.min_by("filetype", POS).alias("filetype"))
+    usable = samples.join(kinds.filter(F.col("filetype").isin("fastq", "bam")), "gsm_id")
+    cut = balanced_split(with_pos(usable.withColumnRenamed(POS, "__seen"), "__seen"), workers, name="worker")
+    return cut.join(genomes, "species", "left").drop("__seen")

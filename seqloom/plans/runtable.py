@@ -158,3 +158,23 @@ def work_steps(spark: SparkSession, sf: str) -> DataFrame:
 def work_manifest(spark: SparkSession, sf: str) -> DataFrame:
     steps, _ = runtable.work_steps(_repaired(spark, sf), inputs.finished_runs(spark, sf), "run_id", 8)
     return runtable.work_manifest(steps, part_rows=1000)
+
+
+@query(
+    "count_steps",
+    f"""WITH {RUN_TABLE}, kinds AS (SELECT gsm_id, arg_min(filetype, _pos) AS filetype FROM run_table GROUP BY gsm_id),
+      usable AS (SELECT 'GSM' || c_custkey AS gsm_id, c_custkey, c_nationkey, filetype FROM customer
+        JOIN kinds ON gsm_id = 'GSM' || c_custkey)
+    SELECT gsm_id, filetype, CAST(ntile(6) OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS worker,
+      CASE WHEN n_regionkey = 0 THEN 'none' ELSE '/ref/' || n_name END AS path
+    FROM usable JOIN nation ON c_nationkey = n_nationkey""",
+)
+def count_steps(spark: SparkSession, sf: str) -> DataFrame:
+    samples = inputs.table(spark, sf, "customer").selectExpr(
+        "concat('GSM', c_custkey) AS gsm_id", "c_nationkey AS species", f"c_custkey AS {POS}"
+    )
+    runs = inputs.run_table(spark, sf).select("gsm_id", "filetype", POS)
+    genomes = inputs.table(spark, sf, "nation").filter("n_regionkey <> 0")
+    genomes = genomes.selectExpr("n_nationkey AS species", "concat('/ref/', n_name) AS path")
+    steps = runtable.count_steps(samples, runs, genomes, 6)
+    return steps.select("gsm_id", "filetype", "worker", F.coalesce("path", F.lit("none")).alias("path"))
