@@ -96,8 +96,7 @@ def reference_dim(
     joined = df.join(dim, as_names(key), "left")
     if not strict:
         return joined
-    checked = F.assert_true(F.col(value).isNotNull(), f"no reference for {key}")
-    return joined.withColumn(value, F.when(checked.isNull(), F.col(value)))
+    return joined.withColumn(value, F.coalesce(F.col(value), F.raise_error(F.lit(f"no reference for {key}"))))
 
 
 def semi_members(df: DataFrame, members: DataFrame, key: Names) -> DataFrame:

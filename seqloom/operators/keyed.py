@@ -124,5 +124,4 @@ def maps_by_group(df: DataFrame, by: Names, key: str, value: str, part_rows: int
 
 def value_not_none(df: DataFrame, value: str = "value") -> DataFrame:
     """Fail the job when a value is null."""
-    checked = F.assert_true(F.col(value).isNotNull(), "value is None")
-    return df.withColumn(value, F.when(checked.isNull(), F.col(value)))
+    return df.withColumn(value, F.coalesce(F.col(value), F.raise_error(F.lit("value is None"))))

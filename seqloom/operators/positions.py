@@ -17,7 +17,7 @@ from seqloom.staging import stage
 # A group up to this many rows is numbered by one ordinary window.
 GROUP_LIMIT = 2_000_000
 # Buckets per sequence or group: bounds the rows of the per-bucket offset table.
-MAX_BUCKETS = 1 << 17
+MAX_BUCKETS = 1 << 20
 MIN_BUCKET_ROWS = 4096
 # Keys with more than this many unused values per row are ordered by a sort instead.
 MAX_GAP = 64
@@ -90,21 +90,22 @@ def _with_bucket_fact(df: DataFrame, facts: DataFrame, by: list[str], key: str,
     """Attach the fact of its (group, bucket) to every row, and its rank in the bucket.
 
     The fact arrives as one marker row that sorts ahead of the bucket's data rows, so one
-    shuffle and one sort do the work of a join, and null group keys match. The shuffle is
-    asked for by name: input already partitioned by group would otherwise be left so,
-    with a large group in one task. `df` is read twice (facts, rows), so it must give the
-    same rows each time.
+    shuffle and one sort do the work of a join, and null group keys match. With groups the
+    shuffle is asked for by name: input already partitioned by group would otherwise be
+    left so, with a large group in one task. `df` is read twice (facts, rows), so it must
+    give the same rows each time.
     """
     rows = df.withColumns({_FACT: F.lit(None).cast("long"), _TAG: F.lit(1)})
     both = rows.unionByName(facts.withColumn(_TAG, F.lit(0)), allowMissingColumns=True)
+    if by:
+        both = both.repartition(*by, _BUCKET)
     window = Window.partitionBy(*by, _BUCKET).orderBy(_TAG, key)
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     columns = {"__fact_of_bucket": F.first(_FACT).over(running)}
     if rank:
         columns[_RANK] = F.row_number().over(window) - 2
     return (
-        both.repartition(*by, _BUCKET)
-        .withColumns(columns)
+        both.withColumns(columns)
         .filter(F.col(_TAG) == 1)
         .withColumn(_FACT, F.col("__fact_of_bucket"))
         .drop(_TAG, "__fact_of_bucket")
@@ -231,15 +232,22 @@ def last_index_of(
 
 
 def insert_at(df: DataFrame, index: int, batch: DataFrame) -> DataFrame:
-    """Insert the rows of `batch` one by one at `index`, so they land in reverse order.
+    """Insert the rows of `batch` one after the other, each at `index`.
 
-    The index is clamped to the sequence and counts from the end when negative.
+    The rows end up side by side. Inside the sequence each lands before the one inserted
+    earlier, so they come out reversed; counted from the end they keep their order. Where
+    the index lies outside, rows are clamped to the edge until the sequence is long enough.
     """
-    size, added = total(df), total(batch)
-    at = F.least(F.lit(index), size) if index >= 0 else F.greatest(F.lit(0), size + index)
-    shifted = df.withColumn(POS, F.col(POS) + F.when(F.col(POS) >= at, added).otherwise(F.lit(0)))
-    placed = batch.withColumn(POS, at + added - 1 - F.col(POS))
-    return shifted.unionByName(placed)
+    size, added, nth = total(df), total(batch), F.col(POS)
+    reversed_place = added - 1 - nth
+    if index >= 0:
+        start, clamped = F.least(F.lit(index), size), F.greatest(F.lit(index) - size, F.lit(0))
+        place = F.when(nth < clamped, nth).otherwise(clamped + reversed_place)
+    else:
+        start, clamped = F.greatest(F.lit(0), size + index), F.greatest(F.lit(-index) - size, F.lit(0))
+        place = F.when(nth < clamped, reversed_place).otherwise(nth - clamped)
+    shifted = df.withColumn(POS, F.col(POS) + F.when(F.col(POS) >= start, added).otherwise(F.lit(0)))
+    return shifted.unionByName(batch.withColumn(POS, start + place))
 
 
 def remove_at(df: DataFrame, index: int) -> DataFrame:
