@@ -20,19 +20,21 @@ from seqloom.plans.registry import query
     f"""WITH {SERIES}, {SAMPLES}, {RUNS}, {RUN_FILES}, usable AS (
       SELECT series_title, gsm_id, size FROM series JOIN samples USING (gse_id) JOIN runs USING (gsm_id)
         JOIN run_files USING (run_id) WHERE {FILE_KIND} = 'fastq')
-    SELECT series_title, gsm_id, count(*) AS files,
-      CAST(sum(CAST({SIZE_GB} AS DECIMAL(28,10))) AS DOUBLE) AS size_gb
+    SELECT series_title, gsm_id, count(*) AS files, sum({SIZE_GB}) AS size_gb
     FROM usable GROUP BY series_title, gsm_id""",
 )
 def join_expand_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship: fastq volume per sample, largest first."""
+    """Flagship: fastq volume per sample, largest first.
+
+    Sizes are whole numbers times powers of 1024, so sums of doubles are exact in any order.
+    """
     found = catalog.expand_hierarchy(
         inputs.series(spark, sf), inputs.samples(spark, sf), inputs.runs(spark, sf), inputs.run_files(spark, sf)
     )
     usable = sequence.where(found, lambda r: files.classify_filetype(r["path"]) == "fastq")
     by_sample = usable.groupBy("series_title", "gsm_id").agg(
         F.count(F.lit(1)).alias("files"),
-        F.sum(files.parse_size_gb(F.col("size")).cast("decimal(28,10)")).cast("double").alias("size_gb"),
+        F.sum(files.parse_size_gb(F.col("size"))).alias("size_gb"),
     )
     return by_sample.orderBy(F.col("size_gb").desc(), F.col("gsm_id").desc())
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +45,12 @@ def run_files_from_xml(df: DataFrame, column: str) -> DataFrame:
 
 
 def _elements(text: Column, tag: str) -> Column:
-    """Inner markup of every `tag` element (no nesting of the same tag)."""
-    return F.regexp_extract_all(text, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"), F.lit(1))
+    """Inner markup of every `tag` element (no nesting of the same tag).
+
+    Possessive steps from one `<` to the next: no backtracking, and no recursion on long text.
+    """
+    pattern = rf"(?i)<{tag}(?:\s[^>]*+)?+>([^<]*+(?:<(?!/{tag}>)[^<]*+)*+)</{tag}>"
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
 def _text(markup: Column) -> Column:
@@ -52,38 +58,56 @@ def _text(markup: Column) -> Column:
     return F.trim(F.regexp_replace(markup, "<[^>]*>", ""))
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` evaluated once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def table_rows_from_html(df: DataFrame, column: str) -> DataFrame:
     """Body rows of the tables in a page as (row, name -> cell), with the page's heading.
 
-    Names come from the header cells; rows with another number of cells are skipped.
+    Names come from the header cells; rows with another number of cells are skipped. A
+    page is taken apart in one expression, so no part of its text is searched per row.
     """
     others = [c for c in df.columns if c != column]
     html = F.col(column)
     header = F.transform(_elements(html, "th"), _text)
-    rows = F.transform(_elements(html, "tr"), lambda r: F.transform(_elements(r, "td"), _text))
     heading = _text(F.get(_elements(html, "h1"), F.lit(0)))
-    exploded = df.select(
-        *others, heading.alias("heading"), header.alias("__header"), F.posexplode(rows).alias("__row", "__cells")
-    )
-    full = exploded.filter((F.size("__cells") == F.size("__header")) & (F.size("__cells") > 0))
-    return full.select(
-        *others, "heading", F.col("__row").alias("row"), F.map_from_arrays("__header", "__cells").alias("cells")
+    rows = F.transform(
+        _elements(html, "tr"),
+        lambda r, i: F.struct(i.alias("row"), F.transform(_elements(r, "td"), _text).alias("cells")),
     )
 
+    def full_rows(page: Column) -> Column:
+        names = page["header"]
+        full = F.filter(page["rows"], lambda r: (F.size(r["cells"]) == F.size(names)) & (F.size(names) > 0))
+        return F.transform(
+            full, lambda r: F.struct(page["heading"], r["row"], F.map_from_arrays(names, r["cells"]).alias("cells"))
+        )
+
+    page = F.struct(header.alias("header"), heading.alias("heading"), rows.alias("rows"))
+    return df.select(*others, F.inline(_bound(page, full_rows)).alias("heading", "row", "cells"))
+
 
 def list_rows_from_html(df: DataFrame, column: str) -> DataFrame:
-    """List items that hold one link, in page order: address, text, and the page's heading."""
+    """List items of a page in order: the address they link to, their text, and the page's heading."""
     others = [c for c in df.columns if c != column]
     html = F.col(column)
     heading = _text(F.get(_elements(html, "h1"), F.lit(0)))
-    exploded = df.select(*others, heading.alias("heading"), F.posexplode(_elements(html, "li")).alias("row", "__item"))
-    return exploded.select(
-        *others,
-        "heading",
-        "row",
-        F.regexp_extract("__item", r'<a href="([^"]*)"', 1).alias("link"),
-        _text(F.col("__item")).alias("text"),
-    )
+
+    def items(page: Column) -> Column:
+        return F.transform(
+            page["items"],
+            lambda item, i: F.struct(
+                page["heading"],
+                i.alias("row"),
+                F.regexp_extract(item, r'<a href="([^"]*)"', 1).alias("link"),
+                _text(item).alias("text"),
+            ),
+        )
+
+    page = F.struct(heading.alias("heading"), _elements(html, "li").alias("items"))
+    return df.select(*others, F.inline(_bound(page, items)).alias("heading", "row", "link", "text"))
 
 
 def heading_fields(df: DataFrame, column: str = "heading") -> DataFrame:
