@@ -58,17 +58,13 @@ def resolve_required(
 def bridge_ids(ids: DataFrame, bridge: DataFrame, columns: tuple[str, ...] = ("SRR", "GSM", "GSE")) -> DataFrame:
     """All bridge rows of each id, whichever of the three columns it names; nulls when none.
 
-    One join per id kind, each on that kind's column, so every join is a plain equi-join.
+    The bridge is read once and listed under each of its ids, so one equi-join serves all
+    kinds. Ids of no known kind are left out.
     """
     key = ids.columns[0]
-    tagged = ids.withColumn("__kind", accession_kind(F.col(key)))
-    routed = [
-        tagged.filter(F.col("__kind") == kind)
-        .join(bridge.withColumn(key, F.col(kind)), key, "left")
-        .select(key, *columns)
-        for kind in columns
-    ]
-    return reduce(DataFrame.unionByName, routed)
+    listed = bridge.select(*columns, F.explode(F.array(*columns)).alias(key))
+    known = ids.filter(accession_kind(F.col(key)).isin(*columns))
+    return known.join(listed, key, "left").select(key, *columns)
 
 
 def lookup_by_id_kind(ids: DataFrame, sections: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:

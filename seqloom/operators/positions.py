@@ -250,11 +250,17 @@ def insert_at(df: DataFrame, index: int, batch: DataFrame) -> DataFrame:
     return shifted.unionByName(batch.withColumn(POS, start + place))
 
 
-def remove_at(df: DataFrame, index: int) -> DataFrame:
-    """Drop the row at `index` (negative counts from the end); later rows move up."""
+def remove_at(df: DataFrame, index: int, strict: bool = False) -> DataFrame:
+    """Drop the row at `index` (negative counts from the end); later rows move up.
+
+    An index out of range changes nothing, or raises when strict.
+    """
+    if strict and element_at(df, index).isEmpty():
+        raise IndexError(index)
     at = F.lit(index) if index >= 0 else total(df) + index
     kept = df.filter(F.col(POS) != at)
-    return kept.withColumn(POS, F.col(POS) - F.when(F.col(POS) > at, 1).otherwise(0))
+    in_range = (F.col(POS) > at) & (at >= 0)
+    return kept.withColumn(POS, F.col(POS) - F.when(in_range, 1).otherwise(0))
 
 
 def remove_range(df: DataFrame, start: int = 0, end: int | None = None) -> DataFrame:

@@ -76,6 +76,24 @@ def for_each(df: DataFrame, fn: Callable[[Row], object]) -> None:
     df.foreachPartition(run)
 
 
+def for_each_if(
+    df: DataFrame,
+    column: str,
+    on_value: Callable[[object], object],
+    on_none: Callable[[], object] | None = None,
+) -> None:
+    """Run one side effect for non-null values and another for nulls (or the first for both)."""
+
+    def run(rows):
+        for row in rows:
+            if row[0] is None and on_none is not None:
+                on_none()
+            else:
+                on_value(row[0])
+
+    df.select(column).foreachPartition(run)
+
+
 def split_on_null(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """The non-null elements and the null elements, as two frames."""
     return df.filter(F.col(column).isNotNull()), df.filter(F.col(column).isNull())

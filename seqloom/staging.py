@@ -8,10 +8,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seqloom.sources import storage
+
 _local_roots: dict[str, str] = {}
+_handed_out: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -31,7 +36,23 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path nobody has written yet."""
-    return f"{shared_root(spark)}/seqloom-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/seqloom-{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, on leaving, the intermediate tables written inside.
+
+    Results that still read them must be written before the end of the block.
+    """
+    kept = len(_handed_out)
+    try:
+        yield
+    finally:
+        while len(_handed_out) > kept:
+            storage.delete(spark, _handed_out.pop())
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -84,6 +84,13 @@ def test_remove_at(seq, index):
     assert in_order(at.remove_at(seq(VALUES), index)) == want
 
 
+def test_remove_at_out_of_range(seq):
+    for index in (7, -8):
+        assert in_order(at.remove_at(seq(VALUES), index)) == VALUES
+        with pytest.raises(IndexError):
+            at.remove_at(seq(VALUES), index, strict=True)
+
+
 @pytest.mark.parametrize(("start", "end"), [(0, 2), (2, 2), (3, None), (5, 99), (4, 1), (-3, 1)])
 def test_remove_range_includes_both_ends(seq, start, end):
     last = len(VALUES) - 1 if end is None else end

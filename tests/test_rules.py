@@ -175,3 +175,9 @@ def test_pipe_if(seq):
 
 def test_parallelize(seq):
     assert sequence.parallelize(seq(range(10)), 3).rdd.getNumPartitions() == 3
+
+
+def test_for_each_if_routes_nulls(spark, seq):
+    values, nulls = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    sequence.for_each_if(seq([1, None, 5]), "v", lambda v: values.add(v), lambda: nulls.add(1))
+    assert (values.value, nulls.value) == (6, 1)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqloom.sources import documents, listing, markup, nested, storage, tables, tsv
-from seqloom.staging import new_path, shared_root
+from seqloom.staging import new_path, scope, shared_root, stage
 
 
 def test_shared_root_follows_the_session(spark):
@@ -14,6 +14,15 @@ def test_shared_root_follows_the_session(spark):
     assert new_path(spark, "a") != new_path(spark, "a")
 
 
+def test_scope_deletes_what_was_staged_inside(spark):
+    outside = new_path(spark, "kept")
+    spark.range(1).write.parquet(outside)
+    with scope(spark):
+        inside = stage(spark.range(3)).inputFiles()[0]
+        assert storage.exists(spark, inside)
+    assert storage.exists(spark, outside) and not storage.exists(spark, inside)
+
+
 def test_range_and_split(spark):
     assert [r.value for r in documents.sequence_of(spark, 3, "id * id").collect()] == [0, 1, 4]
     df = spark.createDataFrame([("a||b||",)], "t STRING")
