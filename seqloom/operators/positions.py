@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, same, total
+from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, join_on_keys, same, total
 from seqloom.staging import stage
 
 # A group up to this many rows is numbered by one ordinary window.
 GROUP_LIMIT = 2_000_000
+# At most this many groups are ever called hot: bounds what is broadcast about them.
+MAX_HOT_GROUPS = 100_000
 # Buckets per sequence or group: bounds the rows of the per-bucket offset table.
 MAX_BUCKETS = 1 << 20
 MIN_BUCKET_ROWS = 4096
@@ -43,13 +45,18 @@ def with_pos(
     bucketed form, so one group holding a third of the rows is still spread over tasks.
     """
     keys, columns = as_names(by), as_names(order)
-    if keys and largest_group(df, keys) <= group_limit:
-        window = Window.partitionBy(*keys).orderBy(*columns)
-        return df.withColumn(pos, F.row_number().over(window).cast("long") - 1)
+    hot_rows = 0
+    if keys:
+        largest, rows = _group_sizes(df, keys)
+        if largest <= group_limit:
+            window = Window.partitionBy(*keys).orderBy(*columns)
+            return df.withColumn(pos, F.row_number().over(window).cast("long") - 1)
+        hot_rows = max(group_limit, rows // MAX_HOT_GROUPS)
     if len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, _INTEGRAL):
         bucket = _bucket_of(df, columns[0])
         if bucket is not None:
-            return _number_in_buckets(df.withColumn(_BUCKET, bucket), keys, columns[0], pos)
+            rows_in_buckets = _bucket_hot_groups(df, keys, bucket, hot_rows) if keys else df.withColumn(_BUCKET, bucket)
+            return _number_in_buckets(rows_in_buckets, keys, columns[0], pos)
     return _number_by_sort(df, keys, columns, pos)
 
 
@@ -60,7 +67,24 @@ def compact(df: DataFrame, by: Names = None) -> DataFrame:
 
 def largest_group(df: DataFrame, by: Names) -> int:
     """Rows in the biggest group: map-side counts, one small shuffle, one number back."""
-    return df.groupBy(*as_names(by)).count().agg(F.max("count")).first()[0] or 0
+    return _group_sizes(df, as_names(by))[0]
+
+
+def _group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
+    """Rows in the biggest group, and in all."""
+    largest, rows = df.groupBy(*by).count().agg(F.max("count"), F.sum("count")).first()
+    return largest or 0, rows or 0
+
+
+def _bucket_hot_groups(df: DataFrame, by: list[str], bucket: Column, hot_rows: int) -> DataFrame:
+    """Cut the groups above `hot_rows` into buckets; any other group stays whole in bucket -1.
+
+    At most MAX_HOT_GROUPS groups can be that large, so their keys are safe to broadcast.
+    """
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.filter(F.col("__n") > hot_rows).select(*by, F.lit(True).alias("__hot"))
+    marked = join_on_keys(df, F.broadcast(hot), by, "left")
+    return marked.withColumn(_BUCKET, F.when(F.col("__hot"), bucket).otherwise(F.lit(-1))).drop("__hot")
 
 
 def _bucket_of(df: DataFrame, key: str) -> Column | None:
@@ -79,15 +103,17 @@ def _bucket_of(df: DataFrame, key: str) -> Column | None:
 
 def _number_in_buckets(df: DataFrame, by: list[str], key: str, pos: str) -> DataFrame:
     """Number rows inside (group, bucket) and add the rows of the buckets before."""
-    counts = df.groupBy(*by, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    counts = df.filter(F.col(_BUCKET) >= 0).groupBy(*by, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*by, _BUCKET, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_FACT))
     ranked = _with_bucket_fact(df, starts, by, key, rank=True)
-    return ranked.withColumn(pos, F.col(_FACT) + F.col(_RANK)).drop(_BUCKET, _FACT, _RANK)
+    whole, rank = F.col(_FACT).isNull(), F.col(_RANK)
+    place = F.when(whole, rank - 1).otherwise(F.col(_FACT) + rank - 2)
+    return ranked.withColumn(pos, place).drop(_BUCKET, _FACT, _RANK)
 
 
 def _with_bucket_fact(df: DataFrame, facts: DataFrame, by: list[str], key: str, rank: bool = False) -> DataFrame:
-    """Attach the fact of its (group, bucket) to every row, and its rank in the bucket.
+    """Attach the fact of its (group, bucket) to every row, and its 1-based rank in the bucket.
 
     The fact arrives as one marker row that sorts ahead of the bucket's data rows, so one
     shuffle and one sort do the work of a join, and null group keys match. With groups the
@@ -103,7 +129,7 @@ def _with_bucket_fact(df: DataFrame, facts: DataFrame, by: list[str], key: str,
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     columns = {"__fact_of_bucket": F.first(_FACT).over(running)}
     if rank:
-        columns[_RANK] = F.row_number().over(window) - 2
+        columns[_RANK] = F.row_number().over(window).cast("long")
     return (
         both.withColumns(columns)
         .filter(F.col(_TAG) == 1)
