@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from seqloom.operators.keyed import absent_rows
-from seqloom.selectors import Names
+from seqloom.operators.positions import first_by_key
+from seqloom.selectors import Names, as_names
 from seqloom.sources import storage
+from seqloom.staging import new_path
 
 BATCH = "batch"
 
@@ -28,11 +29,21 @@ def read_ingested(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def append_new(batch: DataFrame, batch_id: int, path: str, key: Names, order: Names) -> None:
-    """Write the rows of one batch whose key is in no earlier batch."""
-    spark = batch.sparkSession
+    """Write the rows of one batch whose key is in no earlier batch.
+
+    The batch's own first writes are stored for the time of the merge: the source is read
+    once, and Spark knows their size. A small batch is then broadcast against the keys of
+    the table, which need no shuffle; a large one is joined by shuffle.
+    """
+    spark, keys = batch.sparkSession, as_names(key)
+    merging = new_path(spark, "batch")
+    first_by_key(batch.dropna(subset=keys), keys, order).write.parquet(merging)
+    fresh = spark.read.schema(batch.schema).parquet(merging)
     earlier = read_ingested(spark, path, batch.schema).filter(F.col(BATCH) < batch_id)
-    added = absent_rows(earlier, batch, key, order)
+    known = earlier.select(*keys).join(fresh.select(*keys), keys, "left_semi")
+    added = fresh.join(known, keys, "left_anti")
     added.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    storage.delete(spark, merging)
 
 
 def start_ingest(stream: DataFrame, path: str, checkpoint: str, key: Names, order: Names) -> StreamingQuery:
