@@ -173,20 +173,18 @@ def location_pick(
     location: str = "location",
     egress: str = "egress",
     free: str = "worldwide",
-) -> tuple[DataFrame, DataFrame]:
-    """Keep each run's rows at one location; runs without a usable location are rejects.
+    name: str = "picked",
+) -> DataFrame:
+    """Keep each run's rows at one location, named in `picked`.
 
     A run whose first file is fastq uses its first location, any other run its first
-    location with free egress.
+    location with free egress. A run without one is a reject: its rows stay, with a null.
     """
     choice = df.groupBy(run).agg(
         F.min_by(filetype, POS).alias("__type"),
         F.min_by(location, POS).alias("__first"),
         F.min_by(F.col(location), F.when(F.col(egress) == free, F.col(POS))).alias("__free"),
     )
-    choice = choice.select(
-        run, F.when(F.col("__type") == "fastq", F.col("__first")).otherwise(F.col("__free")).alias("__pick")
-    )
-    picked = choice.filter(F.col("__pick").isNotNull())
-    kept = df.join(picked, run).filter(F.col(location) == F.col("__pick")).drop("__pick")
-    return kept, choice.filter(F.col("__pick").isNull()).select(run)
+    picked = F.when(F.col("__type") == "fastq", F.col("__first")).otherwise(F.col("__free"))
+    joined = df.join(choice.select(run, picked.alias(name)), run)
+    return joined.filter(F.coalesce(F.col(location) == F.col(name), F.col(name).isNull()))

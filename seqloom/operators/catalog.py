@@ -38,21 +38,21 @@ def expand_hierarchy(
     return found if files is None else found.join(files, run_id)
 
 
-def join_parent(children: DataFrame, parents: DataFrame, key: Names) -> tuple[DataFrame, DataFrame]:
-    """Each child with its parent's columns, and the children whose parent is missing."""
-    keys = as_names(key)
-    return children.join(parents, keys), children.join(parents.select(*keys), keys, "left_anti")
+def join_parent(children: DataFrame, parents: DataFrame, key: Names, name: str = "found") -> DataFrame:
+    """Each child with its parent's columns; `found` is false where the parent is missing."""
+    known = parents.withColumn(name, F.lit(True))
+    joined = children.join(known, as_names(key), "left")
+    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 def resolve_required(
-    wanted: DataFrame, records: DataFrame, key: Names, strict: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Records of the wanted ids, and the ids that have none (an error when strict)."""
-    keys = as_names(key)
-    found, failed = wanted.join(records, keys), wanted.join(records.select(*keys), keys, "left_anti")
-    if strict and not failed.isEmpty():
-        raise MissingRecordError(keys)
-    return found, failed
+    wanted: DataFrame, records: DataFrame, key: Names, name: str = "found", strict: bool = False
+) -> DataFrame:
+    """Each wanted id with its record; `found` is false where it has none (an error when strict)."""
+    resolved = join_parent(wanted, records, key, name)
+    if strict and not resolved.filter(~F.col(name)).isEmpty():
+        raise MissingRecordError(as_names(key))
+    return resolved
 
 
 def bridge_ids(ids: DataFrame, bridge: DataFrame, columns: tuple[str, ...] = ("SRR", "GSM", "GSE")) -> DataFrame:
@@ -67,22 +67,19 @@ def bridge_ids(ids: DataFrame, bridge: DataFrame, columns: tuple[str, ...] = ("S
     return known.join(listed, key, "left").select(key, *columns)
 
 
-def lookup_by_id_kind(ids: DataFrame, sections: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Find each id in the section its prefix names; ids of no known kind are rejects.
+def lookup_by_id_kind(ids: DataFrame, sections: dict[str, DataFrame], name: str = "found") -> DataFrame:
+    """Find each id in the section its prefix names; `kind` is null for ids of no known kind.
 
     Every section has the same columns, the id first.
     """
     key = ids.columns[0]
-    tagged = ids.withColumn("kind", accession_kind(F.col(key)))
     tables = [
         table.withColumnRenamed(table.columns[0], key).withColumn("kind", F.lit(kind))
         for kind, table in sections.items()
     ]
     records = reduce(DataFrame.unionByName, tables)
-    known = tagged.filter(F.col("kind").isin(*sections))
-    found = known.join(records.withColumn("found", F.lit(True)), [key, "kind"], "left")
-    found = found.withColumn("found", F.coalesce(F.col("found"), F.lit(False)))
-    return found, tagged.filter(~F.coalesce(F.col("kind").isin(*sections), F.lit(False))).select(key)
+    tagged = ids.withColumn("kind", accession_kind(F.col(key)))
+    return join_parent(tagged, records, [key, "kind"], name)
 
 
 def reference_dim(

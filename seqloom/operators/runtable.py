@@ -48,12 +48,12 @@ def conflicting_sample_names(table: DataFrame) -> DataFrame:
     return names.filter(F.col("names") > 1)
 
 
-def reject_conflicting(stored: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New rows that agree with the stored name of their sample, and those that do not."""
+def mark_conflicting(stored: DataFrame, incoming: DataFrame, name: str = "conflict") -> DataFrame:
+    """New rows, flagged where their sample is stored under another name (to be rejected)."""
     known = stored.groupBy("gsm_id").agg(F.min_by("sample_name", POS).alias("__stored"))
     checked = incoming.join(known, "gsm_id", "left")
     clash = F.coalesce(F.col("__stored") != F.col("sample_name"), F.lit(False))
-    return checked.filter(~clash).drop("__stored"), checked.filter(clash)
+    return checked.withColumn(name, clash).drop("__stored")
 
 
 def required_children(samples: DataFrame, children: str = "child_srr_ids") -> DataFrame:
@@ -80,8 +80,8 @@ def repair_lanes(table: DataFrame) -> DataFrame:
     return table.join(fixes, "run_id", "left").withColumn("lane_id", F.coalesce("__new", "lane_id")).drop("__new")
 
 
-def repair_read_types(table: DataFrame, index_pos: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Rewrite unusable read types of fastq runs by file order; single-file runs are reported.
+def repair_read_types(table: DataFrame, index_pos: int = 0, name: str = "unpaired") -> DataFrame:
+    """Rewrite unusable read types of fastq runs by file order; `unpaired` marks single-file runs.
 
     Two files become R1, R2. Three become R1, R2 and I1, the index read being file number
     `index_pos` (0, 1 or 2). The first and last position of such a run tell its files
@@ -108,15 +108,15 @@ def repair_read_types(table: DataFrame, index_pos: int = 0) -> tuple[DataFrame,
     )
     joined = table.join(facts.drop("__bad"), "run_id", "left")
     fixed = joined.withColumn("read_type", F.coalesce(F.when(is_fastq, read), F.col("read_type")))
-    reported = facts.filter(F.col("__files") == 1).select("run_id")
-    return fixed.drop("__files", "__first", "__last"), reported
+    single = F.coalesce(is_fastq & (F.col("__files") == 1), F.lit(False))
+    return fixed.withColumn(name, single).drop("__files", "__first", "__last")
 
 
-def assign_reads(table: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Read type of each file by the number of files in its run.
+def assign_reads(table: DataFrame) -> DataFrame:
+    """Read type of each file by the number of files in its run; null is a reject.
 
     fastq: two files are R1, R2 in order; three or four take the read named in the file
-    name; any other count, or a name without a read, is a reject. Non-fastq runs get
+    name; any other count, or a name without a read, is rejected. Non-fastq runs get
     Unknown. A run is fastq when its first file is.
     """
     facts = table.groupBy("run_id").agg(
@@ -129,8 +129,7 @@ def assign_reads(table: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.col("__files") == 2, F.when(F.col(POS) == F.col("__first"), "R1").otherwise("R2"))
         .when(F.col("__files").between(3, 4), named)
     )
-    out = table.join(facts, "run_id").withColumn("read", read).drop("__type", "__files", "__first")
-    return out.filter(F.col("read").isNotNull()), out.filter(F.col("read").isNull()).drop("read")
+    return table.join(facts, "run_id").withColumn("read", read).drop("__type", "__files", "__first")
 
 
 def rebuild_names(table: DataFrame) -> DataFrame:
@@ -144,12 +143,12 @@ def rebuild_names(table: DataFrame) -> DataFrame:
     return named.withColumn("dumped_filepath", F.when(is_fastq, path).otherwise(F.col("dumped_filepath")))
 
 
-def work_steps(table: DataFrame, finished: DataFrame, key: Names, workers: int) -> tuple[DataFrame, DataFrame]:
+def work_steps(table: DataFrame, finished: DataFrame, key: Names, workers: int) -> DataFrame:
     """One step per file of the pending runs, with the worker that will run it.
 
     Pending runs are ordered by first file and cut into `workers` balanced contiguous
-    groups. Returns the steps and the rejected rows (unknown kind or read type). The
-    pending rows are written once, since runs and files are both taken from them.
+    groups. `known` is false for rejects (unknown kind or read type). The pending rows are
+    written once, since runs and files are both taken from them.
     """
     keys = as_names(key)
     kind, run, read = F.col("filetype"), F.col("run_id"), F.col("read_type")
@@ -162,20 +161,19 @@ def work_steps(table: DataFrame, finished: DataFrame, key: Names, workers: int)
             F.col("cloud_filepath").alias("source"),
             files.raw_filename(run, kind, read, F.col("cloud_filepath")).alias("raw_name"),
             F.when(kind == "bam", F.concat(run, F.lit(".bam"))).otherwise(F.col("dumped_filename")).alias("target_name"),
-            F.coalesce(known, F.lit(False)).alias("__known"),
+            F.coalesce(known, F.lit(False)).alias("known"),
         ),
         "pending",
     )
     runs = pending.groupBy("run_id").agg(F.min(POS).alias("__seen"))
     cut = balanced_split(with_pos(runs, "__seen"), workers, name="worker")
-    steps = pending.join(cut.select("run_id", "worker", F.col(POS).alias("run_pos")), "run_id")
-    return steps.filter("__known").drop("__known"), steps.filter("NOT __known").drop("__known")
+    return pending.join(cut.select("run_id", "worker", F.col(POS).alias("run_pos")), "run_id")
 
 
 def work_manifest(steps: DataFrame, part_rows: int = 100_000) -> DataFrame:
-    """The ordered text of each worker, one line per step; long texts come in parts."""
+    """The ordered text of each worker, one line per known step; long texts come in parts."""
     line = F.concat_ws(" ", "action", "source", "raw_name", "target_name")
-    lines = steps.select("worker", "run_pos", F.col(POS).alias("file_pos"), line.alias("line"))
+    lines = steps.filter("known").select("worker", "run_pos", F.col(POS).alias("file_pos"), line.alias("line"))
     ordered = with_pos(lines, ["run_pos", "file_pos"], "worker")
     return join_strings(ordered, "line", "\n", "worker", part_rows, name="script", dense=True)
 

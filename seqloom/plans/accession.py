@@ -129,9 +129,8 @@ def parse_read_type_fallback(spark: SparkSession, sf: str) -> DataFrame:
 )
 def assign_read_by_group_size(spark: SparkSession, sf: str) -> DataFrame:
     table = inputs.run_table(spark, sf).select("run_id", POS, "filetype", F.col("cloud_filepath").alias("path"))
-    assigned, rejected = runtable.assign_reads(table)
-    assigned = assigned.select("run_id", POS, "read")
-    return assigned.unionByName(rejected.select("run_id", POS, F.lit("rejected").alias("read")))
+    assigned = runtable.assign_reads(table)
+    return assigned.select("run_id", POS, F.coalesce("read", F.lit("rejected")).alias("read"))
 
 
 @query("parse_size_gb", f"WITH {RUN_FILES} SELECT {_ID}, {SIZE_GB} AS size_gb FROM run_files")

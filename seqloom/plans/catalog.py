@@ -46,9 +46,8 @@ def join_expand_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
 )
 def join_parent(spark: SparkSession, sf: str) -> DataFrame:
     parents = inputs.samples(spark, sf).filter(F.col("sample_title").endswith("1"))
-    found, missing = catalog.join_parent(inputs.runs(spark, sf), parents, "gsm_id")
-    found = found.select("run_id", "sample_title")
-    return found.unionByName(missing.select("run_id", F.lit("missing").alias("sample_title")))
+    joined = catalog.join_parent(inputs.runs(spark, sf), parents, "gsm_id")
+    return joined.select("run_id", F.coalesce("sample_title", F.lit("missing")).alias("sample_title"))
 
 
 @query(
@@ -58,9 +57,8 @@ def join_parent(spark: SparkSession, sf: str) -> DataFrame:
 )
 def join_resolve_required(spark: SparkSession, sf: str) -> DataFrame:
     wanted = inputs.table(spark, sf, "orders").selectExpr("concat('GSM', o_custkey * 2) AS gsm_id", "o_orderkey")
-    found, failed = catalog.resolve_required(wanted, inputs.samples(spark, sf), "gsm_id")
-    tag = lambda df, ok: df.select("o_orderkey", "gsm_id", F.lit(ok).alias("resolved"))
-    return tag(found, True).unionByName(tag(failed, False))
+    resolved = catalog.resolve_required(wanted, inputs.samples(spark, sf), "gsm_id", name="resolved")
+    return resolved.select("o_orderkey", "gsm_id", "resolved")
 
 
 def _bridge(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,9 +109,9 @@ def lookup_by_id_kind(spark: SparkSession, sf: str) -> DataFrame:
         "GSM": inputs.samples(spark, sf).selectExpr("gsm_id AS id", "sample_title AS title"),
         "SRR": inputs.runs(spark, sf).selectExpr("run_id AS id", "status AS title"),
     }
-    found, rejected = catalog.lookup_by_id_kind(_asked(spark, sf), sections)
-    found = found.select("id", F.when(F.col("found"), F.col("title")).otherwise("absent").alias("title"))
-    return found.unionByName(rejected.select("id", F.lit("rejected").alias("title")))
+    looked_up = catalog.lookup_by_id_kind(_asked(spark, sf), sections)
+    unknown = F.when(F.col("kind").isNull(), "rejected").otherwise("absent")
+    return looked_up.select("id", F.when(F.col("found"), F.col("title")).otherwise(unknown).alias("title"))
 
 
 @query(

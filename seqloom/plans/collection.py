@@ -306,18 +306,12 @@ def expand_children(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {inputs.RUN_TABLE}, choice AS (SELECT run_id, CASE WHEN arg_min(filetype, _pos) = 'fastq'
         THEN arg_min(location, _pos) ELSE arg_min(location, _pos) FILTER (egress = 'worldwide') END AS pick
       FROM run_table GROUP BY run_id)
-    SELECT r.run_id, r._pos, r.location, 'kept' AS outcome FROM run_table r JOIN choice c
-      ON r.run_id = c.run_id AND r.location = c.pick
-    UNION ALL SELECT run_id, -1, '', 'rejected' FROM choice WHERE pick IS NULL""",
+    SELECT r.run_id, r._pos, r.location, coalesce(pick, 'rejected') AS picked FROM run_table r JOIN choice c
+      ON r.run_id = c.run_id AND (r.location = c.pick OR c.pick IS NULL)""",
 )
 def location_pick(spark: SparkSession, sf: str) -> DataFrame:
-    kept, rejected = agg.location_pick(inputs.run_table(spark, sf))
-    kept = kept.select("run_id", POS, "location", F.lit("kept").alias("outcome"))
-    return kept.unionByName(
-        rejected.select(
-            "run_id", F.lit(-1).cast("long").alias(POS), F.lit("").alias("location"), F.lit("rejected").alias("outcome")
-        )
-    )
+    rows = agg.location_pick(inputs.run_table(spark, sf))
+    return rows.select("run_id", POS, "location", F.coalesce("picked", F.lit("rejected")).alias("picked"))
 
 
 # --- sorts ---------------------------------------------------------------------------

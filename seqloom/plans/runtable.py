@@ -50,9 +50,7 @@ def reject_conflicting(spark: SparkSession, sf: str) -> DataFrame:
     table = inputs.run_table(spark, sf).select("run_id", "gsm_id", "sample_name", POS)
     finished = inputs.finished_runs(spark, sf)
     stored, incoming = table.join(finished, "run_id", "left_semi"), table.join(finished, "run_id", "left_anti")
-    accepted, rejected = runtable.reject_conflicting(stored, incoming)
-    tag = lambda df, value: df.select(POS, F.lit(value).alias("rejected"))
-    return tag(accepted, False).unionByName(tag(rejected, True))
+    return runtable.mark_conflicting(stored, incoming, name="rejected").select(POS, "rejected")
 
 
 _LANES = f"""{RUN_TABLE}, runs AS (SELECT gsm_id, run_id, min(_pos) AS seen,
@@ -74,23 +72,19 @@ _READS = """facts AS (SELECT run_id, bool_or(NOT regexp_matches(read_type, '^[RI
     FROM {0} WHERE filetype = 'fastq' GROUP BY run_id),
   typed AS (SELECT t.* EXCLUDE (read_type), CASE WHEN filetype = 'fastq' AND bad AND n = 2
       THEN ['R1', 'R2'][nth] WHEN filetype = 'fastq' AND bad AND n = 3 THEN ['R1', 'R2', 'I1'][nth]
-      ELSE read_type END AS read_type FROM
+      ELSE read_type END AS read_type, bad, n FROM
     (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY _pos) AS nth FROM {0}) t
     LEFT JOIN facts USING (run_id))"""
 
 
 @query(
     "repair_read_type",
-    f"""WITH {RUN_TABLE}, {_READS.format("run_table")} SELECT run_id, _pos, read_type, false AS reported FROM typed
-    UNION ALL SELECT run_id, -1, '', true FROM facts WHERE bad AND n = 1""",
+    f"""WITH {RUN_TABLE}, {_READS.format("run_table")} SELECT run_id, _pos, read_type,
+      coalesce(filetype = 'fastq' AND bad AND n = 1, false) AS unpaired FROM typed""",
 )
 def repair_read_type(spark: SparkSession, sf: str) -> DataFrame:
-    fixed, reported = runtable.repair_read_types(inputs.run_table(spark, sf), index_pos=2)
-    fixed = fixed.select("run_id", POS, "read_type", F.lit(False).alias("reported"))
-    blank = reported.select(
-        "run_id", F.lit(-1).cast("long").alias(POS), F.lit("").alias("read_type"), F.lit(True).alias("reported")
-    )
-    return fixed.unionByName(blank)
+    fixed = runtable.repair_read_types(inputs.run_table(spark, sf), index_pos=2)
+    return fixed.select("run_id", POS, "read_type", "unpaired")
 
 
 _REBUILT = f"""{_LANES}, {_READS.format("laned")}, rebuilt AS (SELECT * EXCLUDE (dumped_filename, dumped_filepath),
@@ -100,7 +94,7 @@ _REBUILT = f"""{_LANES}, {_READS.format("laned")}, rebuilt AS (SELECT * EXCLUDE
 
 def _repaired(spark: SparkSession, sf: str) -> DataFrame:
     laned = runtable.repair_lanes(inputs.run_table(spark, sf))
-    return runtable.rebuild_names(runtable.repair_read_types(laned, index_pos=2)[0])
+    return runtable.rebuild_names(runtable.repair_read_types(laned, index_pos=2))
 
 
 @query(
@@ -143,9 +137,8 @@ _STEPS = f"""{_REBUILT}, {FINISHED}, pending AS (SELECT * FROM rebuilt WHERE run
     FROM steps""",
 )
 def work_steps(spark: SparkSession, sf: str) -> DataFrame:
-    steps, rejected = runtable.work_steps(_repaired(spark, sf), inputs.finished_runs(spark, sf), "run_id", 8)
-    steps = steps.select("worker", "run_id", POS, "action")
-    return steps.unionByName(rejected.select("worker", "run_id", POS, F.lit("rejected").alias("action")))
+    steps = runtable.work_steps(_repaired(spark, sf), inputs.finished_runs(spark, sf), "run_id", 8)
+    return steps.select("worker", "run_id", POS, F.when(F.col("known"), F.col("action")).otherwise("rejected").alias("action"))
 
 
 @query(
@@ -156,7 +149,7 @@ def work_steps(spark: SparkSession, sf: str) -> DataFrame:
       ORDER BY _pos) AS script FROM placed GROUP BY worker, part""",
 )
 def work_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    steps, _ = runtable.work_steps(_repaired(spark, sf), inputs.finished_runs(spark, sf), "run_id", 8)
+    steps = runtable.work_steps(_repaired(spark, sf), inputs.finished_runs(spark, sf), "run_id", 8)
     return runtable.work_manifest(steps, part_rows=1000)
 
 

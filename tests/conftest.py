@@ -40,3 +40,7 @@ def in_order(df, name="v"):
     rows = df.orderBy("_pos").collect()
     assert [r["_pos"] for r in rows] == list(range(len(rows)))
     return [r[name] for r in rows]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()

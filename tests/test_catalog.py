@@ -79,9 +79,8 @@ def test_names(spark):
 def test_missing_records_raise_when_strict(spark):
     wanted = spark.createDataFrame([("GSM1",), ("GSM2",)], "gsm_id STRING")
     records = spark.createDataFrame([("GSM1", "t")], "gsm_id STRING, title STRING")
-    found, failed = catalog.resolve_required(wanted, records, "gsm_id")
-    assert [r.gsm_id for r in found.collect()] == ["GSM1"]
-    assert [r.gsm_id for r in failed.collect()] == ["GSM2"]
+    resolved = catalog.resolve_required(wanted, records, "gsm_id")
+    assert {r.gsm_id: r.found for r in resolved.collect()} == {"GSM1": True, "GSM2": False}
     with pytest.raises(catalog.MissingRecordError):
         catalog.resolve_required(wanted, records, "gsm_id", strict=True)
     with pytest.raises(Exception, match="no reference"):
@@ -102,9 +101,8 @@ def test_location_pick_first_not_lowest(spark):
         (3, "r2", "bam", "s3", "-"), (4, "r2", "bam", "gs", "worldwide"), (5, "r3", "bam", "s3", "-"),
     ]
     df = spark.createDataFrame(rows, "_pos LONG, run_id STRING, filetype STRING, location STRING, egress STRING")
-    kept, rejected = agg.location_pick(df)
-    assert sorted(r["_pos"] for r in kept.collect()) == [0, 2, 4]
-    assert [r.run_id for r in rejected.collect()] == ["r3"]
+    got = {r["_pos"]: r.picked for r in agg.location_pick(df).collect()}
+    assert got == {0: "s3", 2: "s3", 4: "gs", 5: None}
 
 
 COLUMNS = "_pos LONG, run_id STRING, gsm_id STRING, filetype STRING, lane_id STRING, read_type STRING"
@@ -127,14 +125,14 @@ def test_repair_read_types(spark, index_pos, three):
     rows += [(3 + i, "three", "g", "fastq", "L1", "R3") for i in range(3)]
     rows += [(6 + i, "four", "g", "fastq", "L1", "") for i in range(4)]
     rows += [(10 + i, "fine", "g", "fastq", "L1", t) for i, t in enumerate(["R2", "R1"])]
-    fixed, reported = runtable.repair_read_types(spark.createDataFrame(rows, COLUMNS), index_pos)
+    fixed = runtable.repair_read_types(spark.createDataFrame(rows, COLUMNS), index_pos)
     got = {}
     for r in fixed.orderBy("_pos").collect():
         got.setdefault(r.run_id, []).append(r.read_type)
     assert got["two"] == ["R1", "R2"]
     assert got["three"] == three.split()
     assert got["four"] == [""] * 4 and got["fine"] == ["R2", "R1"]
-    assert [r.run_id for r in reported.collect()] == ["one"]
+    assert [r.run_id for r in fixed.filter("unpaired").collect()] == ["one"]
 
 
 def test_error_checks(spark):

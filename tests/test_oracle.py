@@ -1,7 +1,10 @@
-"""Every registered query against its SQL twin."""
+"""Every registered query: its result against its SQL twin, and the shape of its plan."""
+
+import re
 
 import oracle
 import pytest
+from conftest import plan_of
 
 import __spark_entry__ as entry_point
 
@@ -23,4 +26,6 @@ def test_entry_has_stable_columns(spark):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, sf, con, name):
-    assert oracle.differences(QUERIES[name](spark, sf), con, SQL[name]) == []
+    result = QUERIES[name](spark, sf)
+    assert not re.search(r"Python|MapIn|Cartesian|NestedLoop", plan_of(result))
+    assert oracle.differences(result, con, SQL[name]) == []
