@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, join_on_keys, same, total
+from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, same, total
 from seqloom.staging import stage
 
 # A group up to this many rows is numbered by one ordinary window.
@@ -79,12 +79,14 @@ def _group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
 def _bucket_hot_groups(df: DataFrame, by: list[str], bucket: Column, hot_rows: int) -> DataFrame:
     """Cut the groups above `hot_rows` into buckets; any other group stays whole in bucket -1.
 
-    At most MAX_HOT_GROUPS groups can be that large, so their keys are safe to broadcast.
+    At most MAX_HOT_GROUPS groups can be that large. Only hashes of their keys are
+    broadcast, eight bytes each; a small group that shares a hash is cut too, which does
+    not change its numbers.
     """
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > hot_rows).select(*by, F.lit(True).alias("__hot"))
-    marked = join_on_keys(df, F.broadcast(hot), by, "left")
-    return marked.withColumn(_BUCKET, F.when(F.col("__hot"), bucket).otherwise(F.lit(-1))).drop("__hot")
+    hot = sizes.filter(F.col("__n") > hot_rows).select(F.xxhash64(*by).alias("__hash"), F.lit(True).alias("__hot"))
+    marked = df.withColumn("__hash", F.xxhash64(*by)).join(F.broadcast(hot.distinct()), "__hash", "left")
+    return marked.withColumn(_BUCKET, F.when(F.col("__hot"), bucket).otherwise(F.lit(-1))).drop("__hash", "__hot")
 
 
 def _bucket_of(df: DataFrame, key: str) -> Column | None:

@@ -66,11 +66,13 @@ def repair_lanes(table: DataFrame) -> DataFrame:
 
     The k-th such run of a sample, by first appearance, gets the number of distinct lanes
     the sample already has plus k. Runs are numbered, not files, so the numbered frame is
-    one row per broken run.
+    one row per broken run; a run belongs to the sample of its first file.
     """
     good = F.col("lane_id").startswith("L")
     fastq = table.filter(F.col("filetype") == "fastq")
-    runs = fastq.groupBy("gsm_id", "run_id").agg(F.min_by("lane_id", POS).alias("__lane"), F.min(POS).alias(POS))
+    runs = fastq.groupBy("run_id").agg(
+        F.min_by("gsm_id", POS).alias("gsm_id"), F.min_by("lane_id", POS).alias("__lane"), F.min(POS).alias(POS)
+    )
     broken = runs.filter(~F.coalesce(F.col("__lane").startswith("L"), F.lit(False)))
     numbered = with_pos(broken.withColumnRenamed(POS, "__seen"), "__seen", "gsm_id", pos="__k")
     used = table.groupBy("gsm_id").agg(F.count_distinct(F.when(good, F.col("lane_id"))).alias("__used"))

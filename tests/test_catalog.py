@@ -118,6 +118,12 @@ def test_repair_lanes_counts_on(spark):
     assert got == {0: "L002", 1: "L002", 2: "L001", 3: "L003", 4: "L001", 5: None}
 
 
+def test_repair_lanes_gives_a_run_one_lane(spark):
+    rows = [(0, "r1", "g", "fastq", None, "R1"), (1, "r1", "h", "fastq", None, "R2"), (2, "r2", "g", "fastq", "L001", "")]
+    fixed = runtable.repair_lanes(spark.createDataFrame(rows, COLUMNS))
+    assert {r["_pos"]: r.lane_id for r in fixed.collect()} == {0: "L002", 1: "L002", 2: "L001"}
+
+
 @pytest.mark.parametrize(("index_pos", "three"), [(0, "I1 R1 R2"), (1, "R1 I1 R2"), (2, "R1 R2 I1")])
 def test_repair_read_types(spark, index_pos, three):
     rows = [(0, "one", "g", "fastq", "L1", "")]
