@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from seqloom.llm import lm, mixing, packing, quality
+from seqloom.llm import lm, mixing, packing, quality, substrings
 from seqloom.llm.registry import QUERIES, query, table
 
 __all__ = ["QUERIES"]
@@ -25,6 +25,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.dedup_substrings(docs).select(
+        "doc_id",
+        F.col("_n_units").alias("n_words"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op4_lm_scoring")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
