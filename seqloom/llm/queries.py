@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from seqloom.llm import lm, mixing, packing, quality, substrings
+from seqloom.llm import lm, mixing, packing, quality, substrings, suffixes
 from seqloom.llm.registry import QUERIES, query, table
 
 __all__ = ["QUERIES"]
@@ -48,6 +48,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("_key").alias("doc_id"), *quality.COUNTS, "base_failed", "kept")
 
 
+@query("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.dedup_bytes(docs).select(
+        "doc_id",
+        F.col("_n_units").alias("n_bytes"),
+        F.col("_n_removed").alias("n_removed"),
+        F.col("_n_spans").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))

@@ -49,6 +49,8 @@ class Kind(ABC):
     """What a unit is, how windows get anchors, and how single windows are compared."""
 
     size: int
+    #: Bytes of text that are worked on at once.
+    block: int = T.BLOCK_BYTES
     #: Spark type of what a range hands on for the comparison of its windows.
     content: str
 
@@ -66,7 +68,9 @@ class Kind(ABC):
 
     @abstractmethod
     def repeated(self, open_ranges: DataFrame) -> DataFrame:
-        """(_row, start) of windows that occur more than once, from (_row, name, start, weight, variants, content).
+        """(_row, start, end): units under windows that occur more than once.
+
+        `open_ranges` has (_row, name, start, weight, windows, variants, content).
 
         Only answers for ranges of weight 1 are needed; weight 2 stands for a range known to occur again.
         """
@@ -93,7 +97,7 @@ def occurrences(docs: DataFrame, kind: Kind) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.blocks(batch, "text"):
+            for part in T.blocks(batch, "text", kind.block):
                 _, units, offsets, r = _ranges_of(kind, part)
                 folded = T.fold(units)
                 whole = T.span_hash(folded, r.first, np.where(r.alike, r.first, r.last) + kind.size)
@@ -163,7 +167,7 @@ def _first_pass(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.blocks(batch, "text"):
+            for part in T.blocks(batch, "text", kind.block):
                 data, units, offsets, r = _ranges_of(kind, part)
                 marks = part.column("marks")
                 per_text = r.per_text(offsets)
@@ -215,19 +219,17 @@ def _lengths(lists: pa.Array):
 def _second_pass(frame: DataFrame, columns: list[str], kind: Kind, kept_type: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.blocks(batch, "text"):
+            for part in T.blocks(batch, "text", kind.block):
                 data, at = T.texts(part.column("text"))
                 _, offsets = kind.units(data, at)
                 n = np.diff(offsets)
 
                 def spans(starts, ends, n=n, part=part, offsets=offsets):
-                    a, b = part.column(starts), part.column(ends) if ends else None
-                    base = np.repeat(offsets[:-1], _lengths(a))
-                    first = a.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + base
-                    end = first + kind.size if b is None else b.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + base
-                    return first, end
+                    base = np.repeat(offsets[:-1], _lengths(part.column(starts)))
+                    both = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in (starts, ends))
+                    return [x.astype(np.int64) + base for x in both]
 
-                (s1, e1), (s2, e2) = spans("_starts", "_ends"), spans("_more", None)
+                (s1, e1), (s2, e2) = spans("_starts", "_ends"), spans("_more_starts", "_more_ends")
                 gone = _covered(int(offsets[-1]), np.concatenate([s1, s2]), np.concatenate([e1, e2]))
                 _, _, per_span = _spans(gone, offsets)
                 total = np.concatenate([[0], np.cumsum(gone)])
@@ -262,9 +264,13 @@ def remove_repeats(docs: DataFrame, kind: Kind, kept_type: str) -> DataFrame:
     del marks
     release(first.sparkSession)
     opened = first.where(F.size("_open") > 0).select("_row", F.inline("_open"))
-    more = kind.repeated(opened).groupBy("_row").agg(F.collect_list("start").alias("_more"))
-    done = first.where("NOT _pending").select(*columns, "_starts", "_ends", F.array().cast("array<int>").alias("_more"))
+    more = kind.repeated(opened).groupBy("_row").agg(F.collect_list(F.struct("start", "end")).alias("_more"))
+    none = F.array().cast("array<int>")
+    known = [*columns, "_starts", "_ends"]
+    done = first.where("NOT _pending").select(*known, none.alias("_more_starts"), none.alias("_more_ends"))
     rest = first.where("_pending").join(more, "_row", "left").select(
-        *columns, "_starts", "_ends", F.coalesce("_more", F.array().cast("array<int>")).alias("_more")
+        *known,
+        F.coalesce(F.col("_more")["start"], none).alias("_more_starts"),
+        F.coalesce(F.col("_more")["end"], none).alias("_more_ends"),
     )
     return _second_pass(done.unionByName(rest), columns, kind, kept_type)

@@ -77,7 +77,9 @@ class Words(Kind):
             "_row", "name", "start", "weight", F.posexplode("content").alias("place", "hash")
         ).select("_row", "name", "hash", "weight", (F.col("start") + F.col("place")).alias("start"))
         twice = windows.groupBy("name", "hash").agg(F.sum("weight").alias("n")).where("n > 1").select("name", "hash")
-        return windows.where("weight = 1").join(twice, ["name", "hash"]).select("_row", "start")
+        return windows.where("weight = 1").join(twice, ["name", "hash"]).select(
+            "_row", "start", (F.col("start") + self.size).alias("end")
+        )
 
     def keep(self, text, kept):
         return b" ".join(compress(text.split(), kept.tolist())).decode("utf-8")
