@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from seqloom.llm import lm, mixing, packing, quality, substrings, suffixes
+from seqloom.llm import jaccard, lm, mixing, packing, quality, substrings, suffixes
 from seqloom.llm.registry import QUERIES, query, table
 
 __all__ = ["QUERIES"]
@@ -36,6 +36,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_ngram_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("_row")
+
+
 @query("op4_lm_scoring")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
