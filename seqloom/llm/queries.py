@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from seqloom.llm import jaccard, lm, mixing, packing, quality, substrings, suffixes
+from seqloom.llm import fingerprints, jaccard, lm, mixing, packing, quality, substrings, suffixes
 from seqloom.llm.registry import QUERIES, query, table
 
 __all__ = ["QUERIES"]
@@ -47,6 +47,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.cross_entropy_difference(docs, lm.labelled_target(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op5_document_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_with_edits(table(spark, sf_dir, "documents"))
+
+
 @query("op6_quality_rules", quality.SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), F.col("doc_id"))
