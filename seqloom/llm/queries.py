@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from seqloom.llm import fingerprints, jaccard, lm, mixing, packing, quality, substrings, suffixes
+from seqloom.llm import fingerprints, jaccard, lm, mixing, packing, quality, substrings, suffixes, urls
 from seqloom.llm.registry import QUERIES, query, table
 
 __all__ = ["QUERIES"]
@@ -58,6 +58,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("_key").alias("doc_id"), *quality.COUNTS, "base_failed", "kept")
 
 
+@query("op7_url_filters")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 @query("op8_suffix_array_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
