@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from seqloom.llm import fingerprints, jaccard, lm, mixing, packing, quality, substrings, suffixes, urls
+from seqloom.llm import fingerprints, jaccard, licenses, lm, mixing, packing, quality, substrings, suffixes, urls
 from seqloom.llm.registry import QUERIES, query, table
 
 __all__ = ["QUERIES"]
@@ -78,3 +78,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op10_license_scans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source / language / hundred of ids / id."""
+    docs = table(spark, sf_dir, "documents")
+    parts = [F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.floor(F.col("doc_id") / 100).cast("string"), "doc_id"]
+    return licenses.scan_licences(docs.select("doc_id", F.concat_ws("/", *parts).alias("path"), "text"))
