@@ -242,3 +242,16 @@ def near_duplicates(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     return texts_of.join(named, "node", "left").select(
         "_row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of a stored table without all but one of each group: least id, then first row.
+
+    Only row numbers are compared and sent back; a text moves once, to meet its verdict.
+    """
+    found = near_duplicates(docs)
+    grouped = found.where("n_shingles > 0")
+    lead = grouped.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("lead")).select("lead._row")
+    alone = found.where("n_shingles = 0").select("_row")
+    kept = store(lead.unionByName(alone), "kept")
+    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").drop("_row")
