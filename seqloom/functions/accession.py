@@ -19,7 +19,10 @@ def accession_kind(accession: Column) -> Column:
 
 
 def expand_accession_ranges(text: Column, prefix: str = "GSM") -> Column:
-    """`GSM1:GSM3,GSM9` -> [GSM1, GSM2, GSM3, GSM9]; both ends belong to the range."""
+    """`GSM1:GSM3,GSM9` -> [GSM1, GSM2, GSM3, GSM9]; both ends belong to the range.
+
+    The whole list is one value; `catalog.listed_ranges` gives a row per id for ranges of any length.
+    """
 
     def number(item: Column) -> Column:
         return F.replace(item, F.lit(prefix), F.lit("")).cast("long")
@@ -39,19 +42,26 @@ def split_taxon(text: Column) -> Column:
     return F.split(text, "; ")
 
 
+# `sample: title; species; protocol (run)`
+HEADING = r"^([^:;]+):[^;]*;([^;]+);[^;(]*\(([^;()]+)\)"
+
+
+def _heading_part(heading: Column, group: int) -> Column:
+    """One named part of a well-formed heading; null for any other text."""
+    return F.nullif(F.regexp_extract(heading, HEADING, group), F.lit(""))
+
+
 def heading_sample(heading: Column) -> Column:
-    """Sample id of `GSM: ...; species; ...(SRR)`."""
-    return F.split(F.split(heading, ";")[0], ":")[0]
+    return _heading_part(heading, 1)
 
 
 def heading_species(heading: Column) -> Column:
-    """Species of the heading, without spaces."""
-    return F.replace(F.split(heading, ";")[1], F.lit(" "), F.lit(""))
+    """The species without spaces."""
+    return F.replace(_heading_part(heading, 2), F.lit(" "), F.lit(""))
 
 
 def heading_run(heading: Column) -> Column:
-    """Run id in the parentheses of the third part."""
-    return F.replace(F.split(F.split(heading, ";")[2], "\\(")[1], F.lit(")"), F.lit(""))
+    return _heading_part(heading, 3)
 
 
 def series_link(accession: Column) -> Column:

@@ -122,16 +122,15 @@ def join_strings(
     by: Names = None,
     part_rows: int = 100_000,
     name: str = "joined",
-    dense: bool = False,
 ) -> DataFrame:
     """Concatenate values in order, the separator only between items.
 
-    One row per group while the group has up to `part_rows` rows. A larger group comes as
-    consecutive parts, since no single row can hold it; joining the parts with `sep` gives
-    the whole text. Nulls are skipped. Whole-frame use needs dense positions; `dense` says
-    that they are dense inside each group.
+    One row per group while it keeps within `part_rows` rows and the byte bound of
+    `ordered_parts`. A larger group comes as consecutive parts, since no single row can
+    hold it; joining the parts with `sep` gives the whole text. Nulls are skipped.
     """
-    parts = ordered_parts(df.withColumn("__text", as_column(df, value)), by, part_rows, dense=dense)
+    texts = df.withColumn("__text", as_column(df, value).cast("string"))
+    parts = ordered_parts(texts, by, part_rows, F.octet_length("__text") + len(sep.encode()))
     quoted = sep.replace("\\", "\\\\").replace("'", "\\'")
     text = F.expr(f"listagg(__text, '{quoted}') WITHIN GROUP (ORDER BY {POS})")
     return parts.groupBy(*as_names(by), "part").agg(text.alias(name))
@@ -186,5 +185,5 @@ def location_pick(
         F.min_by(F.col(location), F.when(F.col(egress) == free, F.col(POS))).alias("__free"),
     )
     picked = F.when(F.col("__type") == "fastq", F.col("__first")).otherwise(F.col("__free"))
-    joined = df.join(choice.select(run, picked.alias(name)), run)
+    joined = df.join(choice.filter(F.col(run).isNotNull()).select(run, picked.alias(name)), run, "left")
     return joined.filter(F.coalesce(F.col(location) == F.col(name), F.col(name).isNull()))

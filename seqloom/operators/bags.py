@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.operators.positions import GROUP_LIMIT, occurrence
+from seqloom.operators.positions import dense, occurrence, with_gaps
 from seqloom.selectors import POS, join_on_keys, total
 
 
@@ -15,6 +15,7 @@ class MissingValueError(ValueError):
 
 def append(df: DataFrame, other: DataFrame) -> DataFrame:
     """Add the elements of `other` after the last element; duplicates stay."""
+    df, other = dense(df), dense(other)
     return df.unionByName(other.withColumn(POS, F.col(POS) + total(df)))
 
 
@@ -23,13 +24,12 @@ def except_bag(
     column: str,
     removed: DataFrame,
     strict: bool = False,
-    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Remove the first occurrence of a value once per row of `removed` that lists it.
 
     Equal values are numbered in order and the first m of them drop, m being the number of
-    rows of `removed` for that value; the survivors keep their positions. `removed` is
-    reduced to one row per value before the join.
+    rows of `removed` for that value; the survivors are renumbered when next asked for by
+    position. `removed` is reduced to one row per value before the join.
     """
     budget = removed.groupBy(F.col(column)).agg(F.count(F.lit(1)).alias("__drop"))
     if strict:
@@ -39,10 +39,10 @@ def except_bag(
         )
         if not short.isEmpty():
             raise MissingValueError(column)
-    numbered = occurrence(df, column, "__nth", group_limit)
+    numbered = occurrence(df, column, "__nth")
     matched = join_on_keys(numbered, budget, [column], "left")
     kept = matched.filter(F.col("__nth") >= F.coalesce(F.col("__drop"), F.lit(0)))
-    return kept.drop("__nth", "__drop")
+    return with_gaps(kept.drop("__nth", "__drop"))
 
 
 def remove_value(df: DataFrame, column: str, value: object, strict: bool = True) -> DataFrame:
@@ -50,4 +50,4 @@ def remove_value(df: DataFrame, column: str, value: object, strict: bool = True)
     at = df.filter(F.col(column).eqNullSafe(F.lit(value))).agg(F.min(POS).alias("at"))
     if strict and at.first()["at"] is None:
         raise MissingValueError(value)
-    return df.filter(~F.col(POS).eqNullSafe(at.scalar()))
+    return with_gaps(df.filter(~F.col(POS).eqNullSafe(at.scalar())))

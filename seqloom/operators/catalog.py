@@ -56,15 +56,20 @@ def resolve_required(
 
 
 def bridge_ids(ids: DataFrame, bridge: DataFrame, columns: tuple[str, ...] = ("SRR", "GSM", "GSE")) -> DataFrame:
-    """All bridge rows of each id, whichever of the three columns it names; nulls when none.
+    """All bridge rows of each id, whichever of the three columns it names.
 
-    The bridge is read once and listed under each of its ids, so one equi-join serves all
-    kinds. Ids of no known kind are left out.
+    The bridge is listed under each of its ids and met by an inner join, either side of which
+    Spark can split or broadcast; ids that meet nothing come from an anti join, with nulls.
+    `kind` is null for ids of no known kind.
     """
     key = ids.columns[0]
     listed = bridge.select(*columns, F.explode(F.array(*columns)).alias(key))
-    known = ids.filter(accession_kind(F.col(key)).isin(*columns))
-    return known.join(listed, key, "left").select(key, *columns)
+    tagged = ids.withColumn("kind", F.when(accession_kind(F.col(key)).isin(*columns), accession_kind(F.col(key))))
+    known = tagged.filter("kind IS NOT NULL")
+    met = known.join(listed, key).select(key, "kind", *columns)
+    nothing = [F.lit(None).cast(bridge.schema[c].dataType).alias(c) for c in columns]
+    missed = known.join(listed.select(key), key, "left_anti").unionByName(tagged.filter("kind IS NULL"))
+    return met.unionByName(missed.select(key, "kind", *nothing))
 
 
 def lookup_by_id_kind(ids: DataFrame, sections: dict[str, DataFrame], name: str = "found") -> DataFrame:
@@ -103,6 +108,24 @@ def listed_ids(df: DataFrame, column: str, name: str = "id") -> DataFrame:
     return df.select(F.explode(F.split(F.col(column), ",")).alias(name))
 
 
+def listed_ranges(df: DataFrame, column: str, prefix: str = "GSM", chunk: int = 10_000, name: str = "id") -> DataFrame:
+    """One row per id of the comma-separated ids and ranges, in `chunk`s, so that no array holds a whole range."""
+    others = [c for c in df.columns if c != column]
+    number = lambda item: F.replace(item, F.lit(prefix), F.lit("")).cast("long")
+    items = df.select(*others, F.explode(F.split(F.col(column), ",")).alias("__item"))
+    ends = F.split("__item", ":")
+    ranges = items.filter(F.col("__item").contains(":")).select(
+        *others, number(ends[0]).alias("__low"), number(F.element_at(ends, -1)).alias("__high")
+    )
+    steps = ranges.filter("__low <= __high").withColumn(
+        "__from", F.explode(F.sequence(F.col("__low"), F.col("__high"), F.lit(chunk).cast("long")))
+    )
+    last = F.least(F.col("__from") + chunk - 1, F.col("__high"))
+    numbers = steps.select(*others, F.explode(F.sequence(F.col("__from"), last)).alias("__n"))
+    single = items.filter(~F.col("__item").contains(":")).select(*others, F.col("__item").alias(name))
+    return single.unionByName(numbers.select(*others, F.concat(F.lit(prefix), F.col("__n").cast("string")).alias(name)))
+
+
 def new_only(df: DataFrame, known: DataFrame, key: Names) -> DataFrame:
     """Rows whose id is not known yet."""
     keys = as_names(key)
@@ -174,3 +197,15 @@ def any_empty(children: DataFrame, present: DataFrame, group: Names, key: Names,
     have = present.select(*keys).distinct().withColumn("__have", F.lit(True))
     flagged = children.join(have, keys, "left")
     return flagged.groupBy(*as_names(group)).agg(F.bool_or(F.col("__have").isNull()).alias(name))
+
+
+def pending_by_group(
+    children: DataFrame, present: DataFrame, group: Names, key: Names, empty: str = "any_empty", pending: str = "pending"
+) -> DataFrame:
+    """Per series: does any sample lack its file, and how many do. One join and one aggregate."""
+    keys = as_names(key)
+    have = present.select(*keys).distinct().withColumn("__have", F.lit(True))
+    missing = F.col("__have").isNull()
+    return children.join(have, keys, "left").groupBy(*as_names(group)).agg(
+        F.bool_or(missing).alias(empty), F.count_if(missing).alias(pending)
+    )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.operators.positions import first_by_key, keep_last_by_key, ordered_parts
+from seqloom.operators.positions import dense, first_by_key, keep_last_by_key, ordered_parts, with_gaps
 from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, same, total
 
 
@@ -39,11 +39,12 @@ def upsert_first_wins(stored: DataFrame, incoming: DataFrame, key: Names) -> Dat
 
 
 def upsert_last_wins(stored: DataFrame, incoming: DataFrame, key: Names) -> DataFrame:
-    """Concatenate and keep the last row of each key."""
-    keys = as_names(key)
-    latest = keep_last_by_key(incoming, keys)
-    untouched = stored.join(latest.select(*keys), keys, "left_anti")
-    return untouched.unionByName(latest.withColumn(POS, F.col(POS) + next_pos(stored)))
+    """Concatenate and keep the last row of each key, the stored table's own repeats included.
+
+    Null is a key like any other here.
+    """
+    moved = incoming.withColumn(POS, F.col(POS) + next_pos(stored))
+    return keep_last_by_key(stored.unionByName(moved), key)
 
 
 def next_pos(df: DataFrame):
@@ -55,12 +56,12 @@ def remove_key(df: DataFrame, key: str, value: object, strict: bool = False) ->
     hit = F.col(key).eqNullSafe(F.lit(value))
     if strict and df.filter(hit).isEmpty():
         raise KeyError(value)
-    return df.filter(~hit)
+    return with_gaps(df.filter(~hit))
 
 
 def remove_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
     """Drop every pair whose key is listed."""
-    return df.join(keys, keys.columns, "left_anti")
+    return with_gaps(df.join(keys, keys.columns, "left_anti"))
 
 
 def lookup_value(
@@ -93,12 +94,14 @@ def count_value_of(pairs: DataFrame, value: object, name: str = "count") -> Data
 
 def pair_index_of_on(pairs: DataFrame, predicate: Selector, name: str = "index") -> DataFrame:
     """Position of the last pair that matches; pairs with a null value are skipped."""
+    pairs = dense(pairs)
     hit = if_true(pairs, predicate) & F.col("value").isNotNull()
     return pairs.agg(F.coalesce(F.max(F.when(hit, F.col(POS))), F.lit(-1)).alias(name))
 
 
 def pair_insert_at(pairs: DataFrame, index: int, key: object, value: object) -> DataFrame:
     """Insert one pair at `index`; a repeated key is allowed."""
+    pairs = dense(pairs)
     size = total(pairs)
     at = F.least(F.lit(index), size) if index >= 0 else F.greatest(F.lit(0), size + index)
     types = {f.name: f.dataType for f in pairs.schema.fields}
@@ -112,11 +115,12 @@ def pair_insert_at(pairs: DataFrame, index: int, key: object, value: object) ->
 def maps_by_group(df: DataFrame, by: Names, key: str, value: str, part_rows: int = 100_000) -> DataFrame:
     """One map per group from its pairs, first write of a key wins.
 
-    A group with more keys than `part_rows` gets several maps with disjoint keys.
+    A group past the bounds of `ordered_parts` gets several maps with disjoint keys.
     """
     groups = as_names(by)
     pairs = first_by_key(df.dropna(subset=[key]), [*groups, key])
-    parts = ordered_parts(pairs, groups, part_rows)
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in (key, value)), F.lit(0))
+    parts = ordered_parts(pairs, groups, part_rows, size)
     entries = F.array_sort(F.collect_list(F.struct(POS, F.col(key).alias("key"), F.col(value).alias("value"))))
     as_map = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], e["value"])))
     return parts.groupBy(*groups, "part").agg(as_map.alias("map"))

@@ -14,20 +14,17 @@ from pyspark.sql import types as T
 from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, same, total
 from seqloom.staging import stage
 
-# A group up to this many rows is numbered by one ordinary window.
-GROUP_LIMIT = 2_000_000
-# At most this many groups are ever called hot: bounds what is broadcast about them.
-MAX_HOT_GROUPS = 100_000
-# Buckets per sequence or group: bounds the rows of the per-bucket offset table.
-MAX_BUCKETS = 1 << 20
-MIN_BUCKET_ROWS = 4096
-# Keys with more than this many unused values per row are ordered by a sort instead.
-MAX_GAP = 64
+# Rows that one bucket of an order key is meant to hold; more rows make more buckets.
+BUCKET_ROWS = 1 << 20
+# Quantiles of the order key that bound the buckets: what the driver sees of it.
+QUANTILES = 32
 
+# A collected cell is closed after this many bytes.
+PART_BYTES = 64 << 20
 # Positions per bucket when group facts are attached to rows that are already numbered.
 POSITIONS_PER_BUCKET = 1 << 17
 
-_BUCKET, _FACT, _TAG, _RANK = "__bucket", "__fact", "__tag", "__rank"
+_BUCKET, _FACT, _TAG, _RANK, _WEIGHT = "__bucket", "__fact", "__tag", "__rank", "__weight"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -36,86 +33,85 @@ def with_pos(
     order: Names,
     by: Names = None,
     pos: str = POS,
-    group_limit: int = GROUP_LIMIT,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add the 0-based position of each row in `order`, over the frame or inside each group.
 
     `order` must be unique within the frame (or group); add a tie-break column otherwise.
-    Group sizes are measured first: small groups take one plain window, larger ones the
-    bucketed form, so one group holding a third of the rows is still spread over tasks.
+    One integer column is cut into buckets of about `bucket_rows` rows between its own
+    quantiles, whatever its gaps, and rows are numbered inside (group, bucket): one group
+    holding a third of the rows is spread like any other. Any other order takes one range
+    sort, written once.
     """
     keys, columns = as_names(by), as_names(order)
-    hot_rows = 0
-    if keys:
-        largest, rows = _group_sizes(df, keys)
-        if largest <= group_limit:
-            window = Window.partitionBy(*keys).orderBy(*columns)
-            return df.withColumn(pos, F.row_number().over(window).cast("long") - 1)
-        hot_rows = max(group_limit, rows // MAX_HOT_GROUPS)
     if len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, _INTEGRAL):
-        bucket = _bucket_of(df, columns[0])
-        if bucket is not None:
-            rows_in_buckets = _bucket_hot_groups(df, keys, bucket, hot_rows) if keys else df.withColumn(_BUCKET, bucket)
-            return _number_in_buckets(rows_in_buckets, keys, columns[0], pos)
+        return _number_in_buckets(df.withColumn(_BUCKET, _bucket_of(df, columns[0], bucket_rows)), keys, columns[0], pos)
     return _number_by_sort(df, keys, columns, pos)
 
 
-def compact(df: DataFrame, by: Names = None) -> DataFrame:
-    """Close the gaps that filters and merges leave in `_pos`."""
-    return with_pos(df.withColumnRenamed(POS, "__old"), "__old", by).drop("__old")
+def with_gaps(df: DataFrame) -> DataFrame:
+    """Note on `_pos` that rows were taken out, so that positional operators renumber first."""
+    return df.withMetadata(POS, {"gaps": True}) if POS in df.columns else df
 
 
-def largest_group(df: DataFrame, by: Names) -> int:
-    """Rows in the biggest group: map-side counts, one small shuffle, one number back."""
-    return _group_sizes(df, as_names(by))[0]
+def dense(df: DataFrame, by: Names = None) -> DataFrame:
+    """The sequence with positions 0, 1, 2, ...: renumbered only where an operator has noted gaps."""
+    return compact(df, by) if df.schema[POS].metadata.get("gaps") else df
 
 
-def _group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
-    """Rows in the biggest group, and in all."""
-    largest, rows = df.groupBy(*by).count().agg(F.max("count"), F.sum("count")).first()
-    return largest or 0, rows or 0
+def compact(df: DataFrame, by: Names = None) -> DataFrame:
+    """Close the gaps that filters and merges leave in `_pos`."""
+    old = df.withColumn("__old", F.col(POS)).drop(POS)
+    return with_pos(old, "__old", by).drop("__old").select(*df.columns)
 
 
-def _bucket_hot_groups(df: DataFrame, by: list[str], bucket: Column, hot_rows: int) -> DataFrame:
-    """Cut the groups above `hot_rows` into buckets; any other group stays whole in bucket -1.
+def _bucket_of(df: DataFrame, key: str, bucket_rows: int) -> Column:
+    """Buckets that rise with an integer key: quantile ranges, each cut evenly by value; nulls first.
 
-    At most MAX_HOT_GROUPS groups can be that large. Only hashes of their keys are
-    broadcast, eight bytes each; a small group that shares a hash is cut too, which does
-    not change its numbers.
+    One job reads the key once; the bounds are then literals, so every execution agrees.
     """
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > hot_rows).select(F.xxhash64(*by).alias("__hash"), F.lit(True).alias("__hot"))
-    marked = df.withColumn("__hash", F.xxhash64(*by)).join(F.broadcast(hot.distinct()), "__hash", "left")
-    return marked.withColumn(_BUCKET, F.when(F.col("__hot"), bucket).otherwise(F.lit(-1))).drop("__hash", "__hot")
-
-
-def _bucket_of(df: DataFrame, key: str) -> Column | None:
-    """Cut an integer key into equal ranges; None when its values are null or too sparse."""
-    low, high, rows, filled = df.agg(F.min(key), F.max(key), F.count(F.lit(1)), F.count(key)).first()
-    if rows == 0:
+    at = F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)])
+    value = F.col(key).cast("long")
+    low, high, rows, cuts = df.agg(
+        F.min(value), F.max(value), F.count(F.lit(1)), F.percentile_approx(value, at, F.lit(10_000))
+    ).first()
+    if low is None:
         return F.lit(0).cast("long")
-    if filled < rows:
-        return None
-    span = high - low + 1
-    if span > max(rows * MAX_GAP, MIN_BUCKET_ROWS):
-        return None
-    width = max(MIN_BUCKET_ROWS, -(-span // MAX_BUCKETS))
-    return F.expr(f"(CAST(`{key}` AS BIGINT) - {low}L) div {width}L")
-
-
-def _number_in_buckets(df: DataFrame, by: list[str], key: str, pos: str) -> DataFrame:
-    """Number rows inside (group, bucket) and add the rows of the buckets before."""
-    counts = df.filter(F.col(_BUCKET) >= 0).groupBy(*by, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    wanted = -(-rows // bucket_rows)
+    step = max(1, QUANTILES // wanted)
+    edges = sorted({low, *(cuts or [])[step - 1 :: step]} if wanted > 1 else {low})
+    each = max(1, -(-wanted // len(edges)))
+    ranges, first = [], 1
+    for start, end in zip(edges, [*edges[1:], high + 1], strict=True):
+        cells = min(each, end - start) if end - start < 1 << 62 else 1
+        width = -(-(end - start) // cells)
+        ranges.append((start, F.expr(f"{first}L + (CAST(`{key}` AS BIGINT) - {start}L) div {width}L") if cells > 1 else F.lit(first)))
+        first += cells
+
+    def pick(choices: list) -> Column:
+        if len(choices) == 1:
+            return choices[0][1].cast("long")
+        half = len(choices) // 2
+        return F.when(value < choices[half][0], pick(choices[:half])).otherwise(pick(choices[half:]))
+
+    return F.when(value.isNull(), F.lit(0).cast("long")).otherwise(pick(ranges))
+
+
+def _number_in_buckets(df: DataFrame, by: list[str], key: str, pos: str, weight: Column | None = None) -> DataFrame:
+    """Number rows inside (group, bucket) and add the rows of the buckets before; or add up `weight` instead."""
+    weighted = df if weight is None else df.withColumn(_WEIGHT, weight.cast("long"))
+    amount = F.count(F.lit(1)) if weight is None else F.sum(_WEIGHT)
+    counts = weighted.groupBy(*by, _BUCKET).agg(amount.alias("__n"))
     earlier = Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*by, _BUCKET, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_FACT))
-    ranked = _with_bucket_fact(df, starts, by, key, rank=True)
-    whole, rank = F.col(_FACT).isNull(), F.col(_RANK)
-    place = F.when(whole, rank - 1).otherwise(F.col(_FACT) + rank - 2)
-    return ranked.withColumn(pos, place).drop(_BUCKET, _FACT, _RANK)
+    ranked = _with_bucket_fact(weighted, starts, by, key, rank=True, weight=None if weight is None else _WEIGHT)
+    return ranked.withColumn(pos, F.col(_FACT) + F.col(_RANK)).drop(_BUCKET, _FACT, _RANK, _WEIGHT)
 
 
-def _with_bucket_fact(df: DataFrame, facts: DataFrame, by: list[str], key: str, rank: bool = False) -> DataFrame:
-    """Attach the fact of its (group, bucket) to every row, and its 1-based rank in the bucket.
+def _with_bucket_fact(
+    df: DataFrame, facts: DataFrame, by: list[str], key: str, rank: bool = False, weight: str | None = None
+) -> DataFrame:
+    """Attach the fact of its (group, bucket) to every row, and the rows (or weight) before it in the bucket.
 
     The fact arrives as one marker row that sorts ahead of the bucket's data rows, so one
     shuffle and one sort do the work of a join, and null group keys match. With groups the
@@ -131,7 +127,9 @@ def _with_bucket_fact(df: DataFrame, facts: DataFrame, by: list[str], key: str,
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     columns = {"__fact_of_bucket": F.first(_FACT).over(running)}
     if rank:
-        columns[_RANK] = F.row_number().over(window).cast("long")
+        before = window.rowsBetween(Window.unboundedPreceding, -1)
+        ahead = F.row_number().over(window).cast("long") - 2 if weight is None else F.sum(weight).over(before)
+        columns[_RANK] = F.coalesce(ahead, F.lit(0))
     return (
         both.withColumns(columns)
         .filter(F.col(_TAG) == 1)
@@ -181,19 +179,22 @@ def with_size(df: DataFrame, by: Names, name: str) -> DataFrame:
     return _with_bucket_fact(bucketed, sizes, keys, POS).withColumnRenamed(_FACT, name).drop(_BUCKET)
 
 
-def ordered_parts(df: DataFrame, by: Names, part_rows: int, name: str = "part", dense: bool = False) -> DataFrame:
-    """Number bounded runs of consecutive rows, so a group of any size can be collected.
+def ordered_parts(
+    df: DataFrame, by: Names, part_rows: int, size: Column | None = None, name: str = "part", bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """Number bounded runs of consecutive rows, so that a group of any size can be collected.
 
-    A group of up to `part_rows` rows is one part numbered 0. `dense` says that positions
-    already count 0, 1, 2, ... inside each group; those of a whole frame always do.
+    A row counts as one unit for every `PART_BYTES / part_rows` bytes of `size` it begins,
+    one at least, and `part_rows` units close a part: no part holds more rows or, but for
+    its last row, more bytes. Parts rise from 0 in order; a group within both is part 0
+    alone. The rule is the same for groups of any size.
     """
     keys = as_names(by)
-    if dense or not keys:
-        return df.withColumn(name, F.expr(f"`{POS}` div {part_rows}L"))
-    if largest_group(df, keys) <= part_rows:
-        return df.withColumn(name, F.lit(0).cast("long"))
-    numbered = with_pos(df, POS, keys, pos="__in_group")
-    return numbered.withColumn(name, F.expr(f"__in_group div {part_rows}L")).drop("__in_group")
+    each = max(1, PART_BYTES // part_rows)
+    units = F.lit(1) if size is None else F.greatest(F.lit(1), F.ceil(F.coalesce(size, F.lit(0)) / each))
+    bucketed = df.withColumn(_BUCKET, _bucket_of(df, POS, bucket_rows))
+    cumulated = _number_in_buckets(bucketed, keys, POS, "__before", units)
+    return cumulated.withColumn(name, F.expr(f"__before div {part_rows}L")).drop("__before")
 
 
 # --- reading by position -------------------------------------------------------------
@@ -201,6 +202,7 @@ def ordered_parts(df: DataFrame, by: Names, part_rows: int, name: str = "part",
 
 def element_at(df: DataFrame, index: int, by: Names = None) -> DataFrame:
     """The row at `index`; no row when out of range; negative counts from the end."""
+    df = dense(df, by)
     if index >= 0:
         return df.filter(F.col(POS) == index)
     sized = with_size(df, by, "__size")
@@ -218,6 +220,7 @@ def index_of(
     name: str = "index",
 ) -> DataFrame:
     """Position of the first (or last) row equal to `value` in [start, end); -1 if absent."""
+    df = dense(df, by)
     hit = same(F.col(column), value) & (F.col(POS) >= start)
     if end is not None:
         hit = hit & (F.col(POS) < end)
@@ -227,6 +230,7 @@ def index_of(
 
 def index_of_on(df: DataFrame, predicate: Selector, by: Names = None, name: str = "index") -> DataFrame:
     """Position of the last row that satisfies the predicate; -1 if none does."""
+    df = dense(df, by)
     hit = if_true(df, predicate)
     return grouped(df, by, F.coalesce(F.max(F.when(hit, F.col(POS))), F.lit(-1)).cast("long").alias(name))
 
@@ -244,6 +248,7 @@ def last_index_of(
 
     `start` and `end` count from the back, as the result does.
     """
+    df = dense(df, by)
     keys, equal = as_names(by), same(F.col(column), value)
     if start == 0 and end is None:
         back = F.count(F.lit(1)) - 1 - F.max(F.when(equal, F.col(POS)))
@@ -266,6 +271,7 @@ def insert_at(df: DataFrame, index: int, batch: DataFrame) -> DataFrame:
     earlier, so they come out reversed; counted from the end they keep their order. Where
     the index lies outside, rows are clamped to the edge until the sequence is long enough.
     """
+    df, batch = dense(df), dense(batch)
     size, added, nth = total(df), total(batch), F.col(POS)
     reversed_place = added - 1 - nth
     if index >= 0:
@@ -283,6 +289,7 @@ def remove_at(df: DataFrame, index: int, strict: bool = False) -> DataFrame:
 
     An index out of range changes nothing, or raises when strict.
     """
+    df = dense(df)
     if strict and element_at(df, index).isEmpty():
         raise IndexError(index)
     at = F.lit(index) if index >= 0 else total(df) + index
@@ -293,7 +300,7 @@ def remove_at(df: DataFrame, index: int, strict: bool = False) -> DataFrame:
 
 def remove_range(df: DataFrame, start: int = 0, end: int | None = None) -> DataFrame:
     """Drop positions start..end, both included; `end` defaults to the last position."""
-    start = max(start, 0)
+    df, start = dense(df), max(start, 0)
     if end is None:
         return df.filter(F.col(POS) < start)
     width = max(end - start + 1, 0)
@@ -302,7 +309,8 @@ def remove_range(df: DataFrame, start: int = 0, end: int | None = None) -> DataF
 
 
 def reverse(df: DataFrame, by: Names = None) -> DataFrame:
-    """Reverse the sequence by renumbering; nothing is sorted."""
+    """Reverse the sequence by renumbering; a sequence without gaps is not sorted."""
+    df = dense(df, by)
     if not as_names(by):
         return df.withColumn(POS, total(df) - 1 - F.col(POS))
     return with_size(df, by, "__size").withColumn(POS, F.col("__size") - 1 - F.col(POS)).drop("__size")
@@ -316,7 +324,7 @@ def balanced_split(df: DataFrame, k: int, by: Names = None, name: str = "chunk")
 
     Same numbers as `ntile(k) - 1`, without bringing the sequence to one task.
     """
-    sized = with_size(df, by, "__size").withColumns(
+    sized = with_size(dense(df, by), by, "__size").withColumns(
         {"__q": F.expr(f"__size div {k}L"), "__big": F.expr(f"(__size % {k}L) * (__size div {k}L + 1)")}
     )
     chunk = F.expr(
@@ -328,7 +336,7 @@ def balanced_split(df: DataFrame, k: int, by: Names = None, name: str = "chunk")
 
 def fixed_chunks(df: DataFrame, k: int, by: Names = None, name: str = "chunk") -> DataFrame:
     """Cut into chunks of ceil(n / k) rows; the last takes the rest."""
-    sized = with_size(df, by, "__size")
+    sized = with_size(dense(df, by), by, "__size")
     chunk = F.expr(f"{POS} div ((__size + least({k}L, __size) - 1) div least({k}L, __size))")
     return sized.withColumn(name, chunk).drop("__size")
 
@@ -346,15 +354,15 @@ def tag_of(index: Column) -> Column:
 def first_by_key(df: DataFrame, key: Names, order: Names = POS) -> DataFrame:
     """Keep each key's earliest row. A map-side group limit keeps hot keys small."""
     window = Window.partitionBy(*as_names(key)).orderBy(*as_names(order))
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK).transform(with_gaps)
 
 
 def keep_last_by_key(df: DataFrame, key: Names, order: Names = POS) -> DataFrame:
     """Keep each key's latest row."""
     window = Window.partitionBy(*as_names(key)).orderBy(*[F.col(c).desc() for c in as_names(order)])
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK).transform(with_gaps)
 
 
-def occurrence(df: DataFrame, column: str, name: str, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def occurrence(df: DataFrame, column: str, name: str) -> DataFrame:
     """0-based count of equal values earlier in the sequence."""
-    return with_pos(df, POS, column, pos=name, group_limit=group_limit)
+    return with_pos(df, POS, column, pos=name)

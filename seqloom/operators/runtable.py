@@ -119,7 +119,7 @@ def assign_reads(table: DataFrame) -> DataFrame:
 
     fastq: two files are R1, R2 in order; three or four take the read named in the file
     name; any other count, or a name without a read, is rejected. Non-fastq runs get
-    Unknown. A run is fastq when its first file is.
+    Unknown. A run is fastq when its first file is. A file without a run id is a reject.
     """
     facts = table.groupBy("run_id").agg(
         F.min_by("filetype", POS).alias("__type"), F.count(F.lit(1)).alias("__files"), F.min(POS).alias("__first")
@@ -131,7 +131,7 @@ def assign_reads(table: DataFrame) -> DataFrame:
         .when(F.col("__files") == 2, F.when(F.col(POS) == F.col("__first"), "R1").otherwise("R2"))
         .when(F.col("__files").between(3, 4), named)
     )
-    return table.join(facts, "run_id").withColumn("read", read).drop("__type", "__files", "__first")
+    return table.join(facts.filter("run_id IS NOT NULL"), "run_id", "left").withColumn("read", read).drop("__type", "__files", "__first")
 
 
 def rebuild_names(table: DataFrame) -> DataFrame:
@@ -173,20 +173,31 @@ def work_steps(table: DataFrame, finished: DataFrame, key: Names, workers: int)
 
 
 def work_manifest(steps: DataFrame, part_rows: int = 100_000) -> DataFrame:
-    """The ordered text of each worker, one line per known step; long texts come in parts."""
+    """The ordered text of each worker, one line per known step; long texts come in parts of whole runs.
+
+    A run's few lines are joined first. Runs are numbered already, so nothing is numbered or
+    stored again. `part_rows` bounds the runs of a part.
+    """
     line = F.concat_ws(" ", "action", "source", "raw_name", "target_name")
     lines = steps.filter("known").select("worker", "run_pos", F.col(POS).alias("file_pos"), line.alias("line"))
-    ordered = with_pos(lines, ["run_pos", "file_pos"], "worker")
-    return join_strings(ordered, "line", "\n", "worker", part_rows, name="script", dense=True)
+    text = F.expr("listagg(line, '\n') WITHIN GROUP (ORDER BY file_pos)")
+    per_run = lines.groupBy("worker", F.col("run_pos").alias(POS)).agg(text.alias("text"))
+    return join_strings(per_run, "text", "\n", "worker", part_rows, name="script")
 
 
 def count_steps(samples: DataFrame, runs: DataFrame, genomes: DataFrame, workers: int) -> DataFrame:
     """One counting step per pending sample: file kind of its first run, reference path, worker.
 
     `samples` has gsm_id, species and `_pos`; `runs` has gsm_id, filetype and `_pos`;
-    `genomes` has species and path. Samples without runs or with an unknown kind have no step.
+    `genomes` has species and path. A sample without runs or with an unknown kind is a
+    reject: `known` is false, and it has no worker and no position among the steps.
     """
     kinds = runs.groupBy("gsm_id").agg(F.min_by("filetype", POS).alias("filetype"))
-    usable = samples.join(kinds.filter(F.col("filetype").isin("fastq", "bam")), "gsm_id")
-    cut = balanced_split(with_pos(usable.withColumnRenamed(POS, "__seen"), "__seen"), workers, name="worker")
-    return cut.join(genomes, "species", "left").drop("__seen")
+    found = samples.join(kinds, "gsm_id", "left")
+    known = F.coalesce(F.col("filetype").isin("fastq", "bam"), F.lit(False))
+    marked = found.withColumn("known", known)
+    numbered = with_pos(marked.filter("known").withColumnRenamed(POS, "__seen"), "__seen")
+    cut = balanced_split(numbered, workers, name="worker").drop("__seen")
+    none = {POS: F.lit(None).cast("long"), "worker": F.lit(None).cast("long")}
+    rejects = marked.filter("NOT known").drop(POS).withColumns(none)
+    return cut.unionByName(rejects).join(genomes, "species", "left")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from seqloom.operators.positions import dense, first_by_key, with_gaps
 from seqloom.selectors import POS, Names, Selector, as_column, as_names, if_true, unless_false
 
 
@@ -19,22 +20,22 @@ def select(df: DataFrame, **outputs: Selector) -> DataFrame:
 
 def set_indexed(df: DataFrame, column: str, fn: Callable[[Column, Column], Column]) -> DataFrame:
     """Replace a column by a function of its value and the element's position."""
-    return df.withColumn(column, fn(F.col(column), F.col(POS)))
+    return dense(df).withColumn(column, fn(F.col(column), F.col(POS)))
 
 
 def where(df: DataFrame, predicate: Selector) -> DataFrame:
     """Drop the elements for which the predicate is false; a null predicate keeps the element."""
-    return df.filter(unless_false(df, predicate))
+    return with_gaps(df.filter(unless_false(df, predicate)))
 
 
 def remove_on(df: DataFrame, predicate: Selector) -> DataFrame:
     """Drop the elements for which the predicate is true."""
-    return df.filter(~if_true(df, predicate))
+    return with_gaps(df.filter(~if_true(df, predicate)))
 
 
 def not_none(df: DataFrame, *columns: str) -> DataFrame:
     """Drop elements in which any of the given columns is null."""
-    return df.dropna(subset=list(columns))
+    return with_gaps(df.dropna(subset=list(columns)))
 
 
 def project(df: DataFrame, columns: Names) -> DataFrame:
@@ -55,9 +56,14 @@ def exists(df: DataFrame, column: str, value: object) -> bool:
 
 
 def search_many(df: DataFrame, column: str, ids: DataFrame, name: str = "found") -> DataFrame:
-    """`exists`/`search` for a whole frame of ids: each id with its row, or nulls and false."""
+    """`exists`/`search` for a whole frame of ids: each id with its first row, or nulls and false.
+
+    First is by `_pos` where the table has one; any one row of a repeated id is taken else.
+    """
     key = ids.columns[0]
-    hits = df.withColumnRenamed(column, key).withColumn(name, F.lit(True))
+    records = df.withColumnRenamed(column, key)
+    once = first_by_key(records, key) if POS in df.columns else records.dropDuplicates([key])
+    hits = once.withColumn(name, F.lit(True))
     return ids.join(hits, key, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 

@@ -11,6 +11,8 @@ from seqloom.operators import catalog, sequence
 from seqloom.plans import inputs
 from seqloom.plans.inputs import FILE_KIND, FINISHED, RUN_FILES, RUNS, SAMPLES, SERIES, SIZE_GB
 from seqloom.plans.registry import query
+from seqloom.sources import listing
+from seqloom.staging import new_path
 
 # --- hierarchy -----------------------------------------------------------------------
 
@@ -87,13 +89,16 @@ def _asked(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {_BRIDGE}, {_ASKED}, hits AS (SELECT id, SRR, GSM, GSE FROM asked LEFT JOIN bridge ON id = SRR
         WHERE id LIKE 'SRR%'
       UNION ALL SELECT id, SRR, GSM, GSE FROM asked LEFT JOIN bridge ON id = GSM WHERE id LIKE 'GSM%'
-      UNION ALL SELECT id, SRR, GSM, GSE FROM asked LEFT JOIN bridge ON id = GSE WHERE id LIKE 'GSE%')
-    SELECT id, coalesce(SRR, '') AS run, coalesce(GSM, '') AS sample, coalesce(GSE, '') AS series FROM hits""",
+      UNION ALL SELECT id, SRR, GSM, GSE FROM asked LEFT JOIN bridge ON id = GSE WHERE id LIKE 'GSE%'
+      UNION ALL SELECT id, NULL, NULL, NULL FROM asked WHERE id LIKE 'PRJ%')
+    SELECT id, CASE WHEN id LIKE 'PRJ%' THEN 'unknown' ELSE left(id, 3) END AS kind, coalesce(SRR, '') AS run,
+      coalesce(GSM, '') AS sample, coalesce(GSE, '') AS series FROM hits""",
 )
 def join_bridge_ids(spark: SparkSession, sf: str) -> DataFrame:
     found = catalog.bridge_ids(_asked(spark, sf), _bridge(spark, sf))
     text = lambda name, to: F.coalesce(F.col(name), F.lit("")).alias(to)
-    return found.select("id", text("SRR", "run"), text("GSM", "sample"), text("GSE", "series"))
+    kind = F.coalesce("kind", F.lit("unknown")).alias("kind")
+    return found.select("id", kind, text("SRR", "run"), text("GSM", "sample"), text("GSE", "series"))
 
 
 @query(
@@ -215,13 +220,25 @@ def anti_new_only(spark: SparkSession, sf: str) -> DataFrame:
 # --- pending work --------------------------------------------------------------------
 
 
+def _written(spark: SparkSession, ids: DataFrame, column: str, label: str) -> DataFrame:
+    """Write one result file into a folder per id and list what is there: the ids with a result."""
+    root = new_path(spark, label)
+    results = ids.select(F.col(column).cast("string").alias("name"), F.lit("done").alias("value")).distinct()
+    results.repartition(1).write.partitionBy("name").text(root)
+    found = listing.dumped_ids(listing.file_listing(spark, root), "/name=([^/]+)/", extensions=(".txt",))
+    return found.select(F.col("id").alias(column))
+
+
 @query(
     "anti_pending_dump",
-    f"WITH {RUNS}, {FINISHED} SELECT run_id, gsm_id FROM runs WHERE run_id NOT IN (SELECT run_id FROM finished)",
+    f"""WITH {RUNS}, done AS (SELECT 'SRR' || o_orderkey AS run_id FROM orders WHERE o_totalprice > 480000)
+    SELECT run_id, gsm_id FROM runs WHERE run_id NOT IN (SELECT run_id FROM done)""",
 )
 def anti_pending_dump(spark: SparkSession, sf: str) -> DataFrame:
     expected = inputs.runs(spark, sf).select("run_id", "gsm_id")
-    return catalog.pending_dump(expected, inputs.finished_runs(spark, sf), "run_id")
+    done = inputs.table(spark, sf, "orders").filter("o_totalprice > 480000")
+    present = _written(spark, done.selectExpr("concat('SRR', o_orderkey) AS run_id"), "run_id", "dumped")
+    return catalog.pending_dump(expected, present, "run_id")
 
 
 @query(
@@ -233,12 +250,14 @@ def anti_pending_dump(spark: SparkSession, sf: str) -> DataFrame:
     WHERE c_custkey IN (SELECT o_custkey FROM present) AND c_custkey NOT IN (SELECT o_custkey FROM finished)""",
 )
 def pending_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Finished means that the result file is there."""
     orders = inputs.table(spark, sf, "orders")
     samples = inputs.table(spark, sf, "customer").selectExpr("c_custkey AS o_custkey")
+    done = _written(spark, orders.filter("o_totalprice > 490000"), "o_custkey", "outs")
     return catalog.pending_count(
         samples,
         present=orders,
-        finished=orders.filter("o_totalprice > 490000"),
+        finished=done.select(F.col("o_custkey").cast("long")),
         started=orders.filter("o_totalprice > 400000"),
         key="o_custkey",
     )
@@ -252,13 +271,22 @@ def pending_count(spark: SparkSession, sf: str) -> DataFrame:
 )
 def pending_by_group(spark: SparkSession, sf: str) -> DataFrame:
     samples = inputs.table(spark, sf, "customer").selectExpr("c_custkey AS sample", "c_nationkey")
-    orders = inputs.table(spark, sf, "orders").filter("o_totalprice > 490000")
-    results = orders.selectExpr("o_custkey AS sample")
-    flags = catalog.any_empty(samples, results, "c_nationkey", "sample")
-    waiting = catalog.pending_samples(samples, results, "sample")
-    counts = agg.length(samples.join(waiting, "sample"), by="c_nationkey", name="pending")
-    joined = flags.join(counts, "c_nationkey", "left")
-    return joined.withColumn("pending", F.coalesce("pending", F.lit(0)))
+    done = inputs.table(spark, sf, "orders").filter("o_totalprice > 490000").selectExpr("o_custkey AS sample")
+    present = _written(spark, done, "sample", "results").select(F.col("sample").cast("long"))
+    return catalog.pending_by_group(samples, present, "c_nationkey", "sample")
+
+
+@query(
+    "listed_ids",
+    """SELECT n_nationkey, 'GSM' || i AS id FROM nation, range(0, 30000) AS t(i)
+    WHERE i BETWEEN n_nationkey * 10 AND n_nationkey * 1000 UNION ALL SELECT n_nationkey, 'GSM99999' FROM nation""",
+)
+def listed_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Id ranges of any length, a row per id."""
+    asked = inputs.table(spark, sf, "nation").selectExpr(
+        "n_nationkey", "concat('GSM', n_nationkey * 10, ':GSM', n_nationkey * 1000, ',GSM99999') AS ids"
+    )
+    return catalog.listed_ranges(asked, "ids", chunk=1000)
 
 
 @query(

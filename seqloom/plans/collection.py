@@ -303,15 +303,20 @@ def expand_children(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "location_pick",
-    f"""WITH {inputs.RUN_TABLE}, choice AS (SELECT run_id, CASE WHEN arg_min(filetype, _pos) = 'fastq'
+    f"""WITH {inputs.RUN_TABLE}, known AS (SELECT * REPLACE (CASE WHEN _pos % 101 = 0 THEN NULL ELSE run_id END AS run_id)
+        FROM run_table),
+      choice AS (SELECT run_id, CASE WHEN arg_min(filetype, _pos) = 'fastq'
         THEN arg_min(location, _pos) ELSE arg_min(location, _pos) FILTER (egress = 'worldwide') END AS pick
-      FROM run_table GROUP BY run_id)
-    SELECT r.run_id, r._pos, r.location, coalesce(pick, 'rejected') AS picked FROM run_table r JOIN choice c
-      ON r.run_id = c.run_id AND (r.location = c.pick OR c.pick IS NULL)""",
+      FROM known WHERE run_id IS NOT NULL GROUP BY run_id)
+    SELECT coalesce(r.run_id, 'none') AS run_id, r._pos, r.location, coalesce(pick, 'rejected') AS picked
+    FROM known r LEFT JOIN choice c ON r.run_id = c.run_id WHERE r.location = c.pick OR c.pick IS NULL""",
 )
 def location_pick(spark: SparkSession, sf: str) -> DataFrame:
-    rows = agg.location_pick(inputs.run_table(spark, sf))
-    return rows.select("run_id", POS, "location", F.coalesce("picked", F.lit("rejected")).alias("picked"))
+    """Some rows have lost their run id."""
+    run = F.when(F.col(POS) % 101 != 0, F.col("run_id"))
+    rows = agg.location_pick(inputs.run_table(spark, sf).withColumn("run_id", run))
+    known = lambda name, value: F.coalesce(name, F.lit(value)).alias(name)
+    return rows.select(known("run_id", "none"), POS, "location", known("picked", "rejected"))
 
 
 # --- sorts ---------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,10 +18,16 @@ from seqloom.streaming import ingest
 # --- generated and text sequences ----------------------------------------------------
 
 
-@query("src_range", "SELECT i AS _pos, i * 3 + 1 AS value FROM range((SELECT count(*) FROM orders)) AS t(i)")
+@query(
+    "src_range",
+    """SELECT l_orderkey, l_linenumber, i AS _pos, i * 3 + 1 AS value
+    FROM lineitem, range(50) AS t(i) WHERE i < l_quantity AND l_linenumber = 1""",
+)
 def src_range(spark: SparkSession, sf: str) -> DataFrame:
-    n = inputs.table(spark, sf, "orders").count()
-    return documents.sequence_of(spark, n, "id * 3 + 1")
+    """A generated sequence for every first line, as long as its quantity."""
+    lines = inputs.table(spark, sf, "lineitem").filter("l_linenumber = 1")
+    lengths = lines.selectExpr("l_orderkey", "l_linenumber", "CAST(l_quantity AS BIGINT) AS n")
+    return documents.sequences_of(lengths, "n", f"{POS} * 3 + 1")
 
 
 @query(
@@ -97,23 +103,23 @@ def src_tsv_checked_header(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "sink_tsv",
-    f"""WITH {RUN_TABLE} SELECT dumped_filepath, run_id, coalesce(lane_id, 'none') AS lane_id,
-    coalesce(nullif(read_type, ''), 'none') AS read_type, CAST(_pos % 8 AS INTEGER) AS replicate FROM run_table""",
+    f"""WITH {RUN_TABLE} SELECT dumped_filepath, run_id, lane_id, read_type, CAST(_pos % 8 AS INTEGER) AS replicate,
+      'a' || chr(10) || '\\n' || chr(9) || '"' || run_id || ' \\' AS spieces FROM run_table""",
 )
 def sink_tsv(spark: SparkSession, sf: str) -> DataFrame:
+    """Nulls, empty cells, and cells with line ends, tabs, quotes and backslashes."""
     path = new_path(spark, "runtable")
     table = inputs.run_table(spark, sf).withColumns(
         {
             "raw_filename": F.col("dumped_filename"),
             "sample_id": F.lit("1"),
-            "spieces": F.lit("none"),
+            "spieces": F.concat(F.lit('a\n\\n\t"'), F.col("run_id"), F.lit(" \\")),
             "replicate": (F.col(POS) % 8).cast("int"),
         }
     )
     tsv.write_tsv(table.select(*tsv.RUN_TABLE.names), path)
     back = tsv.read_tsv(spark, path, tsv.RUN_TABLE)
-    known = lambda name: F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit("none")).alias(name)
-    return back.select("dumped_filepath", "run_id", known("lane_id"), known("read_type"), "replicate")
+    return back.select("dumped_filepath", "run_id", "lane_id", "read_type", "replicate", "spieces")
 
 
 # --- nested store --------------------------------------------------------------------
@@ -234,16 +240,20 @@ def sink_json_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "src_run_xml",
-    f"""WITH {RUN_TABLE} SELECT run_id, gsm_id, 'Homo sapiens' AS organism,
+    f"""WITH {RUN_TABLE}, listed AS (SELECT *, CAST(substr(run_id, 4) AS BIGINT) AS o FROM run_table)
+    SELECT run_id, gsm_id, 'Homo sapiens' AS organism, true AS found,
       CAST(2 * (_pos - o * 8) AS INTEGER) AS place, cloud_filepath AS path,
       CASE WHEN cloud_filepath LIKE '%.fastq%' THEN 'fastq' ELSE 'bam' END AS filetype,
       (o * 1000 + 512) / 1073741824.0::DOUBLE AS size_gb,
       CASE WHEN filetype = 'bam' THEN 'Unknown' WHEN regexp_extract(cloud_filepath, '_([RI][12])', 1) = ''
         THEN 'Unknown' ELSE regexp_extract(cloud_filepath, '_([RI][12])', 1) END AS read_type
-    FROM (SELECT *, CAST(substr(run_id, 4) AS BIGINT) AS o FROM run_table)""",
+    FROM listed WHERE o % 17 <> 0 AND o % 19 <> 0
+    UNION ALL SELECT 'SRR' || o_orderkey, CASE WHEN o_orderkey % 17 <> 0 THEN 'GSM' || o_custkey END,
+      CASE WHEN o_orderkey % 17 <> 0 THEN 'Homo sapiens' END, false, NULL, NULL, NULL, NULL, NULL
+    FROM orders WHERE o_orderkey % 17 = 0 OR o_orderkey % 19 = 0""",
 )
 def src_run_xml(spark: SparkSession, sf: str) -> DataFrame:
-    """Run documents with every original file followed by a derived one."""
+    """Run documents: two runs of two members, every original file followed by a derived one; some without files, some broken."""
     files = F.expr(
         f"""array_join(transform(sequence(0L, {inputs.N_FILES} - 1), j -> concat(
         '<SRAFile supertype="Original" size="', o_orderkey * 1000 + 512, '"><Alternatives url="',
@@ -252,61 +262,81 @@ def src_run_xml(spark: SparkSession, sf: str) -> DataFrame:
     )
     head = F.expr(
         """concat('<RUN_SET><RUN accession="SRR', o_orderkey, '"><Pool><Member sample_name="GSM', o_custkey,
-        '" organism="Homo sapiens"/></Pool><SRAFiles>')"""
+        '" organism="Homo sapiens"/><Member sample_name="second" organism="other"/></Pool><SRAFiles>')"""
     )
+    second = (
+        '</SRAFiles></RUN><RUN accession="x"><Pool><Member sample_name="other" organism="other"/></Pool><SRAFiles>'
+        '<SRAFile supertype="Original" size="1"><Alternatives url="late.bam"/></SRAFile></SRAFiles></RUN></RUN_SET>'
+    )
+    given = F.when(F.col("o_orderkey") % 19 == 0, F.lit("")).otherwise(files)
+    whole = F.concat(head, given, F.lit(second))
     texts = inputs.table(spark, sf, "orders").select(
         F.expr("concat('SRR', o_orderkey) AS run_id"),
-        F.concat(head, files, F.lit("</SRAFiles></RUN></RUN_SET>")).alias("xml"),
+        F.when(F.col("o_orderkey") % 17 == 0, F.lit("<RUN_SET><RUN>cut off")).otherwise(whole).alias("xml"),
     )
     return markup.run_files_from_xml(texts, "xml")
 
 
 @query(
-    "src_html_rows",
+    "src_html_list",
     r"""WITH items AS (SELECT page_id, html, regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1) AS li FROM pages),
       rows AS (SELECT page_id, html, CAST(unnest(range(len(li))) AS INTEGER) AS row, unnest(li) AS item FROM items)
     SELECT page_id, row, trim(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g'))
       AS heading, regexp_extract(item, '<a href="([^"]*)"', 1) AS link,
       trim(regexp_replace(item, '<[^>]*>', '', 'g')) AS text FROM rows""",
 )
-def src_html_rows(spark: SparkSession, sf: str) -> DataFrame:
+def src_html_list(spark: SparkSession, sf: str) -> DataFrame:
     return markup.list_rows_from_html(inputs.table(spark, sf, "pages").select("page_id", "html"), "html")
 
 
-@query(
-    "src_html_table",
-    f"""WITH {RUN_TABLE}, files AS (SELECT *, CAST(substr(run_id, 4) AS BIGINT) AS o FROM run_table)
+_HTML_FILES = f"""WITH {RUN_TABLE}, files AS (SELECT *, CAST(substr(run_id, 4) AS BIGINT) AS o FROM run_table)
     SELECT run_id, gsm_id, 'Homosapiens' AS species, CAST(_pos - o * 8 + 1 AS INTEGER) AS row, cloud_filepath AS name,
-      CAST(o AS VARCHAR) || 'M' AS size, location, egress FROM files""",
-)
-def src_html_table(spark: SparkSession, sf: str) -> DataFrame:
+      CAST(o AS VARCHAR) || 'M' AS size, location, egress FROM files"""
+_CELLS = ("Name", "Size", "Location", "Free Egress")
+
+
+def _run_pages(spark: SparkSession, sf: str, before: str = "") -> DataFrame:
     """Run pages: a heading, a table with a header, one row per file and one short row to skip."""
     rows = F.expr(
         f"""array_join(transform(sequence(0L, {inputs.N_FILES} - 1), j -> concat('<tr><td>',
         {inputs.RUN_COLUMNS["cloud_filepath"]}, '</td><td>', o_orderkey, 'M</td><td>', {inputs.RUN_COLUMNS["location"]},
         '</td>\n<td class="e"> ', {inputs.RUN_COLUMNS["egress"]}, ' </td></tr>')), '')"""
     )
-    head = F.expr(
-        """concat('<h1>GSM', o_custkey, ': a run; Homo sapiens; x (SRR', o_orderkey, ')</h1><table><thead><tr>',
-        '<th>Name</th><th>Size</th><th>Location</th><th>Free Egress</th></tr></thead><tbody>')"""
-    )
-    pages = inputs.table(spark, sf, "orders").select(
-        F.concat(head, rows, F.lit("<tr><td>no</td></tr></tbody></table>")).alias("html")
-    )
-    found = markup.heading_fields(markup.table_rows_from_html(pages, "html"))
-    cell = lambda header, name: F.element_at("cells", header).alias(name)
-    return found.select(
-        "run_id",
-        "gsm_id",
-        "species",
-        "row",
-        cell("Name", "name"),
-        cell("Size", "size"),
-        cell("Location", "location"),
-        cell("Free Egress", "egress"),
+    heading = F.expr("concat('<h1>GSM', o_custkey, ': a run; Homo sapiens; x (SRR', o_orderkey, ')</h1>')")
+    head = "<table><thead><tr><th>Name</th><th>Size</th><th>Location</th><th>Free Egress</th></tr></thead><tbody>"
+    table = F.concat(F.lit(head), rows, F.lit("<tr><td>no</td></tr></tbody></table>"))
+    return inputs.table(spark, sf, "orders").select(
+        "o_orderkey", heading.alias("heading"), F.concat(heading, F.lit(before), table).alias("html")
     )
 
 
+def _cells(found: DataFrame, *more: str) -> DataFrame:
+    names = dict(zip(_CELLS, ("name", "size", "location", "egress"), strict=True))
+    return found.select("run_id", "gsm_id", "species", "row", *more, *[F.element_at("cells", h).alias(n) for h, n in names.items()])
+
+
+@query("src_html_table", _HTML_FILES)
+def src_html_table(spark: SparkSession, sf: str) -> DataFrame:
+    pages = _run_pages(spark, sf).select("html")
+    return _cells(markup.heading_fields(markup.table_rows_from_html(pages, "html")))
+
+
+@query(
+    "src_html_rows",
+    f"""SELECT run_id, gsm_id, species, row, 1 AS "table", name, size, location, egress FROM ({_HTML_FILES})
+      WHERE CAST(substr(run_id, 4) AS BIGINT) % 23 <> 0
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 23 = 0""",
+)
+def src_html_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with a table of locations before the table of files; some without tables and with a broken heading."""
+    places = "<table><tr><th>Place</th><th>Cost</th></tr><tr><td>s3</td><td>0</td></tr></table>"
+    pages = _run_pages(spark, sf, places)
+    empty = F.col("o_orderkey") % 23 == 0
+    html = F.when(empty, F.lit("<h1>GSM1: only</h1><p>no files</p>")).otherwise(F.col("html"))
+    found = markup.heading_fields(markup.table_rows_from_html(pages.select(html.alias("html")), "html"))
+    return _cells(found.filter("table IS NULL OR table = 1"), "table")
+
+
 # --- listing -------------------------------------------------------------------------
 
 
@@ -336,10 +366,17 @@ def stream_upsert_first_wins(spark: SparkSession, sf: str) -> DataFrame:
             T.StructField("event_type", T.StringType()),
         ]
     )
-    path = new_path(spark, "ingested")
-    events = ingest.file_stream(spark, f"{sf}/events.parquet", schema)
-    ingest.start_ingest(events, path, new_path(spark, "progress"), "user_id", "event_id").awaitTermination()
-    return ingest.read_ingested(spark, path, schema).drop(ingest.BATCH)
+    path, folder = new_path(spark, "ingested"), new_path(spark, "arriving")
+    events = inputs.table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    # four files of rising event ids, so that arrival follows the order column
+    placed = events.withColumn("file", F.ntile(4).over(Window.orderBy("event_id")))
+    for number in range(1, 5):
+        placed.filter(F.col("file") == number).drop("file").coalesce(1).write.mode("append").parquet(folder)
+    stream = ingest.file_stream(spark, folder, schema, files_per_batch=1)
+    ingest.start_ingest(stream, path, new_path(spark, "progress"), "user_id", "event_id").awaitTermination()
+    # all of it again under a new checkpoint: nothing is lost and nothing is new
+    ingest.start_ingest(stream, path, new_path(spark, "progress"), "user_id", "event_id").awaitTermination()
+    return ingest.read_ingested(spark, path, schema).drop(ingest.BATCH, ingest.SOURCE, ingest.BUCKET)
 
 
 @query(

@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.operators import bags, keyed
+from seqloom.operators import aggregates, bags, keyed, sequence
 from seqloom.operators import positions as at
 from seqloom.plans import inputs
 from seqloom.plans.inputs import ORDERS_SEQ
 from seqloom.plans.registry import query
 from seqloom.selectors import POS
 
-# Group limit that makes the registered large-group queries take the bucketed path.
-SMALL_LIMIT = 500
-
-
 @query("with_pos", f"WITH {ORDERS_SEQ} SELECT o_orderkey, o_custkey, _pos FROM orders_seq")
 def with_pos(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.orders_seq(spark, sf, "o_custkey")
@@ -47,7 +43,7 @@ def with_pos_by_group(spark: SparkSession, sf: str) -> DataFrame:
 )
 def with_pos_large_groups(spark: SparkSession, sf: str) -> DataFrame:
     orders = inputs.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return at.with_pos(orders, "o_orderkey", by="o_orderstatus", group_limit=SMALL_LIMIT)
+    return at.with_pos(orders, "o_orderkey", by="o_orderstatus")
 
 
 @query(
@@ -59,7 +55,7 @@ def with_pos_large_groups(spark: SparkSession, sf: str) -> DataFrame:
 def with_pos_large_groups_any_order(spark: SparkSession, sf: str) -> DataFrame:
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     lines = inputs.table(spark, sf, "lineitem").select(*order, "l_returnflag")
-    return at.with_pos(lines, order, by="l_returnflag", group_limit=SMALL_LIMIT)
+    return at.with_pos(lines, order, by="l_returnflag")
 
 
 # --- reading by position -------------------------------------------------------------
@@ -233,7 +229,7 @@ def append(spark: SparkSession, sf: str) -> DataFrame:
 def except_bag(spark: SparkSession, sf: str) -> DataFrame:
     orders = inputs.orders_in_order(spark, sf).select("o_orderkey", "o_orderpriority", "o_orderstatus", POS)
     removed = orders.filter(F.col("o_orderstatus") == "P").select("o_orderpriority")
-    kept = bags.except_bag(orders.drop("o_orderstatus"), "o_orderpriority", removed, group_limit=SMALL_LIMIT)
+    kept = bags.except_bag(orders.drop("o_orderstatus"), "o_orderpriority", removed)
     return kept.drop(POS)
 
 
@@ -324,3 +320,130 @@ def join_lookup_value(spark: SparkSession, sf: str) -> DataFrame:
     customers = inputs.table(spark, sf, "customer").select("c_custkey")
     found = keyed.lookup_value(customers, "c_custkey", _first_event_of_user(spark, sf))
     return found.withColumn("value", F.coalesce("value", F.lit("none")))
+
+
+# --- chains: positions stay dense after rows were taken out ------------------------------
+
+_CHEAP = """cheap AS (SELECT o_orderkey, o_custkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS p,
+    count(*) OVER () AS n FROM orders WHERE o_totalprice < 200000)"""
+
+
+def _cheap(spark: SparkSession, sf: str) -> DataFrame:
+    orders = inputs.orders_in_order(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice", POS)
+    return sequence.where(orders, "o_totalprice < 200000")
+
+
+@query("where_then_reverse", f"WITH {_CHEAP} SELECT o_orderkey, n - 1 - p AS _pos FROM cheap")
+def where_then_reverse(spark: SparkSession, sf: str) -> DataFrame:
+    return at.reverse(_cheap(spark, sf)).select("o_orderkey", POS)
+
+
+@query("where_then_element_at", f"WITH {_CHEAP} SELECT o_orderkey, p AS _pos FROM cheap WHERE p = 7 OR p = n - 3")
+def where_then_element_at(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _cheap(spark, sf).select("o_orderkey", POS)
+    return at.element_at(rows, 7).unionByName(at.element_at(rows, -3))
+
+
+@query(
+    "where_then_insert",
+    f"""WITH {_CHEAP} SELECT o_orderkey, CASE WHEN p >= 5 THEN p + 25 ELSE p END AS _pos FROM cheap
+    UNION ALL SELECT -n_nationkey, 5 + 24 - (row_number() OVER (ORDER BY n_nationkey) - 1) FROM nation""",
+)
+def where_then_insert(spark: SparkSession, sf: str) -> DataFrame:
+    batch = at.with_pos(inputs.table(spark, sf, "nation").selectExpr("CAST(n_nationkey AS BIGINT) AS k"), "k")
+    rows = _cheap(spark, sf).select("o_orderkey", POS)
+    return at.insert_at(rows, 5, batch.select((-F.col("k")).alias("o_orderkey"), POS))
+
+
+@query(
+    "where_then_join_strings",
+    f"""WITH {_CHEAP} SELECT p // 400 AS part, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY p) AS joined
+    FROM cheap GROUP BY p // 400""",
+)
+def where_then_join_strings(spark: SparkSession, sf: str) -> DataFrame:
+    return aggregates.join_strings(_cheap(spark, sf), "CAST(o_orderkey AS STRING)", ",", part_rows=400)
+
+
+@query(
+    "except_then_append",
+    """WITH kept AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS p, count(*) OVER () AS n
+      FROM orders WHERE o_orderkey % 3 <> 0)
+    SELECT o_orderkey, p AS _pos FROM kept
+    UNION ALL SELECT -n_nationkey, (SELECT max(n) FROM kept) + row_number() OVER (ORDER BY n_nationkey) - 1 FROM nation""",
+)
+def except_then_append(spark: SparkSession, sf: str) -> DataFrame:
+    orders = inputs.orders_in_order(spark, sf).select("o_orderkey", POS)
+    kept = bags.except_bag(orders, "o_orderkey", orders.filter("o_orderkey % 3 = 0").select("o_orderkey"))
+    more = at.with_pos(inputs.table(spark, sf, "nation").selectExpr("CAST(n_nationkey AS BIGINT) AS k"), "k")
+    return bags.append(kept, more.select((-F.col("k")).alias("o_orderkey"), POS))
+
+
+@query(
+    "hot_group_default",
+    """WITH g AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END AS g FROM orders)
+    SELECT o_orderkey, g, row_number() OVER (PARTITION BY g ORDER BY o_orderkey) - 1 AS _pos FROM g""",
+)
+def hot_group_default(spark: SparkSession, sf: str) -> DataFrame:
+    """One group with a third of the rows, on the default settings."""
+    orders = inputs.table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END AS g"
+    )
+    return at.with_pos(orders, "o_orderkey", by="g")
+
+
+# --- operators on values and dictionaries ------------------------------------------------
+
+
+@query(
+    "remove_value",
+    """WITH first AS (SELECT min(o_orderkey) AS k FROM orders WHERE o_orderpriority = '2-HIGH')
+    SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderkey <> (SELECT k FROM first)""",
+)
+def remove_value(spark: SparkSession, sf: str) -> DataFrame:
+    orders = inputs.orders_in_order(spark, sf).select("o_orderkey", "o_orderpriority", POS)
+    return bags.remove_value(orders, "o_orderpriority", "2-HIGH").drop(POS)
+
+
+def _dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    return keyed.dictionary(inputs.orders_in_order(spark, sf), "o_custkey", "o_orderpriority")
+
+
+_DICT = """dict AS (SELECT o_custkey AS key, arg_min(o_orderpriority, o_orderkey) AS value, min(o_orderkey) AS seen
+    FROM orders GROUP BY o_custkey)"""
+
+
+@query(
+    "dict_insert",
+    f"""WITH {_DICT}, placed AS (SELECT key, value, row_number() OVER (ORDER BY seen) - 1 AS p FROM dict)
+    SELECT key, value, CASE WHEN p >= 3 THEN p + 1 ELSE p END AS _pos FROM placed UNION ALL SELECT -1, 'new', 3""",
+)
+def dict_insert(spark: SparkSession, sf: str) -> DataFrame:
+    return keyed.pair_insert_at(_dictionary(spark, sf), 3, -1, "new")
+
+
+@query("dict_count_key_of", f"WITH {_DICT} SELECT count(*) FILTER (key = 7) AS count FROM dict")
+def dict_count_key_of(spark: SparkSession, sf: str) -> DataFrame:
+    return keyed.count_key_of(_dictionary(spark, sf), 7)
+
+
+@query("dict_count_value_of", f"WITH {_DICT} SELECT count(*) FILTER (value = '5-LOW') AS count FROM dict")
+def dict_count_value_of(spark: SparkSession, sf: str) -> DataFrame:
+    return keyed.count_value_of(_dictionary(spark, sf), "5-LOW")
+
+
+@query(
+    "dict_index_of_on",
+    f"""WITH {_DICT}, placed AS (SELECT value, row_number() OVER (ORDER BY seen) - 1 AS p FROM dict)
+    SELECT coalesce(max(p) FILTER (value = '5-LOW'), -1) AS index FROM placed""",
+)
+def dict_index_of_on(spark: SparkSession, sf: str) -> DataFrame:
+    return keyed.pair_index_of_on(_dictionary(spark, sf), "value = '5-LOW'")
+
+
+@query(
+    "compact",
+    """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS _pos FROM orders WHERE o_orderkey % 7 = 0""",
+)
+def compact(spark: SparkSession, sf: str) -> DataFrame:
+    orders = inputs.orders_in_order(spark, sf).select("o_orderkey", POS)
+    return at.compact(orders.filter("o_orderkey % 7 = 0"))

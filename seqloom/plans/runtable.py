@@ -143,8 +143,9 @@ def work_steps(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "work_manifest",
-    f"""WITH {_STEPS}, placed AS (SELECT *, (row_number() OVER (PARTITION BY worker ORDER BY _pos) - 1) // 1000 AS part
-        FROM steps WHERE known)
+    f"""WITH {_STEPS}, seen AS (SELECT run_id, min(_pos) AS first FROM pending GROUP BY run_id),
+      placed AS (SELECT s.*, (dense_rank() OVER (PARTITION BY worker ORDER BY first) - 1) // 1000 AS part
+        FROM steps s JOIN seen USING (run_id) WHERE known)
     SELECT worker, part, string_agg(action || ' ' || source || ' ' || raw_name || ' ' || target_name, chr(10)
       ORDER BY _pos) AS script FROM placed GROUP BY worker, part""",
 )
@@ -155,19 +156,25 @@ def work_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "count_steps",
-    f"""WITH {RUN_TABLE}, kinds AS (SELECT gsm_id, arg_min(filetype, _pos) AS filetype FROM run_table GROUP BY gsm_id),
-      usable AS (SELECT 'GSM' || c_custkey AS gsm_id, c_custkey, c_nationkey, filetype FROM customer
-        JOIN kinds ON gsm_id = 'GSM' || c_custkey)
-    SELECT gsm_id, filetype, CAST(ntile(6) OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS worker,
+    f"""WITH {RUN_TABLE}, kinds AS (SELECT gsm_id, arg_min(CASE WHEN gsm_id LIKE '%7' THEN 'sra' ELSE filetype END, _pos)
+        AS filetype FROM run_table GROUP BY gsm_id),
+      samples AS (SELECT 'GSM' || c_custkey AS gsm_id, c_custkey, c_nationkey FROM customer),
+      found AS (SELECT s.*, filetype, coalesce(filetype IN ('fastq', 'bam'), false) AS known
+        FROM samples s LEFT JOIN kinds USING (gsm_id)),
+      cut AS (SELECT gsm_id, CAST(ntile(6) OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS worker FROM found WHERE known)
+    SELECT gsm_id, coalesce(filetype, 'none') AS filetype, known, coalesce(worker, -1) AS worker,
       CASE WHEN n_regionkey = 0 THEN 'none' ELSE '/ref/' || n_name END AS path
-    FROM usable JOIN nation ON c_nationkey = n_nationkey""",
+    FROM found LEFT JOIN cut USING (gsm_id) JOIN nation ON c_nationkey = n_nationkey""",
 )
 def count_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Some samples have no run, and some runs are of a kind that cannot be counted."""
     samples = inputs.table(spark, sf, "customer").selectExpr(
         "concat('GSM', c_custkey) AS gsm_id", "c_nationkey AS species", f"c_custkey AS {POS}"
     )
-    runs = inputs.run_table(spark, sf).select("gsm_id", "filetype", POS)
+    kind = F.when(F.col("gsm_id").endswith("7"), "sra").otherwise(F.col("filetype")).alias("filetype")
+    runs = inputs.run_table(spark, sf).select("gsm_id", kind, POS)
     genomes = inputs.table(spark, sf, "nation").filter("n_regionkey <> 0")
     genomes = genomes.selectExpr("n_nationkey AS species", "concat('/ref/', n_name) AS path")
     steps = runtable.count_steps(samples, runs, genomes, 6)
-    return steps.select("gsm_id", "filetype", "worker", F.coalesce("path", F.lit("none")).alias("path"))
+    known = lambda name, value: F.coalesce(name, F.lit(value)).alias(name)
+    return steps.select("gsm_id", known("filetype", "none"), "known", known("worker", -1), known("path", "none"))

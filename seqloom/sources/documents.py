@@ -14,6 +14,13 @@ def sequence_of(spark: SparkSession, n: int, value: str = "id", name: str = "val
     return spark.range(n).select(F.col("id").alias(POS), F.expr(value).alias(name))
 
 
+def sequences_of(df: DataFrame, length: str, value: str, name: str = "value") -> DataFrame:
+    """A generated sequence per row, `length` elements each; `value` is an expression of `_pos`."""
+    numbers = F.sequence(F.lit(0).cast("long"), F.greatest(F.col(length), F.lit(1)).cast("long") - 1)
+    spread = df.filter(F.col(length) > 0).withColumn(POS, F.explode(numbers)).drop(length)
+    return spread.withColumn(name, F.expr(value))
+
+
 def from_json_array(df: DataFrame, column: str, element: str, name: str = "value") -> DataFrame:
     """One row per element of a JSON array text; malformed text fails the job."""
     others = [c for c in df.columns if c != column]
@@ -33,11 +40,12 @@ def to_json_array(
 ) -> DataFrame:
     """The selected values as JSON array text in order, nulls kept.
 
-    A group above `part_rows` rows comes as several arrays in order (`part`); `write.json`
-    is the form for a whole table.
+    A group past the bounds of `ordered_parts` comes as several arrays in order (`part`);
+    `write.json` is the form for a whole table.
     """
     groups = as_names(by)
-    parts = ordered_parts(df.withColumn("__value", as_column(df, value)), groups, part_rows)
+    values = df.withColumn("__value", as_column(df, value))
+    parts = ordered_parts(values, groups, part_rows, F.octet_length(F.to_json(F.struct("__value"))))
     items = F.array_sort(F.collect_list(F.struct(POS, "__value")))
     return parts.groupBy(*groups, "part").agg(F.to_json(F.transform(items, lambda e: e["__value"])).alias(name))
 
@@ -47,10 +55,10 @@ def json_documents(
 ) -> DataFrame:
     """One nested JSON document per key: the key columns and its child records in order.
 
-    A key with more than `part_rows` children gives one document per part.
+    A key whose children pass the bounds of `ordered_parts` gives one document per part.
     """
     keys = as_names(key)
-    parts = ordered_parts(df, keys, part_rows)
+    parts = ordered_parts(df, keys, part_rows, F.octet_length(F.to_json(F.struct(*fields))))
     items = F.array_sort(F.collect_list(F.struct(POS, F.struct(*fields).alias("record"))))
     grouped = parts.groupBy(*keys, "part").agg(F.transform(items, lambda e: e["record"]).alias(children))
     document = F.to_json(F.struct(*keys, children), {"ignoreNullFields": "false"})

@@ -11,36 +11,47 @@ from seqloom.functions import accession, files
 
 # The part of a run document that is read (attributes carry an underscore).
 RUN_DOCUMENT = (
-    "RUN STRUCT<"
-    "Pool: STRUCT<Member: STRUCT<_sample_name: STRING, _organism: STRING>>, "
+    "RUN ARRAY<STRUCT<"
+    "Pool: STRUCT<Member: ARRAY<STRUCT<_sample_name: STRING, _organism: STRING>>>, "
     "SRAFiles: STRUCT<SRAFile: ARRAY<STRUCT<_supertype: STRING, _size: BIGINT, "
-    "Alternatives: ARRAY<STRUCT<_url: STRING>>>>>>"
+    "Alternatives: ARRAY<STRUCT<_url: STRING>>>>>>>"
 )
 
 
-def run_files_from_xml(df: DataFrame, column: str) -> DataFrame:
-    """One row per original file of each run document, classified by its path."""
+def run_files_from_xml(df: DataFrame, column: str, strict: bool = False) -> DataFrame:
+    """One row per original file of each document's first run, classified by its path.
+
+    Sample and organism are those of the first pool member. A document without original
+    files, or one that is no XML, gives one row whose `found` is false (a failed job for
+    malformed text when strict).
+    """
     others = [c for c in df.columns if c != column]
-    run = F.from_xml(F.col(column), RUN_DOCUMENT, {"mode": "FAILFAST"})["RUN"]
-    exploded = df.select(*others, run.alias("__run")).select(
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    run = F.get(F.from_xml(F.col(column), RUN_DOCUMENT, {"mode": mode})["RUN"], F.lit(0))
+    parsed = df.select(*others, run.alias("__run"))
+    member = F.get(F.col("__run.Pool.Member"), F.lit(0))
+    numbered = F.transform(F.col("__run.SRAFiles.SRAFile"), lambda f, i: F.struct(i.alias("place"), f.alias("file")))
+    originals = F.filter(numbered, lambda f: f["file"]["_supertype"] == "Original")
+    exploded = parsed.select(
         *others,
-        F.col("__run.Pool.Member._sample_name").alias("gsm_id"),
-        F.col("__run.Pool.Member._organism").alias("organism"),
-        F.posexplode("__run.SRAFiles.SRAFile").alias("place", "__file"),
+        member["_sample_name"].alias("gsm_id"),
+        member["_organism"].alias("organism"),
+        F.explode_outer(originals).alias("__one"),
     )
-    originals = exploded.filter(F.col("__file._supertype") == "Original")
-    path = F.coalesce(F.get(F.col("__file.Alternatives._url"), F.lit(0)), F.lit(""))
-    return originals.select(
+    found = F.col("__one").isNotNull()
+    path = F.coalesce(F.get(F.col("__one.file.Alternatives._url"), F.lit(0)), F.lit(""))
+    kind = files.classify_filetype(path)
+    read = F.when(kind == "fastq", files.parse_read_type(path)).otherwise(F.lit("Unknown"))
+    return exploded.select(
         *others,
         "gsm_id",
         "organism",
-        "place",
-        path.alias("path"),
-        files.classify_filetype(path).alias("filetype"),
-        files.bytes_to_gb(F.col("__file._size")).alias("size_gb"),
-        F.when(files.classify_filetype(path) == "fastq", files.parse_read_type(path))
-        .otherwise(F.lit("Unknown"))
-        .alias("read_type"),
+        F.col("__one.place").alias("place"),
+        F.when(found, path).alias("path"),
+        F.when(found, kind).alias("filetype"),
+        files.bytes_to_gb(F.col("__one.file._size")).alias("size_gb"),
+        F.when(found, read).alias("read_type"),
+        found.alias("found"),
     )
 
 
@@ -64,33 +75,45 @@ def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def table_rows_from_html(df: DataFrame, column: str) -> DataFrame:
-    """Body rows of the tables in a page as (row, name -> cell), with the page's heading.
+    """Body rows of every table of a page as (table, row, name -> cell), with the page's heading.
 
-    Names come from the header cells; rows with another number of cells are skipped. A
-    page is taken apart in one expression, so no part of its text is searched per row.
+    Each table's names come from its own header cells; rows with another number of cells are
+    skipped. A page without such a row gives one row whose `cells` is null. A page is taken
+    apart in one expression, so no part of its text is searched per row.
     """
     others = [c for c in df.columns if c != column]
     html = F.col(column)
-    header = F.transform(_elements(html, "th"), _text)
     heading = _text(F.get(_elements(html, "h1"), F.lit(0)))
-    rows = F.transform(
-        _elements(html, "tr"),
-        lambda r, i: F.struct(i.alias("row"), F.transform(_elements(r, "td"), _text).alias("cells")),
-    )
 
-    def full_rows(page: Column) -> Column:
-        names = page["header"]
-        full = F.filter(page["rows"], lambda r: (F.size(r["cells"]) == F.size(names)) & (F.size(names) > 0))
-        return F.transform(
-            full, lambda r: F.struct(page["heading"], r["row"], F.map_from_arrays(names, r["cells"]).alias("cells"))
-        )
+    def rows_of(table: Column, place: Column) -> Column:
+        names = F.transform(_elements(table, "th"), _text)
+        cells = F.transform(_elements(table, "tr"), lambda r: F.transform(_elements(r, "td"), _text))
+        parts = F.struct(names.alias("names"), cells.alias("rows"))
 
-    page = F.struct(header.alias("header"), heading.alias("heading"), rows.alias("rows"))
-    return df.select(*others, F.inline(_bound(page, full_rows)).alias("heading", "row", "cells"))
+        def full(part: Column) -> Column:
+            numbered = F.transform(part["rows"], lambda r, i: F.struct(i.alias("row"), r.alias("cells")))
+            fit = F.filter(
+                numbered, lambda r: (F.size(r["cells"]) == F.size(part["names"])) & (F.size(part["names"]) > 0)
+            )
+            return F.transform(
+                fit,
+                lambda r: F.struct(
+                    place.alias("table"), r["row"].alias("row"), F.map_from_arrays(part["names"], r["cells"]).alias("cells")
+                ),
+            )
+
+        return _bound(parts, full)
+
+    found = F.flatten(F.transform(_elements(html, "table"), rows_of))
+    page = df.select(*others, heading.alias("heading"), F.explode_outer(found).alias("__one"))
+    return page.select(*others, "heading", *[F.col(f"__one.{c}").alias(c) for c in ("table", "row", "cells")])
 
 
 def list_rows_from_html(df: DataFrame, column: str) -> DataFrame:
-    """List items of a page in order: the address they link to, their text, and the page's heading."""
+    """List items of a page in order: the address they link to, their text, and the page's heading.
+
+    A page without items gives no row.
+    """
     others = [c for c in df.columns if c != column]
     html = F.col(column)
     heading = _text(F.get(_elements(html, "h1"), F.lit(0)))

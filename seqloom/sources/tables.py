@@ -7,6 +7,8 @@ rewritten from a query over itself.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -44,12 +46,21 @@ def open_or_create(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).parquet(f"{path}/{_versions(spark, path)[-1]}")
 
 
-def replace(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
-    """Write `df` as the next version and drop all but the newest `keep` finished ones."""
+def replace(df: DataFrame, path: str) -> DataFrame:
+    """Write `df` as the next version; earlier ones stay for whoever has opened them.
+
+    A version's folder has a name of its own, so two writers never write into one another;
+    the later name is the newer version. `drop_old` is the clean-up.
+    """
     spark = df.sparkSession
     done = _versions(spark, path)
-    number = int(done[-1][1:]) + 1 if done else 0
-    df.write.mode("overwrite").parquet(f"{path}/v{number:08d}")
+    number = int(done[-1][1:9]) + 1 if done else 0
+    folder = f"{path}/v{number:08d}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def drop_old(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete all but the newest `keep` versions; call it when no open frame reads an older one."""
     for old in _versions(spark, path)[:-keep]:
         storage.delete(spark, f"{path}/{old}")
-    return spark.read.schema(df.schema).parquet(f"{path}/v{number:08d}")

@@ -1,12 +1,17 @@
 """Incremental ingest: records arrive batch by batch, the first write of a key wins.
 
-The stored table is the state, one folder per batch id. Writing a batch again replaces
-its own folder and compares only with earlier batches, so a replay after a failure gives
-the same table. A batch's order comes from a source column, never from arrival.
+The stored table is the state: a folder per key bucket, source and batch. A source is one
+streaming query; writing one of its batches again replaces that batch's own folders and
+compares with everything else that is stored, so a replay after a failure gives the same
+table, and a second stream or a new checkpoint adds to it. Only the buckets a batch touches
+are read. Streams that write at one time must not bring the same keys. A batch's order comes
+from a source column, never from arrival.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,40 +22,65 @@ from seqloom.selectors import Names, as_names
 from seqloom.sources import storage
 from seqloom.staging import new_path
 
-BATCH = "batch"
+BATCH, SOURCE, BUCKET = "batch", "source", "bucket"
+BUCKETS = 64
 
 
 def read_ingested(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table so far, with the batch each row came in."""
-    stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    """The table so far, with the source and the batch each row came in and its key bucket."""
+    stored = T.StructType(
+        [
+            *schema.fields,
+            T.StructField(BUCKET, T.IntegerType()),
+            T.StructField(SOURCE, T.StringType()),
+            T.StructField(BATCH, T.LongType()),
+        ]
+    )
     if not storage.exists(spark, path):
         return spark.createDataFrame([], stored)
     return spark.read.schema(stored).parquet(path)
 
 
-def append_new(batch: DataFrame, batch_id: int, path: str, key: Names, order: Names) -> None:
-    """Write the rows of one batch whose key is in no earlier batch.
+def append_new(
+    batch: DataFrame, batch_id: int, path: str, key: Names, order: Names, source: str = "batch", buckets: int = BUCKETS
+) -> None:
+    """Write the rows of one batch whose key is stored by no other batch.
 
     The batch's own first writes are stored for the time of the merge: the source is read
-    once, and Spark knows their size. A small batch is then broadcast against the keys of
-    the table, which need no shuffle; a large one is joined by shuffle.
+    once, and Spark knows their size. The buckets they fall into are the only ones read.
     """
     spark, keys = batch.sparkSession, as_names(key)
     merging = new_path(spark, "batch")
-    first_by_key(batch.dropna(subset=keys), keys, order).write.parquet(merging)
-    fresh = spark.read.schema(batch.schema).parquet(merging)
-    earlier = read_ingested(spark, path, batch.schema).filter(F.col(BATCH) < batch_id)
-    known = earlier.select(*keys).join(fresh.select(*keys), keys, "left_semi")
-    added = fresh.join(known, keys, "left_anti")
-    added.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-    storage.delete(spark, merging)
+    placed = first_by_key(batch.dropna(subset=keys), keys, order)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    placed.withColumn(BUCKET, bucket).write.parquet(merging)
+    schema = T.StructType([*batch.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    fresh = spark.read.schema(schema).parquet(merging)
+    touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # at most `buckets` numbers
+    own = (F.col(SOURCE) == source) & (F.col(BATCH) == batch_id)
+    others = read_ingested(spark, path, batch.schema).filter(F.col(BUCKET).isin(touched) & ~own)
+    known = others.select(*keys).join(fresh.select(*keys), keys, "left_semi")
+    added = fresh.join(known, keys, "left_anti").withColumns({SOURCE: F.lit(source), BATCH: F.lit(batch_id).cast("long")})
+    done = new_path(spark, "added")
+    added.write.parquet(done)
+    rows = spark.read.schema(added.schema).parquet(done)
+    # folders of an earlier try of this batch are replaced, also where nothing is left to add
+    for number in touched:
+        storage.delete(spark, f"{path}/{BUCKET}={number}/{SOURCE}={source}/{BATCH}={batch_id}")
+    rows.repartition(BUCKET).write.mode("append").partitionBy(BUCKET, SOURCE, BATCH).parquet(path)
+    for folder in (merging, done):
+        storage.delete(spark, folder)
 
 
 def start_ingest(stream: DataFrame, path: str, checkpoint: str, key: Names, order: Names) -> StreamingQuery:
-    """Ingest everything available now and stop; call again for what arrives later."""
+    """Ingest everything available now and stop; call again for what arrives later.
+
+    The checkpoint names the source, so a new checkpoint is a new source beside the old ones.
+    """
+    source = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch, batch_id, path, key, order)
+        append_new(batch, batch_id, path, key, order, source)
 
     return (
         stream.writeStream.foreachBatch(each)

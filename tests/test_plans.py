@@ -32,3 +32,12 @@ def test_global_numbering_moves_only_counts_to_one_task(spark, sf):
     plan = plan_of(inputs.orders_seq(spark, sf, "o_totalprice"))
     single = plan[plan.index("SinglePartition") :]
     assert "o_totalprice" not in single
+
+
+def test_bridge_lookup_lets_spark_split_either_side(spark):
+    bridge = spark.createDataFrame([("SRR1", "GSM1", "GSE1")], "SRR STRING, GSM STRING, GSE STRING").hint("merge")
+    ids = spark.createDataFrame([("GSM1",), ("GSE2",), ("PRJ1",)], "id STRING").hint("merge")
+    found = catalog.bridge_ids(ids, bridge)
+    plan = plan_of(found)
+    assert "Inner" in plan and "LeftAnti" in plan and "LeftOuter" not in plan
+    assert {(r.id, r.kind, r.SRR) for r in found.collect()} == {("GSM1", "GSM", "SRR1"), ("GSE2", "GSE", None), ("PRJ1", None, None)}

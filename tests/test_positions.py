@@ -6,6 +6,7 @@ import pytest
 from conftest import in_order
 from pyspark.sql import functions as F
 
+from seqloom.operators import aggregates, bags, sequence
 from seqloom.operators import positions as at
 
 VALUES = [7, 3, 3, 9, 1, 3, 8]
@@ -34,19 +35,51 @@ def expected(rows):
 def test_large_groups_match_plain_window(skewed):
     want = expected([(r.g, r.k) for r in skewed.collect()])
     assert number(skewed, order="k") == want
-    assert number(skewed, order="k", group_limit=10) == want
+    assert number(skewed, order="k", bucket_rows=10) == want
 
 
 def test_large_groups_by_any_order(spark, skewed):
     text = skewed.withColumn("t", F.lpad(F.col("k").cast("string"), 6, "0"))
-    assert number(text, order=["t", "k"], group_limit=10) == expected([(r.g, r.k) for r in skewed.collect()])
+    assert number(text, order=["t", "k"], bucket_rows=10) == expected([(r.g, r.k) for r in skewed.collect()])
 
 
 def test_input_already_partitioned_by_group(skewed):
     again = skewed.repartition("g")
-    plan = at.with_pos(again, "k", "g", group_limit=10)._jdf.queryExecution().executedPlan().toString()
+    plan = at.with_pos(again, "k", "g", bucket_rows=10)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(g" in plan and "__bucket" in plan
-    assert number(again, order="k", group_limit=10) == expected([(r.g, r.k) for r in skewed.collect()])
+    assert number(again, order="k", bucket_rows=10) == expected([(r.g, r.k) for r in skewed.collect()])
+
+
+@pytest.mark.parametrize("bucket_rows", [1, 50, 1 << 20])
+def test_buckets_by_value_of_uneven_keys(spark, bucket_rows):
+    keys = [k * k * k for k in range(400)] + [2**62, -(2**62)]
+    random.Random(1).shuffle(keys)
+    rows = at.with_pos(spark.createDataFrame([(k,) for k in keys], "k LONG"), "k", bucket_rows=bucket_rows).collect()
+    assert {r.k: r["_pos"] for r in rows} == {k: i for i, k in enumerate(sorted(keys))}
+
+
+def test_positional_operators_close_gaps_first(seq):
+    kept = sequence.where(seq(range(10)), "v % 3 = 0")  # 0, 3, 6, 9
+    assert in_order(at.reverse(kept)) == [9, 6, 3, 0]
+    assert [r.v for r in at.element_at(kept, 1).collect()] == [3]
+    assert [r.v for r in at.element_at(kept, -1).collect()] == [9]
+    assert in_order(at.insert_at(kept, 1, seq([7]))) == [0, 7, 3, 6, 9]
+    assert in_order(bags.append(kept, seq([5]))) == [0, 3, 6, 9, 5]
+    assert in_order(at.remove_at(kept, -1)) == [0, 3, 6]
+    assert at.index_of(kept, "v", 6).first()["index"] == 2
+    assert sorted(r.chunk for r in at.balanced_split(kept, 2).collect()) == [0, 0, 1, 1]
+
+
+def test_parts_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(at, "PART_BYTES", 100)
+    rows = spark.createDataFrame([(i, "x" * (60 if i < 3 else 1)) for i in range(6)], "_pos LONG, t STRING")
+    parts = at.ordered_parts(rows, None, 100, F.octet_length("t")).orderBy("_pos").collect()
+    assert [r.part for r in parts] == [0, 0, 1, 1, 1, 1]
+
+
+def test_parts_of_a_whole_frame_do_not_trust_positions(spark):
+    rows = spark.createDataFrame([(0, "a"), (100_000, "b"), (200_000, "c")], "_pos LONG, t STRING")
+    assert [r.joined for r in aggregates.join_strings(rows, "t", ",").collect()] == ["a,b,c"]
 
 
 @pytest.mark.parametrize("keys", [[5, 1, 9, 2], [10**15, 1, 7], [None, 4, 2], [-3, 0, -9]])

@@ -90,11 +90,10 @@ def test_join_strings_backslash_separator(seq):
     assert one(agg.join_strings(seq(["x", "y"], "string"), "v", "\\")) == "x\\y"
 
 
-@pytest.mark.parametrize("limit", [1, 100])
-def test_except_bag_removes_first_occurrences(spark, seq, limit):
+def test_except_bag_removes_first_occurrences(spark, seq):
     df = seq([1, 2, 1, None, 1, None])
     removed = spark.createDataFrame([(1,), (1,), (None,)], "v INT")
-    kept = bags.except_bag(df, "v", removed, group_limit=limit).orderBy("_pos").collect()
+    kept = bags.except_bag(df, "v", removed).orderBy("_pos").collect()
     assert [(r["_pos"], r.v) for r in kept] == [(1, 2), (4, 1), (5, None)]
 
 
@@ -135,8 +134,17 @@ def test_upserts(spark):
     new = spark.createDataFrame([("b", 3, 0), ("c", 4, 1), ("c", 5, 2), (None, 6, 3)], "k STRING, x INT, _pos LONG")
     first = {r.k: r.x for r in keyed.upsert_first_wins(old, new, "k").collect()}
     assert first == {"a": 1, "b": 2, "c": 4}
-    last = {r.k: r.x for r in keyed.upsert_last_wins(old, new.dropna(subset=["k"]), "k").collect()}
-    assert last == {"a": 1, "b": 3, "c": 5}
+    last = {r.k: r.x for r in keyed.upsert_last_wins(old, new, "k").collect()}
+    assert last == {"a": 1, "b": 3, "c": 5, None: 6}
+    twice = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), (None, 3, 2)], "k STRING, x INT, _pos LONG")
+    assert {r.k: r.x for r in keyed.upsert_last_wins(twice, new, "k").collect()} == {"a": 2, "b": 3, "c": 5, None: 6}
+
+
+def test_search_many_takes_the_first_row(spark):
+    table = spark.createDataFrame([(1, "a", 10), (0, "a", 20), (2, "b", 30)], "_pos LONG, id STRING, x INT")
+    ids = spark.createDataFrame([("a",), ("c",)], "id STRING")
+    got = {r.id: (r.x, r.found) for r in sequence.search_many(table, "id", ids).collect()}
+    assert got == {"a": (20, True), "c": (None, False)}
 
 
 def test_maps_by_group_in_parts(spark):

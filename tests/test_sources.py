@@ -59,10 +59,13 @@ def test_table_versions(spark):
         current = tables.open_or_create(spark, path, tables.SERIES)
         tables.replace(current.unionByName(row), path)
     assert tables.open_or_create(spark, path, tables.SERIES).count() == 3
-    assert len(storage.names(spark, path)) == 2
+    older = spark.read.schema(tables.SERIES).parquet(f"{path}/{storage.names(spark, path)[1]}")
+    assert older.count() == 1  # an earlier version stays for who has opened it
     row.write.parquet(f"{path}/v00000009")
     storage.delete(spark, f"{path}/v00000009/_SUCCESS")  # a write that never finished
     assert tables.open_or_create(spark, path, tables.SERIES).count() == 3
+    tables.drop_old(spark, path, keep=1)
+    assert tables.open_or_create(spark, path, tables.SERIES).count() == 3
 
 
 def test_tsv_missing_and_header(spark):
@@ -79,7 +82,7 @@ def test_tsv_missing_and_header(spark):
 
 def test_tsv_keeps_awkward_text(spark):
     path = new_path(spark, "text")
-    rows = [("GSM1", 'say "hi"'), ("GSM2", "tab\there"), ("GSM3", None)]
+    rows = [("GSM1", 'say "hi"'), ("GSM2", "tab\there"), ("GSM3", None), ("GSM4", ""), ("GSM5", "a\nb\r\\n\\"), ("GSM6", " x ")]
     tsv.write_tsv(spark.createDataFrame(rows, tsv.RUN_LIST), path)
     got = [tuple(r) for r in tsv.read_tsv(spark, path, tsv.RUN_LIST).orderBy("gsm_id").collect()]
     assert got == rows
@@ -108,6 +111,34 @@ def test_run_xml(spark):
     got = markup.run_files_from_xml(df, "xml").orderBy("place").collect()
     assert [(r.filetype, r.read_type, r.size_gb) for r in got][0] == ("fastq", "R1", 1.0)
     assert [(r.place, r.path) for r in got] == [(0, "s3://b/x_S1_L001_R1_001.fastq.gz"), (2, "")]
+    assert all(r.found for r in got)
+
+
+def test_run_xml_takes_the_first_run_and_member_and_marks_rejects(spark):
+    second = '<Member sample_name="GSM2" organism="b"/></Pool>'
+    many = RUN_XML.replace("</Pool>", second).replace("</RUN_SET>", "<RUN><Pool/></RUN></RUN_SET>")
+    none = '<RUN_SET><RUN><Pool><Member sample_name="GSM3" organism="c"/></Pool></RUN></RUN_SET>'
+    df = spark.createDataFrame([("1", many), ("2", none), ("3", "<RUN_SET><RUN>"), ("4", None)], "run_id STRING, xml STRING")
+    rows = markup.run_files_from_xml(df, "xml").collect()
+    assert {(r.run_id, r.gsm_id, r.found) for r in rows} == {
+        ("1", "GSM1", True), ("2", "GSM3", False), ("3", None, False), ("4", None, False),
+    }
+    with pytest.raises(Exception, match="MALFORMED"):
+        markup.run_files_from_xml(df, "xml", strict=True).collect()
+
+
+def test_html_tables_have_their_own_headers(spark):
+    one = "<table><tr><th>A</th></tr><tr><td>1</td></tr></table>"
+    two = "<table><tr><th>B</th><th>C</th></tr><tr><td>2</td><td>3</td></tr></table>"
+    df = spark.createDataFrame([(1, one + two), (2, "<p>none</p>"), (3, None)], "id INT, h STRING")
+    got = {(r.id, r["table"]): r.cells for r in markup.table_rows_from_html(df, "h").collect()}
+    assert got == {(1, 0): {"A": "1"}, (1, 1): {"B": "2", "C": "3"}, (2, None): None, (3, None): None}
+
+
+def test_malformed_headings_are_rejects(spark):
+    texts = [("GSM1: t; Mus musculus; x (SRR2)",), ("GSM1: only",), ("",), (None,)]
+    got = markup.heading_fields(spark.createDataFrame(texts, "heading STRING")).collect()
+    assert [(r.gsm_id, r.species, r.run_id) for r in got] == [("GSM1", "Musmusculus", "SRR2")] + [(None, None, None)] * 3
 
 
 def test_html_table_skips_short_rows(spark):

@@ -37,6 +37,17 @@ def test_replayed_batch_replaces_itself(spark):
     assert table(spark, path) == {"a": (1, 0), "b": (6, 1)}
 
 
+def test_a_new_checkpoint_or_second_stream_loses_nothing(spark):
+    source, path = new_path(spark, "in"), new_path(spark, "out")
+    frame(spark, ("a", 1), ("b", 2)).write.parquet(source)
+    other = new_path(spark, "in")
+    frame(spark, ("c", 3), ("a", 0)).write.parquet(other)
+    for folder in (source, source, other):
+        stream = ingest.file_stream(spark, folder, SCHEMA, 1)
+        ingest.start_ingest(stream, path, new_path(spark, "progress"), "k", "seq").awaitTermination()
+    assert {k: seq for k, (seq, _) in table(spark, path).items()} == {"a": 1, "b": 2, "c": 3}
+
+
 def test_batch_order_comes_from_the_column(spark):
     path = new_path(spark, "out")
     ingest.append_new(frame(spark, ("a", 9), ("a", 4), ("a", 7)), 0, path, "k", "seq")
