@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from seqloom.llm import tokens as T
 from seqloom.llm.shipping import map_arrow
-from seqloom.staging import stage
+from seqloom.llm.store import release, store
 
 WORDS_AT_MOST = 1 << 20
 BIGRAMS_AT_MOST = 1 << 22
@@ -85,7 +85,9 @@ def _both(background: DataFrame, target: DataFrame, keys_of) -> DataFrame:
     """(key, b, t): counts in either corpus, stored."""
     b = count_keys(background, keys_of).select("key", F.col("n").alias("b"), F.lit(0).cast("long").alias("t"))
     t = count_keys(target, keys_of).select("key", F.lit(0).cast("long").alias("b"), F.col("n").alias("t"))
-    return stage(b.unionByName(t).groupBy("key").agg(F.sum("b").alias("b"), F.sum("t").alias("t")), "counts")
+    counts = store(b.unionByName(t).groupBy("key").agg(F.sum("b").alias("b"), F.sum("t").alias("t")), "counts")
+    release(background.sparkSession)
+    return counts
 
 
 def _kept(counts: DataFrame, total: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,9 +207,14 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
 
 
 def labelled_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The texts labelled good and not toxic, stored: the corpus others are to resemble."""
-    good = labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
-    return stage(docs.select("doc_id", "text").join(good, "doc_id", "left_semi").select("text"), "target")
+    """The texts labelled good and not toxic, stored: the corpus others are to resemble.
+
+    Labels grow with the corpus, so they are never broadcast, however small they happen to be.
+    """
+    good = labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id").hint("merge")
+    target = store(docs.select("doc_id", "text").join(good, "doc_id", "left_semi").select("text"), "target")
+    release(docs.sparkSession)
+    return target
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, background: DataFrame | None = None) -> DataFrame:
