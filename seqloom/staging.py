@@ -6,17 +6,21 @@ operators that must read an order twice write it here instead of caching it.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from seqloom.sources import storage
 
 _local_roots: dict[str, str] = {}
-_handed_out: list[str] = []
+# Paths handed out inside the caller's own scope; each thread and task has its own.
+_scope: ContextVar[list[str] | None] = ContextVar("seqloom_scope", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -31,28 +35,33 @@ def shared_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="seqloom-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path nobody has written yet."""
     path = f"{shared_root(spark)}/seqloom-{label}-{uuid.uuid4().hex}"
-    _handed_out.append(path)
+    inside = _scope.get()
+    if inside is not None:
+        inside.append(path)
     return path
 
 
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
-    """Delete, on leaving, the intermediate tables written inside.
+    """Delete, on leaving, the intermediate tables written inside by the same caller.
 
     Results that still read them must be written before the end of the block.
     """
-    kept = len(_handed_out)
+    paths: list[str] = []
+    token = _scope.set(paths)
     try:
         yield
     finally:
-        while len(_handed_out) > kept:
-            storage.delete(spark, _handed_out.pop())
+        _scope.reset(token)
+        for path in paths:
+            storage.delete(spark, path)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
