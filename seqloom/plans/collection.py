@@ -84,6 +84,39 @@ def for_each(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(elements.value, id_sum.value)], "elements LONG, id_sum LONG")
 
 
+@query(
+    "for_each_if",
+    f"""WITH {LABELLED} SELECT count(quality) AS known, count(*) - count(quality) AS unknown,
+    CAST(coalesce(sum(quality), 0) AS BIGINT) AS good FROM labelled""",
+)
+def for_each_if(spark: SparkSession, sf: str) -> DataFrame:
+    known, unknown, good = (spark.sparkContext.accumulator(0) for _ in range(3))
+
+    def on_value(value):
+        known.add(1)
+        good.add(value)
+
+    sequence.for_each_if(inputs.labelled_documents(spark, sf), "quality", on_value, lambda: unknown.add(1))
+    return spark.createDataFrame([(known.value, unknown.value, good.value)], "known LONG, unknown LONG, good LONG")
+
+
+@query(
+    "selector",
+    """SELECT o_orderkey AS _pos, o_custkey + 1 AS by_text, o_totalprice / 2 AS by_column,
+    upper(o_orderpriority) AS by_function FROM orders WHERE o_custkey % 3 = 0 AND o_totalprice > 1000""",
+)
+def selector(spark: SparkSession, sf: str) -> DataFrame:
+    """All three forms, as predicates and as values."""
+    orders = inputs.orders_in_order(spark, sf)
+    kept = sequence.where(sequence.where(orders, "o_custkey % 3 = 0"), F.col("o_totalprice") > 1000)
+    return sequence.select(
+        kept,
+        by_text="o_custkey + 1",
+        by_column=F.col("o_totalprice") / 2,
+        by_function=lambda r: F.upper(r["o_orderpriority"]),
+    )
+
+
 @query(
     "pipe",
     f"""WITH {LABELLED} SELECT lang, count(*) AS length FROM labelled
@@ -319,6 +352,43 @@ def location_pick(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(known("run_id", "none"), POS, "location", known("picked", "rejected"))
 
 
+# --- whole frames ----------------------------------------------------------------------
+
+
+@query(
+    "whole_aggregates",
+    """SELECT avg(o_totalprice) AS average, max(o_totalprice) AS max, min(o_totalprice) AS min, CAST(sum(o_custkey) AS BIGINT) AS sum,
+    bool_or(o_orderpriority = '2-HIGH') AS contains, bool_or(o_orderpriority = 'none') AS contains_none,
+    arg_min(o_custkey, o_orderkey) FILTER (o_orderstatus = 'F') AS first,
+    arg_max(o_custkey, o_orderkey) FILTER (o_orderstatus = 'F') AS last FROM orders""",
+)
+def whole_aggregates(spark: SparkSession, sf: str) -> DataFrame:
+    """Each aggregate of the whole sequence, one number each, side by side."""
+    orders = inputs.orders_in_order(spark, sf)
+    done = "o_orderstatus = 'F'"
+    parts = [
+        agg.average(orders, "o_totalprice"),
+        agg.max_of(orders, "o_totalprice"),
+        agg.min_of(orders, "o_totalprice"),
+        agg.sum_of(orders, "o_custkey"),
+        agg.contains(orders, "o_orderpriority", "2-HIGH"),
+        agg.contains(orders, "o_orderpriority", "none", name="contains_none"),
+        agg.first_on(orders, "o_custkey", done),
+        agg.last_on(orders, "o_custkey", done),
+    ]
+    return spark.range(1).select(*[p.scalar().alias(p.columns[0]) for p in parts])
+
+
+@query(
+    "whole_first_last",
+    """SELECT o_orderkey, o_custkey FROM orders
+    WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders) OR o_orderkey = (SELECT max(o_orderkey) FROM orders)""",
+)
+def whole_first_last(spark: SparkSession, sf: str) -> DataFrame:
+    orders = inputs.orders_in_order(spark, sf).select("o_orderkey", "o_custkey", POS)
+    return agg.first(orders).unionByName(agg.last(orders)).drop(POS)
+
+
 # --- sorts ---------------------------------------------------------------------------
 
 

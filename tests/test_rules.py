@@ -189,3 +189,12 @@ def test_for_each_if_routes_nulls(spark, seq):
     values, nulls = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
     sequence.for_each_if(seq([1, None, 5]), "v", lambda v: values.add(v), lambda: nulls.add(1))
     assert (values.value, nulls.value) == (6, 1)
+
+
+def test_selector_may_be_a_pandas_udf(seq):
+    @F.pandas_udf("long")
+    def squared(v):
+        return v * v
+
+    got = sequence.select(seq([2, 3]), squared=lambda r: squared(r["v"])).collect()
+    assert [r.squared for r in got] == [4, 9]
