@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seqloom.staging import new_path
 
@@ -21,3 +22,18 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files that no live frame refers to."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+REST = "__rest"
+
+
+def pack_rest(df: DataFrame, *kept: str) -> DataFrame:
+    """The columns `kept` and one struct of all others, so that no name of theirs meets one of ours."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in kept] or [F.lit(0).alias("none")]
+    return df.select(F.struct(*rest).alias(REST), *kept)
+
+
+def rest_of(columns: list[str], kept: tuple[str, ...], made: dict[str, Column] | None = None) -> list[Column]:
+    """Selects `columns` again from a packed frame; `made` gives new values of some."""
+    made = made or {}
+    return [made.get(c, F.col(c) if c in kept else F.col(REST).getField(c)).alias(c) for c in columns]
