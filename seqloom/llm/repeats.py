@@ -117,15 +117,22 @@ def occurrences(docs: DataFrame, kind: Kind) -> DataFrame:
 
 
 def range_marks(found: DataFrame) -> DataFrame:
-    """(_row, marks): for each text the ranges that are repeated as a whole or must be looked at."""
-    names = found.groupBy("name").agg(F.sum("weight").alias("n")).where("n > 1").select("name")
+    """(_row, marks): for each text the ranges that are repeated as a whole or must be looked at.
+
+    Counts by name are stored before they are joined: Spark splits a hot side only where
+    nothing stands between a join and its exchange.
+    """
+    counted = found.groupBy("name").agg(F.sum("weight").alias("n")).where("n > 1").select("name")
+    names = store(counted, "names")
+    release(names.sparkSession)
     shared = store(found.join(names, "name", "left_semi"), "ranges")
     release(shared.sparkSession)
     variants = shared.groupBy("name", "range_hash").agg(
         F.sum("weight").alias("n"), F.min(F.struct("_row", "no")).alias("first")
     )
-    several = variants.groupBy("name").agg(F.count("*").alias("variants"))
-    known = variants.join(several, "name").where("n > 1 OR variants > 1")
+    variants = store(variants, "variants")
+    several = store(variants.groupBy("name").agg(F.count("*").alias("variants")), "several")
+    known = store(variants.join(several, "name").where("n > 1 OR variants > 1"), "known")
     open_weight = (
         F.when(F.col("variants") == 1, 0)
         .when(F.col("n") == 1, 1)

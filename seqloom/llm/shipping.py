@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+#: Rows of an Arrow batch: with whole texts in them, Spark's default would fill a worker's memory.
+BATCH_ROWS = 1000
 
 
 def ship(spark: SparkSession) -> None:
@@ -34,4 +36,5 @@ def ship(spark: SparkSession) -> None:
 
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return df.mapInArrow(run, schema)

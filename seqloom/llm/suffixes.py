@@ -31,8 +31,8 @@ from seqloom.llm.store import store
 WINDOW = 200
 ANCHOR = 48
 SHALLOW = 64
-#: Ranges of one anchor that one task sorts together.
-TOGETHER = 4096
+#: Ranges of one anchor that one task sorts together, and about how many of all anchors it sorts at once.
+TOGETHER = 1024
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -127,9 +127,16 @@ def deep_shallow(text: np.ndarray, starts: np.ndarray, group: np.ndarray, depth:
         for a, b in zip(edges.tolist(), np.append(edges[1:], len(active)).tolist(), strict=True):
             members = active[a:b].tolist()
             base, done = int(rank[members[0]]), 0
-            for same in blind_trie([raw[s + reach : s + depth] for s in starts[active[a:b]].tolist()]):
+            equal: dict[bytes, list[int]] = {}
+            for m, s in zip(members, starts[active[a:b]].tolist(), strict=True):
+                equal.setdefault(raw[s + reach : s + depth], []).append(m)
+            if len(equal) == 1:
+                continue
+            distinct = list(equal)
+            for leaf in blind_trie(distinct):
+                same = equal[distinct[leaf[0]]]
                 for m in same:
-                    rank[members[m]] = base + done
+                    rank[m] = base + done
                 done += len(same)
     return rank
 
@@ -205,21 +212,19 @@ class Bytes(Kind):
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.RecordBatch] = []
+            last, rows = None, 0
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                key = np.stack([batch.column("name").to_numpy(), batch.column("share").to_numpy().astype(np.int64)])
-                edge = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+                name, share = batch.column("name").to_numpy(), batch.column("share").to_numpy()
+                edge = np.flatnonzero((name[1:] != name[:-1]) | (share[1:] != share[:-1])) + 1
                 cuts = [0, *edge.tolist(), batch.num_rows]
-                if held and (held[-1].column("name")[-1], held[-1].column("share")[-1]) != (
-                    batch.column("name")[0], batch.column("share")[0]
-                ):
-                    yield from self._sorted(_join(held))
-                    held = []
-                if len(cuts) > 2:
-                    yield from self._sorted(_join([*held, batch.slice(0, cuts[-2])]))
-                    held = []
-                held.append(batch.slice(cuts[-2]))
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    if rows >= TOGETHER and last != (name[a], share[a]):
+                        yield from self._sorted(_join(held))
+                        held, rows = [], 0
+                    held.append(batch.slice(a, b - a))
+                    last, rows = (name[a], share[a]), rows + b - a
             if held:
                 yield from self._sorted(_join(held))
 
