@@ -3,7 +3,8 @@
 A text's set holds its distinct five-word shingles; two texts link when their sets' Jaccard similarity
 reaches the threshold. All sets are read in one global order, rare shingles first. If two sets are
 similar, their first n - ceil(t n) + k shingles have at least k in common; every text picks its own k by
-the candidates that its prefix shingles would bring, and a pair must match as often as the smaller k.
+the candidates that its prefix shingles would bring, and a pair must match as often as the smaller k, and as
+often as the two sizes ask for.
 
 Equal sets become one node before any comparison. Similar groups are then joined up in rounds: in every
 prefix shingle's list each node is compared with one hub only, and lists whose nodes are all connected
@@ -38,7 +39,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 #: Hashed frequency counters: a fixed size whatever the corpus.
 COUNTERS = 1 << 17
 MOST_MATCHES = 4
-HUB_ROUNDS = 4
+HUB_ROUNDS = 2
 #: What verifying one candidate costs, in prefix rows.
 VERIFY_COST = 8.0
 
@@ -149,6 +150,18 @@ def similar_size(a: str, b: str):
     return (F.col(a) * DENOMINATOR >= F.col(b) * NUMERATOR) & (F.col(b) * DENOMINATOR >= F.col(a) * NUMERATOR)
 
 
+def enough_matches(n_a: str, k_a: str, n_b: str, k_b: str, matches: str = "matches"):
+    """Whether two sets can still be similar, given how many of their prefix shingles are common.
+
+    Common shingles are either in both prefixes or behind the one that ends first, so their number
+    is at most the matches plus what that set has left: n - prefix = ceil(t n) - k. Similar sets
+    of these sizes need ceil(t / (1 + t) (n_a + n_b)).
+    """
+    left = [F.ceil(F.col(n) * NUMERATOR / DENOMINATOR) - F.col(k) for n, k in ((n_a, k_a), (n_b, k_b))]
+    needed = F.ceil((F.col(n_a) + F.col(n_b)) * NUMERATOR / (NUMERATOR + DENOMINATOR) - 1e-9)
+    return (F.col(matches) >= F.least(k_a, k_b)) & (F.col(matches) + F.greatest(*left) >= needed)
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the threshold, by their whole texts."""
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
@@ -175,13 +188,18 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
     """For each node one hub of another label: of its lists' hubs the one met most often."""
-    hub = F.min(F.struct(F.xxhash64(F.col("node"), F.lit(round_)).alias("h"), "node", "n", "label")).alias("hub")
+    hub = F.min(F.struct(F.xxhash64(F.col("node"), F.lit(round_)).alias("h"), "node", "n", "k", "label")).alias("hub")
     lists = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), hub)
     lists = lists.where("low < high").select(
-        "token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.label").alias("hub_label")
-    )
+        "token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.k").alias("hub_k"),
+        F.col("hub.label").alias("hub_label"),
+    )
+    lists = store(lists, "lists")
     met = rows.join(lists, "token").where((F.col("label") != F.col("hub_label")) & similar_size("n", "hub_n"))
-    counted = met.groupBy("node", "hub").agg(F.count("*").alias("matches"))
+    counted = met.groupBy("node", "hub").agg(
+        F.count("*").alias("matches"), F.first(F.struct("n", "k", "hub_n", "hub_k")).alias("s")
+    )
+    counted = counted.select("node", "hub", "matches", "s.*").where(enough_matches("n", "k", "hub_n", "hub_k"))
     return counted.groupBy("node").agg(F.max_by("hub", F.struct("matches", "hub")).alias("hub")).toDF("a", "b")
 
 
@@ -194,6 +212,7 @@ def _remaining_pairs(rows: DataFrame) -> DataFrame:
     lists = by_label.groupBy("token").agg(
         F.count("*").alias("labels"), F.max_by("label", F.struct("c", "label")).alias("main")
     ).where("labels > 1").select("token", "main")
+    lists = store(lists, "lists")
     there = rows.join(lists, "token")
     few = there.where("label != main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "k", "label")])
     met = few.join(there, "token").where(
@@ -201,10 +220,11 @@ def _remaining_pairs(rows: DataFrame) -> DataFrame:
         & ((F.col("label") == F.col("main")) | (F.col("x_node") < F.col("node")))
         & similar_size("x_n", "n")
     )
-    counted = met.groupBy(F.col("x_node").alias("a"), F.col("node").alias("b")).agg(
-        F.count("*").alias("matches"), F.first(F.least("x_k", "k")).alias("needed")
-    )
-    return counted.where("matches >= needed").select("a", "b")
+    # one list may pair two nodes this way and another that way round: a pair has one name
+    pair = F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")
+    counted = met.groupBy(*pair).agg(F.count("*").alias("matches"), F.first(F.struct("n", "k", "x_n", "x_k")).alias("s"))
+    enough = counted.select("a", "b", "matches", "s.*").where(enough_matches("n", "k", "x_n", "x_k"))
+    return enough.select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
@@ -217,8 +237,10 @@ def near_duplicates(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     texts_of = described_rows.where("_row IS NOT NULL").select("_row", "doc_id", "n", "node")
     hits = counters(described_rows)
     candidates = prefixes(docs, hits)
-    shared = candidates.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    rows = store(candidates.join(shared.select("token"), "token", "left_semi").distinct(), "prefixes")
+    # what a hot side is joined with is stored first: Spark splits it only next to its exchange
+    ends = candidates.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    shared = store(ends.where("low < high").select("token"), "tokens")
+    rows = store(candidates.join(shared, "token", "left_semi").distinct(), "prefixes")
     release(docs.sparkSession)
 
     one = texts_of.where("node IS NOT NULL").groupBy("node").agg(F.min("_row").alias("_row"))
@@ -232,13 +254,13 @@ def near_duplicates(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
         pairs = _hub_pairs(known, round_) if round_ < hub_rounds else _remaining_pairs(known)
         found = store(verified(store(pairs, "pairs"), texts), "verified")
         links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        labels = components(links, None if round_ == hub_rounds else 1)
         release(docs.sparkSession)
 
     nodes = texts_of.groupBy("node").agg(F.min("doc_id").alias("least")).where("node IS NOT NULL")
     rooted = _labelled(nodes, labels)
-    least = rooted.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "label").select("node", "component_id")
+    least = store(rooted.groupBy("label").agg(F.min("least").alias("component_id")), "least")
+    named = store(rooted.join(least, "label").select("node", "component_id"), "named")
     return texts_of.join(named, "node", "left").select(
         "_row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
