@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.llm import jaccard, mixing, packing, quality, substrings
-from seqloom.llm.store import store
+from seqloom.llm.store import REST, rest_of, store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,14 +30,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without their repeated passages; what has lost nothing keeps its text as it is."""
-    columns = docs.columns
     cut = substrings.dedup_substrings(docs)
-    text = F.when(F.col("_n_removed") > 0, F.col("_kept")).otherwise(F.col("text"))
-    changed = cut.withColumn("text", text)
-    if "n_chars" in columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")))
-        changed = changed.withColumn("n_chars", F.col("n_chars").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*[F.col(f"`{c}`") for c in columns])
+    lost = F.col("_n_removed") > 0
+    made = {"text": F.when(lost, F.col("_kept")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        given = F.col(REST).getField("n_chars")
+        made["n_chars"] = F.when(lost, F.length("_kept").cast(kind)).otherwise(given)
+    return cut.select(*rest_of(docs.columns, ("text",), made))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.store import store
+from seqloom.llm.store import REST, pack_rest, rest_of, store
 from seqloom.llm.words import word_count
 
 #: Header lines and licence openings by licence id (fixed values).
@@ -151,18 +151,19 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
     the inherited one) and inherited_from (the licence file's path). Texts are not passed on.
     """
     columns = [c for c in files.columns if c != "text" and c not in VERDICT]
-    numbered = files.withColumn("_row", F.monotonically_increasing_id())
+    numbered = pack_rest(files, "path", "text").withColumn("_row", F.monotonically_increasing_id())
     own = store(own_licences(numbered.select("_row", "text"), templates, threshold), "licences")
-    words = numbered.select(*[F.col(f"`{c}`") for c in columns], "_row", word_count(F.col("text")).alias("_words"))
+    words = numbered.select(REST, "path", "_row", word_count(F.col("text")).alias("_words"))
     share = F.col("licensed_words") >= F.col("_words") * F.lit(file_share)
     told = words.join(own, "_row", "left").withColumn("is_license_file", F.coalesce(share, F.lit(False)))
     told = store(told.withColumn("_dir", _directory(F.col("path"))), "told")
     best = F.min(F.struct((-F.col("own_score")).alias("s"), "path", "own_license")).alias("f")
     speakers = told.where("is_license_file AND path IS NOT NULL").groupBy(F.col("_dir").alias("of_dir")).agg(best)
     speakers = speakers.select("of_dir", F.col("f.own_license").alias("license"), F.col("f.path").alias("path"))
-    heirs = inherited(told.where("_dir IS NOT NULL").select(F.col("_dir").alias("dir")).distinct(), speakers)
+    below = told.where("_dir IS NOT NULL").select(F.col("_dir").alias("dir")).distinct()
+    heirs = store(inherited(below, speakers), "heirs")
     return told.join(heirs, F.col("_dir") == F.col("dir"), "left").select(
-        *[F.col(f"`{c}`") for c in columns],
+        *rest_of(columns, ("path",)),
         *["own_license", "own_score", "licenses", "is_license_file"],
         F.coalesce("own_license", "inherited_license").alias("license"),
         F.when(F.col("own_license").isNull(), F.col("inherited_from")).alias("inherited_from"),

@@ -8,6 +8,7 @@ from public_tokenizers import path as tokenizer_path
 
 from seqloom.llm import fingerprints, jaccard, licenses, lm, mixing, packing, quality, substrings, suffixes, urls
 from seqloom.llm.registry import QUERIES, query, table
+from seqloom.llm.store import REST
 
 __all__ = ["QUERIES"]
 
@@ -29,7 +30,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.dedup_substrings(docs).select(
-        "doc_id",
+        F.col(REST).getField("doc_id").alias("doc_id"),
         F.col("_n_units").alias("n_words"),
         F.col("_n_removed").alias("n_removed"),
         F.sha2("_kept", 256).alias("kept_sha256"),
@@ -67,7 +68,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.dedup_bytes(docs).select(
-        "doc_id",
+        F.col(REST).getField("doc_id").alias("doc_id"),
         F.col("_n_units").alias("n_bytes"),
         F.col("_n_removed").alias("n_removed"),
         F.col("_n_spans").alias("n_spans"),

@@ -25,10 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from seqloom.llm import tokens as T
 from seqloom.llm.shipping import map_arrow
-from seqloom.llm.store import release, store
+from seqloom.llm.store import REST, pack_rest, release, store
 
 
 @dataclass
@@ -209,12 +210,9 @@ def _first_pass(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
                     [*columns, "_starts", "_ends", "_pending", "_open"],
                 )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     opened = f"struct<name:bigint,start:int,weight:int,windows:int,variants:bigint,content:{kind.content}>"
-    return map_arrow(
-        docs.join(marks, "_row", "left"), run,
-        f"{fields}, _starts array<int>, _ends array<int>, _pending boolean, _open array<{opened}>",
-    )
+    made = S.StructType.fromDDL(f"_starts array<int>, _ends array<int>, _pending boolean, _open array<{opened}>")
+    return map_arrow(docs.join(marks, "_row", "left"), run, S.StructType([*docs.schema.fields, *made.fields]))
 
 
 def _lengths(lists: pa.Array):
@@ -254,18 +252,18 @@ def _second_pass(frame: DataFrame, columns: list[str], kind: Kind, kept_type: st
                     [*columns, "_n_units", "_n_removed", "_n_spans", "_kept"],
                 )
 
-    fields = ", ".join(f"`{c}` {frame.schema[c].dataType.simpleString()}" for c in columns)
-    return map_arrow(frame, run, f"{fields}, _n_units long, _n_removed long, _n_spans long, _kept {kept_type}")
+    made = S.StructType.fromDDL(f"_n_units long, _n_removed long, _n_spans long, _kept {kept_type}")
+    return map_arrow(frame, run, S.StructType([*[frame.schema[c] for c in columns], *made.fields]))
 
 
 def remove_repeats(docs: DataFrame, kind: Kind, kept_type: str) -> DataFrame:
-    """Every row of `docs` with `_n_units`, `_n_removed`, `_n_spans` and `_kept`.
+    """(`__rest`, text, `_n_units`, `_n_removed`, `_n_spans`, `_kept`) of every row of `docs`.
 
-    `docs` must be a stored table (it is read twice, and rows are told apart by their place in it);
-    `staging.stage` makes one of any frame.
+    The struct holds all columns but the text. `docs` must be a stored table (it is read twice, and rows
+    are told apart by their place in it); `staging.stage` makes one of any frame.
     """
-    columns = docs.columns
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    columns = [REST, "text"]
+    numbered = pack_rest(docs, "text").withColumn("_row", F.monotonically_increasing_id())
     marks = range_marks(occurrences(numbered, kind))
     first = store(_first_pass(numbered, marks, kind), "spans")
     del marks

@@ -12,6 +12,7 @@ import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _shipped: set[str] = set()
 #: Rows of an Arrow batch: with whole texts in them, Spark's default would fill a worker's memory.
@@ -34,7 +35,7 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return df.mapInArrow(run, schema)

@@ -8,8 +8,8 @@ anchor, named by all its words.
 
 Defined results: null and empty texts, and texts shorter than a window, lose nothing; exact copies of a
 text of at least one window lose all of their words; kept words are joined by one space; windows are judged on the
-input, not on what is left; equal rows get equal results; an empty table gives an empty result; other
-columns are passed through.
+input, not on what is left; equal rows get equal results; an empty table gives an empty result; all other
+columns travel in one struct.
 """
 
 from __future__ import annotations
@@ -86,5 +86,5 @@ class Words(Kind):
 
 
 def dedup_substrings(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Every row with `_n_units` (words), `_n_removed`, `_n_spans` and `_kept`, the text that stays."""
+    """Every row as (`__rest`, text, `_n_units` (words), `_n_removed`, `_n_spans`, `_kept`: the text that stays)."""
     return remove_repeats(docs, Words(size), "string")
