@@ -41,6 +41,8 @@ MARKING = frozenset(
 )
 SEED_SHARE = 2e-5
 SEED_COUNT = 3
+#: Words of smoothing that each class gets, spread as in all pages.
+SMOOTHING = 20.0
 #: Names whose segmentation a Python worker remembers.
 REMEMBERED = 200_000
 
@@ -157,18 +159,24 @@ def learn_words(texts: DataFrame, column: str) -> Segmenter:
 
 
 class Bayes:
-    """Multinomial naive Bayes with add-one smoothing; `weights` are log odds of block to allow."""
+    """Multinomial naive Bayes; `weights` are log odds of block to allow.
+
+    Both classes are smoothed towards the words of all pages, so that a word's rarity alone says nothing.
+    """
 
     def __init__(self, block: dict[str, int], allow: dict[str, int], pages: tuple[int, int]):
         block = dict(block)
         for w in MARKING:
             block[w] = block.get(w, 0) + SEED_COUNT
         vocabulary = set(block) | set(allow)
-        nb, na, v = sum(block.values()), sum(allow.values()), len(vocabulary) + 1
+        nb, na = sum(block.values()), sum(allow.values())
+        every = nb + na + len(vocabulary)
         self.prior = math.log((pages[0] + 1) / (pages[1] + 1))
-        self.weights = {
-            w: math.log((block.get(w, 0) + 1) / (nb + v)) - math.log((allow.get(w, 0) + 1) / (na + v)) for w in vocabulary
-        }
+        self.weights = {}
+        for w in vocabulary:
+            b, a = block.get(w, 0), allow.get(w, 0)
+            base = SMOOTHING * (b + a + 1) / every
+            self.weights[w] = math.log((b + base) / (nb + SMOOTHING)) - math.log((a + base) / (na + SMOOTHING))
 
     def log_odds(self, words: list[str]) -> float:
         return self.prior + sum(self.weights.get(w, 0.0) for w in words)
