@@ -29,7 +29,7 @@ from pyspark.sql import types as S
 
 from seqloom.llm import tokens as T
 from seqloom.llm.shipping import map_arrow
-from seqloom.llm.store import REST, pack_rest, release, store
+from seqloom.llm.store import REST, pack_rest, release, settled, store
 
 
 @dataclass
@@ -264,10 +264,9 @@ def remove_repeats(docs: DataFrame, kind: Kind, kept_type: str) -> DataFrame:
     """
     columns = [REST, "text"]
     numbered = pack_rest(docs, "text").withColumn("_row", F.monotonically_increasing_id())
-    marks = range_marks(occurrences(numbered, kind))
-    first = store(_first_pass(numbered, marks, kind), "spans")
-    del marks
-    release(first.sparkSession)
+    first = settled(
+        docs.sparkSession, "spans", lambda: _first_pass(numbered, range_marks(occurrences(numbered, kind)), kind)
+    )
     opened = first.where(F.size("_open") > 0).select("_row", F.inline("_open"))
     more = kind.repeated(opened).groupBy("_row").agg(F.collect_list(F.struct("start", "end")).alias("_more"))
     none = F.array().cast("array<int>")

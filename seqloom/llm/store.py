@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.staging import new_path
+from seqloom.staging import new_path, scope
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -18,6 +19,16 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """Write what `make` gives, then delete the intermediate tables that it wrote on the way."""
+    path = new_path(spark, label)
+    with scope(spark):
+        made = make()
+        made.write.option("compression", "zstd").parquet(path)
+    release(spark)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files that no live frame refers to."""
     gc.collect()
