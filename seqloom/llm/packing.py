@@ -21,8 +21,10 @@ import random
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,10 +44,17 @@ GENERATIONS = 4
 REMEMBERED = 1_000_000
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_CLOSING = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
+
+
 class Encoder:
-    """Ids of whole texts, encoding each distinct space-separated word once.
+    """Ids of whole texts, encoding each distinct part of a word once.
 
-    The tokenizer drops white space before anything else, so a text's ids are its words' ids in a row.
+    The tokenizer drops white space and ASCII case before anything else and always cuts between letters
+    and closing punctuation, so a text's ids are its parts' ids in a row. A word that is not plain ASCII
+    letters with closing punctuation is a part of its own, as it stands. Parts are known by 64-bit hashes.
     """
 
     def __init__(self, path: str):
@@ -56,47 +65,62 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.known: dict[bytes, int] = {}
-        self.stems: dict[bytes, list[int]] = {}
+        self.known: dict[int, int] = {}
         self.pool = np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
 
-    @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, bytes]:
-        """(stem, closing punctuation): the tokenizer ignores ASCII case and always cuts between the two."""
-        if not word.isascii() or b"<" in word:
-            return word, b""
-        stem = word.rstrip(b".,;:!?")
-        if not stem[-1:].isalpha():
-            return word.lower(), b""
-        return stem.lower(), word[len(stem) :]
-
-    def _learn(self, new: list[bytes]) -> None:
-        parts = [self._parts(w) for w in new]
-        unseen = list({p for pair in parts for p in pair if p and p not in self.stems})
-        found = self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in unseen], add_special_tokens=False)
-        self.stems.update(zip(unseen, (e.ids for e in found), strict=True))
-        ids = [self.stems[a] + self.stems[b] if b else self.stems[a] for a, b in parts]
+    def _learn(self, keys: list[int], new: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+        ids = [e.ids for e in found]
         length = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(length.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))
         start = len(self.pool) + np.cumsum(length) - length
-        self.known.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
+        self.known.update(zip(keys, range(len(self.start), len(self.start) + len(new)), strict=True))
         self.pool = np.concatenate([self.pool, flat])
         self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
 
+    @staticmethod
+    def _parts(data: np.ndarray, at: np.ndarray):
+        """(bytes, starts, ends, offsets): words cut into letters and closing punctuation where that is all they are."""
+        starts, ends, of_text = T.words(data, at)
+        other = np.concatenate([[0], np.cumsum(~_LETTER[data])])
+        body = np.maximum.accumulate(np.where(_CLOSING[data], 0, np.arange(1, len(data) + 1)))
+        stem = body[ends - 1] if len(ends) else ends
+        plain = (stem > starts) & (other[np.maximum(stem, starts)] == other[starts])
+        cut = np.where(plain, stem, ends)
+        tail = cut < ends
+        folded = data.copy()
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[starts[plain]] += 1
+        inside[cut[plain]] -= 1
+        lowered = (np.cumsum(inside[:-1]) > 0) & (data < 97)
+        folded[lowered] += np.uint8(32)
+        count = 1 + tail.astype(np.int64)
+        place = np.cumsum(count) - count
+        first, last = np.empty(int(count.sum()), np.int64), np.empty(int(count.sum()), np.int64)
+        first[place], last[place] = starts, cut
+        first[place[tail] + 1], last[place[tail] + 1] = cut[tail], ends[tail]
+        return folded, first, last, np.append(place, len(first))[of_text]
+
     def encode(self, data: np.ndarray, at: np.ndarray, closing: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of the texts, each followed by the closing id."""
-        starts, ends, of_text = T.words(data, at)
-        _, first, which = np.unique(T.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        distinct = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        data, starts, ends, of_text = self._parts(data, at)
+        which, distinct = pd.factorize(T.word_hashes(data, starts, ends))
+        first = np.empty(len(distinct), np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
         if len(self.known) > REMEMBERED:
             self._forget()
-        new = [w for w in distinct if w not in self.known]
-        if new:
-            self._learn(new)
-        slot = np.fromiter((self.known[w] for w in distinct), np.int64, len(distinct))[which]
+        keys = distinct.tolist()
+        known = self.known
+        slots = np.array([known.get(k, -1) for k in keys], np.int64)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            raw = data.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+            slots[new] = len(self.start) + np.arange(len(new))
+            self._learn(distinct[new].tolist(), [raw[a:b] for a, b in spans])
+        slot = slots[which]
         n_texts = len(at) - 1
         length = np.ones(len(starts) + n_texts, np.int64)
         source = np.full(len(length), len(self.pool), np.int64)  # the closing id stands behind the pool
@@ -107,11 +131,21 @@ class Encoder:
         return ids, np.concatenate([[0], np.cumsum(length)])[entry]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One encoder per Python worker, which Spark uses for task after task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, closing: int = CLOSING_ID) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): the token pieces of every row's whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in batches:
             for part in T.blocks(batch, "text"):
                 ids, at = encoder.encode(*T.texts(part.column("text")), closing)
@@ -259,7 +293,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIE
         "shard", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), lengths
     ).withColumns({"elite": none, "migrant": none})
     for epoch in range(epochs):
-        state = state.repartition(F.col("shard"), F.col("island"))
+        state = state.repartition(max(1, shards * islands // 4), "shard", "island")
         evolved = stage(_epoch(state, capacity, epoch), "islands")
         moved = evolved.select(
             "shard", F.pmod(F.col("island") + 1, F.lit(islands)).cast("int").alias("island"), F.col("elite").alias("migrant")
