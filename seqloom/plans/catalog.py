@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import files
-from seqloom.operators import aggregates as agg
 from seqloom.operators import catalog, sequence
 from seqloom.plans import inputs
-from seqloom.plans.inputs import FILE_KIND, FINISHED, RUN_FILES, RUNS, SAMPLES, SERIES, SIZE_GB
+from seqloom.plans.inputs import FILE_KIND, RUN_FILES, RUNS, SAMPLES, SERIES, SIZE_GB
 from seqloom.plans.registry import query
 from seqloom.sources import listing
 from seqloom.staging import new_path
