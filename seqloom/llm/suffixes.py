@@ -7,11 +7,11 @@ depth, then a blind trie for each group that still shares its prefix. Neighbours
 window are repeats.
 
 Anchors with very many different ranges are dealt over several tasks by range content; the tasks' sorted
-windows then meet once more as counted fingerprints, so no anchor needs to fit one task.
+windows then meet once more as counted fingerprints, dealt by their own value, so no anchor needs to fit one task.
 
 Defined results: texts are UTF-8 bytes, a null text is empty; texts shorter than a window lose nothing; exact copies of a
 text of at least one window lose all; strings are judged on the input, overlaps count; equal rows get
-equal results; an empty table gives an empty result; other columns are passed through.
+equal results; an empty table gives an empty result; all other columns travel in one struct.
 """
 
 from __future__ import annotations
@@ -193,14 +193,15 @@ class Bytes(Kind):
         after = np.zeros(len(twice), bool)
         after[:-1] = twice[1:] & (owner[1:] == owner[:-1])
         opens, closes = np.flatnonzero(twice & ~before), np.flatnonzero(twice & ~after)
-        none = np.zeros(len(opens), np.int64)
-        yield _answers(row[opens], place[opens], place[closes] + self.size, none, none, none, known=True)
+        yield _answers(row[opens], place[opens], place[closes] + self.size)
         leads = np.zeros(len(rank), bool)
         leads[np.unique(rank, return_index=True)[1]] = True
         tell = np.flatnonzero(dealt & leads)
         if len(tell):
-            prints = T.span_hash(T.fold(T.byte_values(data)), start[tell], start[tell] + self.size).view(np.int64)
-            yield _answers(row[tell], place[tell], place[tell] + self.size, name[owner[tell]], prints, total[tell], known=False)
+            prints = T.span_hash(T.fold(T.byte_values(data)), start[tell], start[tell] + self.size)
+            shares = rows.column("deal").to_numpy()[owner[tell]].astype(np.uint64)
+            yield _packed(name[owner[tell]], (prints % shares).astype(np.int32), prints.view(np.int64), total[tell],
+                          np.where(total[tell] == 1, row[tell], -1), place[tell])
 
     def repeated(self, open_ranges: DataFrame) -> DataFrame:
         deal = F.ceil(F.col("variants") / TOGETHER)
@@ -229,21 +230,76 @@ class Bytes(Kind):
                 yield from self._sorted(_join(held))
 
         answers = store(map_arrow(spread, run, _ANSWER), "suffixes")
-        once_more = answers.where("NOT known")
-        several = once_more.groupBy("name", "print").agg(F.sum("n").alias("total")).where("total > 1")
-        met = once_more.where("n = 1").join(several, ["name", "print"]).select("_row", "start", "end")
-        return answers.where("known").select("_row", "start", "end").unionByName(met)
+        told = answers.where("name IS NOT NULL").select("name", "block", "prints", "counts", "rows", "starts")
+        meeting = told.repartition("name", "block").sortWithinPartitions("name", "block")
+        met = map_arrow(meeting, self._meet, "_row long, start int, end int")
+        return answers.where("name IS NULL").select("_row", "start", "end").unionByName(met)
+
+    def _meet(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows that one task saw once and another task saw too, as runs; a block of an anchor lies together."""
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def answer() -> pa.RecordBatch:
+            part = _join(held)
+            prints, counts, rows, starts = (
+                part.column(c).flatten().to_numpy().astype(np.int64) for c in ("prints", "counts", "rows", "starts")
+            )
+            _, which = np.unique(prints, return_inverse=True)
+            again = (np.bincount(which, counts)[which] > 1) & (rows >= 0)
+            order = np.lexsort((starts[again], rows[again]))
+            row, start = rows[again][order], starts[again][order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
+            opens = np.flatnonzero(new)
+            closes = np.append(opens[1:], len(row))[: len(opens)] - 1
+            ends = (start[closes] + self.size).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(row[opens]), pa.array(start[opens].astype(np.int32)), pa.array(ends)],
+                                              ["_row", "start", "end"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key = (batch.column("name")[i].as_py(), batch.column("block")[i].as_py())
+                if held and key != last:
+                    yield answer()
+                    held = []
+                held.append(batch.slice(i, 1))
+                last = key
+        if held:
+            yield answer()
 
     def keep(self, text, kept):
         return np.frombuffer(text, np.uint8)[kept].tobytes()
 
 
-_ANSWER = "_row long, start int, end int, name long, print long, n long, known boolean"
+_ANSWER = (
+    "_row long, start int, end int, name long, block int, prints array<long>, counts array<long>, rows array<long>,"
+    " starts array<int>"
+)
+_NAMES = [part.split()[0] for part in _ANSWER.split(", ")]
+_LISTS = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
 
 
-def _answers(row, start, end, name, prints, n, known: bool) -> pa.RecordBatch:
-    columns = [row, start.astype(np.int32), end.astype(np.int32), name, prints, n, np.full(len(row), known)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_row", "start", "end", "name", "print", "n", "known"])
+def _answers(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    """Runs of windows known to be repeated."""
+    n = len(row)
+    known = [pa.array(row), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))]
+    none = [pa.nulls(n, kind) for kind in (pa.int64(), pa.int32(), *map(pa.list_, _LISTS))]
+    return pa.RecordBatch.from_arrays(known + none, _NAMES)
+
+
+def _packed(name, block, prints, counts, rows, starts) -> pa.RecordBatch:
+    """One row per anchor and block of fingerprints: its windows' fingerprints, counts, rows and starts."""
+    order = np.lexsort((block, name))
+    name, block = name[order], block[order]
+    new = np.ones(len(name), bool)
+    new[1:] = (name[1:] != name[:-1]) | (block[1:] != block[:-1])
+    at = np.flatnonzero(new)
+    offsets = np.append(at, len(name))
+    n = len(at)
+    lists = [T.list_array(v[order], offsets, kind) for v, kind in zip((prints, counts, rows, starts), _LISTS, strict=True)]
+    none = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32())]
+    return pa.RecordBatch.from_arrays([*none, pa.array(name[at]), pa.array(block[at]), *lists], _NAMES)
 
 
 def _join(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -251,5 +307,5 @@ def _join(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def dedup_bytes(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Every row with `_n_units` (bytes), `_n_removed`, `_n_spans` and `_kept`, the bytes that stay."""
+    """Every row as (`__rest`, text, `_n_units` (bytes), `_n_removed`, `_n_spans`, `_kept`: the bytes that stay)."""
     return remove_repeats(docs, Bytes(size), "binary")
