@@ -6,8 +6,8 @@ similar, their first n - ceil(t n) + k shingles have at least k in common; every
 the candidates that its prefix shingles would bring, and a pair must match as often as the smaller k, and as
 often as the two sizes ask for.
 
-Equal sets become one node before any comparison. Similar groups are then joined up in rounds: in every
-prefix shingle's list each node is compared with one hub only, and lists whose nodes are all connected
+Equal sets become one node before any comparison. Similar groups are then joined up in rounds: of every
+prefix shingle's list each node is compared with a few hubs only, and lists whose nodes are all connected
 drop out. A last round compares what is left of the lists without any such choice, so that no link that
 would join two components is missed, while nodes already connected are never paired again.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from seqloom.llm import tokens as T
 from seqloom.llm.components import components
 from seqloom.llm.shipping import map_arrow
-from seqloom.llm.store import release, store
+from seqloom.llm.store import pack_rest, release, rest_of, settled, store
 
 SHINGLE = 5
 #: Threshold as a fraction, so that comparisons are exact.
@@ -40,12 +40,14 @@ NUMERATOR, DENOMINATOR = 75, 100
 COUNTERS = 1 << 17
 MOST_MATCHES = 4
 HUB_ROUNDS = 2
+#: Hubs of a list, and hubs that a node is compared with, in one round.
+HUBS = 4
 #: What verifying one candidate costs, in prefix rows.
 VERIFY_COST = 8.0
 
 
-def shingle_sets(data: np.ndarray, at: np.ndarray, width: int = SHINGLE) -> list[np.ndarray]:
-    """Each text's distinct shingle hashes, sorted."""
+def shingle_sets(data: np.ndarray, at: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets): each text's distinct shingles, sorted."""
     starts, ends, of_text = T.words(data := T.lower_ascii(data), at)
     folded = T.fold(T.word_hashes(data, starts, ends))
     n = np.diff(of_text)
@@ -53,12 +55,18 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, width: int = SHINGLE) -> list
     first = T.ragged(of_text[:-1], count)
     hashes = T.span_hash(folded, first, np.minimum(first + width, np.repeat(of_text[1:], count)))
     edges = np.concatenate([[0], np.cumsum(count)]).tolist()
-    return [np.unique(hashes[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    sets = [np.unique(hashes[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
+    return np.concatenate(sets) if sets else hashes, offsets
 
 
-def set_name(values: np.ndarray) -> int:
-    """A 64-bit name of a sorted set, as a signed number."""
-    return int(T.span_hash(T.fold(values), np.array([0]), np.array([len(values)])).view(np.int64)[0])
+def set_names(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """64-bit names of sorted sets, as signed numbers; an empty set's means nothing."""
+    return T.span_hash(T.fold(values), offsets[:-1], offsets[1:]).view(np.int64)
+
+
+def slots(values: np.ndarray) -> np.ndarray:
+    return (values & np.uint64(COUNTERS - 1)).astype(np.int64)
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -71,13 +79,13 @@ def described(docs: DataFrame) -> DataFrame:
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
             for part in T.blocks(batch, "text"):
-                sets = shingle_sets(*T.texts(part.column("text")))
-                for s in sets:
-                    np.add.at(hits, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-                none = pa.nulls(len(sets), pa.int64())
+                values, offsets = shingle_sets(*T.texts(part.column("text")))
+                hits += np.bincount(slots(values), minlength=COUNTERS)
+                n = np.diff(offsets)
+                none = pa.nulls(len(n), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_row"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([set_name(s) if len(s) else None for s in sets], pa.int64()), none, none],
+                    [part.column("_row"), part.column("doc_id"), pa.array(n), pa.array(set_names(values, offsets), mask=n == 0),
+                     none, none],
                     ["_row", "doc_id", "n", "node", "slot", "hits"],
                 )
         slot = np.flatnonzero(hits)
@@ -103,24 +111,29 @@ def counters(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def ordered_prefix(values: np.ndarray, hits: np.ndarray, noise: float) -> tuple[np.ndarray, int]:
-    """(prefix in the global order, matches that it asks for) of one set.
+def ordered_prefixes(values: np.ndarray, offsets: np.ndarray, hits: np.ndarray, noise: float):
+    """(prefix shingles in the global order, length and matches asked for of each set).
 
     Matches are chosen by estimated cost: each prefix shingle costs a row, and each hit its counter has
     beyond chance may become a candidate, of which k matches make one.
     """
-    n = len(values)
-    least = -(-NUMERATOR * n // DENOMINATOR)
-    seen = hits[(values & np.uint64(COUNTERS - 1)).astype(np.int64)]
+    seen = hits[slots(values)]
     level = np.minimum(255, 4 * np.log2(seen + 1.0)).astype(np.uint64)
     key = (level << np.uint64(56)) | (values >> np.uint64(8))
-    order = np.argsort(key)
-    most = min(MOST_MATCHES, least)
-    lengths = n - least + np.arange(1, most + 1)
-    brought = np.cumsum(np.maximum(seen[order] - noise, 0.0))[lengths - 1]
-    cost = lengths + VERIFY_COST * brought / np.arange(1, most + 1)
-    k = int(np.argmin(cost)) + 1
-    return key[order[: n - least + k]], k
+    edges = offsets.tolist()
+    order = [a + np.argsort(key[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    order = np.concatenate(order) if order else np.zeros(0, np.int64)
+    brought = np.concatenate([[0.0], np.cumsum(np.maximum(seen[order] - noise, 0.0))])
+    n, start = np.diff(offsets), offsets[:-1]
+    least = -(-NUMERATOR * n // DENOMINATOR)
+    cost = np.full((MOST_MATCHES, len(n)), np.inf)
+    for k in range(1, MOST_MATCHES + 1):
+        length = np.minimum(n - least + k, n)
+        hit = brought[start + length] - brought[start]
+        cost[k - 1] = np.where(k <= least, length + VERIFY_COST * hit / k, np.inf)
+    matches = np.argmin(cost, axis=0) + 1
+    length = np.where(n == 0, 0, n - least + matches)
+    return key[order][T.ragged(start, length)], length, matches
 
 
 def prefixes(docs: DataFrame, hits: np.ndarray) -> DataFrame:
@@ -131,15 +144,12 @@ def prefixes(docs: DataFrame, hits: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.blocks(batch, "text"):
-                found = [(s, *ordered_prefix(s, shared.value, noise)) for s in shingle_sets(*T.texts(part.column("text"))) if len(s)]
-                if not found:
-                    continue
-                count = [len(p) for _, p, _ in found]
-                repeat = lambda xs, kind: pa.array(np.repeat(np.array(xs, kind), count))  # noqa: B023, E731
+                values, offsets = shingle_sets(*T.texts(part.column("text")))
+                tokens, length, matches = ordered_prefixes(values, offsets, shared.value, noise)
+                n, node = np.diff(offsets), set_names(values, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([p for _, p, _ in found]).view(np.int64)),
-                     repeat([set_name(s) for s, _, _ in found], np.int64), repeat([len(s) for s, _, _ in found], np.int32),
-                     repeat([k for _, _, k in found], np.int32)],
+                    [pa.array(tokens.view(np.int64)), pa.array(np.repeat(node, length)),
+                     pa.array(np.repeat(n, length).astype(np.int32)), pa.array(np.repeat(matches, length).astype(np.int32))],
                     ["token", "node", "n", "k"],
                 )
 
@@ -171,10 +181,11 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             for half in T.blocks(batch, "ta"):
                 for part in T.blocks(half, "tb"):
-                    x = shingle_sets(*T.texts(part.column("ta")))
-                    y = shingle_sets(*T.texts(part.column("tb")))
-                    same = np.array([len(np.intersect1d(s, t, assume_unique=True)) for s, t in zip(x, y, strict=True)], np.int64)
-                    total = np.array([len(s) + len(t) for s, t in zip(x, y, strict=True)], np.int64) - same
+                    x, at_x = shingle_sets(*T.texts(part.column("ta")))
+                    y, at_y = shingle_sets(*T.texts(part.column("tb")))
+                    spans = zip(at_x[:-1].tolist(), at_x[1:].tolist(), at_y[:-1].tolist(), at_y[1:].tolist(), strict=True)
+                    same = np.array([len(np.intersect1d(x[a:b], y[c:d], assume_unique=True)) for a, b, c, d in spans], np.int64)
+                    total = np.diff(at_x) + np.diff(at_y) - same
                     yield part.select(["a", "b"]).filter(pa.array(DENOMINATOR * same >= NUMERATOR * total))
 
     return map_arrow(both.select("a", "b", "ta", "tb"), run, "a long, b long")
@@ -187,20 +198,31 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
-    """For each node one hub of another label: of its lists' hubs the one met most often."""
-    hub = F.min(F.struct(F.xxhash64(F.col("node"), F.lit(round_)).alias("h"), "node", "n", "k", "label")).alias("hub")
-    lists = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), hub)
-    lists = lists.where("low < high").select(
-        "token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.k").alias("hub_k"),
-        F.col("hub.label").alias("hub_label"),
+    """For each node some hubs of other labels: of its lists' hubs those met most often."""
+
+    def hub(i: int):
+        h = F.xxhash64(F.col("node"), F.lit(HUBS * round_ + i)).alias("h")
+        return F.min(F.struct(h, "node", "n", "k", "label"))
+
+    lists = rows.groupBy("token").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.array(*[hub(i) for i in range(HUBS)]).alias("hubs")
+    )
+    lists = store(lists.where("low < high").select("token", "hubs"), "lists")
+    met = rows.join(lists, "token").select(
+        "node", "n", "k", "label", F.explode(F.array_distinct(F.transform("hubs", lambda h: h.dropFields("h")))).alias("hub")
+    )
+    met = met.select(
+        "node", "n", "k", "label", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"),
+        F.col("hub.k").alias("hub_k"), F.col("hub.label").alias("hub_label"),
     )
-    lists = store(lists, "lists")
-    met = rows.join(lists, "token").where((F.col("label") != F.col("hub_label")) & similar_size("n", "hub_n"))
-    counted = met.groupBy("node", "hub").agg(
+    other = met.where((F.col("label") != F.col("hub_label")) & similar_size("n", "hub_n"))
+    counted = other.groupBy("node", "hub").agg(
         F.count("*").alias("matches"), F.first(F.struct("n", "k", "hub_n", "hub_k")).alias("s")
     )
     counted = counted.select("node", "hub", "matches", "s.*").where(enough_matches("n", "k", "hub_n", "hub_k"))
-    return counted.groupBy("node").agg(F.max_by("hub", F.struct("matches", "hub")).alias("hub")).toDF("a", "b")
+    best = F.slice(F.sort_array(F.collect_list(F.struct("matches", "hub")), asc=False), 1, HUBS)
+    chosen = counted.groupBy("node").agg(best.alias("hubs")).select("node", F.explode("hubs.hub").alias("hub"))
+    return chosen.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def _remaining_pairs(rows: DataFrame) -> DataFrame:
@@ -235,35 +257,41 @@ def near_duplicates(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     numbered = docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
     described_rows = described(numbered)
     texts_of = described_rows.where("_row IS NOT NULL").select("_row", "doc_id", "n", "node")
-    hits = counters(described_rows)
-    candidates = prefixes(docs, hits)
+    named = settled(docs.sparkSession, "named", lambda: _components(docs, numbered, described_rows, hub_rounds))
+    return texts_of.join(named, "node", "left").select(
+        "_row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def _components(docs: DataFrame, numbered: DataFrame, described_rows: DataFrame, hub_rounds: int) -> DataFrame:
+    """(node, component_id) of every set that is not empty."""
+    spark = docs.sparkSession
+    texts_of = described_rows.where("_row IS NOT NULL")
+    candidates = prefixes(docs, counters(described_rows))
     # what a hot side is joined with is stored first: Spark splits it only next to its exchange
     ends = candidates.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = store(ends.where("low < high").select("token"), "tokens")
     rows = store(candidates.join(shared, "token", "left_semi").distinct(), "prefixes")
-    release(docs.sparkSession)
+    release(spark)
 
     one = texts_of.where("node IS NOT NULL").groupBy("node").agg(F.min("_row").alias("_row"))
     needed = one.join(rows.select("node").distinct(), "node", "left_semi")
     texts = store(numbered.select("_row", "text").join(needed, "_row").select("node", "text"), "texts")
-    release(docs.sparkSession)
+    release(spark)
 
     links, labels = None, None
     for round_ in range(hub_rounds + 1):
         known = _labelled(rows, labels)
         pairs = _hub_pairs(known, round_) if round_ < hub_rounds else _remaining_pairs(known)
-        found = store(verified(store(pairs, "pairs"), texts), "verified")
+        found = store(verified(pairs, texts), "verified")
         links = found if links is None else links.unionByName(found)
-        labels = components(links, None if round_ == hub_rounds else 1)
-        release(docs.sparkSession)
+        labels = components(links, 1 if round_ < hub_rounds - 1 else None)
+        release(spark)
 
-    nodes = texts_of.groupBy("node").agg(F.min("doc_id").alias("least")).where("node IS NOT NULL")
+    nodes = texts_of.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = _labelled(nodes, labels)
     least = store(rooted.groupBy("label").agg(F.min("least").alias("component_id")), "least")
-    named = store(rooted.join(least, "label").select("node", "component_id"), "named")
-    return texts_of.join(named, "node", "left").select(
-        "_row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    return rooted.join(least, "label").select("node", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -276,4 +304,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     lead = grouped.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("lead")).select("lead._row")
     alone = found.where("n_shingles = 0").select("_row")
     kept = store(lead.unionByName(alone), "kept")
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").drop("_row")
+    release(docs.sparkSession)
+    packed = pack_rest(docs, "text").withColumn("_row", F.monotonically_increasing_id())
+    return packed.join(kept, "_row", "left_semi").select(*rest_of(docs.columns, ("text",)))

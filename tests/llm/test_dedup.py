@@ -183,7 +183,8 @@ def test_prefixes_of_similar_sets_share_what_is_asked():
         same = len(np.intersect1d(a, b))
         if 100 * same < 75 * (len(a) + len(b) - same):
             continue
-        (pa, ka), (pb, kb) = jaccard.ordered_prefix(a, hits, 100.0), jaccard.ordered_prefix(b, hits, 100.0)
+        (pa, _, ka), (pb, _, kb) = (jaccard.ordered_prefixes(v, np.array([0, len(v)]), hits, 100.0) for v in (a, b))
+        ka, kb = int(ka[0]), int(kb[0])
         matches = len(np.intersect1d(pa, pb))
         left = max(-(-75 * len(a) // 100) - ka, -(-75 * len(b) // 100) - kb)
         assert matches >= min(ka, kb) and matches + left >= -(-75 * (len(a) + len(b)) // 175)
