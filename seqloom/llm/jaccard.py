@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm import tokens as T
@@ -160,7 +160,7 @@ def similar_size(a: str, b: str):
     return (F.col(a) * DENOMINATOR >= F.col(b) * NUMERATOR) & (F.col(b) * DENOMINATOR >= F.col(a) * NUMERATOR)
 
 
-def enough_matches(n_a: str, k_a: str, n_b: str, k_b: str, matches: str = "matches"):
+def enough_matches(n_a: str, k_a: str, n_b: str, k_b: str, matches: Column):
     """Whether two sets can still be similar, given how many of their prefix shingles are common.
 
     Common shingles are either in both prefixes or behind the one that ends first, so their number
@@ -169,7 +169,7 @@ def enough_matches(n_a: str, k_a: str, n_b: str, k_b: str, matches: str = "match
     """
     left = [F.ceil(F.col(n) * NUMERATOR / DENOMINATOR) - F.col(k) for n, k in ((n_a, k_a), (n_b, k_b))]
     needed = F.ceil((F.col(n_a) + F.col(n_b)) * NUMERATOR / (NUMERATOR + DENOMINATOR) - 1e-9)
-    return (F.col(matches) >= F.least(k_a, k_b)) & (F.col(matches) + F.greatest(*left) >= needed)
+    return (matches >= F.least(k_a, k_b)) & (matches + F.greatest(*left) >= needed)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -198,11 +198,16 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
-    """For each node some hubs of other labels: of its lists' hubs those met most often."""
+    """For each node some hubs of other labels: of its lists' hubs those met most often.
+
+    Every other hub is drawn from the nodes with the least `rank`: the middle of a group of edited copies is
+    similar to all of them, while two copies need not be to one another.
+    """
 
     def hub(i: int):
-        h = F.xxhash64(F.col("node"), F.lit(HUBS * round_ + i)).alias("h")
-        return F.min(F.struct(h, "node", "n", "k", "label"))
+        first = (F.col("rank") if i % 2 == 0 else F.lit(0)).cast("int")
+        order = F.struct(first.alias("r"), F.xxhash64(F.col("node"), F.lit(HUBS * round_ + i)).alias("x"))
+        return F.min(F.struct(order.alias("h"), "node", "n", "k", "label"))
 
     lists = rows.groupBy("token").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.array(*[hub(i) for i in range(HUBS)]).alias("hubs")
@@ -219,7 +224,7 @@ def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
     counted = other.groupBy("node", "hub").agg(
         F.count("*").alias("matches"), F.first(F.struct("n", "k", "hub_n", "hub_k")).alias("s")
     )
-    counted = counted.select("node", "hub", "matches", "s.*").where(enough_matches("n", "k", "hub_n", "hub_k"))
+    counted = counted.select("node", "hub", "matches", "s.*").where(enough_matches("n", "k", "hub_n", "hub_k", F.col("matches")))
     best = F.slice(F.sort_array(F.collect_list(F.struct("matches", "hub")), asc=False), 1, HUBS)
     chosen = counted.groupBy("node").agg(best.alias("hubs")).select("node", F.explode("hubs.hub").alias("hub"))
     return chosen.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
@@ -236,16 +241,18 @@ def _remaining_pairs(rows: DataFrame) -> DataFrame:
     ).where("labels > 1").select("token", "main")
     lists = store(lists, "lists")
     there = rows.join(lists, "token")
-    few = there.where("label != main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "k", "label")])
+    few = there.where("label != main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "k", "label", "held")])
     met = few.join(there, "token").where(
         (F.col("x_label") != F.col("label"))
         & ((F.col("label") == F.col("main")) | (F.col("x_node") < F.col("node")))
         & similar_size("x_n", "n")
+        # no pair has more matches than either side has shingles in common with anything
+        & enough_matches("n", "k", "x_n", "x_k", F.least("held", "x_held"))
     )
     # one list may pair two nodes this way and another that way round: a pair has one name
     pair = F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")
     counted = met.groupBy(*pair).agg(F.count("*").alias("matches"), F.first(F.struct("n", "k", "x_n", "x_k")).alias("s"))
-    enough = counted.select("a", "b", "matches", "s.*").where(enough_matches("n", "k", "x_n", "x_k"))
+    enough = counted.select("a", "b", "matches", "s.*").where(enough_matches("n", "k", "x_n", "x_k", F.col("matches")))
     return enough.select("a", "b")
 
 
@@ -271,8 +278,14 @@ def _components(docs: DataFrame, numbered: DataFrame, described_rows: DataFrame,
     # what a hot side is joined with is stored first: Spark splits it only next to its exchange
     ends = candidates.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = store(ends.where("low < high").select("token"), "tokens")
-    rows = store(candidates.join(shared, "token", "left_semi").distinct(), "prefixes")
+    met = store(candidates.join(shared, "token", "left_semi").distinct(), "prefixes")
     release(spark)
+    # an edit's own shingles are in no other set: the more of its prefix a set shares, the fewer edits it has
+    length = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + F.col("k")
+    ranks = met.groupBy("node", "n", "k").agg(F.count("*").alias("held"))
+    ranks = ranks.select("node", "held", (-F.floor(16 * F.col("held") / length)).cast("int").alias("rank"))
+    ranks = store(ranks, "ranks")
+    rows = store(met.join(ranks, "node"), "ranked")
 
     one = texts_of.where("node IS NOT NULL").groupBy("node").agg(F.min("_row").alias("_row"))
     needed = one.join(rows.select("node").distinct(), "node", "left_semi")
