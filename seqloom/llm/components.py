@@ -26,6 +26,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b")))
 
 
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one root only, and no root hangs on another node."""
+    if not edges.groupBy("a").agg(F.count("*").alias("roots")).where("roots > 1").isEmpty():
+        return False
+    return edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
+
+
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, root) over rows (a, b): with `rounds` None the least node reachable, for all but the roots.
 
@@ -38,8 +45,7 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     while rounds is None or done < rounds:
         edges = store(_small_star(_large_star(edges).distinct()).distinct(), "links")
         done += 1
-        # stars are all there is when no root is below another node
-        if rounds is None and edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+        if rounds is None and _only_stars(edges):
             break
     stars = edges if rounds is None else edges.groupBy("a").agg(F.min("b").alias("b"))
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -210,6 +210,28 @@ def test_components(spark):
         assert {n: got.get(n, n) for n in nodes} == {n: find(n) for n in nodes}
 
 
+def test_components_of_a_node_between_two_roots(spark):
+    """After one round 5 and 6 hang on 1 and on 2, and neither root is below another node."""
+    links = spark.createDataFrame([(1, 5), (5, 6), (6, 7), (7, 2)], "a LONG, b LONG")
+    got = sorted((r.node, r.root) for r in components(links).collect())
+    assert got == [(2, 1), (5, 1), (6, 1), (7, 1)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_short_chains(spark, seed):
+    """Chains whose ids are in any order: every node once, on its chain's least."""
+    rng = random.Random(seed)
+    ids = rng.sample(range(10**6), 600)
+    links, least, at = [], {}, 0
+    while at < len(ids):
+        chain = ids[at : at + rng.randint(2, 9)]
+        links += zip(chain[:-1], chain[1:], strict=True)
+        least.update(dict.fromkeys(chain, min(chain)))
+        at += len(chain)
+    got = [(r.node, r.root) for r in components(spark.createDataFrame(links, "a LONG, b LONG")).collect()]
+    assert sorted(got) == sorted((n, m) for n, m in least.items() if n != m)
+
+
 def test_words_split_like_bytes():
     data = b"a\x0bb \xc3\xa9\x0c c\x1cd\r\n\te" + b"  " + b"f"
     starts, ends, offsets = T.words(np.frombuffer(data, np.uint8), np.array([0, 4, 4, len(data)]))
