@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from seqloom.llm import tokens as T
 from seqloom.llm.components import components
 from seqloom.llm.shipping import map_arrow
-from seqloom.llm.store import pack_rest, release, rest_of, settled, store
+from seqloom.llm.store import REST, number_rows, pack_rest, release, rest_of, settled, store
 
 SHINGLE = 5
 #: Threshold as a fraction, so that comparisons are exact.
@@ -257,24 +257,24 @@ def _remaining_pairs(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
-    """(_row, doc_id, n_shingles, component_id) for every row of `docs`, a stored table.
+    """(_row, doc_id, n_shingles, component_id) for every row of `docs`, a stored table; `_row` is `number_rows`' name."""
+    return _grouped(number_rows(docs.select("doc_id", "text")), hub_rounds)
 
-    `_row` is `monotonically_increasing_id()` on that table.
-    """
-    numbered = docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
+
+def _grouped(numbered: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     described_rows = described(numbered)
     texts_of = described_rows.where("_row IS NOT NULL").select("_row", "doc_id", "n", "node")
-    named = settled(docs.sparkSession, "named", lambda: _components(docs, numbered, described_rows, hub_rounds))
+    named = settled(numbered.sparkSession, "named", lambda: _components(numbered, described_rows, hub_rounds))
     return texts_of.join(named, "node", "left").select(
         "_row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
-def _components(docs: DataFrame, numbered: DataFrame, described_rows: DataFrame, hub_rounds: int) -> DataFrame:
+def _components(numbered: DataFrame, described_rows: DataFrame, hub_rounds: int) -> DataFrame:
     """(node, component_id) of every set that is not empty."""
-    spark = docs.sparkSession
+    spark = numbered.sparkSession
     texts_of = described_rows.where("_row IS NOT NULL")
-    candidates = prefixes(docs, counters(described_rows))
+    candidates = prefixes(numbered, counters(described_rows))
     # what a hot side is joined with is stored first: Spark splits it only next to its exchange
     ends = candidates.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = store(ends.where("low < high").select("token"), "tokens")
@@ -312,11 +312,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Only row numbers are compared and sent back; a text moves once, to meet its verdict.
     """
-    found = near_duplicates(docs)
+    packed = number_rows(pack_rest(docs, "text"))
+    found = _grouped(packed.select("_row", F.col(REST).getField("doc_id").alias("doc_id"), "text"))
     grouped = found.where("n_shingles > 0")
     lead = grouped.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("lead")).select("lead._row")
     alone = found.where("n_shingles = 0").select("_row")
     kept = store(lead.unionByName(alone), "kept")
     release(docs.sparkSession)
-    packed = pack_rest(docs, "text").withColumn("_row", F.monotonically_increasing_id())
     return packed.join(kept, "_row", "left_semi").select(*rest_of(docs.columns, ("text",)))

@@ -21,7 +21,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.store import REST, pack_rest, rest_of, store
+from seqloom.llm.store import REST, number_rows, pack_rest, rest_of, store
 from seqloom.llm.words import word_count
 
 #: Header lines and licence openings by licence id (fixed values).
@@ -151,7 +151,7 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
     the inherited one) and inherited_from (the licence file's path). Texts are not passed on.
     """
     columns = [c for c in files.columns if c != "text" and c not in VERDICT]
-    numbered = pack_rest(files, "path", "text").withColumn("_row", F.monotonically_increasing_id())
+    numbered = number_rows(pack_rest(files, "path", "text"))
     own = store(own_licences(numbered.select("_row", "text"), templates, threshold), "licences")
     words = numbered.select(REST, "path", "_row", word_count(F.col("text")).alias("_words"))
     share = F.col("licensed_words") >= F.col("_words") * F.lit(file_share)

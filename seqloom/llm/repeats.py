@@ -29,7 +29,7 @@ from pyspark.sql import types as S
 
 from seqloom.llm import tokens as T
 from seqloom.llm.shipping import map_arrow
-from seqloom.llm.store import REST, pack_rest, release, settled, store
+from seqloom.llm.store import REST, number_rows, pack_rest, release, settled, store
 
 
 @dataclass
@@ -258,11 +258,11 @@ def _second_pass(frame: DataFrame, columns: list[str], kind: Kind, kept_type: st
 def remove_repeats(docs: DataFrame, kind: Kind, kept_type: str) -> DataFrame:
     """(`__rest`, text, `_n_units`, `_n_removed`, `_n_spans`, `_kept`) of every row of `docs`.
 
-    The struct holds all columns but the text. `docs` must be a stored table (it is read twice, and rows
-    are told apart by their place in it); `staging.stage` makes one of any frame.
+    The struct holds all columns but the text. `docs` should be a stored Parquet table: it is read twice, and
+    rows are told apart by their file and place in it (`number_rows`).
     """
     columns = [REST, "text"]
-    numbered = pack_rest(docs, "text").withColumn("_row", F.monotonically_increasing_id())
+    numbered = number_rows(pack_rest(docs, "text"))
     first = settled(
         docs.sparkSession, "spans", lambda: _first_pass(numbered, range_marks(occurrences(numbered, kind)), kind)
     )

@@ -1,14 +1,15 @@
-"""Intermediate tables in the shared folder, compressed, and the shuffles behind them let go."""
+"""Intermediate tables in the shared folder, compressed, the shuffles behind them let go, and names of rows."""
 
 from __future__ import annotations
 
 import gc
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.staging import new_path, scope
+from seqloom.staging import new_path, scope, stage
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -35,6 +36,39 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+ROW = "_row"
+#: Bits of a row's name that hold its place in its file; those above hold the file's number.
+_PLACE_BITS = 40
+_PASSED_THROUGH = ("Project", "Filter", "SubqueryAlias")
+
+
+def _of_one_table(df: DataFrame) -> bool:
+    """Whether `df` is a scan of files, each row at most once."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in _PASSED_THROUGH:
+        plan = plan.children().apply(0)
+    return plan.nodeName() == "LogicalRelation"
+
+
+def number_rows(df: DataFrame) -> DataFrame:
+    """`df` with `_row`, a number of its own for every row, the same in every job however the scan is split.
+
+    A row of a Parquet table is named by its file (the files in order of their paths, one row of a broadcast
+    table each) and its place in that file. Any other frame is written once with its numbers.
+    """
+    if _of_one_table(df) and "_metadata" not in (c.lower() for c in df.columns):
+        try:
+            placed = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__place"))
+        except AnalysisException:  # no Parquet
+            placed = None
+        if placed is not None:
+            paths = sorted(r[0] for r in placed.select("__file").distinct().collect())
+            files = df.sparkSession.createDataFrame(list(enumerate(paths)), "__no long, __file string")
+            named = F.shiftleft("__no", _PLACE_BITS) + F.col("__place")
+            return placed.join(F.broadcast(files), "__file").select(*[F.col(f"`{c}`") for c in df.columns], named.alias(ROW))
+    return stage(df.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 REST = "__rest"
 
 

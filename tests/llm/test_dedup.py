@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from llm_corpus import docs, nothing, rows  # noqa: F401
 
-from seqloom.llm import jaccard, substrings, suffixes
+from seqloom.llm import jaccard, licenses, repeats, substrings, suffixes
 from seqloom.llm import tokens as T
 from seqloom.llm.components import components
 from seqloom.llm.recompression import range_minimum, recompress
@@ -232,6 +232,57 @@ def test_components_of_short_chains(spark, seed):
     assert sorted(got) == sorted((n, m) for n, m in least.items() if n != m)
 
 
+@pytest.fixture
+def other_splits(spark, monkeypatch):
+    """Scans are split otherwise after every stored table, as when executors come and go."""
+    names = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    turns = []
+
+    def turn():
+        turns.append(1)
+        spark.conf.set(names[0], str(2 + len(turns) % 2))
+
+    spark.conf.set(names[1], "1")
+    turn()
+    for module in (jaccard, licenses, repeats):
+        for name in {"store", "settled"} & set(vars(module)):
+
+            def turned(*given, plain=getattr(module, name)):
+                out = plain(*given)
+                turn()
+                return out
+
+            monkeypatch.setattr(module, name, turned)
+    yield turn
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_rows_keep_their_names_however_scans_are_split(spark, docs, rows, other_splits, tmp_path):
+    path = str(tmp_path / "one")
+    docs.coalesce(1).write.parquet(path)
+    stored = spark.read.parquet(path)
+    named = []
+    for _ in range(2):
+        named.append({r.doc_id: r._row for r in jaccard.near_duplicates(stored).collect()})
+        other_splits()
+    assert named[0] == named[1] and len(set(named[0].values())) == len(rows)
+    roots = linked([shingles(t) for _, t, _, _ in rows])
+    assert sorted(r.doc_id for r in jaccard.keep_one(stored).collect()) == [i for i in range(len(rows)) if roots[i] == i]
+    got = found(substrings.dedup_substrings(stored, 5))
+    gone = removed([(t or "").encode().split() for _, t, _, _ in rows], 5)
+    assert [got[i]["_n_removed"] for i in range(len(rows))] == [sum(g) for g in gone]
+    files = stored.selectExpr("doc_id", "concat('a/', doc_id) AS path", "text")
+    told = {r.doc_id: r.own_license for r in licenses.scan_licences(files).collect()}
+    assert {i for i, name in told.items() if name == "MIT"} == {i for i, t, _, _ in rows if "MIT License" in (t or "")}
+
+
+def test_rows_of_a_frame_that_is_no_table(spark, rows):
+    frame = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id LONG, text STRING")
+    roots = linked([shingles(t) for _, t, _, _ in rows])
+    assert sorted(r.doc_id for r in jaccard.keep_one(frame).collect()) == [i for i in range(len(rows)) if roots[i] == i]
+
+
 def test_words_split_like_bytes():
     data = b"a\x0bb \xc3\xa9\x0c c\x1cd\r\n\te" + b"  " + b"f"
     starts, ends, offsets = T.words(np.frombuffer(data, np.uint8), np.array([0, 4, 4, len(data)]))
