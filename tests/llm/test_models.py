@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -134,6 +135,51 @@ def test_segmentation_is_the_likeliest_split():
         assert sum(s._word(w) for w in s.split(name)) == pytest.approx(best(name))
 
 
+def brute_odds(pages):
+    """Log odds by dictionaries: every word of every url, and every markup word seen twice."""
+    seen = Counter(w for _, _, html in pages for w in re.findall(r"[^\W\d_]+", html.lower()) if len(w) <= urls.LONGEST_WORD)
+    total = sum(seen.values())
+    shares = {w: n / total for w, n in seen.items() if n >= 2}
+    shares |= {w: max(shares.get(w, 0.0), urls.SEED_SHARE) for w in urls.UNWANTED}
+    segmenter = urls.Segmenter({w: p for w, p in shares.items() if len(w) > 1 or w in "aiyoe"}, total)
+    split = {}
+    words = []
+    for _, url, _ in pages:
+        names = urls.url_names(*url_parts(url))
+        split |= {n: segmenter.split(n) for _, n in set(names) if n not in split}
+        words.append(Counter(mark + w for mark, n in names for w in split[n]))
+    bad = [any(w.lstrip("/") in urls.MARKING for w in ws) for ws in words]
+    block, every = Counter(dict.fromkeys(urls.MARKING, urls.SEED_COUNT)), Counter(dict.fromkeys(urls.MARKING, urls.SEED_COUNT))
+    for ws, b in zip(words, bad, strict=True):
+        every.update(ws)
+        block.update(ws if b else {})
+    n, nb, smooth = sum(every.values()), sum(block.values()), urls.SMOOTHING
+
+    def weight(w):
+        base = smooth * (every[w] + 1) / (n + len(every))
+        return math.log((block[w] + base) / (nb + smooth)) - math.log((every[w] - block[w] + base) / (n - nb + smooth))
+
+    prior = math.log((sum(bad) + 1) / (len(bad) - sum(bad) + 1))
+    return {i: prior + sum(c * weight(w) for w, c in ws.items()) for (i, _, _), ws in zip(pages, words, strict=True)}
+
+
+@pytest.mark.parametrize("many", [1, 1_100_000])
+def test_rare_words_count_at_every_size(spark, many):
+    """Markup words seen twice and url words seen once weigh the same way in small and in large tables."""
+    given = [
+        (0, "http://garden.org/" + "en/" * many, "<p>" + "filler " * (2 * many) + "</p>"),
+        (1, "http://casino.org/quixotry", "<p>zephyr lantern</p>"),
+        (2, "http://garden.org/quixotry", "<p>zephyr lantern</p>"),
+        (3, "http://zephyrlantern.org/en", ""),
+        (4, "http://zephyrlantern.org/en", ""),
+        (5, "http://garden.org/onceonly", ""),
+    ]
+    got = {r.page_id: r.log_odds for r in urls.judge_urls(spark.createDataFrame(given, "page_id LONG, url STRING, html STRING")).collect()}
+    want = brute_odds(given)
+    assert got == {i: pytest.approx(x, rel=1e-9, abs=1e-9) for i, x in want.items()}
+    assert got[3] == got[4]
+
+
 def test_licences(spark, tmp_path):
     files = [
         ("lib/LICENSE", "Released under the MIT License."),
