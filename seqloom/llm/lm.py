@@ -1,11 +1,9 @@
 """Cross-entropy difference: how much better a target model predicts a text than a background model.
 
-Both models are interpolated word bigram models over one vocabulary. Counts come from every word of
-every document; the tables kept for scoring are cut by *relative* frequency, which bounds their size
-at any corpus size: a word needs at least one in 2^20 of all words, a bigram one in 2^22 (and each at
-least two occurrences), so at most 2^20 and 2^22 entries can exist. That bound is what makes the
-tables fit for collecting and broadcasting; rarer words are the unknown word, and rarer bigrams leave
-their mass to the unigram part. Scoring is then one pass without a shuffle.
+Both models are interpolated word bigram models over one vocabulary: words and bigrams that the background
+holds at least twice, at any size. Other words are the unknown word, and other bigrams leave their mass to the
+unigram part. All counts stay Spark tables. Rows are taken in blocks; each block's own words and bigrams are
+joined to the tables, and every block is then counted or scored next to the entries that it needs.
 
 Defined results: a null text or one without words has n_words 0 and null losses and score; equal
 texts get equal scores; without target words (or an empty table) the target model is uniform; columns
@@ -23,16 +21,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm import tokens as T
-from seqloom.llm.shipping import map_arrow
-from seqloom.llm.store import release, store
+from seqloom.llm.shipping import map_arrow, ship
+from seqloom.llm.store import number_rows, release, settled, store
 
-WORDS_AT_MOST = 1 << 20
-BIGRAMS_AT_MOST = 1 << 22
+#: Occurrences in the background that a word and a bigram need, at any size.
+LEAST = 2
 INTERPOLATION = 0.7
 #: Distinct keys a task merges before it hands them on.
 TASK_KEYS = 2_000_000
-UNKNOWN, START, FIRST = 0, 1, 2
-_SHIFT = 21
+#: Rows of a block, as bits; hashes that stand for the unknown word and the start of a text.
+BLOCK_BITS = 10
+UNKNOWN, START = 0, 1
+BACKGROUND, TARGET, SCORED = 1, 2, 4
 _CLOSING = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
 
 
@@ -90,44 +90,12 @@ def _both(background: DataFrame, target: DataFrame, keys_of) -> DataFrame:
     return counts
 
 
-def _kept(counts: DataFrame, total: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, b, t) of keys with a background share of at least 1 / most: no more than `most` rows."""
-    least = max(2, -(-total // most))
-    rows = counts.where(F.col("b") >= least).toArrow()
-    key, b, t = (rows.column(c).to_numpy() for c in ("key", "b", "t"))
-    order = np.argsort(key)
-    return key[order], b[order], t[order]
-
-
-@dataclass
-class Models:
-    """Sorted keys and log probabilities of both models; index 0 is the target, 1 the background."""
-
-    words: np.ndarray
-    bigrams: np.ndarray
-    unigram: np.ndarray  # [2, words + 2] probabilities
-    backoff: np.ndarray  # [2, words + 2] mass the unigram part gets after each history
-    bigram: np.ndarray  # [2, bigrams] interpolated bigram part
-
-    def losses(self, words: np.ndarray, history: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = bigram_keys(words, history)
-        at = np.minimum(np.searchsorted(self.bigrams, key), max(0, len(self.bigrams) - 1))
-        found = self.bigrams[at] == key if len(self.bigrams) else np.zeros(len(key), bool)
-        out = []
-        for m in (0, 1):
-            p = self.backoff[m, history] * self.unigram[m, words]
-            if len(self.bigrams):
-                p = p + np.where(found, self.bigram[m, at], 0.0)
-            out.append(-np.log(p))
-        return out[0], out[1]
-
-
-def word_ids(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    hashes = hashes.view(np.int64)
+def word_ids(vocabulary: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(each word's hash or the unknown word, its place in the sorted vocabulary)."""
     if not len(vocabulary):
-        return np.zeros(len(hashes), np.int64)
+        return np.full(len(hashes), UNKNOWN, np.int64), np.zeros(len(hashes), np.int64)
     at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == hashes, at + FIRST, UNKNOWN)
+    return np.where(vocabulary[at] == hashes, hashes, UNKNOWN), at
 
 
 def histories(ids: np.ndarray, of_text: np.ndarray) -> np.ndarray:
@@ -138,73 +106,171 @@ def histories(ids: np.ndarray, of_text: np.ndarray) -> np.ndarray:
 
 
 def bigram_keys(ids: np.ndarray, before: np.ndarray) -> np.ndarray:
-    return (before << _SHIFT) | ids
-
-
-def _probabilities(vocabulary, words, totals, starts, keys, bigrams) -> Models:
-    n = len(vocabulary) + FIRST
-    unigram, backoff, bigram = np.zeros((2, n)), np.ones((2, n)), np.zeros((2, len(keys)))
-    history = keys >> _SHIFT
-    for m in (0, 1):
-        count = np.zeros(n)
-        count[FIRST:] = words[m]
-        count[UNKNOWN] = totals[m] - words[m].sum()
-        unigram[m] = (count + 1.0) / (totals[m] + n - 1)
-        unigram[m, START] = 0.0
-        count[START] = starts[m]
-        # a history's count also holds the times it closes a text; its bigram counts never exceed it
-        share = np.divide(bigrams[m], count[history], out=np.zeros(len(keys)), where=count[history] > 0)
-        bigram[m] = INTERPOLATION * share
-        backoff[m] = 1.0 - np.bincount(history, bigram[m], n)
-    return Models(vocabulary, keys, unigram, np.maximum(backoff, 1e-6), bigram)
-
-
-def train(target: DataFrame, background: DataFrame) -> Models:
-    """Both models from the whole of both corpora; `target` is read twice and should be stored."""
-    counts = _both(background, target, lambda data, at: lm_words(data, at)[0].view(np.int64))
-    sums = counts.agg(F.coalesce(F.sum("b"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
-    vocabulary, b, t = _kept(counts, sums[0], WORDS_AT_MOST)
-    shared = background.sparkSession.sparkContext.broadcast(vocabulary)
+    """64-bit names of (history, word)."""
+    x = before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + ids.view(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
 
-    def pairs(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        hashes, of_text = lm_words(data, at)
-        ids = word_ids(shared.value, hashes)
-        return bigram_keys(ids, histories(ids, of_text))
 
-    counted = _both(background, target, pairs)
-    opening = counted.where(F.shiftright("key", _SHIFT) == START).agg(
-        F.coalesce(F.sum("b"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))
-    ).first()
-    keys, bb, bt = _kept(counted, sums[0], BIGRAMS_AT_MOST)
-    return _probabilities(vocabulary, (t, b), (sums[1], sums[0]), (opening[1], opening[0]), keys, (bt, bb))
+def _blocks(frame: DataFrame, no: int, role: int, id_type: str) -> DataFrame:
+    """(block, doc_id, text, role) of one corpus."""
+    doc_id = F.col("doc_id") if role & SCORED else F.lit(None).cast(id_type)
+    rows = number_rows(frame.select("doc_id", "text") if role & SCORED else frame.select("text"))
+    block = F.shiftright("_row", BLOCK_BITS) + F.lit(no << 60).cast("long")
+    return rows.select(block.alias("block"), doc_id.alias("doc_id"), "text", F.lit(role).alias("role"))
 
 
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """(doc_id, n_words, target_loss, background_loss, score) in nats a word; low scores are like the target."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, key): the different words of every block, once a batch at least."""
+    for batch in batches:
+        for part in T.blocks(batch, "text"):
+            hashes, of_text = lm_words(*T.texts(part.column("text")))
+            block = part.column("block").to_numpy()[T.owners(of_text)]
+            for b in np.unique(block):
+                key = np.unique(hashes[block == b]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), b, np.int64)), pa.array(key)], ["block", "key"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in T.blocks(batch, "text"):
-                hashes, of_text = lm_words(*T.texts(part.column("text")))
-                ids = word_ids(shared.value.words, hashes)
-                both = shared.value.losses(ids, histories(ids, of_text)) if len(ids) else (np.zeros(0), np.zeros(0))
-                n = np.diff(of_text)
-                row = T.owners(of_text)
-                t, b = (np.bincount(row, x, len(n)) / np.maximum(n, 1) for x in both)
-                empty = n == 0
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(t, mask=empty), pa.array(b, mask=empty),
-                     pa.array(t - b, mask=empty)],
-                    ["doc_id", "n_words", "target_loss", "background_loss", "score"],
-                )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(
-        docs.select("doc_id", "text"), run,
-        f"doc_id {kind}, n_words long, target_loss double, background_loss double, score double",
+
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def _sorted(table: pa.Table, *names: str) -> list[np.ndarray]:
+    """Columns by the first one, each value of which is there once."""
+    key, first = np.unique(_column(table, names[0]), return_index=True)
+    return [key, *[_column(table, c)[first] for c in names[1:]]]
+
+
+def _words_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    text = table.column("text").combine_chunks()
+    hashes, of_text = lm_words(*T.texts(text))
+    return hashes.view(np.int64), of_text
+
+
+def _block_bigrams(texts: pa.Table, known: pa.Table) -> pa.Table:
+    hashes, of_text = _words_of(texts)
+    ids, _ = word_ids(_sorted(known, "key")[0], hashes)
+    before = histories(ids, of_text) if len(ids) else ids
+    role = _column(texts, "role")[T.owners(of_text)]
+    key, first, which = np.unique(bigram_keys(ids, before), return_index=True, return_inverse=True)
+    history = before[first]
+    sums = [np.bincount(which, (role & r) > 0, len(key)).astype(np.int64) for r in (BACKGROUND, TARGET, SCORED)]
+    order = np.argsort(history, kind="stable")
+    block = _column(texts, "block")[:1]
+    return pa.table(
+        [np.repeat(block, len(key)) if len(block) else np.zeros(0, np.int64), key[order], history[order], *[x[order] for x in sums]],
+        names=["block", "key", "history", "b", "t", "s"],
+    )
+
+
+@dataclass
+class Whole:
+    """What the models hold besides their tables; the target is first, the background second."""
+
+    totals: tuple[int, int]
+    vocabulary: int
+    #: Counts of the unknown word and of starts, and how many of each are followed in a kept bigram.
+    unknown: tuple[int, int]
+    starts: tuple[int, int]
+    unknown_kept: tuple[int, int]
+    starts_kept: tuple[int, int]
+
+
+def _losses(ids, place, before, words, bigrams, whole: Whole) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's loss under both models; `words` and `bigrams` hold columns sorted by key."""
+    h_known, h_place = word_ids(words[0], before)
+    h_known = (h_known != UNKNOWN) & (before != START)
+    keys = bigram_keys(ids, before)
+    at = np.minimum(np.searchsorted(bigrams[0], keys), max(0, len(bigrams[0]) - 1))
+    found = bigrams[0][at] == keys if len(bigrams[0]) else np.zeros(len(keys), bool)
+
+    def picked(values, places, known):
+        return np.where(known, values[places], 0) if len(values) else np.zeros(len(places), np.int64)
+
+    out = []
+    for m, (n, kept) in enumerate(((2, 4), (1, 3))):
+        count = np.where(ids == UNKNOWN, whole.unknown[m], picked(words[n], place, ids != UNKNOWN))
+        unigram = (count + 1.0) / (whole.totals[m] + whole.vocabulary + 1)
+        other = [np.where(before == START, x, y) for x, y in ((whole.starts[m], whole.unknown[m]), (whole.starts_kept[m], whole.unknown_kept[m]))]
+        seen = np.where(h_known, picked(words[n], h_place, h_known), other[0])
+        followed = np.where(h_known, picked(words[kept], h_place, h_known), other[1])
+        share = INTERPOLATION / np.maximum(seen, 1) * (seen > 0)
+        backoff = np.maximum(1.0 - share * followed, 1e-6)
+        out.append(-np.log(backoff * unigram + share * picked(bigrams[n], at, found)))
+    return out[0], out[1]
+
+
+def _starts(frame: DataFrame) -> int:
+    """Texts that hold a word."""
+    return frame.where(F.length(F.translate("text", " \t\n\r\x0b\x0c", "")) > 0).count()
+
+
+def _scored(docs: DataFrame, target: DataFrame, background: DataFrame | None) -> DataFrame:
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    every = docs if background is None else background
+    counts = _both(every, target, lambda data, at: lm_words(data, at)[0].view(np.int64))
+    sums = counts.agg(F.coalesce(F.sum("b"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
+    vocabulary = counts.where(F.col("b") >= LEAST)
+    held = vocabulary.agg(F.coalesce(F.sum("b"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0)), F.count("*")).first()
+
+    texts = _blocks(docs, 0, SCORED | (BACKGROUND if background is None else 0), kind).unionByName(_blocks(target, 1, TARGET, kind))
+    if background is not None:
+        texts = texts.unionByName(_blocks(background, 2, BACKGROUND, kind))
+    words = map_arrow(texts.select("block", "text"), _block_words, "block long, key long")
+    words = store(words.join(vocabulary.select("key"), "key").select("block", "key"), "block-words")
+    release(spark)
+
+    ship(spark)
+    pairs = texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
+        _block_bigrams, "block long, key long, history long, b long, t long, s long"
+    )
+    pairs = store(pairs, "pairs")
+    release(spark)
+    bigrams = pairs.where("b > 0 OR t > 0").groupBy("key").agg(
+        F.min("history").alias("history"), F.sum("b").alias("b"), F.sum("t").alias("t")
+    )
+    bigrams = store(bigrams.where(F.col("b") >= LEAST), "bigrams")
+    release(spark)
+    followed = store(bigrams.groupBy("history").agg(F.sum("b").alias("kb"), F.sum("t").alias("kt")), "followed")
+    special = {r.history: (r.kt, r.kb) for r in followed.where(F.col("history").isin(UNKNOWN, START)).collect()}
+    whole = Whole(
+        (sums[1], sums[0]), held[2], (sums[1] - held[1], sums[0] - held[0]), (_starts(target), _starts(every)),
+        special.get(UNKNOWN, (0, 0)), special.get(START, (0, 0)),
     )
 
+    zero = F.lit(0).cast("long")
+    stats = vocabulary.join(followed.withColumnRenamed("history", "key"), "key", "left").select(
+        "key", "b", "t", F.coalesce("kb", zero).alias("kb"), F.coalesce("kt", zero).alias("kt")
+    )
+    stats = store(stats, "stats")
+    entries = words.join(stats, "key").select("block", "key", "b", "t", "kb", "kt", F.lit(True).alias("word"))
+    met = pairs.where("s > 0").select("block", "key").join(bigrams.select("key", "b", "t"), "key")
+    entries = entries.unionByName(met.select("block", "key", "b", "t", zero.alias("kb"), zero.alias("kt"), F.lit(False).alias("word")))
+
+    def run(part: pa.Table, entries: pa.Table) -> pa.Table:
+        hashes, of_text = _words_of(part)
+        is_word = entries.column("word")
+        import pyarrow.compute as pc
+
+        known = _sorted(entries.filter(is_word), "key", "b", "t", "kb", "kt")
+        followers = _sorted(entries.filter(pc.invert(is_word)), "key", "b", "t")
+        ids, place = word_ids(known[0], hashes)
+        both = _losses(ids, place, histories(ids, of_text), known, followers, whole) if len(ids) else (np.zeros(0), np.zeros(0))
+        n = np.diff(of_text)
+        row = T.owners(of_text)
+        t, b = (np.bincount(row, x, len(n)) / np.maximum(n, 1) for x in both)
+        empty = n == 0
+        return pa.table(
+            [part.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(t, mask=empty), pa.array(b, mask=empty),
+             pa.array(t - b, mask=empty)],
+            names=["doc_id", "n_words", "target_loss", "background_loss", "score"],
+        )
+
+    scored = texts.where(F.col("role").bitwiseAND(SCORED) > 0).select("block", "doc_id", "text")
+    return scored.groupBy("block").cogroup(entries.groupBy("block")).applyInArrow(
+        run, f"doc_id {kind}, n_words long, target_loss double, background_loss double, score double"
+    )
+
 
 def labelled_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The texts labelled good and not toxic, stored: the corpus others are to resemble.
@@ -218,5 +284,8 @@ def labelled_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, background: DataFrame | None = None) -> DataFrame:
-    return score(docs, train(target, docs if background is None else background))
+    """(doc_id, n_words, target_loss, background_loss, score) in nats a word; low scores are like the target.
 
+    Every frame is read several times and should be stored.
+    """
+    return settled(docs.sparkSession, "scores", lambda: _scored(docs, target, background))

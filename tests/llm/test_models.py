@@ -72,6 +72,19 @@ def test_lm_scores_match_brute_force(spark, docs, rows, nothing):
     assert lm.cross_entropy_difference(nothing, nothing).collect() == []
 
 
+def test_lm_scores_count_rare_words_at_every_size(spark, tmp_path):
+    """In a corpus of 2.2 million words, a word and a bigram seen twice are still known."""
+    texts = ["filler word " * 550_000, "filler word " * 550_000, "quixotry zephyr of the lantern", "the quixotry zephyr", None]
+    rare = [(i, x) for i, x in enumerate(texts)]
+    spark.createDataFrame(rare, "doc_id LONG, text STRING").write.parquet(str(tmp_path / "d"))
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    target = stored.where("doc_id = 3").select("text")
+    got = {r.doc_id: r for r in lm.cross_entropy_difference(stored, target).collect()}
+    want = brute_losses([texts[3]], [texts[3]], texts)
+    assert (got[3].target_loss, got[3].background_loss) == (pytest.approx(want[0][0]), pytest.approx(want[1][0]))
+    assert len(got) == 5 and got[4].score is None
+
+
 def test_lm_scores_tell_held_out_labels_apart(spark):
     sf = "/root/testdata/sf0.1"
     documents, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
