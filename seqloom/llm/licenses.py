@@ -2,7 +2,7 @@
 
 A file's header units are the sentences and lines of its whole text that hold a template word. Each is
 compared with every template as a sparse vector of term weights; document frequencies count all units of all
-files. A file whose own text is little more than a licence (`FILE_SHARE` of its words in matching units) is a
+files that hold a term. A file whose own text is little more than a licence (`FILE_SHARE` of its words in matching units) is a
 licence file and speaks for its directory. A file without a licence of its own takes that of the nearest
 directory above it that has a licence file.
 
@@ -83,6 +83,14 @@ def header_units(files: DataFrame, templates=TEMPLATES) -> DataFrame:
     return found.select("_row", "unit", word_count(F.col("words_of")).alias("words"), _term_array(F.col("words_of")).alias("terms"))
 
 
+def unit_counts(files: DataFrame) -> DataFrame:
+    """(term, df): in how many units of all files a term occurs; the empty term counts the units that hold any."""
+    units = files.select(F.explode(F.split(F.col("text"), UNIT)).alias("unit"))
+    terms = units.select(F.array_distinct(_term_array(F.col("unit"))).alias("terms")).where(F.size("terms") > 0)
+    each = terms.select(F.explode(F.concat(F.array(F.lit("")), "terms")).alias("term"))
+    return each.groupBy("term").agg(F.count("*").alias("df"))
+
+
 def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(_row, own_license, own_score, licensed_words): for files with a matching unit."""
     spark = files.sparkSession
@@ -92,9 +100,10 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     counted = units.select("_row", "unit", F.explode("terms").alias("term")).groupBy("_row", "unit", "term").agg(
         F.count("*").alias("tf")
     )
-    many = float(units.count())
-    df = counted.groupBy("term").agg(F.count("*").alias("df"))
-    terms = df.join(wanted.select("term").distinct(), "term", "full")
+    every = store(unit_counts(files), "units")
+    many = float(every.where("term = ''").agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0])
+    needed = counted.select("term").union(wanted.select("term")).distinct()
+    terms = needed.join(every, "term", "left")
     idf = store(
         terms.select("term", (F.ln(F.lit(many + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0).alias("idf")), "idf"
     )

@@ -228,6 +228,25 @@ def test_licences(spark, tmp_path):
     assert licenses.scan_licences(spark.read.parquet(path).limit(0)).collect() == []
 
 
+def test_licence_scores_count_every_unit(spark, tmp_path):
+    """Frequencies are of all lines and sentences, also of those without a template word."""
+    texts = ["Released under the MIT License for zebras.", "zebras\nzebras graze. zebras sleep\n\n...\nzebras", "ordinary words\nzebras " * 9, None]
+    spark.createDataFrame([(f"{i}", t, i) for i, t in enumerate(texts)], "path STRING, text STRING, no INT").write.parquet(str(tmp_path / "t"))
+    got = {r["no"]: r for r in licenses.scan_licences(spark.read.parquet(str(tmp_path / "t")), threshold=0.1).collect()}
+    units = [set(licenses._terms(u)) for t in texts for u in re.split(licenses.UNIT, t or "")]
+    units = [u for u in units if u]
+    df = Counter(t for u in units for t in u)
+
+    def vector(text):
+        return {t: (1 + math.log(n)) * (math.log((len(units) + 1) / (df[t] + 1)) + 1) for t, n in Counter(licenses._terms(text)).items()}
+
+    def cosine(x, y):
+        return sum(x[t] * y.get(t, 0.0) for t in x) / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
+
+    best = max((cosine(vector(texts[0]), vector(t)), name) for name, t in licenses.TEMPLATES)
+    assert (got[0].own_license, got[0].own_score) == (best[1], pytest.approx(best[0], abs=1e-8))
+
+
 AWKWARD = ["", None, "a", "  x  ", " hello　wor ld don't it's  ÄÖ ǅ Σας İ ﬁ \x1c b\x85c é ́x <|endoftext|> <|startoftext|>y",
            "H̱i H̱ ok.!?, ... a.b,c ,x U.S.A. x's 'quoted' 123abc ABC,,, Ünï̈", "\x00\x01 a"]
 
