@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from seqloom.llm import fingerprints, jaccard, licenses, lm, mixing, packing, quality, substrings, suffixes, urls
+from seqloom.llm import (
+    centroids, extraction, fingerprints, infill, jaccard, licenses, lm, mixing, packing, quality, substrings, suffixes, urls,
+)
 from seqloom.llm.registry import QUERIES, query, table
 from seqloom.llm.store import REST
 
@@ -87,3 +89,41 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     parts = [F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.floor(F.col("doc_id") / 100).cast("string"), "doc_id"]
     return licenses.scan_licences(docs.select("doc_id", F.concat_ws("/", *parts).alias("path"), "text"))
+
+
+@query("op11_infill", infill.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.infill(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        F.col(REST).getField("doc_id").alias("doc_id"),
+        F.col("_n").alias("n"),
+        F.col("_form").alias("form"),
+        F.col("_prefix_chars").alias("prefix_chars"),
+        F.col("_middle_chars").alias("middle_chars"),
+        F.sha2("_output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("_output"), F.col("_form")), 256).alias("restored_sha256"),
+    )
+
+
+@query("op12_centroid_clustering", centroids.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select(
+        F.col(REST).getField("vec_id").alias("vec_id"),
+        F.col("_near").alias("cluster"),
+        F.col("_distance").alias("distance"),
+        F.col("_cluster_inertia").alias("cluster_inertia"),
+        F.col("_inertia").alias("inertia"),
+        F.sha2(F.array_join(F.col("_centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"),
+    )
+
+
+@query("op13_html_extraction")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = extraction.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return made.select(
+        F.col(REST).getField("page_id").alias("page_id"),
+        F.col(REST).getField("url").alias("url"),
+        F.col("_text").alias("text"),
+        F.length("_text").cast("long").alias("n_chars"),
+    )
