@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.operators.positions import first_by_key, keep_last_by_key, ordered_parts
+from seqloom.operators.positions import first_by_key, keep_last_by_key, ordered_parts, with_gaps
 from seqloom.selectors import (
     POS,
     Names,
@@ -186,4 +186,4 @@ def location_pick(
     )
     picked = F.when(F.col("__type") == "fastq", F.col("__first")).otherwise(F.col("__free"))
     joined = df.join(choice.filter(F.col(run).isNotNull()).select(run, picked.alias(name)), run, "left")
-    return joined.filter(F.coalesce(F.col(location) == F.col(name), F.col(name).isNull()))
+    return with_gaps(joined.filter(F.coalesce(F.col(location) == F.col(name), F.col(name).isNull())))

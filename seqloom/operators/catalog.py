@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions.accession import accession_kind
-from seqloom.selectors import Names, as_names
+from seqloom.operators.positions import with_gaps
+from seqloom.selectors import POS, Names, as_names
 
 
 class MissingRecordError(LookupError):
@@ -100,7 +101,7 @@ def reference_dim(
 def semi_members(df: DataFrame, members: DataFrame, key: Names) -> DataFrame:
     """Rows whose id is listed."""
     keys = as_names(key)
-    return df.join(members.select(*keys), keys, "left_semi")
+    return with_gaps(df.join(members.select(*keys), keys, "left_semi"))
 
 
 def listed_ids(df: DataFrame, column: str, name: str = "id") -> DataFrame:
@@ -129,7 +130,7 @@ def listed_ranges(df: DataFrame, column: str, prefix: str = "GSM", chunk: int =
 def new_only(df: DataFrame, known: DataFrame, key: Names) -> DataFrame:
     """Rows whose id is not known yet."""
     keys = as_names(key)
-    return df.join(known.select(*keys), keys, "left_anti")
+    return with_gaps(df.join(known.select(*keys), keys, "left_anti"))
 
 
 def nested_membership(
@@ -151,20 +152,23 @@ def nested_membership(
 
 def children_of(df: DataFrame, parent: str, value: object) -> DataFrame:
     """Samples of one series."""
-    return df.filter(F.col(parent) == F.lit(value))
+    return with_gaps(df.filter(F.col(parent) == F.lit(value)))
 
 
 def children_of_many(df: DataFrame, parent: str, parents: DataFrame) -> DataFrame:
     """Samples of each listed series."""
-    return df.join(parents.select(F.col(parents.columns[0]).alias(parent)), parent, "left_semi")
+    return with_gaps(df.join(parents.select(F.col(parents.columns[0]).alias(parent)), parent, "left_semi"))
 
 
 def replace_children(
     table: DataFrame, removed: DataFrame, posted: DataFrame, key: Names
 ) -> DataFrame:
-    """Take the removed children out of the table and add the posted set."""
+    """Take the removed children out of the table and add the posted set, behind them if both have positions."""
     keys = as_names(key)
-    return table.join(removed.select(*keys), keys, "left_anti").unionByName(posted)
+    kept = table.join(removed.select(*keys), keys, "left_anti")
+    if POS in table.columns and POS in posted.columns:
+        posted = posted.withColumn(POS, F.col(POS) + table.agg(F.coalesce(F.max(POS) + 1, F.lit(0))).scalar())
+    return with_gaps(kept.unionByName(posted))
 
 
 # --- pending work --------------------------------------------------------------------
@@ -180,7 +184,7 @@ def pending_count(
 ) -> DataFrame:
     """Samples with data but no finished result; `restart` marks those with a partial one."""
     keys = as_names(key)
-    waiting = samples.join(present.select(*keys), keys, "left_semi").join(finished.select(*keys), keys, "left_anti")
+    waiting = with_gaps(samples.join(present.select(*keys), keys, "left_semi").join(finished.select(*keys), keys, "left_anti"))
     partial = started.select(*keys).distinct().withColumn(name, F.lit(True))
     return waiting.join(partial, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 

@@ -26,16 +26,16 @@ def absent_rows(stored: DataFrame, incoming: DataFrame, key: Names, order: Names
     """
     keys = as_names(key)
     fresh = first_by_key(incoming.dropna(subset=keys), keys, order)
-    return fresh.join(stored.select(*keys), keys, "left_anti")
+    return with_gaps(fresh.join(stored.select(*keys), keys, "left_anti"))
 
 
 def upsert_first_wins(stored: DataFrame, incoming: DataFrame, key: Names) -> DataFrame:
     """Add the incoming rows whose key is new; `stored` has unique keys and is not rewritten.
 
-    New rows follow the stored ones in `_pos`.
+    New rows follow the stored ones in `_pos`, with the gaps that known keys leave.
     """
     added = absent_rows(stored, incoming, key)
-    return stored.unionByName(added.withColumn(POS, F.col(POS) + next_pos(stored)))
+    return with_gaps(stored.unionByName(added.withColumn(POS, F.col(POS) + next_pos(stored))))
 
 
 def upsert_last_wins(stored: DataFrame, incoming: DataFrame, key: Names) -> DataFrame:

@@ -9,23 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from seqloom.operators.splitters import BUCKET_ROWS, INTEGRAL, IrregularKeysError, binary_key, splitters
 from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, same, total
 from seqloom.staging import stage
 
-# Rows that one bucket of an order key is meant to hold; more rows make more buckets.
-BUCKET_ROWS = 1 << 20
-# Quantiles of the order key that bound the buckets: what the driver sees of it.
-QUANTILES = 32
-
 # A collected cell is closed after this many bytes.
 PART_BYTES = 64 << 20
 # Positions per bucket when group facts are attached to rows that are already numbered.
 POSITIONS_PER_BUCKET = 1 << 17
 
 _BUCKET, _FACT, _TAG, _RANK, _WEIGHT = "__bucket", "__fact", "__tag", "__rank", "__weight"
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def with_pos(
@@ -37,16 +31,16 @@ def with_pos(
 ) -> DataFrame:
     """Add the 0-based position of each row in `order`, over the frame or inside each group.
 
-    `order` must be unique within the frame (or group); add a tie-break column otherwise.
-    One integer column is cut into buckets of about `bucket_rows` rows between its own
-    quantiles, whatever its gaps, and rows are numbered inside (group, bucket): one group
-    holding a third of the rows is spread like any other. Any other order takes one range
-    sort, written once.
+    `order` must be unique within the frame (or group); add a tie-break column otherwise; nulls come first.
+    Rows are cut into buckets that rise with the order and are numbered inside (group, bucket), which holds at
+    most 2 x `bucket_rows` rows however the keys are spread: one group holding a third of the rows is spread like
+    any other. One integer column is cut by its values, other columns by bytes that sort as they do. Only an order
+    without such a form (nested types, wide decimals), or keys too irregular for literal splitters,
+    takes a range sort, written once.
     """
     keys, columns = as_names(by), as_names(order)
-    if len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, _INTEGRAL):
-        return _number_in_buckets(df.withColumn(_BUCKET, _bucket_of(df, columns[0], bucket_rows)), keys, columns[0], pos)
-    return _number_by_sort(df, keys, columns, pos)
+    bucketed = _bucketed(df, keys, columns, bucket_rows)
+    return _number_by_sort(df, keys, columns, pos) if bucketed is None else _number_in_buckets(bucketed, keys, columns, pos)
 
 
 def with_gaps(df: DataFrame) -> DataFrame:
@@ -65,51 +59,37 @@ def compact(df: DataFrame, by: Names = None) -> DataFrame:
     return with_pos(old, "__old", by).drop("__old").select(*df.columns)
 
 
-def _bucket_of(df: DataFrame, key: str, bucket_rows: int) -> Column:
-    """Buckets that rise with an integer key: quantile ranges, each cut evenly by value; nulls first.
+def _bucketed(df: DataFrame, by: list[str], order: list[str], bucket_rows: int) -> DataFrame | None:
+    """Each row's bucket, which rises with the order; None where literal splitters cannot tell.
 
-    One job reads the key once; the bounds are then literals, so every execution agrees.
+    The key is read now, by `splitters`; the bounds are then literals, so every execution agrees.
     """
-    at = F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)])
-    value = F.col(key).cast("long")
-    low, high, rows, cuts = df.agg(
-        F.min(value), F.max(value), F.count(F.lit(1)), F.percentile_approx(value, at, F.lit(10_000))
-    ).first()
-    if low is None:
-        return F.lit(0).cast("long")
-    wanted = -(-rows // bucket_rows)
-    step = max(1, QUANTILES // wanted)
-    edges = sorted({low, *(cuts or [])[step - 1 :: step]} if wanted > 1 else {low})
-    each = max(1, -(-wanted // len(edges)))
-    ranges, first = [], 1
-    for start, end in zip(edges, [*edges[1:], high + 1], strict=True):
-        cells = min(each, end - start) if end - start < 1 << 62 else 1
-        width = -(-(end - start) // cells)
-        ranges.append((start, F.expr(f"{first}L + (CAST(`{key}` AS BIGINT) - {start}L) div {width}L") if cells > 1 else F.lit(first)))
-        first += cells
-
-    def pick(choices: list) -> Column:
-        if len(choices) == 1:
-            return choices[0][1].cast("long")
-        half = len(choices) // 2
-        return F.when(value < choices[half][0], pick(choices[:half])).otherwise(pick(choices[half:]))
-
-    return F.when(value.isNull(), F.lit(0).cast("long")).otherwise(pick(ranges))
-
-
-def _number_in_buckets(df: DataFrame, by: list[str], key: str, pos: str, weight: Column | None = None) -> DataFrame:
+    integral = len(order) == 1 and isinstance(df.schema[order[0]].dataType, INTEGRAL)
+    key = F.col(f"`{order[0]}`") if integral else binary_key(df, order)
+    if key is None:
+        return None
+    try:
+        found = splitters(df, key, integral, by, bucket_rows)
+    except IrregularKeysError:
+        return None
+    return found.apply(df, key, _BUCKET)
+
+
+def _number_in_buckets(
+    df: DataFrame, by: list[str], order: list[str], pos: str, weight: Column | None = None
+) -> DataFrame:
     """Number rows inside (group, bucket) and add the rows of the buckets before; or add up `weight` instead."""
     weighted = df if weight is None else df.withColumn(_WEIGHT, weight.cast("long"))
     amount = F.count(F.lit(1)) if weight is None else F.sum(_WEIGHT)
     counts = weighted.groupBy(*by, _BUCKET).agg(amount.alias("__n"))
     earlier = Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*by, _BUCKET, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_FACT))
-    ranked = _with_bucket_fact(weighted, starts, by, key, rank=True, weight=None if weight is None else _WEIGHT)
+    ranked = _with_bucket_fact(weighted, starts, by, order, rank=True, weight=None if weight is None else _WEIGHT)
     return ranked.withColumn(pos, F.col(_FACT) + F.col(_RANK)).drop(_BUCKET, _FACT, _RANK, _WEIGHT)
 
 
 def _with_bucket_fact(
-    df: DataFrame, facts: DataFrame, by: list[str], key: str, rank: bool = False, weight: str | None = None
+    df: DataFrame, facts: DataFrame, by: list[str], order: list[str], rank: bool = False, weight: str | None = None
 ) -> DataFrame:
     """Attach the fact of its (group, bucket) to every row, and the rows (or weight) before it in the bucket.
 
@@ -123,7 +103,7 @@ def _with_bucket_fact(
     both = rows.unionByName(facts.withColumn(_TAG, F.lit(0)), allowMissingColumns=True)
     if by:
         both = both.repartition(*by, _BUCKET)
-    window = Window.partitionBy(*by, _BUCKET).orderBy(_TAG, key)
+    window = Window.partitionBy(*by, _BUCKET).orderBy(_TAG, *order)
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     columns = {"__fact_of_bucket": F.first(_FACT).over(running)}
     if rank:
@@ -153,7 +133,7 @@ def _number_by_sort(df: DataFrame, by: list[str], order: list[str], pos: str) ->
     )
     staged = stage(ordered, "sorted")
     if by:
-        return _number_in_buckets(staged, by, "__row", pos).drop("__row")
+        return _number_in_buckets(staged, by, ["__row"], pos).drop("__row")
     earlier = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     counts = staged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     starts = counts.select(_BUCKET, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_FACT))
@@ -176,7 +156,7 @@ def with_size(df: DataFrame, by: Names, name: str) -> DataFrame:
     bucketed = df.withColumn(_BUCKET, F.expr(f"`{POS}` div {POSITIONS_PER_BUCKET}L"))
     counts = bucketed.groupBy(*keys, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     sizes = counts.select(*keys, _BUCKET, F.sum("__n").over(Window.partitionBy(*keys)).alias(_FACT))
-    return _with_bucket_fact(bucketed, sizes, keys, POS).withColumnRenamed(_FACT, name).drop(_BUCKET)
+    return _with_bucket_fact(bucketed, sizes, keys, [POS]).withColumnRenamed(_FACT, name).drop(_BUCKET)
 
 
 def ordered_parts(
@@ -192,8 +172,7 @@ def ordered_parts(
     keys = as_names(by)
     each = max(1, PART_BYTES // part_rows)
     units = F.lit(1) if size is None else F.greatest(F.lit(1), F.ceil(F.coalesce(size, F.lit(0)) / each))
-    bucketed = df.withColumn(_BUCKET, _bucket_of(df, POS, bucket_rows))
-    cumulated = _number_in_buckets(bucketed, keys, POS, "__before", units)
+    cumulated = _number_in_buckets(_bucketed(df, keys, [POS], bucket_rows), keys, [POS], "__before", units)
     return cumulated.withColumn(name, F.expr(f"__before div {part_rows}L")).drop("__before")
 
 

@@ -102,7 +102,7 @@ def for_each_if(
 
 def split_on_null(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """The non-null elements and the null elements, as two frames."""
-    return df.filter(F.col(column).isNotNull()), df.filter(F.col(column).isNull())
+    return with_gaps(df.filter(F.col(column).isNotNull())), with_gaps(df.filter(F.col(column).isNull()))
 
 
 def pipe(df: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFrame:
