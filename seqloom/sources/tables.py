@@ -1,18 +1,19 @@
 """Typed tables on Parquet: open or create, and replace without touching what is read.
 
-A table is a folder of versions. A writer adds a new version folder; readers take the
-newest one that finished, so a failed or retried write is never seen and a table can be
-rewritten from a query over itself.
+A table is a folder of versions and a manifest that says which is the newest. A writer adds a folder of its own and
+then publishes it, so a failed or unfinished write is never seen and a table can be rewritten from a query over
+itself; `update` repeats the rewrite on what another writer has published in between.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from seqloom.sources import storage
+from seqloom.sources import manifest, storage
 
 # Declared tables of the catalog (fixed names and types).
 SERIES = T.StructType([T.StructField(n, T.StringType()) for n in ("accession_id", "title", "summary", "child_gsm_ids")])
@@ -34,33 +35,55 @@ SAMPLE_SCHEME = {
 }
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    found = [n for n in storage.names(spark, path) if n.startswith("v")]
-    return [n for n in found if storage.exists(spark, f"{path}/{n}/_SUCCESS")]
+def _write(df: DataFrame, path: str) -> str:
+    folder = f"v-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    return folder
+
+
+def _newest(spark: SparkSession, path: str, schema: T.StructType) -> tuple[int, DataFrame]:
+    version, live = manifest.latest(spark, path)
+    if not live:
+        return version, spark.createDataFrame([], schema)
+    return version, spark.read.schema(schema).parquet(f"{path}/{live[0]['folder']}")
 
 
 def open_or_create(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The newest version of the table; an empty first version when there is none."""
-    if not _versions(spark, path):
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/v{0:08d}")
-    return spark.read.schema(schema).parquet(f"{path}/{_versions(spark, path)[-1]}")
+    if manifest.latest(spark, path)[0] < 0:
+        folder = _write(spark.createDataFrame([], schema), path)
+        if not manifest.publish(spark, path, 0, [{"folder": folder}]):  # someone else has created it
+            storage.delete(spark, f"{path}/{folder}")
+    return _newest(spark, path, schema)[1]
 
 
 def replace(df: DataFrame, path: str) -> DataFrame:
     """Write `df` as the next version; earlier ones stay for whoever has opened them.
 
-    A version's folder has a name of its own, so two writers never write into one another;
-    the later name is the newer version. `drop_old` is the clean-up.
+    Of two writers at one time the one that publishes later has the newest version. A version made from the
+    table's own rows belongs in `update`.
     """
     spark = df.sparkSession
-    done = _versions(spark, path)
-    number = int(done[-1][1:9]) + 1 if done else 0
-    folder = f"{path}/v{number:08d}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    folder = _write(df, path)
+    manifest.commit(spark, path, lambda live: [{"folder": folder}])
+    return spark.read.schema(df.schema).parquet(f"{path}/{folder}")
+
+
+def update(spark: SparkSession, path: str, schema: T.StructType, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Replace the table by `change` of its newest version, as if writers came one after the other.
+
+    If another version is published meanwhile, the change is made again on that one, so no writer's rows are lost.
+    """
+    while True:
+        version, current = _newest(spark, path, schema)
+        folder = _write(change(current), path)
+        if manifest.publish(spark, path, version + 1, [{"folder": folder}]):
+            return spark.read.schema(schema).parquet(f"{path}/{folder}")
+        storage.delete(spark, f"{path}/{folder}")
 
 
 def drop_old(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Delete all but the newest `keep` versions; call it when no open frame reads an older one."""
-    for old in _versions(spark, path)[:-keep]:
-        storage.delete(spark, f"{path}/{old}")
+    gone, _ = manifest.forget(spark, path, keep)
+    for entry in gone:
+        storage.delete(spark, f"{path}/{entry['folder']}")

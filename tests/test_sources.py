@@ -2,10 +2,12 @@
 
 import json
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.sources import documents, listing, markup, nested, storage, tables, tsv
+from seqloom.sources import manifest, documents, listing, markup, nested, storage, tables, tsv
 from seqloom.staging import new_path, scope, shared_root, stage
 
 
@@ -59,13 +61,42 @@ def test_table_versions(spark):
         current = tables.open_or_create(spark, path, tables.SERIES)
         tables.replace(current.unionByName(row), path)
     assert tables.open_or_create(spark, path, tables.SERIES).count() == 3
-    older = spark.read.schema(tables.SERIES).parquet(f"{path}/{storage.names(spark, path)[1]}")
+    older = spark.read.schema(tables.SERIES).parquet(f"{path}/{manifest.entries(spark, path, 1)[0]['folder']}")
     assert older.count() == 1  # an earlier version stays for who has opened it
-    row.write.parquet(f"{path}/v00000009")
-    storage.delete(spark, f"{path}/v00000009/_SUCCESS")  # a write that never finished
+    row.write.parquet(f"{path}/v-never-published")  # a writer that went away
     assert tables.open_or_create(spark, path, tables.SERIES).count() == 3
     tables.drop_old(spark, path, keep=1)
     assert tables.open_or_create(spark, path, tables.SERIES).count() == 3
+    assert len(manifest.versions(spark, path)) == 1 and len(storage.names(spark, path)) == 3
+
+
+def test_two_writers_give_one_of_the_serial_results(spark):
+    path = new_path(spark, "t")
+    tables.open_or_create(spark, path, tables.SERIES)
+    rows = [spark.createDataFrame([(f"GSE{i}", "t", "s", "GSM1")], tables.SERIES) for i in range(4)]
+    change = lambda row: tables.update(spark, path, tables.SERIES, lambda now: now.unionByName(row))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(change, rows))
+    assert sorted(r[0] for r in tables.open_or_create(spark, path, tables.SERIES).collect()) == [f"GSE{i}" for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda row: tables.replace(row, path), rows))
+    assert tables.open_or_create(spark, path, tables.SERIES).count() == 1
+
+
+@pytest.mark.parametrize("name", ["_link", "_rename"])
+def test_a_name_is_put_once(spark, monkeypatch, name):
+    monkeypatch.setattr(storage, "_link", getattr(storage, name))
+    path = f"{new_path(spark, 'put')}/a.json"
+    assert storage.put_if_absent(spark, path, "first ä") and not storage.put_if_absent(spark, path, "second")
+    assert storage.read_text(spark, path) == "first ä"
+    assert storage.names(spark, path.rpartition("/")[0]) == ["a.json"]
+
+
+def test_one_of_many_puts_wins(spark):
+    path = f"{new_path(spark, 'put')}/a.json"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: storage.put_if_absent(spark, path, str(i)), range(16)))
+    assert sum(won) == 1 and storage.read_text(spark, path) == str(won.index(True))
 
 
 def test_tsv_missing_and_header(spark):
