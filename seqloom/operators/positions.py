@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.operators.splitters import BUCKET_ROWS, INTEGRAL, IrregularKeysError, binary_key, splitters
-from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, same, total
+from seqloom.selectors import POS, Names, Selector, as_names, grouped, if_true, join_on_keys, same, total
 from seqloom.staging import stage
 
 # A collected cell is closed after this many bytes.
@@ -118,6 +118,18 @@ def _with_bucket_fact(
     )
 
 
+def running_total(
+    df: DataFrame, order: Names, amount: Column, by: Names = None, name: str = "before", bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """Add the sum of `amount` (a whole number) over the rows before each row in `order`, which must be unique."""
+    keys, columns = as_names(by), as_names(order)
+    bucketed = _bucketed(df, keys, columns, bucket_rows)
+    if bucketed is None:
+        ordered = with_pos(df, columns, keys, "__place", bucket_rows)
+        return running_total(ordered, "__place", amount, keys, name, bucket_rows).drop("__place")
+    return _number_in_buckets(bucketed, keys, columns, name, amount)
+
+
 def _number_by_sort(df: DataFrame, by: list[str], order: list[str], pos: str) -> DataFrame:
     """Any order: range-partition and sort, write the partition and row numbers, add offsets.
 
@@ -167,13 +179,21 @@ def ordered_parts(
     A row counts as one unit for every `PART_BYTES / part_rows` bytes of `size` it begins,
     one at least, and `part_rows` units close a part: no part holds more rows or, but for
     its last row, more bytes. Parts rise from 0 in order; a group within both is part 0
-    alone. The rule is the same for groups of any size.
+    alone. Units are summed per group first (now, one job), and only groups past one part are numbered.
     """
     keys = as_names(by)
     each = max(1, PART_BYTES // part_rows)
     units = F.lit(1) if size is None else F.greatest(F.lit(1), F.ceil(F.coalesce(size, F.lit(0)) / each))
-    cumulated = _number_in_buckets(_bucketed(df, keys, [POS], bucket_rows), keys, [POS], "__before", units)
-    return cumulated.withColumn(name, F.expr(f"__before div {part_rows}L")).drop("__before")
+    sizes = grouped(df.withColumn(_WEIGHT, units), keys, F.sum(_WEIGHT).alias("__units")).where(F.col("__units") > part_rows)
+    if sizes.isEmpty():  # every group is one part: nothing to number
+        return df.withColumn(name, F.lit(0).cast("long"))
+    if keys:
+        large, small = join_on_keys(df, sizes, keys, "left_semi"), join_on_keys(df, sizes, keys, "left_anti")
+    else:
+        large, small = df, df.limit(0)
+    cumulated = _number_in_buckets(_bucketed(large, keys, [POS], bucket_rows), keys, [POS], "__before", units)
+    parts = cumulated.withColumn(name, F.expr(f"__before div {part_rows}L")).drop("__before")
+    return parts.unionByName(small.withColumn(name, F.lit(0).cast("long")))
 
 
 # --- reading by position -------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import files
 from seqloom.operators.aggregates import join_strings
-from seqloom.operators.positions import balanced_split, with_pos
+from seqloom.operators.positions import balanced_split, running_total, with_pos
 from seqloom.selectors import POS, Names, as_names
 from seqloom.staging import stage
 
@@ -61,12 +61,14 @@ def required_children(samples: DataFrame, children: str = "child_srr_ids") -> Da
     return samples.filter(F.coalesce(F.size(children), F.lit(0)) <= 0)
 
 
-def repair_lanes(table: DataFrame) -> DataFrame:
-    """Give fastq runs without a lane the next free lane number of their sample.
+def repair_lanes(table: DataFrame, free: bool = False, name: str = "clash") -> DataFrame:
+    """Give fastq runs without a lane the next lane number of their sample.
 
     The k-th such run of a sample, by first appearance, gets the number of distinct lanes
-    the sample already has plus k. Runs are numbered, not files, so the numbered frame is
-    one row per broken run; a run belongs to the sample of its first file.
+    the sample already has plus k; `clash` marks its rows where the sample already uses that lane (out of
+    sequence). With `free` it gets the k-th number that the sample does not use, so that no two runs share one.
+    Runs are numbered, not files, so the numbered frame is one row per broken run; a run belongs to the sample of its
+    first file.
     """
     good = F.col("lane_id").startswith("L")
     fastq = table.filter(F.col("filetype") == "fastq")
@@ -75,11 +77,36 @@ def repair_lanes(table: DataFrame) -> DataFrame:
     )
     broken = runs.filter(~F.coalesce(F.col("__lane").startswith("L"), F.lit(False)))
     numbered = with_pos(broken.withColumnRenamed(POS, "__seen"), "__seen", "gsm_id", pos="__k")
-    used = table.groupBy("gsm_id").agg(F.count_distinct(F.when(good, F.col("lane_id"))).alias("__used"))
-    fixes = numbered.join(used, "gsm_id").select(
-        "run_id", F.format_string("L%03d", F.col("__used") + F.col("__k") + 1).alias("__new")
-    )
-    return table.join(fixes, "run_id", "left").withColumn("lane_id", F.coalesce("__new", "lane_id")).drop("__new")
+    lanes = table.filter(good).select("gsm_id", "lane_id").distinct()
+    if free:
+        placed = _kth_free(numbered, lanes).select("run_id", "gsm_id", F.col("__free").alias("__number"))
+    else:
+        used = table.groupBy("gsm_id").agg(F.count_distinct(F.when(good, F.col("lane_id"))).alias("__used"))
+        placed = numbered.join(used, "gsm_id").select("run_id", "gsm_id", (F.col("__used") + F.col("__k") + 1).alias("__number"))
+    named = placed.select("run_id", "gsm_id", F.format_string("L%03d", F.col("__number")).alias("__new"))
+    taken = lanes.select("gsm_id", F.col("lane_id").alias("__new"), F.lit(True).alias("__taken"))
+    fixes = named.join(taken, ["gsm_id", "__new"], "left").select("run_id", "__new", F.coalesce("__taken", F.lit(False)).alias("__taken"))
+    fixed = table.join(fixes, "run_id", "left").withColumn("lane_id", F.coalesce("__new", "lane_id"))
+    return fixed.withColumn(name, F.coalesce("__taken", F.lit(False))).drop("__new", "__taken")
+
+
+def _kth_free(numbered: DataFrame, lanes: DataFrame) -> DataFrame:
+    """For the k-th broken run of a sample (k from 0) the k-th lane number from 1 on that the sample does not use.
+
+    Below the i-th used number u (i from 0) there are u - 1 - i free ones. So the k-th free number is k + 1 and
+    as many more as there are used numbers with at most k free ones below: one running count over both kinds of
+    rows in the order of those ranks, which no sample takes through one task.
+    """
+    number = F.regexp_extract("lane_id", r"^L0*(\d{1,9})$", 1)
+    used = lanes.select("gsm_id", F.when(number != "", number).cast("long").alias("__u")).filter("__u > 0").distinct()
+    ranked = with_pos(used, "__u", "gsm_id", pos="__i").select(
+        "gsm_id", F.lit(None).cast("string").alias("run_id"), (F.col("__u") - 1 - F.col("__i")).alias("__below"),
+        F.lit(1).alias("__is_used"), F.col("__i").alias("__tie"),
+    )
+    runs = numbered.select("gsm_id", "run_id", F.col("__k").alias("__below"), F.lit(0).alias("__is_used"), F.lit(0).cast("long").alias("__tie"))
+    both = ranked.unionByName(runs).withColumn("__after", 1 - F.col("__is_used"))
+    counted = running_total(both, ["__below", "__after", "__tie"], F.col("__is_used"), "gsm_id", "__before")
+    return counted.filter("__is_used = 0").withColumn("__free", F.col("__below") + 1 + F.col("__before"))
 
 
 def repair_read_types(table: DataFrame, index_pos: int = 0, name: str = "unpaired") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import files
-from seqloom.operators import catalog, sequence
+from seqloom.operators import catalog, ranges, sequence
 from seqloom.plans import inputs
 from seqloom.plans.inputs import FILE_KIND, RUN_FILES, RUNS, SAMPLES, SERIES, SIZE_GB
 from seqloom.plans.registry import query
@@ -223,7 +223,7 @@ def _written(spark: SparkSession, ids: DataFrame, column: str, label: str) -> Da
     """Write one result file into a folder per id and list what is there: the ids with a result."""
     root = new_path(spark, label)
     results = ids.select(F.col(column).cast("string").alias("name"), F.lit("done").alias("value")).distinct()
-    results.repartition(1).write.partitionBy("name").text(root)
+    results.repartition("name").write.partitionBy("name").text(root)
     found = listing.dumped_ids(listing.file_listing(spark, root), "/name=([^/]+)/", extensions=(".txt",))
     return found.select(F.col("id").alias(column))
 
@@ -275,17 +275,40 @@ def pending_by_group(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.pending_by_group(samples, present, "c_nationkey", "sample")
 
 
+_LAST_ASKED = "c_custkey * 10 + c_custkey % 40 + CASE WHEN c_custkey % 500 = 0 THEN 25000 ELSE 0 END"
+
+
 @query(
     "listed_ids",
-    """SELECT n_nationkey, 'GSM' || i AS id FROM nation, range(0, 30000) AS t(i)
-    WHERE i BETWEEN n_nationkey * 10 AND n_nationkey * 1000 UNION ALL SELECT n_nationkey, 'GSM99999' FROM nation""",
+    f"""SELECT c_custkey, 'GSM' || unnest(range(c_custkey * 10, {_LAST_ASKED} + 1)) AS id FROM customer
+    UNION ALL SELECT c_custkey, 'GSM99999' FROM customer""",
 )
 def listed_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Id ranges of any length, a row per id."""
-    asked = inputs.table(spark, sf, "nation").selectExpr(
-        "n_nationkey", "concat('GSM', n_nationkey * 10, ':GSM', n_nationkey * 1000, ',GSM99999') AS ids"
+    asked = inputs.table(spark, sf, "customer").selectExpr(
+        "c_custkey", f"concat('GSM', c_custkey * 10, ':GSM', {_LAST_ASKED}, ',GSM99999') AS ids"
+    )
+    return catalog.listed_ranges(asked, "ids")
+
+
+_ASKED_FROM, _ASKED_TO = "c_custkey * 7", "c_custkey * 7 + c_custkey % 5 + CASE WHEN c_custkey % 400 = 0 THEN 1000000000 ELSE 0 END"
+
+
+@query(
+    "range_members",
+    f"""WITH asked AS (SELECT {_ASKED_FROM} AS low, {_ASKED_TO} AS high FROM customer
+      UNION ALL SELECT c_custkey, c_custkey FROM customer WHERE c_nationkey = 3)
+    SELECT o_orderkey, 'GSM' || o_orderkey AS id FROM orders
+    WHERE EXISTS (SELECT 1 FROM asked WHERE o_orderkey BETWEEN low AND high)""",
+)
+def range_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders among the ids and ranges that customers list, some of them with a billion ids."""
+    records = inputs.table(spark, sf, "orders").selectExpr("o_orderkey", "concat('GSM', o_orderkey) AS id")
+    asked = inputs.table(spark, sf, "customer").selectExpr(
+        f"""concat('GSM', {_ASKED_FROM}, ':GSM', {_ASKED_TO}, CASE WHEN c_nationkey = 3 THEN concat(',GSM', c_custkey)
+        ELSE ',PRJ1' END) AS ids"""
     )
-    return catalog.listed_ranges(asked, "ids", chunk=1000)
+    return ranges.range_members(records, "id", asked, "ids")
 
 
 @query(

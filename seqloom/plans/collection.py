@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from seqloom.operators import ordering, sequence
 from seqloom.plans import inputs
 from seqloom.plans.inputs import LABELLED, ORDERS_SEQ
 from seqloom.plans.registry import query
-from seqloom.selectors import POS
+from seqloom.selectors import POS, batched
 
 # --- maps and filters ----------------------------------------------------------------
 
@@ -117,6 +119,28 @@ def selector(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _initials(names: pa.Array, prices: pa.Array) -> pa.Array:
+    """The capitals of a text and whether a price is a round number of hundreds: plain Python on whole batches."""
+    capitals = ["".join(c for c in name if c.isupper()) for name in names.to_pylist()]
+    return pa.array([f"{c}{'*' if p % 100 < 10 else ''}" for c, p in zip(capitals, prices.to_pylist(), strict=True)])
+
+
+def _long_word(names: pa.Array) -> pa.Array:
+    return pc.greater(pc.utf8_length(names), 5)
+
+
+@query(
+    "selector_batched",
+    """SELECT o_orderkey AS _pos, regexp_replace(o_orderpriority, '[^A-Z]', '', 'g')
+      || CASE WHEN o_totalprice % 100 < 10 THEN '*' ELSE '' END AS initials FROM orders WHERE length(o_orderpriority) > 5""",
+)
+def selector_batched(spark: SparkSession, sf: str) -> DataFrame:
+    """A predicate and a value in vectorised Python."""
+    orders = inputs.orders_in_order(spark, sf)
+    kept = sequence.where(orders, batched(_long_word, "boolean", "o_orderpriority"))
+    return sequence.select(kept, initials=batched(_initials, "string", "o_orderpriority", F.col("o_totalprice")))
+
+
 @query(
     "pipe",
     f"""WITH {LABELLED} SELECT lang, count(*) AS length FROM labelled

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,12 +21,12 @@ from seqloom.streaming import ingest
 @query(
     "src_range",
     """SELECT l_orderkey, l_linenumber, i AS _pos, i * 3 + 1 AS value
-    FROM lineitem, range(50) AS t(i) WHERE i < l_quantity AND l_linenumber = 1""",
+    FROM lineitem, range(8) AS t(i) WHERE i < l_linenumber""",
 )
 def src_range(spark: SparkSession, sf: str) -> DataFrame:
-    """A generated sequence for every first line, as long as its quantity."""
-    lines = inputs.table(spark, sf, "lineitem").filter("l_linenumber = 1")
-    lengths = lines.selectExpr("l_orderkey", "l_linenumber", "CAST(l_quantity AS BIGINT) AS n")
+    """A generated sequence for every line, as long as its number."""
+    lines = inputs.table(spark, sf, "lineitem")
+    lengths = lines.selectExpr("l_orderkey", "l_linenumber", "CAST(l_linenumber AS BIGINT) AS n")
     return documents.sequences_of(lengths, "n", f"{POS} * 3 + 1")
 
 
@@ -310,7 +310,7 @@ def _run_pages(spark: SparkSession, sf: str, before: str = "") -> DataFrame:
     )
 
 
-def _cells(found: DataFrame, *more: str) -> DataFrame:
+def _cells(found: DataFrame, *more: str | Column) -> DataFrame:
     names = dict(zip(_CELLS, ("name", "size", "location", "egress"), strict=True))
     return found.select("run_id", "gsm_id", "species", "row", *more, *[F.element_at("cells", h).alias(n) for h, n in names.items()])
 
@@ -323,18 +323,38 @@ def src_html_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "src_html_rows",
-    f"""SELECT run_id, gsm_id, species, row, 1 AS "table", name, size, location, egress FROM ({_HTML_FILES})
+    f"""WITH pages AS (SELECT DISTINCT run_id, gsm_id, species FROM ({_HTML_FILES}) WHERE CAST(substr(run_id, 4) AS BIGINT) % 23 <> 0)
+    SELECT run_id, gsm_id, species, row, 2 AS "table", name, size, location, egress, NULL AS place FROM ({_HTML_FILES})
       WHERE CAST(substr(run_id, 4) AS BIGINT) % 23 <> 0
-    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 23 = 0""",
+    UNION ALL SELECT run_id, gsm_id, species, 1, 0, NULL, NULL, NULL, NULL, 's3 near' FROM pages
+    UNION ALL SELECT run_id, gsm_id, species, 1, 1, NULL, NULL, NULL, NULL, 'inner' FROM pages
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 23 = 0""",
 )
 def src_html_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages with a table of locations before the table of files; some without tables and with a broken heading."""
-    places = "<table><tr><th>Place</th><th>Cost</th></tr><tr><td>s3</td><td>0</td></tr></table>"
+    """Pages with a table inside a cell of another before the table of files; some without tables and with a broken heading."""
+    inner = "<table><tr><th>Place</th></tr><tr><td>inner</td></tr></table>"
+    places = f"<table><tr><th>Place</th><th>Cost</th></tr><tr><td>s3 {inner}near</td><td>0</td></tr></table>"
     pages = _run_pages(spark, sf, places)
     empty = F.col("o_orderkey") % 23 == 0
     html = F.when(empty, F.lit("<h1>GSM1: only</h1><p>no files</p>")).otherwise(F.col("html"))
     found = markup.heading_fields(markup.table_rows_from_html(pages.select(html.alias("html")), "html"))
-    return _cells(found.filter("table IS NULL OR table = 1"), "table")
+    return _cells(found, "table", F.element_at("cells", "Place").alias("place"))
+
+
+@query(
+    "src_html_nested_lists",
+    """WITH items AS (SELECT o_orderkey, unnest(range(1 + o_orderkey % 3)) AS i FROM orders)
+    SELECT o_orderkey, CAST(i AS INTEGER) AS row, '/o/' || i AS link, 'outer ' || i AS text FROM items
+    UNION ALL SELECT o_orderkey, CAST(1 + o_orderkey % 3 + i AS INTEGER), '', 'inner ' || i FROM items""",
+)
+def src_html_nested_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """A list whose every item holds a list of one item."""
+    html = F.expr(
+        """concat('<h1>x</h1><ul>', array_join(transform(sequence(0L, o_orderkey % 3), i -> concat('<li><a href="/o/', i,
+        '">outer ', i, '</a><ol><li>inner ', i, '</li></ol></li>')), ' '), '</ul>')"""
+    )
+    pages = inputs.table(spark, sf, "orders").select("o_orderkey", html.alias("html"))
+    return markup.list_rows_from_html(pages, "html").drop("heading")
 
 
 # --- listing -------------------------------------------------------------------------
@@ -368,13 +388,16 @@ def stream_upsert_first_wins(spark: SparkSession, sf: str) -> DataFrame:
     )
     path, folder = new_path(spark, "ingested"), new_path(spark, "arriving")
     events = inputs.table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    # four files of rising event ids, so that arrival follows the order column
-    placed = events.withColumn("file", F.ntile(4).over(Window.orderBy("event_id")))
-    for number in range(1, 5):
-        placed.filter(F.col("file") == number).drop("file").coalesce(1).write.mode("append").parquet(folder)
-    stream = ingest.file_stream(spark, folder, schema, files_per_batch=1)
-    ingest.start_ingest(stream, path, new_path(spark, "progress"), "user_id", "event_id").awaitTermination()
+    # what arrives later has later event ids, as the order column asks for
+    cuts = events.approxQuantile("event_id", [0.25, 0.5, 0.75], 0.01)
+    progress = new_path(spark, "progress")
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        later = F.lit(True) if low is None else F.col("event_id") >= low
+        earlier = F.lit(True) if high is None else F.col("event_id") < high
+        events.filter(later & earlier).write.mode("append").parquet(folder)
+        ingest.start_ingest(ingest.file_stream(spark, folder, schema), path, progress, "user_id", "event_id").awaitTermination()
     # all of it again under a new checkpoint: nothing is lost and nothing is new
+    stream = ingest.file_stream(spark, folder, schema)
     ingest.start_ingest(stream, path, new_path(spark, "progress"), "user_id", "event_id").awaitTermination()
     return ingest.read_ingested(spark, path, schema).drop(ingest.BATCH, ingest.SOURCE, ingest.BUCKET)
 

@@ -68,6 +68,34 @@ def repair_lane(spark: SparkSession, sf: str) -> DataFrame:
     return fixed.select("run_id", POS, F.coalesce("lane_id", F.lit("none")).alias("lane_id"))
 
 
+@query(
+    "repair_lane_clashes",
+    f"""WITH {_LANES} SELECT r.run_id, r._pos, f.lane IS NOT NULL AND EXISTS (
+      SELECT 1 FROM run_table u WHERE u.gsm_id = r.gsm_id AND u.lane_id = f.lane) AS clash
+    FROM run_table r LEFT JOIN fixes f USING (run_id)""",
+)
+def repair_lane_clashes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows whose new lane their sample uses out of sequence."""
+    return runtable.repair_lanes(inputs.run_table(spark, sf)).select("run_id", POS, "clash")
+
+
+@query(
+    "repair_lane_free",
+    f"""WITH {RUN_TABLE}, runs AS (SELECT gsm_id, run_id, min(_pos) AS seen, bool_or(lane_id IS NULL) AS broken
+      FROM run_table WHERE filetype = 'fastq' GROUP BY gsm_id, run_id),
+    used AS (SELECT gsm_id, coalesce(list(DISTINCT CAST(substr(lane_id, 2) AS BIGINT)) FILTER (lane_id IS NOT NULL), []) AS used
+      FROM run_table GROUP BY gsm_id),
+    fixes AS (SELECT run_id, used, row_number() OVER (PARTITION BY gsm_id ORDER BY seen) AS k,
+      count(*) OVER (PARTITION BY gsm_id) AS n FROM runs JOIN used USING (gsm_id) WHERE broken),
+    freed AS (SELECT run_id, 'L' || lpad(CAST(list_filter(range(1, len(used) + n + 1), x -> NOT list_contains(used, x))[k]
+      AS VARCHAR), 3, '0') AS lane FROM fixes)
+    SELECT run_id, _pos, coalesce(lane, lane_id, 'none') AS lane_id, false AS clash FROM run_table LEFT JOIN freed USING (run_id)""",
+)
+def repair_lane_free(spark: SparkSession, sf: str) -> DataFrame:
+    fixed = runtable.repair_lanes(inputs.run_table(spark, sf), free=True)
+    return fixed.select("run_id", POS, F.coalesce("lane_id", F.lit("none")).alias("lane_id"), "clash")
+
+
 _READS = """facts AS (SELECT run_id, bool_or(NOT regexp_matches(read_type, '^[RI][12]')) AS bad, count(*) AS n
     FROM {0} WHERE filetype = 'fastq' GROUP BY run_id),
   typed AS (SELECT t.* EXCLUDE (read_type), CASE WHEN filetype = 'fastq' AND bad AND n = 2

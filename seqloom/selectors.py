@@ -1,7 +1,7 @@
 """How callers name columns and predicates, and the null rules that go with them.
 
 A selector is a SQL expression string, a Column, or a function from the frame to a
-Column. Whatever its form it stays inside Catalyst.
+Column. All of these stay inside Catalyst; `batched` makes one of a Python function on Arrow arrays.
 """
 
 from __future__ import annotations
@@ -25,6 +25,17 @@ def as_column(df: DataFrame, selector: Selector) -> Column:
     return selector(df)
 
 
+def batched(function: Callable, returns: str, *inputs: Selector) -> Selector:
+    """A selector in vectorised Python, for what no column expression says.
+
+    `function` gets one Arrow array for each of `inputs` and gives one of the declared type `returns` and the
+    same length; Spark calls it on batches of rows in Python workers. Any operator takes the result; all other
+    forms of a selector stay in the JVM.
+    """
+    udf = F.arrow_udf(function, returns)
+    return lambda df: udf(*[as_column(df, column) for column in inputs])
+
+
 def as_names(names: Names) -> list[str]:
     if names is None:
         return []

@@ -56,7 +56,7 @@ def run_files_from_xml(df: DataFrame, column: str, strict: bool = False) -> Data
 
 
 def _elements(text: Column, tag: str) -> Column:
-    """Inner markup of every `tag` element (no nesting of the same tag).
+    """Inner markup of every `tag` element, none of which lies in another.
 
     Possessive steps from one `<` to the next: no backtracking, and no recursion on long text.
     """
@@ -64,6 +64,52 @@ def _elements(text: Column, tag: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
+def _own_markup(html: Column, *tags: str) -> Column:
+    """What is in each element of these names, in order of opening, without the elements of these names inside it.
+
+    The page is cut before every such tag; one fold over the cuts, with a stack of the elements that are open, says
+    whose each piece is. So elements may lie in one another to any depth; one that is never closed
+    ends with the page, and a closing tag too many is passed over.
+    """
+    cuts = F.split(html, rf"(?i)(?=</?(?:{'|'.join(tags)})[\s/>])", -1)
+
+    def owned(pieces: Column) -> Column:
+        none = F.array().cast("array<int>")
+        start = F.struct(none.alias("open"), F.lit(0).alias("next"), none.alias("owners"))
+
+        def step(state: Column, piece: Column) -> Column:
+            opens, closes = piece.rlike(r"^<\w"), piece.startswith("</")
+            within = (
+                F.when(opens, F.array_append(state["open"], state["next"]))
+                .when(closes & (F.size(state["open"]) > 0), F.slice(state["open"], 1, F.size(state["open"]) - 1))
+                .otherwise(state["open"])
+            )
+            return F.struct(within.alias("open"), (state["next"] + opens.cast("int")).alias("next"), state["owners"].alias("owners"))
+
+        def note(state: Column, piece: Column) -> Column:
+            after = step(state, piece)
+            return _bound(
+                after,
+                lambda now: F.struct(
+                    now["open"].alias("open"),
+                    now["next"].alias("next"),
+                    F.array_append(now["owners"], F.coalesce(F.try_element_at(now["open"], F.lit(-1)), F.lit(-1))).alias("owners"),
+                ),
+            )
+
+        def gathered(found: Column) -> Column:
+            numbered = F.arrays_zip(found["owners"].alias("owner"), pieces.alias("piece"))
+            mine = lambda n: F.filter(numbered, lambda p: p["owner"] == n)
+            numbers = F.when(found["next"] > 0, F.sequence(F.lit(0), found["next"] - 1)).otherwise(none)
+            return F.transform(numbers, lambda n: F.array_join(F.transform(mine(n), lambda p: p["piece"]), ""))
+
+        # the first piece opens nothing unless it begins with such a tag, as every later one does
+        first = F.when(pieces[0].rlike(rf"(?i)^<(?:{'|'.join(tags)})[\s/>]"), pieces).otherwise(F.concat(F.array(F.lit("")), F.slice(pieces, 2, F.size(pieces))))
+        return _bound(F.aggregate(first, start, note), gathered)
+
+    return F.when(html.isNotNull(), _bound(cuts, owned))
+
+
 def _text(markup: Column) -> Column:
     """Markup without tags, trimmed."""
     return F.trim(F.regexp_replace(markup, "<[^>]*>", ""))
@@ -77,8 +123,8 @@ def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
 def table_rows_from_html(df: DataFrame, column: str) -> DataFrame:
     """Body rows of every table of a page as (table, row, name -> cell), with the page's heading.
 
-    Each table's names come from its own header cells; rows with another number of cells are
-    skipped. A page without such a row gives one row whose `cells` is null. A page is taken
+    Tables are numbered as they open; one inside a cell of another is a table of its own, and its text no part of that
+    cell. Each table's names come from its own header cells; rows with another number of cells are skipped. A page without such a row gives one row whose `cells` is null. A page is taken
     apart in one expression, so no part of its text is searched per row.
     """
     others = [c for c in df.columns if c != column]
@@ -104,15 +150,16 @@ def table_rows_from_html(df: DataFrame, column: str) -> DataFrame:
 
         return _bound(parts, full)
 
-    found = F.flatten(F.transform(_elements(html, "table"), rows_of))
+    found = F.flatten(F.transform(_own_markup(html, "table"), rows_of))
     page = df.select(*others, heading.alias("heading"), F.explode_outer(found).alias("__one"))
     return page.select(*others, "heading", *[F.col(f"__one.{c}").alias(c) for c in ("table", "row", "cells")])
 
 
 def list_rows_from_html(df: DataFrame, column: str) -> DataFrame:
-    """List items of a page in order: the address they link to, their text, and the page's heading.
+    """List items of a page: the address they link to, their own text, and the page's heading.
 
-    A page without items gives no row.
+    Lists come as they open, each with its items in order; a list inside an item is a list of its own, and its
+    text no part of that item. A page without lists gives no row.
     """
     others = [c for c in df.columns if c != column]
     html = F.col(column)
@@ -129,7 +176,8 @@ def list_rows_from_html(df: DataFrame, column: str) -> DataFrame:
             ),
         )
 
-    page = F.struct(heading.alias("heading"), _elements(html, "li").alias("items"))
+    items_of = F.flatten(F.transform(_own_markup(html, "ul", "ol"), lambda own: _elements(own, "li")))
+    page = F.struct(heading.alias("heading"), items_of.alias("items"))
     return df.select(*others, F.inline(_bound(page, items)).alias("heading", "row", "link", "text"))
 
 

@@ -153,3 +153,17 @@ def test_error_checks(spark):
 def test_required_children(spark):
     df = spark.createDataFrame([("a", ["x"]), ("b", []), ("c", None)], "id STRING, child_srr_ids ARRAY<STRING>")
     assert sorted(r.id for r in runtable.required_children(df).collect()) == ["b", "c"]
+
+
+def test_free_lanes_fill_the_gaps_of_a_sample(spark):
+    """Used 1, 2, 5 out of sequence, and a sample without any; the given rule marks its clash."""
+    rows = [("g", f"r{i}", lane) for i, lane in enumerate(["L001", None, "L005", None, "L002", None, "x7", None])]
+    rows += [("h", f"q{i}", None) for i in range(3)]
+    table = spark.createDataFrame([(i, *r, "fastq") for i, r in enumerate(rows)], "_pos LONG, gsm_id STRING, run_id STRING, lane_id STRING, filetype STRING")
+    free = {r.run_id: r.lane_id for r in runtable.repair_lanes(table, free=True).filter("NOT clash").collect()}
+    assert free == {
+        "r0": "L001", "r1": "L003", "r2": "L005", "r3": "L004", "r4": "L002", "r5": "L006", "r6": "L007", "r7": "L008",
+        "q0": "L001", "q1": "L002", "q2": "L003",
+    }
+    given = {r.run_id: (r.lane_id, r.clash) for r in runtable.repair_lanes(table).collect()}
+    assert given["r1"] == ("L004", False) and given["r3"] == ("L005", True) and given["r0"] == ("L001", False)

@@ -11,6 +11,8 @@ from seqloom.plans import QUERIES as OWN
 
 QUERIES = {name: run for name, run in entry_point.queries().items() if name in OWN}
 SQL = {name: sql for name, sql in entry_point.oracle_sql().items() if name in OWN}
+#: Selectors in vectorised Python; every other query stays in the JVM.
+PYTHON = {"selector_batched"}
 
 
 @pytest.fixture(scope="module")
@@ -29,5 +31,6 @@ def test_entry_has_stable_columns(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, sf, con, name):
     result = QUERIES[name](spark, sf)
-    assert not re.search(r"Python|MapIn|Cartesian|NestedLoop", plan_of(result))
+    assert ("Python" in plan_of(result)) == (name in PYTHON)
+    assert not re.search(r"MapIn|Cartesian|NestedLoop", plan_of(result))
     assert oracle.differences(result, con, SQL[name]) == []

@@ -1,13 +1,12 @@
 """Sources and sinks: drift, headers, malformed input, versions."""
 
 import json
-
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.sources import manifest, documents, listing, markup, nested, storage, tables, tsv
+from seqloom.sources import documents, listing, manifest, markup, nested, storage, tables, tsv
 from seqloom.staging import new_path, scope, shared_root, stage
 
 
@@ -191,3 +190,19 @@ def test_listing_tests_the_last_part_only(spark):
     assert {r.name.rsplit(".", 1)[-1] for r in files.collect()} == {"txt", "json"}
     found = listing.dumped_ids(files, "/(GSM[0-9]+)", extensions=(".json", ".fastq"))
     assert [r.id for r in found.collect()] == ["GSM2"]
+
+
+def test_html_elements_inside_one_of_the_same_name(spark):
+    deep = "<table><tr><th>C</th></tr><tr><td>3</td></tr></table>"
+    inner = f"<TABLE class='x'><tr><th>B</th></tr><tr><td>2{deep}</td></tr><tr><td>2b</td></tr></TABLE>"
+    outer = f"<table><tr><th>A</th><th>D</th></tr><tr><td>1 {inner}<b>!</b></td><td>4</td></tr><tr><td>5</td><td>6</td></tr></table>"
+    rows = [(1, outer), (2, f"</table>{deep}"), (3, "<table><tr><th>A</th></tr><tr><td>open</td></tr>"), (4, "<tablet>no</tablet>"), (5, "")]
+    df = spark.createDataFrame(rows, "id INT, h STRING")
+    got = sorted((r.id, r["table"], r["row"], r.cells) for r in markup.table_rows_from_html(df, "h").collect() if r.cells)
+    assert got == [
+        (1, 0, 1, {"A": "1 !", "D": "4"}), (1, 0, 2, {"A": "5", "D": "6"}), (1, 1, 1, {"B": "2"}), (1, 1, 2, {"B": "2b"}),
+        (1, 2, 1, {"C": "3"}), (2, 0, 1, {"C": "3"}), (3, 0, 1, {"A": "open"}),
+    ]
+    lists = "<ul><li>a<ol><li>b</li><li>c<ul><li>d</li></ul></li></ol></li><li>e</li></ul><ul><li>f</li></ul>"
+    items = markup.list_rows_from_html(spark.createDataFrame([(lists,)], "h STRING"), "h").orderBy("row").collect()
+    assert [r.text for r in items] == ["a", "e", "b", "c", "d", "f"]
