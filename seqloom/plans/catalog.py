@@ -223,7 +223,9 @@ def _written(spark: SparkSession, ids: DataFrame, column: str, label: str) -> Da
     """Write one result file into a folder per id and list what is there: the ids with a result."""
     root = new_path(spark, label)
     results = ids.select(F.col(column).cast("string").alias("name"), F.lit("done").alias("value")).distinct()
-    results.repartition("name").write.partitionBy("name").text(root)
+    # as many writers as there are cores, each renaming its own folders
+    writer = results.repartition(spark.sparkContext.defaultParallelism, "name").write
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy("name").text(root)
     found = listing.dumped_ids(listing.file_listing(spark, root), "/name=([^/]+)/", extensions=(".txt",))
     return found.select(F.col("id").alias(column))
 

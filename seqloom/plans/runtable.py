@@ -87,7 +87,7 @@ def repair_lane_clashes(spark: SparkSession, sf: str) -> DataFrame:
       FROM run_table GROUP BY gsm_id),
     fixes AS (SELECT run_id, used, row_number() OVER (PARTITION BY gsm_id ORDER BY seen) AS k,
       count(*) OVER (PARTITION BY gsm_id) AS n FROM runs JOIN used USING (gsm_id) WHERE broken),
-    freed AS (SELECT run_id, 'L' || lpad(CAST(list_filter(range(1, len(used) + n + 1), x -> NOT list_contains(used, x))[k]
+    freed AS (SELECT run_id, 'L' || lpad(CAST([x FOR x IN range(1, len(used) + n + 1) IF NOT list_contains(used, x)][k]
       AS VARCHAR), 3, '0') AS lane FROM fixes)
     SELECT run_id, _pos, coalesce(lane, lane_id, 'none') AS lane_id, false AS clash FROM run_table LEFT JOIN freed USING (run_id)""",
 )

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions.files import path_basename
-from seqloom.sources import storage
 
 # What counts as a dumped file.
 DUMPED_EXTENSIONS = (".bam", ".fastq")
@@ -15,11 +14,9 @@ DUMPED_EXTENSIONS = (".bam", ".fastq")
 def file_listing(spark: SparkSession, root: str) -> DataFrame:
     """path, name and length of every file under `root`.
 
-    The folders of the first level are listed here; where there are many, Spark lists what is
-    in them with a job on the executors.
+    Spark lists level by level: wherever a level has many folders, with a job on the executors.
     """
-    folders = [f"{root}/{name}" for name in storage.names(spark, root)] or [root]
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return listed.select("path", path_basename(F.col("path")).alias("name"), "length")
 
 
