@@ -54,7 +54,8 @@ class Encoder:
 
     The tokenizer drops white space and ASCII case before anything else and always cuts between letters
     and closing punctuation, so a text's ids are its parts' ids in a row. A word that is not plain ASCII
-    letters with closing punctuation is a part of its own, as it stands. Parts are known by 64-bit hashes.
+    letters with closing punctuation is a part of its own, as it stands. Parts are told apart by their bytes;
+    hashes only bring the equal parts of a block together.
     """
 
     def __init__(self, path: str):
@@ -65,18 +66,18 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}
         self.pool = np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
 
-    def _learn(self, keys: list[int], new: list[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
         ids = [e.ids for e in found]
         length = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))
         start = len(self.pool) + np.cumsum(length) - length
-        self.known.update(zip(keys, range(len(self.start), len(self.start) + len(new)), strict=True))
+        self.known.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
         self.pool = np.concatenate([self.pool, flat])
         self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
 
@@ -84,8 +85,12 @@ class Encoder:
     def _parts(data: np.ndarray, at: np.ndarray):
         """(bytes, starts, ends, offsets): words cut into letters and closing punctuation where that is all they are."""
         starts, ends, of_text = T.words(data, at)
-        other = np.concatenate([[0], np.cumsum(~_LETTER[data])])
-        body = np.maximum.accumulate(np.where(_CLOSING[data], 0, np.arange(1, len(data) + 1)))
+        place_type = np.int32 if len(data) < 1 << 31 else np.int64
+        other = np.zeros(len(data) + 1, place_type)
+        np.cumsum(~_LETTER[data], out=other[1:])
+        body = np.arange(1, len(data) + 1, dtype=place_type)
+        body[_CLOSING[data]] = 0
+        np.maximum.accumulate(body, out=body)
         stem = body[ends - 1] if len(ends) else ends
         plain = (stem > starts) & (other[np.maximum(stem, starts)] == other[starts])
         cut = np.where(plain, stem, ends)
@@ -94,7 +99,7 @@ class Encoder:
         inside = np.zeros(len(data) + 1, np.int8)
         inside[starts[plain]] += 1
         inside[cut[plain]] -= 1
-        lowered = (np.cumsum(inside[:-1]) > 0) & (data < 97)
+        lowered = (np.cumsum(inside[:-1], dtype=np.int8) > 0) & (data < 97)
         folded[lowered] += np.uint8(32)
         count = 1 + tail.astype(np.int64)
         place = np.cumsum(count) - count
@@ -107,19 +112,24 @@ class Encoder:
         """(ids, offsets) of the texts, each followed by the closing id."""
         data, starts, ends, of_text = self._parts(data, at)
         which, distinct = pd.factorize(T.word_hashes(data, starts, ends))
+        raw = data.tobytes()
         first = np.empty(len(distinct), np.int64)
         first[which[::-1]] = np.arange(len(which))[::-1]
+        spare = ends - starts != (ends - starts)[first[which]] if len(which) else np.zeros(0, bool)
+        if spare.any() or not T.same_bytes(data, starts, ends, starts[first[which]]):
+            words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            which, distinct = pd.factorize(np.array(words, object))
+            first = np.empty(len(distinct), np.int64)
+            first[which[::-1]] = np.arange(len(which))[::-1]
         if len(self.known) > REMEMBERED:
             self._forget()
-        keys = distinct.tolist()
+        parts = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         known = self.known
-        slots = np.array([known.get(k, -1) for k in keys], np.int64)
+        slots = np.array([known.get(w, -1) for w in parts], np.int64)
         new = np.flatnonzero(slots < 0)
         if len(new):
-            raw = data.tobytes()
-            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
             slots[new] = len(self.start) + np.arange(len(new))
-            self._learn(distinct[new].tolist(), [raw[a:b] for a, b in spans])
+            self._learn([parts[i] for i in new.tolist()])
         slot = slots[which]
         n_texts = len(at) - 1
         length = np.ones(len(starts) + n_texts, np.int64)

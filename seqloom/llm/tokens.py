@@ -7,6 +7,7 @@ cut into blocks of bounded bytes at row boundaries (a longer text is a block of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -103,8 +104,48 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return starts, ends, np.searchsorted(starts, at)
 
 
+#: Words from this many bytes on are hashed one by one.
+LONG_WORD = 512
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """At every place of `data` the number that its next eight bytes make (zeros behind the end)."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hash(fold(byte_values(data)), starts, ends)
+    """64-bit hashes of byte spans: eight bytes at a time are mixed in, so no pattern of bytes cancels out."""
+    size = ends - starts
+    out = mix(size.astype(np.uint64) + np.uint64(_BASE))
+    eights = _eights(data)
+    left = np.flatnonzero(size < LONG_WORD)
+    done = 0
+    while len(left):
+        part = eights[starts[left] + done] & _LOW_BYTES[np.minimum(size[left] - done, 8)]
+        out[left] = mix((out[left] ^ part) * np.uint64(_BASE))
+        done += 8
+        left = left[size[left] > done]
+    long = np.flatnonzero(size >= LONG_WORD)
+    if len(long):
+        raw = data.tobytes()
+        spans = zip(starts[long].tolist(), ends[long].tolist(), strict=True)
+        out[long] = [int.from_bytes(blake2b(raw[a:b], digest_size=8).digest(), "little") for a, b in spans]
+    return out
+
+
+def same_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray) -> bool:
+    """Whether every span of bytes is that of the same number of bytes from its place in `others` on."""
+    eights, done = _eights(data), 0
+    left = np.flatnonzero(starts != others)
+    while len(left):
+        low = _LOW_BYTES[np.minimum(ends[left] - starts[left] - done, 8)]
+        if ((eights[starts[left] + done] ^ eights[others[left] + done]) & low).any():
+            return False
+        done += 8
+        left = left[ends[left] - starts[left] > done]
+    return True
 
 
 def owners(offsets: np.ndarray) -> np.ndarray:

@@ -6,12 +6,14 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from llm_corpus import docs, nothing, rows  # noqa: F401
 from public_tokenizers import path as tokenizer_path
 
-from seqloom.llm import licenses, lm, packing, urls
+from seqloom.llm import jaccard, licenses, lm, packing, substrings, urls
 from seqloom.llm import tokens as T
+from seqloom.llm.store import REST
 
 TOKENIZER = tokenizer_path("word_bpe_49k.json")
 
@@ -306,3 +308,54 @@ def test_evolution_never_loses_a_piece_and_beats_best_fit():
     assert max(again) + 1 <= len(bins)
     child = packing.crossover(plain, packing._best_fit([], list(range(300)), lengths, 100), lengths, 100, random.Random(3), full=0.9)
     assert sorted(i for b in child for i in b) == list(range(300))
+
+
+def thue_morse_words(n=1024):
+    """A word over two letters and its complement, which every polynomial modulo a power of two hashes alike."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_differ_have_hashes_that_differ():
+    rng = random.Random(2)
+    made = {*thue_morse_words(256), *thue_morse_words(1024), *thue_morse_words(4096)}
+    made |= {"".join(rng.choice("ab") for _ in range(rng.randrange(1, 40))) for _ in range(5000)}
+    made |= {"a" * n for n in range(1, 1200)} | {"a" * n + "b" for n in range(1, 1200)}
+    words = sorted(made)
+    raw = " ".join([*words, *reversed(words)]).encode()
+    data = np.frombuffer(raw, np.uint8)
+    starts, ends, _ = T.words(data, np.array([0, len(data)]))
+    hashes = T.word_hashes(data, starts, ends)
+    assert len(set(hashes.tolist())) == len(words)
+    assert (hashes[: len(words)] == hashes[len(words) :][::-1]).all()  # wherever a word stands
+
+
+def test_operators_tell_such_words_apart(spark, tmp_path):
+    one, other = thue_morse_words()
+    tail = " ".join(f"t{i}" for i in range(3))
+    texts = [f"{one} {tail} {one}", f"{other} {tail} {other}", f"{one} {tail} {one}"]
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id LONG, text STRING, source STRING").write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()} == {0: 0, 1: 1, 2: 0}
+    gone = {r[REST]["doc_id"]: r["_n_removed"] for r in substrings.dedup_substrings(docs, 5).collect()}
+    assert gone == {0: 5, 1: 0, 2: 5}
+    file = tokenizer_path("word_bpe_49k.json")
+    got = {r.doc_id: r.ids_crc32 for r in packing.pack_documents(docs, file).collect()}
+    for i, t in enumerate(texts):
+        ids = [*packing._encoder(file).tokenizer.encode(t, add_special_tokens=False).ids, 0]
+        assert len(ids) > 2048 or got[i] == zlib.crc32(np.array(ids, "<u4").tobytes())
+    scored = {r.doc_id: r.score for r in lm.cross_entropy_difference(docs, docs.where("doc_id <> 1").select("text")).collect()}
+    assert scored[0] == scored[2] < scored[1]
+
+
+def test_an_encoder_whose_hashes_collide_still_encodes_words(monkeypatch):
+    monkeypatch.setattr(T, "word_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    encoder = packing.Encoder(tokenizer_path("word_bpe_49k.json"))
+    texts = ["alpha beta alpha", "", "gamma beta. Alpha"]
+    raw = "".join(texts).encode()
+    at = np.cumsum([0, *[len(t) for t in texts]])
+    for _ in range(2):
+        ids, offsets = encoder.encode(np.frombuffer(raw, np.uint8), at, 0)
+        got = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        assert got == [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
