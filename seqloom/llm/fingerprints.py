@@ -12,7 +12,7 @@ task that holds the row; only signatures leave it.
 Defined results: a null or empty text has no terms, an empty fingerprint and n_chars 0; two texts without
 terms are alike (1.0), one with and one without are not (0.0); rows with equal ids come in order of their
 texts' hashes, null ids before all others; a single row follows itself; an empty table gives an empty
-result; only the id and the text are read.
+result; only the id and the text are read. Ids may be of any type that has an order by bytes (`binary_key`).
 """
 
 from __future__ import annotations
@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 
 from seqloom.llm.store import release, store
 from seqloom.llm.words import word_array
+from seqloom.operators.positions import with_pos
+from seqloom.operators.splitters import IrregularKeysError, binary_key, splitters
 
 SAMPLES = 32
 #: Bits of the winner's name in a sample; chance agreement is one in 2^24.
 NAME_BITS = 24
 HEX = NAME_BITS // 4
-#: Quantile ranges of the id, and rows that a cell within a range should hold.
-RANGES = 256
+#: Rows that a cell of neighbours by id should hold; it may come to twice as many.
 CELL_ROWS = 32
 
 
@@ -72,44 +73,29 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     return F.when((a == "") & (b == ""), 1.0).when((a == "") | (b == ""), 0.0).otherwise(both)
 
 
-def with_cells(docs: DataFrame, key: str) -> tuple[DataFrame, Column]:
-    """Add `_cell`, a coarse bucket that rises with the key, and give the expression of a range's successor.
-
-    Quantiles cut the key into at most `RANGES` ranges of like row counts; each is cut evenly by value.
-    What the driver sees is one row per range. Null keys fill a cell before all others.
-    """
-    at = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
-    bounds = docs.agg(F.percentile_approx(key, at, F.lit(10000)).alias("q")).first()["q"]
-    bounds = sorted(set(bounds or []))
-    edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
-    range_ = F.when(F.col(key).isNull(), 0).otherwise(F.size(F.filter(edges, lambda b: b <= F.col(key))) + 1)
-    stats = docs.groupBy(range_.alias("r")).agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
-    found = {s["r"]: s for s in stats.collect()}
-    low, width, following = [], [], []
-    present = sorted(found)
-    for r in range(len(bounds) + 2):
-        s = found.get(r)
-        cells = max(1, (s["n"] if s else 1) // CELL_ROWS)
-        span = (s["high"] - s["low"] + 1) if s and s["low"] is not None else 1
-        low.append(s["low"] if s and s["low"] is not None else 0)
-        width.append(max(1, -(-span // cells)))
-        following.append(next((p for p in present if p > r), present[0] if present else 0))
-    pick = lambda values: F.get(F.array(*[F.lit(v).cast("long") for v in values]), F.col("_range"))
-    inner = F.coalesce(F.floor((F.col(key) - pick(low)) / pick(width)), F.lit(0)).cast("long")
-    placed = docs.withColumn("_range", range_).withColumn("_cell", F.shiftleft(F.col("_range").cast("long"), 40) + inner)
-    return placed.drop("_range"), F.shiftleft(pick(following), 40)
+def with_cells(docs: DataFrame, order: list[str], cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Add `_cell`, a bucket of a few rows that rises with the order, however the ids are spread."""
+    key = binary_key(docs, order)
+    if key is None:
+        raise TypeError(f"{order[0]} is of a type that has no order by bytes")
+    while True:
+        try:
+            return splitters(docs, key, False, [], cell_rows).apply(docs, key, "_cell")
+        except IrregularKeysError:  # fewer splitters do for larger cells
+            cell_rows *= 4
 
 
 def with_following(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, text, `_cell`, `_no`, `_next_cell`, `_next_no`, `_next_text`): each with the next by key.
 
-    One exchange by cell puts neighbours together; only each cell's first text is sent to the cell before.
+    Rows of one key follow each other by their texts' hashes, so that they too are spread over cells. One exchange by
+    cell puts neighbours together; only each cell's first text is sent to the cell before.
     """
     narrow = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text))
-    placed, successor = with_cells(narrow, key)
+    placed = with_cells(narrow.withColumn("_tie", F.xxhash64(text)), [key, "_tie"]).drop("_tie")
     order = Window.partitionBy("_cell").orderBy(F.col(key).asc_nulls_first(), F.xxhash64(text))
     here = placed.withColumn("_no", F.row_number().over(order)).withColumn("_after", F.lead(text).over(order))
-    cells = _cells(placed, successor)
+    cells = _following_cells(placed)
     firsts = here.where("_no = 1").select(F.col("_cell").alias("_next_cell"), F.col(text).alias("_first"))
     edge = cells.join(firsts, "_next_cell")
     last = F.col("_after").isNull()
@@ -121,11 +107,13 @@ def with_following(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def _cells(placed: DataFrame, successor: Column) -> DataFrame:
-    """(_cell, _next_cell) for every cell that has rows."""
-    cells = placed.select("_cell").distinct().withColumn("_range", F.shiftright("_cell", 40))
-    within = Window.partitionBy("_range").orderBy("_cell")
-    return cells.select("_cell", F.coalesce(F.lead("_cell").over(within), successor).alias("_next_cell"))
+def _following_cells(placed: DataFrame) -> DataFrame:
+    """(_cell, _next_cell) for every cell that has rows; the first follows the last."""
+    cells = store(with_pos(store(placed.select("_cell").distinct(), "cells"), "_cell", pos="_place"), "cells")
+    following = cells.select(F.col("_cell").alias("_next_cell"), F.col("_place").alias("_before"))
+    before = F.col("_place") + 1
+    wrapped = cells.select("_cell", F.when(before < cells.count(), before).otherwise(F.lit(0)).alias("_before"))
+    return wrapped.join(following, "_before").select("_cell", "_next_cell")
 
 
 def fingerprint_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:

@@ -10,6 +10,7 @@ named like a measure, are left alone by `judge`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -106,8 +107,8 @@ def measures(text: Column, stop_words: list[str] = STOP_WORDS) -> dict[str, Colu
     }
 
 
-def _share(part: str, whole: str) -> Column:
-    return F.when(F.col(whole) > 0, F.col(part).cast("double") / F.col(whole).cast("double")).otherwise(F.lit(0.0))
+def _share(part: Column, whole: Column) -> Column:
+    return F.when(whole > 0, part.cast("double") / whole.cast("double")).otherwise(F.lit(0.0))
 
 
 RATIOS = {
@@ -118,6 +119,8 @@ RATIOS = {
     "capital_share": ("n_capitals", "n_letters"),
     "dup_line_share": ("n_dup_lines", "n_lines"),
 }
+#: Counts that `measures` gives together, in structs.
+PARTS = {"words": ("n_words", "word_chars", "n_repeat_words", "n_stop_words"), "lines": ("n_lines", "n_dup_lines")}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -127,17 +130,16 @@ def measure(docs: DataFrame, key: Column, stop_words: list[str] = STOP_WORDS) ->
     found = docs.select(key.alias("_key"), *[c.alias(f"_{n}") for n, c in m.items()])
     return found.select(
         "_key",
-        *[F.col(f"_words.{n}") for n in ("n_words", "word_chars", "n_repeat_words", "n_stop_words")],
-        *[F.col(f"_lines.{n}") for n in ("n_lines", "n_dup_lines")],
+        *[F.col(f"_{part}.{n}") for part, names in PARTS.items() for n in names],
         *[F.col(f"_{n}").alias(n) for n in ("n_symbols", "n_capitals", "n_letters")],
     )
 
 
-def passes(rules: tuple[Rule, ...]) -> Column:
-    """The conjunction of a threshold table over the columns of `measure`."""
+def passes(rules: tuple[Rule, ...], count: Callable[[str], Column] = F.col) -> Column:
+    """The conjunction of a threshold table over the columns of `measure`, or over what `count` gives for their names."""
     verdict = F.lit(True)
     for rule in rules:
-        value = _share(*RATIOS[rule.measure]) if rule.measure in RATIOS else F.col(rule.measure)
+        value = _share(*map(count, RATIOS[rule.measure])) if rule.measure in RATIOS else count(rule.measure)
         if rule.low is not None:
             verdict = verdict & (value >= F.lit(rule.low))
         if rule.high is not None:
@@ -155,10 +157,21 @@ def judge(
 
 
 def keep_good(docs: DataFrame, base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows that pass, with their own columns."""
-    columns = docs.columns
-    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
-    return judge(docs, whole, base, rules).where("kept").select(*[F.col("_key").getField(c).alias(c) for c in columns])
+    """The rows that pass, with their own columns.
+
+    The verdict is one expression over one struct of counts: a filter repeats whatever a projection below it computes,
+    so rules over plain columns would count every text once for each rule.
+    """
+    counted = measures(F.col("text"), STOP_WORDS)
+
+    def verdict(found: Column) -> Column:
+        def count(name: str) -> Column:
+            part = next((p for p, names in PARTS.items() if name in names), None)
+            return found[name] if part is None else found[part][name]
+
+        return passes(base, count) & passes(rules, count)
+
+    return docs.where(bound(F.struct(*[c.alias(n) for n, c in counted.items()]), verdict))
 
 
 def _sql_list(values) -> str:

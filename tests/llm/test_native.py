@@ -1,10 +1,12 @@
 """Mixing, quality rules and fingerprints: SQL twins, rules on small data, and plans without Python."""
 
 import hashlib
+import math
 from collections import Counter
 
 import oracle
 import pytest
+import xxhash
 from conftest import plan_of
 from llm_corpus import docs, nothing, rows  # noqa: F401
 from pyspark.sql import functions as F
@@ -141,3 +143,79 @@ def test_fingerprint_likeness_estimates_generalised_jaccard(spark):
 def test_fingerprints_have_no_python(spark, sf):
     result = QUERIES["op5_document_fingerprints"].run(spark, sf)
     assert "Python" not in plan_of(result) and "MapIn" not in plan_of(result)
+
+
+def _hash(seed, *parts):
+    """Spark's xxhash64: every value hashed with the one before as seed."""
+    for kind, value in parts:
+        raw = value.encode() if kind == "string" else value.to_bytes(8 if kind == "long" else 4, "little", signed=True)
+        seed = xxhash.xxh64(raw, seed=seed).intdigest()
+    return seed
+
+
+def _signature(text):
+    """Consistent weighted sampling term by term, in plain Python."""
+    terms = Counter(_hash(42, ("string", w.decode())) for w in (text or "").encode().split())
+    if not terms:
+        return ""
+    out = ""
+    for k in range(fingerprints.SAMPLES):
+        best = None
+        for term, n in terms.items():
+            signed = term - (1 << 64) if term >> 63 else term
+            uniform = lambda h, i: ((h >> 21 * i) % (1 << 21) + 0.5) / (1 << 21)
+            one, two = (_hash(42, ("long", signed), ("int", 2 * k + i)) for i in (0, 1))
+            r = -math.log(uniform(one, 0) * uniform(one, 1))
+            c = -math.log(uniform(one, 2) * uniform(two, 0))
+            beta = uniform(two, 1)
+            t = math.floor(math.log(n) / r + beta)
+            value = math.log(c) - r * (t - beta + 1.0)
+            level = math.floor((max(min(value, 100.0), -400.0) + 400.0) * (1 << 29))
+            name = _hash(42, ("long", signed), ("long", t)) % (1 << 24)
+            best = min(best or (level, name), (level, name))
+        out += f"{best[1]:06x}"
+    return out
+
+
+def _alike(a, b):
+    if not a or not b:
+        return 1.0 if a == b else 0.0
+    return sum(a[i : i + 6] == b[i : i + 6] for i in range(0, len(a), 6)) / fingerprints.SAMPLES
+
+
+def test_fingerprints_against_plain_python(spark):
+    """Signatures and both likenesses, with ids that are far apart, equal or null."""
+    texts = ["a b c d e f", "a b c d e f g", "a a a b", "b a a a", "", None, "ä ß\tx\x0by", "w " * 300 + "v", "one", "a b c d x f"]
+    ids = [5, 7, 2**62, -(2**62), 7, None, None, 0, 100, 101]
+    frame = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id LONG, text STRING")
+    tie = {r.text: r.h for r in frame.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    order = sorted(zip(ids, texts, strict=True), key=lambda r: (r[0] is not None, r[0] or 0, tie[r[1]]))
+    want = Counter()
+    for (i, text), (_, following) in zip(order, order[1:] + order[:1], strict=True):
+        text, following, half = text or "", following or "", len(text or "") // 2
+        edited = text[: len(text) - half] + following[:half]
+        mine, other = _signature(text), _signature(edited)
+        want[(i, len(text), mine, other, _alike(mine, other), _alike(mine, _signature(following)))] += 1
+    got = fingerprints.fingerprint_with_edits(frame).collect()
+    assert Counter((r.doc_id, r.n_chars, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in got) == want
+
+
+@pytest.mark.parametrize("kind", ["outlier", "equal ids", "null ids", "text ids"])
+def test_cells_of_neighbours_are_small_however_ids_are_spread(spark, kind):
+    n = 20_000
+    frame = spark.range(n).select(F.concat(F.lit("text "), "id").alias("text"), "id")
+    doc_id = {
+        "outlier": F.when(F.col("id") == 0, F.lit(2**62)).otherwise(F.col("id")),
+        "equal ids": F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")),
+        "null ids": F.when(F.col("id") % 3 > 0, F.col("id")),
+        "text ids": F.concat(F.lit("documents/part/"), F.col("id").cast("string")),
+    }[kind]
+    rows = fingerprints.with_following(frame.select(doc_id.alias("doc_id"), "text"))
+    found = rows.agg(F.max("_no"), F.count("*"), F.count_distinct("_next_text")).first()
+    assert found[0] <= 2 * fingerprints.CELL_ROWS and found[1] == found[2] == n
+
+
+def test_the_pipelines_quality_filter_counts_once(docs):
+    """The filter holds one verdict, however many rules read a count."""
+    plan = quality.keep_good(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") <= 4 and plan.count("split(") <= 3, plan
