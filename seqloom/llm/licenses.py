@@ -1,27 +1,41 @@
 """License scans: TF-IDF cosine of headers and licence files to templates, then inheritance down the tree.
 
-A file's header units are the sentences and lines of its whole text that hold a template word. Each is
-compared with every template as a sparse vector of term weights; document frequencies count all units of all
-files that hold a term. A file whose own text is little more than a licence (`FILE_SHARE` of its words in matching units) is a
-licence file and speaks for its directory. A file without a licence of its own takes that of the nearest
+Three kinds of units of a text are compared with templates as sparse vectors of term weights: its lines and sentences
+within a line; sentences of a paragraph that run over a line end; and the whole text where it holds at least
+`STRONG_WORDS` of the words that licences are made of. The first two are compared with header templates, the
+whole text with whole licences. Document frequencies count all lines and sentences of all files that hold a term.
+
+A file whose whole text is like a licence (`FILE_THRESHOLD`), or of whose words `FILE_SHARE` lie in matching
+units, is a licence file and speaks for its directory. A file without a licence of its own takes that of the nearest
 directory above it that has a licence file.
 
-Template words are matched as whole terms and stop words are no terms, so a unit without a template word has
-cosine 0 with every template: leaving it out drops nothing.
+A unit without a template word has cosine 0 with every header template: leaving it out drops nothing. Texts are read
+once, in blocks of bounded bytes; what leaves a task are its units with template words and one count for each
+different term.
+
+Terms are runs of letters, digits and other characters beyond Latin-1 signs and general punctuation, without
+stop words; ASCII case does not matter.
 
 Defined results: a null or empty text has no own licence and may inherit one; a null path inherits nothing;
-ties go to the higher cosine, then to the licence's name; of several licence files in a directory the best
-match speaks, then the least path; equal rows get equal results; an empty table gives an empty result.
+a whole text's match goes before those of its units; ties go to the higher cosine, then to the licence's name; of
+several licence files in a directory the best match speaks, then the least path; equal rows get equal results; input
+columns named like an output (`VERDICT`) are replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.store import REST, number_rows, pack_rest, rest_of, store
+from seqloom.llm import tokens as T
+from seqloom.llm.licence_texts import WHOLE
+from seqloom.llm.lm import TASK_KEYS, merged_counts
+from seqloom.llm.shipping import map_arrow
+from seqloom.llm.store import REST, number_rows, pack_rest, release, rest_of, store
 from seqloom.llm.words import word_count
 
 #: Header lines and licence openings by licence id (fixed values).
@@ -57,76 +71,221 @@ STOP = frozenset(
     "a an and any are as at be by can for from have if in into is it its may no not of on or that the them they this"
     " to was were with you your all which who will under use used work source form copy file files free person".split()
 ) - {"all", "by"}
-TERM = r"[^\p{L}\p{N}]+"
-UNIT = r"\n|(?<=[.!?;])[\x20\t\r]+"
+#: Words that licences are made of: a text with so many different ones is compared as a whole.
+STRONG = (
+    "license licence licenses licensed licensor licensee copyright copyrights copyrighted warranty warranties permission permissions"
+    " redistribution redistributions redistribute liability liable merchantability noninfringement sublicense disclaimer"
+    " disclaimed unencumbered relinquishment trademark patent conditions granted infringement distribute modify"
+).split()
+STRONG_WORDS = 5
 THRESHOLD = 0.6
+FILE_THRESHOLD = 0.5
 FILE_SHARE = 0.5
+#: Kinds of units.
+LINE, JOINED, FILE = 0, 1, 2
+
+_TERM = np.zeros(256, bool)
+_TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_STOPS = np.zeros(256, bool)
+_STOPS[list(b".!?;")] = True
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \t\r")] = True
+
+
+def _term_bytes(data: np.ndarray) -> np.ndarray:
+    """Lower-cased bytes with a blank wherever no term is."""
+    inside = _TERM[data]
+    latin = np.flatnonzero(data == 0xC2)  # signs of Latin-1, no-break space among them
+    wide = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80)) if len(data) > 2 else latin[:0]  # dashes, quotes
+    for at in (latin, latin + 1, wide, wide + 1, wide + 2):
+        inside[at[at < len(data)]] = False
+    return np.where(inside, T.lower_ascii(data), np.uint8(32))
+
+
+def _hashes(words) -> np.ndarray:
+    raw = " ".join(words).encode()
+    data = np.frombuffer(raw, np.uint8)
+    starts, ends, _ = T.words(data, np.array([0, len(data)]))
+    return np.unique(T.word_hashes(data, starts, ends))
+
+
+_STOP_HASHES = _hashes(STOP)
 
 
-def _terms(text: str) -> list[str]:
-    return [t for t in re.split(r"[^\w]+|_", text.lower()) if t and t not in STOP]
+def _terms(text: str) -> list[int]:
+    """The hashed terms of one text, in order."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    masked = _term_bytes(data)
+    starts, ends, _ = T.words(masked, np.array([0, len(data)]))
+    found = T.word_hashes(masked, starts, ends)
+    return found[~np.isin(found, _STOP_HASHES)].view(np.int64).tolist()
 
 
-def template_words(templates=TEMPLATES) -> list[str]:
-    return sorted({t for _, text in templates for t in _terms(text)})
+def _cuts(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running numbers of lines and sentences within them, and of sentences of whole paragraphs, at every byte."""
+    line_end = data == 10
+    after_stop = np.zeros(len(data), bool)
+    after_stop[1:] = _STOPS[data[:-1]]
+    opens = np.zeros(len(data) + 1, bool)
+    opens[at[:-1]] = True
+    lines = np.cumsum(line_end | (after_stop & _BLANK[data]) | opens[:-1])
+    # a line end closes a paragraph if only blanks stand before the next one
+    solid = np.flatnonzero(~_BLANK[data])
+    following = np.searchsorted(solid, np.arange(len(data)), "right")
+    next_solid = np.append(solid, len(data))[following]
+    blank_line = line_end & np.append(line_end, True)[next_solid]
+    joined = np.cumsum(blank_line | (after_stop & (_BLANK[data] | line_end)) | opens[:-1])
+    return lines, joined
+
+
+def _units(part: pa.RecordBatch, cue: np.ndarray, strong: np.ndarray):
+    """(arrays of the units worth comparing, (term, units that hold it) of all lines and sentences) of a block."""
+    data, at = T.texts(part.column("text"))
+    masked = _term_bytes(data)
+    starts, ends, of_text = T.words(masked, at)
+    term = T.word_hashes(masked, starts, ends)
+    real = ~np.isin(term, _STOP_HASHES)
+    starts, term, text = starts[real], term[real], T.owners(of_text)[real]
+    lines, joined = _cuts(data, at)
+    plain_starts, _, plain_of_text = T.words(data, at)
+    unit_of = {LINE: lines[starts], JOINED: joined[starts]}
+    pairs = np.unique(T.mix(term) + unit_of[LINE].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), return_index=True)[1]
+    key, count = np.unique(term[pairs], return_counts=True)
+    counts = (np.append(key, np.uint64(0)), np.append(count, len(np.unique(unit_of[LINE]))))
+
+    out = []
+    cued = np.isin(term, cue)
+    for kind, numbers in ((LINE, lines), (JOINED, joined)):
+        unit = unit_of[kind]
+        last = int(numbers[-1]) if len(numbers) else 0
+        wanted = np.zeros(last + 1, bool)
+        wanted[unit[cued]] = True
+        if kind == JOINED and len(unit):  # those within a line are compared as such
+            edge = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+            ends = np.append(edge[1:], len(unit)) - 1
+            inside = unit_of[LINE][ends] == unit_of[LINE][edge]
+            wanted[unit[edge[inside]]] = False
+        size = np.bincount(numbers[plain_starts], minlength=last + 1)
+        out.append(_gathered(kind, unit, term, text, wanted, size, numbers[np.minimum(at[:-1], len(data) - 1)]))
+    n, is_strong = len(at) - 1, np.isin(term, strong)
+    held = np.unique(text[is_strong] * len(strong) + np.searchsorted(strong, term[is_strong]))
+    whole = np.bincount(held // len(strong), minlength=n) >= STRONG_WORDS
+    out.append(_gathered(FILE, text, term, text, whole, np.diff(plain_of_text), np.arange(n)))
+    return out, counts
+
+
+def _gathered(kind, unit, term, text, wanted, size, first):
+    """(text, kind, number in the text, words, terms) of the wanted units."""
+    if not wanted.any():
+        return None
+    keep = wanted[unit]
+    unit, term, text = unit[keep], term[keep], text[keep]
+    edge = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+    owner = text[edge]
+    return owner, np.full(len(edge), kind, np.int8), unit[edge] - first[owner], size[unit[edge]], term, np.append(edge, len(unit))
+
+
+def units_and_counts(files: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """One stored table of (_row, kind, unit, words, terms) for the units to compare, and of (term, df) for all terms.
+
+    The term 0 counts the lines and sentences that hold any term.
+    """
+    cue = np.unique(np.array([t for _, text in templates for t in _terms(text)], np.int64).view(np.uint64))
+    strong = _hashes(STRONG)
+    names = ["_row", "kind", "unit", "words", "terms", "term", "df"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
 
-def _term_array(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), TERM), lambda t: (t != "") & ~t.isin(sorted(STOP)))
+        def flush():
+            key, n = merged_counts(keys, counts)
+            none = [pa.nulls(len(key), t) for t in (pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(key.view(np.int64)), pa.array(n)], names)
 
+        for batch in batches:
+            for part in T.blocks(batch, "text"):
+                if not len(T.texts(part.column("text"))[0]):
+                    continue
+                found, (key, n) = _units(part, cue, strong)
+                keys.append(key)
+                counts.append(n)
+                for unit in found:
+                    if unit is not None:
+                        text, kind, number, words, terms, edges = unit
+                        none = [pa.nulls(len(text), pa.int64())] * 2
+                        yield pa.RecordBatch.from_arrays(
+                            [part.column("_row").take(pa.array(text)), pa.array(kind), pa.array(number), pa.array(words),
+                             T.list_array(terms.view(np.int64), edges, pa.int64()), *none],
+                            names,
+                        )
+            if sum(map(len, keys)) > TASK_KEYS:
+                yield from flush()
+                keys, counts = [], []
+        if keys:
+            yield from flush()
 
-def header_units(files: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """(_row, unit, words, terms): the sentences and lines of whole texts that hold a template word."""
-    cue = r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, template_words(templates))) + r")(?![\p{L}\p{N}])"
-    parts = F.filter(F.split(F.col("text"), UNIT), lambda u: u.rlike(cue))
-    found = files.where(F.col("text").rlike(cue)).select("_row", F.posexplode(parts).alias("unit", "words_of"))
-    return found.select("_row", "unit", word_count(F.col("words_of")).alias("words"), _term_array(F.col("words_of")).alias("terms"))
+    schema = "_row long, kind byte, unit long, words long, terms array<bigint>, term long, df long"
+    return store(map_arrow(files.select("_row", "text"), run, schema), "units")
 
 
-def unit_counts(files: DataFrame) -> DataFrame:
-    """(term, df): in how many units of all files a term occurs; the empty term counts the units that hold any."""
-    units = files.select(F.explode(F.split(F.col("text"), UNIT)).alias("unit"))
-    terms = units.select(F.array_distinct(_term_array(F.col("unit"))).alias("terms")).where(F.size("terms") > 0)
-    each = terms.select(F.explode(F.concat(F.array(F.lit("")), "terms")).alias("term"))
-    return each.groupBy("term").agg(F.count("*").alias("df"))
+def _shape(templates, whole: bool) -> list[tuple]:
+    return [
+        (f"{'file' if whole else 'unit'} {i}", name, whole, t, terms.count(t))
+        for i, (name, text) in enumerate(templates)
+        for terms in [_terms(text)]
+        for t in sorted(set(terms))
+    ]
 
 
-def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(_row, own_license, own_score, licensed_words): for files with a matching unit."""
+def own_licences(
+    files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, wholes=WHOLE, file_threshold: float = FILE_THRESHOLD
+) -> DataFrame:
+    """(_row, own_license, own_score, licenses, licensed_words, like_file): for files with a matching unit."""
     spark = files.sparkSession
-    units = store(header_units(files, templates), "headers")
-    shape = [(i, name, t, _terms(text).count(t)) for i, (name, text) in enumerate(templates) for t in sorted(set(_terms(text)))]
-    wanted = spark.createDataFrame(shape, "template int, license string, term string, tf int")
-    counted = units.select("_row", "unit", F.explode("terms").alias("term")).groupBy("_row", "unit", "term").agg(
+    told = units_and_counts(files, templates)
+    units = told.where("kind IS NOT NULL").select("_row", "kind", "unit", "words", "terms")
+    shape = _shape(templates, False) + _shape(wholes.items(), True)
+    wanted = spark.createDataFrame(shape, "template string, license string, whole boolean, term long, tf int")
+    counted = units.select("_row", "kind", "unit", F.explode("terms").alias("term")).groupBy("_row", "kind", "unit", "term").agg(
         F.count("*").alias("tf")
     )
-    every = store(unit_counts(files), "units")
-    many = float(every.where("term = ''").agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0])
+    every = told.where("term IS NOT NULL").groupBy("term").agg(F.sum("df").alias("df"))
+    many = float(told.where("term = 0").agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0])
     needed = counted.select("term").union(wanted.select("term")).distinct()
     terms = needed.join(every, "term", "left")
     idf = store(
         terms.select("term", (F.ln(F.lit(many + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0).alias("idf")), "idf"
     )
+    release(spark)
     weight = (F.lit(1.0) + F.ln(F.col("tf").cast("double"))) * F.col("idf")
     of_units = counted.join(idf, "term").withColumn("w", weight)
     of_templates = wanted.join(idf, "term").withColumn("v", weight)
-    unit_norm = of_units.groupBy("_row", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("unit_norm"))
+    place = ["_row", "kind", "unit"]
+    unit_norm = of_units.groupBy(*place).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("unit_norm"))
     template_norm = of_templates.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("template_norm"))
-    dots = of_units.join(F.broadcast(of_templates.select("template", "license", "term", "v")), "term").groupBy(
-        "_row", "unit", "template", "license"
+    # the templates are fixed, so what is sent of them is too
+    known = F.broadcast(of_templates.select("template", "license", "whole", "term", "v"))
+    dots = of_units.withColumn("whole", F.col("kind") == FILE).join(known, ["term", "whole"]).groupBy(
+        *place, "template", "license"
     ).agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    scored = dots.join(unit_norm, ["_row", "unit"]).join(F.broadcast(template_norm), "template").withColumn(
+    scored = dots.join(unit_norm, place).join(F.broadcast(template_norm), "template").withColumn(
         "score", F.round(F.col("dot") / (F.col("unit_norm") * F.col("template_norm")), 9)
     )
-    hits = scored.where(F.col("score") >= threshold)
-    best = hits.groupBy("_row", "unit").agg(
-        F.max(F.struct("score", "license")).alias("best")
-    ).join(units.select("_row", "unit", "words"), ["_row", "unit"])
+    hits = scored.where(F.col("score") >= F.when(F.col("kind") == FILE, file_threshold).otherwise(threshold))
+    best = hits.groupBy(*place).agg(F.max(F.struct("score", "license")).alias("best")).join(units.select(*place, "words"), place)
+    whole = F.col("kind") == FILE
+    in_units = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("words"))), F.lit(0)) for k in (LINE, JOINED)]
+    rank = F.struct((~whole).alias("later"), (-F.col("best.score")).alias("s"), F.col("best.license").alias("license"))
     return best.groupBy("_row").agg(
-        F.min(F.struct((-F.col("best.score")).alias("s"), F.col("best.license").alias("license"))).alias("first"),
+        F.min(rank).alias("first"),
         F.array_sort(F.collect_set("best.license")).alias("licenses"),
-        F.sum("words").alias("licensed_words"),
-    ).select("_row", F.col("first.license").alias("own_license"), (-F.col("first.s")).alias("own_score"), "licenses", "licensed_words")
+        F.greatest(*in_units).alias("licensed_words"),
+        F.bool_or(whole).alias("like_file"),
+    ).select(
+        "_row", F.col("first.license").alias("own_license"), (-F.col("first.s")).alias("own_score"), "licenses", "licensed_words",
+        "like_file",
+    )
 
 
 def _directory(path: Column) -> Column:
@@ -153,7 +312,10 @@ def inherited(directories: DataFrame, speakers: DataFrame) -> DataFrame:
 VERDICT = ("own_license", "own_score", "licenses", "is_license_file", "license", "inherited_from")
 
 
-def scan_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, file_share: float = FILE_SHARE) -> DataFrame:
+def scan_licences(
+    files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, file_share: float = FILE_SHARE, wholes=WHOLE,
+    file_threshold: float = FILE_THRESHOLD,
+) -> DataFrame:
     """One row per row of `files` (a stored table with `path` and `text`): its other columns and its licence.
 
     Adds own_license, own_score, licenses (all that its units match), is_license_file, license (its own, else
@@ -161,9 +323,10 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
     """
     columns = [c for c in files.columns if c != "text" and c not in VERDICT]
     numbered = number_rows(pack_rest(files, "path", "text"))
-    own = store(own_licences(numbered.select("_row", "text"), templates, threshold), "licences")
+    own = store(own_licences(numbered.select("_row", "text"), templates, threshold, wholes, file_threshold), "licences")
+    release(files.sparkSession)
     words = numbered.select(REST, "path", "_row", word_count(F.col("text")).alias("_words"))
-    share = F.col("licensed_words") >= F.col("_words") * F.lit(file_share)
+    share = F.col("like_file") | (F.col("licensed_words") >= F.col("_words") * F.lit(file_share))
     told = words.join(own, "_row", "left").withColumn("is_license_file", F.coalesce(share, F.lit(False)))
     told = store(told.withColumn("_dir", _directory(F.col("path"))), "told")
     best = F.min(F.struct((-F.col("own_score")).alias("s"), "path", "own_license")).alias("f")

@@ -45,7 +45,8 @@ def lm_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return T.word_hashes(data, starts, ends), of_text
 
 
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def merged_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, with the sum of its counts."""
     key, which = np.unique(np.concatenate(keys), return_inverse=True)
     return key, np.bincount(which, np.concatenate(counts), len(key)).astype(np.int64)
 
@@ -59,7 +60,7 @@ def count_keys(docs: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.n
         held = 0
 
         def flush():
-            key, n = _merge(keys, counts)
+            key, n = merged_counts(keys, counts)
             for a in range(0, len(key), 65536):
                 yield pa.RecordBatch.from_arrays([pa.array(key[a : a + 65536].view(np.int64)), pa.array(n[a : a + 65536])], ["key", "n"])
 
@@ -70,7 +71,7 @@ def count_keys(docs: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.n
                 counts.append(n)
                 held += len(key)
             if held > TASK_KEYS:
-                key, n = _merge(keys, counts)
+                key, n = merged_counts(keys, counts)
                 keys, counts, held = [key], [n], len(key)
                 if held > TASK_KEYS:
                     yield from flush()
