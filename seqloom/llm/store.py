@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqloom.operators.positions import with_pos
 from seqloom.staging import new_path, scope, stage
 
 
@@ -31,7 +32,10 @@ def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> D
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete shuffle files that no live frame refers to."""
+    """Let Spark's cleaner delete shuffle files that no live frame refers to.
+
+    The cleaner acts on what the driver's garbage collector has found, so this asks for a full collection there.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
@@ -39,6 +43,8 @@ def release(spark: SparkSession) -> None:
 ROW = "_row"
 #: Bits of a row's name that hold its place in its file; those above hold the file's number.
 _PLACE_BITS = 40
+#: Files of a table up to which their names pass through the driver.
+MOST_FILES = 10_000
 _PASSED_THROUGH = ("Project", "Filter", "SubqueryAlias")
 
 
@@ -50,11 +56,20 @@ def _of_one_table(df: DataFrame) -> bool:
     return plan.nodeName() == "LogicalRelation"
 
 
+def _numbered_files(placed: DataFrame) -> DataFrame:
+    """(__file, __no), the files in order of their paths; sent to every executor only while there are few."""
+    files = placed.select("__file").distinct()
+    paths = sorted(r[0] for r in files.limit(MOST_FILES + 1).collect())
+    if len(paths) <= MOST_FILES:
+        return F.broadcast(placed.sparkSession.createDataFrame(list(enumerate(paths)), "__no long, __file string"))
+    return stage(with_pos(stage(files, "files"), "__file", pos="__no"), "files")
+
+
 def number_rows(df: DataFrame) -> DataFrame:
     """`df` with `_row`, a number of its own for every row, the same in every job however the scan is split.
 
-    A row of a Parquet table is named by its file (the files in order of their paths, one row of a broadcast
-    table each) and its place in that file. Any other frame is written once with its numbers.
+    A row of a Parquet table is named by its file (the files in order of their paths) and its place in that
+    file. Any other frame is written once with its numbers.
     """
     if _of_one_table(df) and "_metadata" not in (c.lower() for c in df.columns):
         try:
@@ -62,10 +77,8 @@ def number_rows(df: DataFrame) -> DataFrame:
         except AnalysisException:  # no Parquet
             placed = None
         if placed is not None:
-            paths = sorted(r[0] for r in placed.select("__file").distinct().collect())
-            files = df.sparkSession.createDataFrame(list(enumerate(paths)), "__no long, __file string")
             named = F.shiftleft("__no", _PLACE_BITS) + F.col("__place")
-            return placed.join(F.broadcast(files), "__file").select(*[F.col(f"`{c}`") for c in df.columns], named.alias(ROW))
+            return placed.join(_numbered_files(placed), "__file").select(*[F.col(f"`{c}`") for c in df.columns], named.alias(ROW))
     return stage(df.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
