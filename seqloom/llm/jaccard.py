@@ -9,10 +9,11 @@ often as the two sizes ask for.
 Equal sets become one node before any comparison. Similar groups are then joined up in rounds: of every
 prefix shingle's list each node is compared with a few hubs only, and lists whose nodes are all connected
 drop out. A last round compares what is left of the lists without any such choice, so that no link that
-would join two components is missed, while nodes already connected are never paired again.
+would join two components is missed, while nodes already connected are never paired again. It pairs by the part
+of the prefixes that the two sizes ask for, then counts matches over the whole prefixes.
 
-The order needs frequencies only as a hint: they come from a fixed number of hashed counters over all
-shingles, which is what is collected and broadcast.
+The order needs frequencies only as a hint: they come from the shingles that some task meets in several sets, of
+which a fixed number, those with the most hits, is collected and broadcast. All others come first, by their hashes.
 
 Defined results: a text without words (or null) has an empty set, links with nothing and is its own
 component; fewer than five words are one shingle; equal sets always link; rows with one id are one
@@ -22,10 +23,12 @@ document with several texts (their component's least id is the same); an empty t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.llm import tokens as T
@@ -36,14 +39,22 @@ from seqloom.llm.store import REST, number_rows, pack_rest, release, rest_of, se
 SHINGLE = 5
 #: Threshold as a fraction, so that comparisons are exact.
 NUMERATOR, DENOMINATOR = 75, 100
-#: Hashed frequency counters: a fixed size whatever the corpus.
-COUNTERS = 1 << 17
+#: Frequent shingles whose hits order the sets: a fixed number whatever the corpus.
+COMMON = 1 << 18
+#: Shingles that a task gathers before it looks which of them came again.
+GATHERED = 1 << 22
 MOST_MATCHES = 4
 HUB_ROUNDS = 2
 #: Hubs of a list, and hubs that a node is compared with, in one round.
 HUBS = 4
 #: What verifying one candidate costs, in prefix rows.
 VERIFY_COST = 8.0
+#: Hits from which a shingle counts as shared without asking.
+SURE = 4096
+#: Tasks that a shingle with as many hits is dealt over.
+SALTS = 64
+#: Sets that a task remembers, to take copies once.
+REMEMBERED = 1 << 20
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -65,65 +76,96 @@ def set_names(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return T.span_hash(T.fold(values), offsets[:-1], offsets[1:]).view(np.int64)
 
 
-def slots(values: np.ndarray) -> np.ndarray:
-    return (values & np.uint64(COUNTERS - 1)).astype(np.int64)
+@dataclass(frozen=True)
+class Common:
+    """The most frequent shingles, sorted, and how often they were seen together: a hint for the order and for k."""
+
+    shingles: np.ndarray
+    counts: np.ndarray
+
+    def seen(self, values: np.ndarray) -> np.ndarray:
+        """The count of each value, 0 for those that are not among them."""
+        if not len(self.shingles):
+            return np.zeros(len(values), np.int64)
+        at = np.minimum(np.searchsorted(self.shingles, values), len(self.shingles) - 1)
+        return np.where(self.shingles[at] == values, self.counts[at], 0)
+
+
+class _Unseen:
+    """Tells the first copy of each set that a task meets."""
+
+    def __init__(self):
+        self.seen: set[int] = set()
+
+    def __call__(self, nodes: np.ndarray, n: np.ndarray) -> np.ndarray:
+        if len(self.seen) > REMEMBERED:
+            self.seen.clear()
+        return np.array([x not in self.seen and not self.seen.add(x) for x in nodes.tolist()], bool) & (n > 0)
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """(_row, doc_id, n, node) for every text, and (slot, hits) for the counters, in one stored table."""
+    """(_row, doc_id, n, node) for every text, and (shingle, hits) for what a task meets in several sets, in one stored table."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["_row", "doc_id", "n", "node", "shingle", "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hits = np.zeros(COUNTERS, np.int64)
-        id_type = None
+        id_type, unseen, gathered, held = None, _Unseen(), [], 0
+
+        def met_again():
+            shingle, hits = np.unique(np.concatenate(gathered), return_counts=True)
+            shingle, hits = shingle[hits > 1], hits[hits > 1]
+            none = pa.nulls(len(shingle), pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [none, pa.nulls(len(shingle), id_type), none, none, pa.array(shingle.view(np.int64)), pa.array(hits.astype(np.int64))], names
+            )
+
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
             for part in T.blocks(batch, "text"):
                 values, offsets = shingle_sets(*T.texts(part.column("text")))
-                hits += np.bincount(slots(values), minlength=COUNTERS)
-                n = np.diff(offsets)
+                n, node = np.diff(offsets), set_names(values, offsets)
+                new = unseen(node, n)
+                gathered.append(values[T.ragged(offsets[:-1][new], n[new])])
+                held += len(gathered[-1])
                 none = pa.nulls(len(n), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_row"), part.column("doc_id"), pa.array(n), pa.array(set_names(values, offsets), mask=n == 0),
-                     none, none],
-                    ["_row", "doc_id", "n", "node", "slot", "hits"],
-                )
-        slot = np.flatnonzero(hits)
-        if len(slot):
-            none = pa.nulls(len(slot), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [none, pa.nulls(len(slot), id_type), none, none, pa.array(slot), pa.array(hits[slot])],
-                ["_row", "doc_id", "n", "node", "slot", "hits"],
-            )
+                    [part.column("_row"), part.column("doc_id"), pa.array(n), pa.array(node, mask=n == 0), none, none], names
+                )
+                if held > GATHERED:
+                    yield met_again()
+                    gathered, held = [], 0
+        if held:
+            yield met_again()
 
     return store(
         map_arrow(docs.select("_row", "doc_id", "text"), run,
-                  f"_row long, doc_id {kind}, n long, node long, slot long, hits long"),
+                  f"_row long, doc_id {kind}, n long, node long, shingle long, hits long"),
         "sets",
     )
 
 
-def counters(rows: DataFrame) -> np.ndarray:
-    """The summed counters: one number for each of the fixed slots."""
-    sums = rows.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("hits").alias("hits")).toArrow()
-    out = np.zeros(COUNTERS, np.int64)
-    out[sums.column("slot").to_numpy()] = sums.column("hits").to_numpy()
-    return out
+def common_shingles(rows: DataFrame) -> Common:
+    """The `COMMON` shingles with the most hits: a fixed number whatever the corpus."""
+    sums = rows.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("hits").alias("hits"))
+    top = sums.orderBy(F.desc("hits"), "shingle").limit(COMMON).toArrow()
+    shingles = top.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return Common(shingles[order], top.column("hits").to_numpy()[order])
 
 
-def ordered_prefixes(values: np.ndarray, offsets: np.ndarray, hits: np.ndarray, noise: float):
-    """(prefix shingles in the global order, length and matches asked for of each set).
+def ordered_prefixes(values: np.ndarray, offsets: np.ndarray, common: Common):
+    """(prefix shingles in the global order, length and matches asked for of each set, hits of the shingles).
 
-    Matches are chosen by estimated cost: each prefix shingle costs a row, and each hit its counter has
-    beyond chance may become a candidate, of which k matches make one.
+    Matches are chosen by estimated cost: each prefix shingle costs a row, and each of its hits may become a
+    candidate, of which k matches make one.
     """
-    seen = hits[slots(values)]
+    seen = common.seen(values)
     level = np.minimum(255, 4 * np.log2(seen + 1.0)).astype(np.uint64)
     key = (level << np.uint64(56)) | (values >> np.uint64(8))
     edges = offsets.tolist()
     order = [a + np.argsort(key[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
     order = np.concatenate(order) if order else np.zeros(0, np.int64)
-    brought = np.concatenate([[0.0], np.cumsum(np.maximum(seen[order] - noise, 0.0))])
+    brought = np.concatenate([[0.0], np.cumsum(seen[order], dtype=float)])
     n, start = np.diff(offsets), offsets[:-1]
     least = -(-NUMERATOR * n // DENOMINATOR)
     cost = np.full((MOST_MATCHES, len(n)), np.inf)
@@ -133,27 +175,63 @@ def ordered_prefixes(values: np.ndarray, offsets: np.ndarray, hits: np.ndarray,
         cost[k - 1] = np.where(k <= least, length + VERIFY_COST * hit / k, np.inf)
     matches = np.argmin(cost, axis=0) + 1
     length = np.where(n == 0, 0, n - least + matches)
-    return key[order][T.ragged(start, length)], length, matches
+    taken = T.ragged(start, length)
+    return key[order][taken], length, matches, seen[order][taken]
 
 
-def prefixes(docs: DataFrame, hits: np.ndarray) -> DataFrame:
-    """(token, node, n, k): the prefix shingles of every text's set."""
-    shared = docs.sparkSession.sparkContext.broadcast(hits)
-    noise = float(np.median(hits)) + 3.0 * float(np.sqrt(np.median(hits)) + 1.0)
+def prefixes(docs: DataFrame, common: Common) -> DataFrame:
+    """(token, node, n, k, place, sure): the prefix shingles of every set, in the global order.
+
+    A task emits a set once, however many copies it meets. `sure` marks shingles with so many hits that nothing
+    needs to ask whether another set holds them.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unseen = _Unseen()
         for batch in batches:
             for part in T.blocks(batch, "text"):
                 values, offsets = shingle_sets(*T.texts(part.column("text")))
-                tokens, length, matches = ordered_prefixes(values, offsets, shared.value, noise)
                 n, node = np.diff(offsets), set_names(values, offsets)
+                rows = np.flatnonzero(unseen(node, n))
+                values, offsets = values[T.ragged(offsets[rows], n[rows])], np.concatenate([[0], np.cumsum(n[rows])])
+                n, node = n[rows], node[rows]
+                tokens, length, matches, seen = ordered_prefixes(values, offsets, shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tokens.view(np.int64)), pa.array(np.repeat(node, length)),
-                     pa.array(np.repeat(n, length).astype(np.int32)), pa.array(np.repeat(matches, length).astype(np.int32))],
-                    ["token", "node", "n", "k"],
+                     pa.array(np.repeat(n, length).astype(np.int32)), pa.array(np.repeat(matches, length).astype(np.int8)),
+                     pa.array(T.ragged(np.zeros(len(n), np.int64), length).astype(np.int32)), pa.array(seen > SURE)],
+                    ["token", "node", "n", "k", "place", "sure"],
                 )
 
-    return map_arrow(docs.select("text"), run, "token long, node long, n int, k int")
+    return map_arrow(docs.select("text"), run, "token long, node long, n int, k byte, place int, sure boolean")
+
+
+def shared_prefixes(docs: DataFrame, common: Common) -> DataFrame:
+    """(token, node, n, k, place, held, rank) of every prefix shingle that more than one set holds.
+
+    One exchange brings a shingle's rows together, and the least and the greatest set tell whether there are two. Shingles
+    with many hits need not be asked about: they are dealt over `SALTS` tasks by their sets.
+    """
+    bits = F.shiftleft(F.col("n").cast("long"), 32) + F.shiftleft(F.col("place").cast("long"), 4)
+    rest = bits + F.shiftleft(F.col("k").cast("long"), 1) + F.col("sure").cast("long")
+    salt = F.when(F.col("sure"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    found = prefixes(docs, common).select("token", "node", rest.alias("rest"), salt.alias("salt")).repartition("token", "salt")
+    ends = Window.partitionBy("token", "salt")
+    found = found.withColumns({"low": F.min("node").over(ends), "high": F.max("node").over(ends)})
+    packed = F.col("rest")
+    held = found.where((F.col("low") < F.col("high")) | (packed.bitwiseAND(1) == 1)).select("token", "salt", "node", "rest").distinct()
+    rows = held.select(
+        "token", "node", F.shiftright(packed, 32).cast("int").alias("n"), F.shiftright(packed, 1).bitwiseAND(7).cast("byte").alias("k"),
+        F.shiftright(packed, 4).bitwiseAND((1 << 28) - 1).cast("int").alias("place"),
+    )
+    rows = store(rows, "prefixes")
+    release(docs.sparkSession)
+    # an edit's own shingles are in no other set: the more of its prefix a set shares, the fewer edits it has
+    length = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + F.col("k")
+    ranks = rows.groupBy("node", "n", "k").agg(F.count("*").alias("held"))
+    ranks = ranks.select("node", "held", (-F.floor(16 * F.col("held") / length)).cast("int").alias("rank"))
+    return rows.join(store(ranks, "ranks"), "node")
 
 
 def similar_size(a: str, b: str):
@@ -230,28 +308,42 @@ def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
     return chosen.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
+def _overlap(n_a: str, n_b: str) -> Column:
+    """Common shingles that similar sets of these sizes need."""
+    return F.ceil((F.col(n_a) + F.col(n_b)) * NUMERATOR / (NUMERATOR + DENOMINATOR) - 1e-9)
+
+
 def _remaining_pairs(rows: DataFrame) -> DataFrame:
     """Every pair of different labels that shares enough prefix shingles.
 
-    In each list only nodes outside of its most frequent label are paired, with all of other labels.
+    Sets that need `o` common shingles hold the first one of them among their first n - o + 1, and for the smaller
+    set that is a seventh of it. So only the ends of lists that both places allow become pairs; what two
+    heavily edited copies share lies behind their own shingles and makes none. In each list only nodes outside of its most
+    frequent label are paired, with all of other labels. The pairs are then counted over their whole prefixes.
     """
     by_label = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
     lists = by_label.groupBy("token").agg(
         F.count("*").alias("labels"), F.max_by("label", F.struct("c", "label")).alias("main")
     ).where("labels > 1").select("token", "main")
-    lists = store(lists, "lists")
-    there = rows.join(lists, "token")
-    few = there.where("label != main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "k", "label", "held")])
-    met = few.join(there, "token").where(
+    there = store(rows.join(store(lists, "lists"), "token").select("token", "node", "n", "place", "label", "main"), "listed")
+    smaller = there.where(F.col("place") < F.col("n") - F.ceil(F.col("n") * 2 * NUMERATOR / (NUMERATOR + DENOMINATOR) - 1e-9) + 1)
+    smaller = smaller.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "place", "label", "main")])
+    meets = (
         (F.col("x_label") != F.col("label"))
-        & ((F.col("label") == F.col("main")) | (F.col("x_node") < F.col("node")))
-        & similar_size("x_n", "n")
-        # no pair has more matches than either side has shingles in common with anything
-        & enough_matches("n", "k", "x_n", "x_k", F.least("held", "x_held"))
+        & ((F.col("x_n") < F.col("n")) | ((F.col("x_n") == F.col("n")) & (F.col("x_node") < F.col("node"))))
+        & (F.col("x_n") * DENOMINATOR >= F.col("n") * NUMERATOR)
+        & (F.col("x_place") < F.col("x_n") - _overlap("x_n", "n") + 1)
+        & (F.col("place") < F.col("n") - _overlap("x_n", "n") + 1)
+    )
+    pair = F.col("x_node").alias("a"), F.col("node").alias("b")
+    one = smaller.where("x_label != x_main").join(there, "token").where(meets).select(*pair)
+    other = smaller.where("x_label = x_main").join(there.where("label != main"), "token").where(meets).select(*pair)
+    pairs = store(one.unionByName(other).distinct(), "met")
+    left = rows.select("token", *[F.col(c).alias(f"x_{c}") for c in ("n", "k")], F.col("node").alias("a"))
+    right = rows.select("token", "n", "k", F.col("node").alias("b"))
+    counted = pairs.join(left, "a").join(right, ["b", "token"]).groupBy("a", "b").agg(
+        F.count("*").alias("matches"), F.first(F.struct("n", "k", "x_n", "x_k")).alias("s")
     )
-    # one list may pair two nodes this way and another that way round: a pair has one name
-    pair = F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")
-    counted = met.groupBy(*pair).agg(F.count("*").alias("matches"), F.first(F.struct("n", "k", "x_n", "x_k")).alias("s"))
     enough = counted.select("a", "b", "matches", "s.*").where(enough_matches("n", "k", "x_n", "x_k", F.col("matches")))
     return enough.select("a", "b")
 
@@ -274,18 +366,8 @@ def _components(numbered: DataFrame, described_rows: DataFrame, hub_rounds: int)
     """(node, component_id) of every set that is not empty."""
     spark = numbered.sparkSession
     texts_of = described_rows.where("_row IS NOT NULL")
-    candidates = prefixes(numbered, counters(described_rows))
-    # what a hot side is joined with is stored first: Spark splits it only next to its exchange
-    ends = candidates.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = store(ends.where("low < high").select("token"), "tokens")
-    met = store(candidates.join(shared, "token", "left_semi").distinct(), "prefixes")
-    release(spark)
-    # an edit's own shingles are in no other set: the more of its prefix a set shares, the fewer edits it has
-    length = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + F.col("k")
-    ranks = met.groupBy("node", "n", "k").agg(F.count("*").alias("held"))
-    ranks = ranks.select("node", "held", (-F.floor(16 * F.col("held") / length)).cast("int").alias("rank"))
-    ranks = store(ranks, "ranks")
-    rows = store(met.join(ranks, "node"), "ranked")
+    common = common_shingles(described_rows)
+    rows = settled(spark, "ranked", lambda: shared_prefixes(numbered, common))
 
     one = texts_of.where("node IS NOT NULL").groupBy("node").agg(F.min("_row").alias("_row"))
     needed = one.join(rows.select("node").distinct(), "node", "left_semi")
@@ -295,8 +377,9 @@ def _components(numbered: DataFrame, described_rows: DataFrame, hub_rounds: int)
     links, labels = None, None
     for round_ in range(hub_rounds + 1):
         known = _labelled(rows, labels)
-        pairs = _hub_pairs(known, round_) if round_ < hub_rounds else _remaining_pairs(known)
-        found = store(verified(pairs, texts), "verified")
+        choose = partial(_hub_pairs, known, round_) if round_ < hub_rounds else partial(_remaining_pairs, known)
+        pairs = settled(spark, "pairs", choose)
+        found = settled(spark, "verified", partial(verified, pairs, texts))
         links = found if links is None else links.unionByName(found)
         labels = components(links, 1 if round_ < hub_rounds - 1 else None)
         release(spark)
