@@ -40,8 +40,12 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 3
 GENERATIONS = 4
-#: Distinct words whose ids a Python worker remembers before it starts afresh.
-REMEMBERED = 1_000_000
+#: Distinct parts whose ids a Python worker remembers before it starts afresh, and those in its table of late ones.
+REMEMBERED, LATELY = 1_000_000, 1 << 17
+#: New parts that one call of the tokenizer encodes.
+TOGETHER = 64
+#: Bytes of text that are encoded at once.
+GATHERED_BYTES = 8 << 20
 
 
 _LETTER = np.zeros(256, bool)
@@ -66,20 +70,68 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.known: dict[bytes, int] = {}
+        none = np.zeros(0, np.int64)
+        #: Two sorted tables (hashes, slots) of what is known: a large one and what was learnt lately.
+        self.tables = [(np.zeros(0, np.uint64), none), (np.zeros(0, np.uint64), none)]
+        self.odd: dict[bytes, int] = {}  # parts whose hash is another part's
         self.pool = np.zeros(0, np.uint32)
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
-
-    def _learn(self, new: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+        self.start, self.length = none, none
+        self.text = np.zeros(0, np.uint8)
+        self.text_start, self.text_length = none, none
+
+    def _learn(self, new: list[bytes]) -> np.ndarray:
+        """Slots of new parts. Some are encoded in one call, with blanks between; a token is the part's that it starts in."""
+        words = [w.decode("utf-8", "replace") for w in new]
+        begin = np.cumsum([0, *[len(w) + 1 for w in words]])[:-1]
+        lines = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        found = self.tokenizer.encode_batch(lines, add_special_tokens=False)
         ids = [e.ids for e in found]
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))
-        start = len(self.pool) + np.cumsum(length) - length
-        self.known.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))
+        at = np.fromiter((o[0] for e in found for o in e.offsets), np.int64, len(flat)) + np.repeat(begin[::TOGETHER], count)
+        length = np.bincount(np.searchsorted(begin, at, "right") - 1, minlength=len(new))
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        slots = len(self.start) + np.arange(len(new))
+        self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
         self.pool = np.concatenate([self.pool, flat])
-        self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
+        self.text_start = np.concatenate([self.text_start, len(self.text) + np.cumsum(size) - size])
+        self.text_length = np.concatenate([self.text_length, size])
+        self.text = np.concatenate([self.text, np.frombuffer(b"".join(new), np.uint8)])
+        return slots
+
+    def _remember(self, keys: np.ndarray, slots: np.ndarray) -> None:
+        def merged(table, more):
+            key, slot = (np.concatenate([a, b]) for a, b in zip(table, more, strict=True))
+            order = np.argsort(key)
+            return key[order], slot[order]
+
+        self.tables[1] = merged(self.tables[1], (keys, slots))
+        if len(self.tables[1][0]) > LATELY:
+            self.tables = [merged(*self.tables), (np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+
+    def _slots(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Slots of parts that differ from one another; new ones are learnt."""
+        slots = np.full(len(keys), -1, np.int64)
+        for known, slot in self.tables:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                slots = np.where(known[at] == keys, slot[at], slots)
+        seen = np.flatnonzero(slots >= 0)
+        same = T.same_bytes(data, starts[seen], ends[seen], self.text, self.text_start[slots[seen]])
+        same &= self.text_length[slots[seen]] == ends[seen] - starts[seen]
+        raw = data.tobytes() if len(seen) < len(keys) or not same.all() else b""
+        for i in seen[~same].tolist():
+            part = raw[starts[i] : ends[i]]
+            if part not in self.odd:
+                self.odd[part] = int(self._learn([part])[0])
+            slots[i] = self.odd[part]
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            slots[new] = self._learn([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            _, once = np.unique(keys[new], return_index=True)  # of parts with one hash, one is found by it
+            self._remember(keys[new][once], slots[new][once])
+        return slots
 
     @staticmethod
     def _parts(data: np.ndarray, at: np.ndarray):
@@ -108,28 +160,29 @@ class Encoder:
         first[place[tail] + 1], last[place[tail] + 1] = cut[tail], ends[tail]
         return folded, first, last, np.append(place, len(first))[of_text]
 
+    @staticmethod
+    def _firsts(which: np.ndarray, n: int) -> np.ndarray:
+        """Where each of n numbers stands first."""
+        first = np.empty(n, np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
+        return first
+
     def encode(self, data: np.ndarray, at: np.ndarray, closing: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of the texts, each followed by the closing id."""
         data, starts, ends, of_text = self._parts(data, at)
         which, distinct = pd.factorize(T.word_hashes(data, starts, ends))
-        raw = data.tobytes()
-        first = np.empty(len(distinct), np.int64)
-        first[which[::-1]] = np.arange(len(which))[::-1]
-        spare = ends - starts != (ends - starts)[first[which]] if len(which) else np.zeros(0, bool)
-        if spare.any() or not T.same_bytes(data, starts, ends, starts[first[which]]):
-            words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            which, distinct = pd.factorize(np.array(words, object))
-            first = np.empty(len(distinct), np.int64)
-            first[which[::-1]] = np.arange(len(which))[::-1]
-        if len(self.known) > REMEMBERED:
+        first = self._firsts(which, len(distinct))
+        size = ends - starts
+        if (size != size[first[which]]).any() or not T.same_bytes(data, starts, ends, data, starts[first[which]]).all():
+            raw = data.tobytes()
+            words = np.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], object)
+            distinct = distinct[which]
+            which, _ = pd.factorize(words)
+            first = self._firsts(which, int(which.max()) + 1)
+            distinct = distinct[first]
+        if len(self.start) > REMEMBERED:
             self._forget()
-        parts = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        known = self.known
-        slots = np.array([known.get(w, -1) for w in parts], np.int64)
-        new = np.flatnonzero(slots < 0)
-        if len(new):
-            slots[new] = len(self.start) + np.arange(len(new))
-            self._learn([parts[i] for i in new.tolist()])
+        slots = self._slots(data, starts[first], ends[first], distinct)
         slot = slots[which]
         n_texts = len(at) - 1
         length = np.ones(len(starts) + n_texts, np.int64)
@@ -156,8 +209,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, closing: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
-        for batch in batches:
-            for part in T.blocks(batch, "text"):
+        for batch in T.gathered(batches, "text", GATHERED_BYTES):
+            for part in T.blocks(batch, "text", GATHERED_BYTES):
                 ids, at = encoder.encode(*T.texts(part.column("text")), closing)
                 size = np.diff(at)
                 count = -(-size // capacity)

@@ -85,6 +85,20 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
         start = end
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches put together until they hold `limit` bytes of text."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += int(texts(batch.column(column))[1][-1])
+        if size >= limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
@@ -135,17 +149,18 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
-def same_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray) -> bool:
-    """Whether every span of bytes is that of the same number of bytes from its place in `others` on."""
-    eights, done = _eights(data), 0
-    left = np.flatnonzero(starts != others)
+def same_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which spans of `data` hold the same bytes as the spans of their sizes in `other`, from its places `others` on."""
+    size, mine, theirs = ends - starts, _eights(data), _eights(other)
+    out = np.ones(len(starts), bool)
+    left, done = np.arange(len(starts)), 0
     while len(left):
-        low = _LOW_BYTES[np.minimum(ends[left] - starts[left] - done, 8)]
-        if ((eights[starts[left] + done] ^ eights[others[left] + done]) & low).any():
-            return False
+        behind = others[left] + done
+        low = _LOW_BYTES[np.minimum(size[left] - done, 8)]
+        out[left] &= ((mine[starts[left] + done] ^ theirs[np.minimum(behind, len(other))]) & low) == 0
         done += 8
-        left = left[ends[left] - starts[left] > done]
-    return True
+        left = left[size[left] > done]
+    return out
 
 
 def owners(offsets: np.ndarray) -> np.ndarray:

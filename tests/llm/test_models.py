@@ -1,8 +1,10 @@
 """Language-model scores, URL verdicts, licences, packing and the pipeline."""
 
 import math
+import os
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,7 +15,7 @@ from public_tokenizers import path as tokenizer_path
 
 from seqloom.llm import jaccard, licenses, lm, packing, substrings, urls
 from seqloom.llm import tokens as T
-from seqloom.llm.store import REST
+from seqloom.llm.store import REST, number_rows
 
 TOKENIZER = tokenizer_path("word_bpe_49k.json")
 
@@ -230,12 +232,119 @@ def test_licences(spark, tmp_path):
     assert licenses.scan_licences(spark.read.parquet(path).limit(0)).collect() == []
 
 
+LINE_CUT = r"\n|(?<=[.!?;])[\x20\t\r]+"
+JOINED_CUT = r"\n(?=[\x20\t\r]*(?:\n|$))|(?<=[.!?;])[\x20\t\r\n]+"
+
+
+def brute_licences(texts, threshold=0.6, file_threshold=0.5):
+    """{text number: (licence, score, licensed words, like a licence file)} by dictionaries."""
+    lines = [[u for u in re.split(LINE_CUT, t or "") if licenses._terms(u)] for t in texts]
+    df = Counter(term for units in lines for u in units for term in set(licenses._terms(u)))
+    many = sum(map(len, lines))
+
+    def vector(text):
+        return {t: (1 + math.log(n)) * (math.log((many + 1) / (df[t] + 1)) + 1) for t, n in Counter(licenses._terms(text)).items()}
+
+    def cosine(x, y):
+        return round(sum(x[t] * y.get(t, 0.0) for t in x) / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values())), 9)
+
+    headers = [(name, vector(t)) for name, t in licenses.TEMPLATES]
+    wholes = [(name, vector(t)) for name, t in licenses.WHOLE.items()]
+    out = {}
+    for i, text in enumerate(texts):
+        joined = [u for u in re.split(JOINED_CUT, text or "") if sum(bool(licenses._terms(p)) for p in re.split(LINE_CUT, u)) > 1]
+        strong = set(licenses._terms(" ".join(licenses.STRONG))) & set(licenses._terms(text or ""))
+        found, words = [], [0, 0]
+        for kind, units in enumerate((lines[i], joined)):
+            for u in units:
+                score, name = max((cosine(vector(u), v), n) for n, v in headers)
+                if score >= threshold:
+                    found.append((True, -score, name))
+                    words[kind] += len(u.encode().split())
+        if len(strong) >= licenses.STRONG_WORDS:
+            score, name = max((cosine(vector(text), v), n) for n, v in wholes)
+            if score >= file_threshold:
+                found.append((False, -score, name))
+        if found:
+            later, score, name = min(found)
+            out[i] = (name, pytest.approx(-score, abs=1e-8), max(words), any(not f[0] for f in found))
+    return out
+
+
+def one_line(text):
+    return " ".join(text.split())
+
+
+def wrapped(text, width):
+    return "\n\n".join(textwrap.fill(one_line(p), width) for p in re.split(r"\n\s*\n", text))
+
+
+def licence_corpus():
+    """(path, text, licence that it is a file of): whole licences in several shapes, and texts that only speak of licences."""
+    files = []
+    for name, text in licenses.WHOLE.items():
+        owned = f"Copyright (c) 2019 Some Body <some@body.org>\nAll of it.\n\n{text}"
+        for shape, made in {"as": owned, "wide": wrapped(owned, 110), "narrow": wrapped(owned, 38), "line": one_line(owned),
+                            "crlf": owned.replace("\n", "\r\n"), "curly": owned.replace('"', "\u201c")}.items():
+            files.append((f"{name}-{shape}/LICENSE", made, name))
+            files.append((f"{name}-{shape}/src/deep/x.py", "import os\nprint(os.name)\n", None))
+    code = "\n".join(f"def f{i}(x):\n    return x + {i}  # step {i} of many" for i in range(120))
+    header = "# Licensed under the Apache License, Version 2.0 (the License);\n# you may not use this file except in compliance with the License.\n"
+    files.append(("code/a.py", header + code, None))
+    files.append(("code/b.py", "# This program is free software: you can redistribute it and modify it under\n# the terms of the GNU General Public License as\n# published by the Free Software Foundation, version 3.\n" + code, None))
+    talk = "We spoke of the license and its conditions, of copyright, liability and warranties, and a patent granted long ago. "
+    files.append(("talk/a.txt", talk + "The weather was fine, and the river ran past the mill. " * 30, None))
+    files.append(("talk/b.txt", None, None))
+    return files
+
+
+def test_whole_licences_are_licence_files(spark, tmp_path):
+    files = licence_corpus()
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(p, t, i) for i, (p, t, _) in enumerate(files)], "path STRING, text STRING, no INT").repartition(3).write.parquet(path)
+    got = {r["no"]: r for r in licenses.scan_licences(spark.read.parquet(path)).collect()}
+    for i, (p, _, name) in enumerate(files):
+        if name:
+            assert (got[i].own_license, got[i].is_license_file) == (name, True), (p, got[i])
+            assert (got[i + 1].license, got[i + 1].inherited_from) == (name, p)
+        else:
+            assert not got[i].is_license_file, p
+    told = {p: got[i].own_license for i, (p, _, _) in enumerate(files)}
+    assert (told["code/a.py"], told["code/b.py"], told["talk/a.txt"]) == ("Apache-2.0", "GPL-3.0", None)
+
+
+def test_licence_scores_equal_brute_force(spark, tmp_path):
+    files = licence_corpus()[::3] + licence_corpus()[-4:]
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(str(i), t, i) for i, (_, t, _) in enumerate(files)], "path STRING, text STRING, no INT").write.parquet(path)
+    stored = number_rows(spark.read.parquet(path))
+    number = {r["_row"]: r["no"] for r in stored.collect()}
+    got = {number[r["_row"]]: r for r in licenses.own_licences(stored.select("_row", "text")).collect()}
+    want = brute_licences([t for _, t, _ in files])
+    assert {i: (r.own_license, r.own_score, r.licensed_words, r.like_file) for i, r in got.items()} == want
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-3", "GPL-2", "LGPL-3", "MPL-2.0", "CC0-1.0"])
+def test_real_licence_files(spark, tmp_path, name):
+    """The texts that come with the operating system, where it has them."""
+    file = f"/usr/share/common-licenses/{name}"
+    if not os.path.exists(file):
+        pytest.skip("no such file here")
+    with open(file) as f:
+        text = f.read()
+    rows = [("a/LICENSE", text), ("b/LICENSE", one_line(text)), ("a/x/y.c", "int x;"), ("b/y.c", "int y;")]
+    spark.createDataFrame(rows, "path STRING, text STRING").write.parquet(str(tmp_path / "t"))
+    got = {r.path: r for r in licenses.scan_licences(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    want = name if name[-2:] == ".0" else f"{name}.0"
+    assert all(r.license == want for r in got.values()) and got["a/LICENSE"].is_license_file and got["b/LICENSE"].is_license_file
+
+
 def test_licence_scores_count_every_unit(spark, tmp_path):
     """Frequencies are of all lines and sentences, also of those without a template word."""
     texts = ["Released under the MIT License for zebras.", "zebras\nzebras graze. zebras sleep\n\n...\nzebras", "ordinary words\nzebras " * 9, None]
     spark.createDataFrame([(f"{i}", t, i) for i, t in enumerate(texts)], "path STRING, text STRING, no INT").write.parquet(str(tmp_path / "t"))
     got = {r["no"]: r for r in licenses.scan_licences(spark.read.parquet(str(tmp_path / "t")), threshold=0.1).collect()}
-    units = [set(licenses._terms(u)) for t in texts for u in re.split(licenses.UNIT, t or "")]
+    units = [set(licenses._terms(u)) for t in texts for u in re.split(LINE_CUT, t or "")]
     units = [u for u in units if u]
     df = Counter(t for u in units for t in u)
 
@@ -359,3 +468,27 @@ def test_an_encoder_whose_hashes_collide_still_encodes_words(monkeypatch):
         ids, offsets = encoder.encode(np.frombuffer(raw, np.uint8), at, 0)
         got = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         assert got == [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_search_beats_best_fit_where_that_is_poor(seed):
+    """Triplets that fill a bin exactly: best-fit decreasing wastes a fifth, crossover of full bins wins some of it back."""
+    rng, lengths = random.Random(seed), []
+    for _ in range(20):
+        a = rng.randint(380, 490)
+        b = rng.randint(250, (1000 - a) // 2)
+        lengths += [a, b, 1000 - a - b]
+    rng.shuffle(lengths)
+    down = sorted(range(len(lengths)), key=lambda i: -lengths[i])
+    plain = len(packing._best_fit([], down, lengths, 1000))
+
+    def bins(population, generations):
+        label = packing.evolve(lengths, 1000, [], random.Random(1), population, generations)
+        held = Counter()
+        for i, b in enumerate(label):
+            held[b] += lengths[i]
+        assert max(held.values()) <= 1000 and sorted(held) == list(range(len(held)))
+        return len(held)
+
+    assert bins(packing.POPULATION, packing.GENERATIONS) <= plain
+    assert bins(20, 100) < plain
