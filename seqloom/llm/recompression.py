@@ -10,6 +10,8 @@ holds the symbol too, in whatever document the window occurs.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from seqloom.llm import tokens as T
 
@@ -73,6 +75,18 @@ class Symbols:
         self._replace(i, j, np.where(pair, joined, self.name[i]), low, high)
 
 
+class GivenSymbols:
+    """Symbols named elsewhere, a list of (start, end, low, high, name) for each text; places count from its first word."""
+
+    def __init__(self, lists: pa.Array, offsets: np.ndarray):
+        count = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        base = np.repeat(offsets[:-1], count)
+        flat = lists.flatten()
+        of = lambda name: flat.field(name).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.start, self.end, self.low, self.high = (of(c) + base for c in ("start", "end", "low", "high"))
+        self.name = of("name").view(np.uint64)
+
+
 def recompress(hashes: np.ndarray, offsets: np.ndarray, rounds: int = ROUNDS) -> Symbols:
     symbols = Symbols(hashes, offsets)
     if len(hashes):

@@ -60,8 +60,12 @@ class Kind(ABC):
         """(a hash for each unit, offsets of the texts)."""
 
     @abstractmethod
-    def ranges(self, units: np.ndarray, offsets: np.ndarray) -> Ranges:
-        """All windows of all texts, in order, each in exactly one range."""
+    def ranges(self, units: np.ndarray, offsets: np.ndarray, part: pa.RecordBatch) -> Ranges:
+        """All windows of all texts of a block, in order, each in exactly one range."""
+
+    def prepared(self, texts: DataFrame) -> DataFrame:
+        """(_row, text) with whatever else `ranges` needs of a row."""
+        return texts
 
     @abstractmethod
     def contents(self, data, units, folded, first, last) -> pa.Array:
@@ -89,7 +93,7 @@ def window_starts(offsets: np.ndarray, size: int) -> np.ndarray:
 def _ranges_of(kind: Kind, part: pa.RecordBatch):
     data, at = T.texts(part.column("text"))
     units, offsets = kind.units(data, at)
-    found = kind.ranges(units, offsets)
+    found = kind.ranges(units, offsets, part)
     return data, units, offsets, found
 
 
@@ -112,9 +116,7 @@ def occurrences(docs: DataFrame, kind: Kind) -> DataFrame:
                     ["name", "range_hash", "weight", "_row", "no"],
                 )
 
-    return map_arrow(
-        docs.select("_row", "text"), run, "name long, range_hash long, weight int, _row long, no int"
-    )
+    return map_arrow(docs, run, "name long, range_hash long, weight int, _row long, no int")
 
 
 def range_marks(found: DataFrame) -> DataFrame:
@@ -169,8 +171,7 @@ def _spans(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _first_pass(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
-    """Documents with the spans already known to go, and the ranges whose windows are still open."""
-    columns = docs.columns
+    """(_row, _starts, _ends, _pending, _open) of texts with marks: spans known to go, ranges whose windows are still open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,15 +204,14 @@ def _first_pass(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
                 )
                 order = np.argsort(text[looked], kind="stable")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in columns]
-                    + [T.list_array(starts, per_span, pa.int32()), T.list_array(ends, per_span, pa.int32()), pa.array(pending),
-                       pa.ListArray.from_arrays(pa.array(per_open.astype(np.int32)), opened.take(pa.array(order)))],
-                    [*columns, "_starts", "_ends", "_pending", "_open"],
+                    [part.column("_row"), T.list_array(starts, per_span, pa.int32()), T.list_array(ends, per_span, pa.int32()),
+                     pa.array(pending), pa.ListArray.from_arrays(pa.array(per_open.astype(np.int32)), opened.take(pa.array(order)))],
+                    ["_row", "_starts", "_ends", "_pending", "_open"],
                 )
 
     opened = f"struct<name:bigint,start:int,weight:int,windows:int,variants:bigint,content:{kind.content}>"
-    made = S.StructType.fromDDL(f"_starts array<int>, _ends array<int>, _pending boolean, _open array<{opened}>")
-    return map_arrow(docs.join(marks, "_row", "left"), run, S.StructType([*docs.schema.fields, *made.fields]))
+    made = f"_row long, _starts array<int>, _ends array<int>, _pending boolean, _open array<{opened}>"
+    return map_arrow(docs.join(marks, "_row"), run, made)
 
 
 def _lengths(lists: pa.Array):
@@ -258,22 +258,30 @@ def _second_pass(frame: DataFrame, columns: list[str], kind: Kind, kept_type: st
 def remove_repeats(docs: DataFrame, kind: Kind, kept_type: str) -> DataFrame:
     """(`__rest`, text, `_n_units`, `_n_removed`, `_n_spans`, `_kept`) of every row of `docs`.
 
-    The struct holds all columns but the text. `docs` should be a stored Parquet table: it is read twice, and
-    rows are told apart by their file and place in it (`number_rows`).
+    The struct holds all columns but the text. `docs` should be a stored Parquet table: it is read several times, and
+    rows are told apart by their file and place in it (`number_rows`). Only what is known of a row is stored on the
+    way, never a second copy of its text.
     """
-    columns = [REST, "text"]
     numbered = number_rows(pack_rest(docs, "text"))
-    first = settled(
-        docs.sparkSession, "spans", lambda: _first_pass(numbered, range_marks(occurrences(numbered, kind)), kind)
-    )
+    spans = settled(docs.sparkSession, "spans", lambda: _removed_spans(numbered.select("_row", "text"), kind))
+    return _second_pass(numbered.join(spans, "_row", "left"), [REST, "text"], kind, kept_type)
+
+
+def _removed_spans(texts: DataFrame, kind: Kind) -> DataFrame:
+    """(_row, _starts, _ends, _more_starts, _more_ends) of every text that loses anything."""
+    texts = kind.prepared(texts)
+    marks = store(range_marks(occurrences(texts, kind)), "marks")
+    release(texts.sparkSession)
+    first = store(_first_pass(texts, marks, kind), "first")
+    release(texts.sparkSession)
     opened = first.where(F.size("_open") > 0).select("_row", F.inline("_open"))
     more = kind.repeated(opened).groupBy("_row").agg(F.collect_list(F.struct("start", "end")).alias("_more"))
     none = F.array().cast("array<int>")
-    known = [*columns, "_starts", "_ends"]
+    known = ["_row", "_starts", "_ends"]
     done = first.where("NOT _pending").select(*known, none.alias("_more_starts"), none.alias("_more_ends"))
     rest = first.where("_pending").join(more, "_row", "left").select(
         *known,
         F.coalesce(F.col("_more")["start"], none).alias("_more_starts"),
         F.coalesce(F.col("_more")["end"], none).alias("_more_ends"),
     )
-    return _second_pass(done.unionByName(rest), columns, kind, kept_type)
+    return done.unionByName(rest).where((F.size("_starts") > 0) | (F.size("_more_starts") > 0))

@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm import tokens as T
-from seqloom.llm.recompression import ROUNDS, range_minimum, recompress
+from seqloom.llm.global_rounds import global_symbols
+from seqloom.llm.recompression import ROUNDS, GivenSymbols, range_minimum, recompress
 from seqloom.llm.repeats import Kind, Ranges, remove_repeats, window_starts
+from seqloom.llm.store import store
 
 WINDOW = 35
 
@@ -31,16 +33,22 @@ WINDOW = 35
 class Words(Kind):
     content = "array<bigint>"
 
-    def __init__(self, size: int = WINDOW, rounds: int = ROUNDS):
-        self.size, self.rounds = size, rounds
+    def __init__(self, size: int = WINDOW, rounds: int = ROUNDS, in_rounds: bool = False):
+        self.size, self.rounds, self.in_rounds = size, rounds, in_rounds
+
+    def prepared(self, texts):
+        if not self.in_rounds:
+            return texts
+        return store(texts.join(global_symbols(texts, self.rounds), "_row", "left"), "symbols")
 
     def units(self, data, at):
         starts, ends, of_text = T.words(data, at)
         return T.word_hashes(data, starts, ends), of_text
 
-    def ranges(self, units, offsets):
+    def ranges(self, units, offsets, part):
         window = window_starts(offsets, self.size)
-        symbols = recompress(units, offsets, self.rounds)
+        given = self.in_rounds and GivenSymbols(part.column("symbols"), offsets)
+        symbols = given or recompress(units, offsets, self.rounds)
         first = np.searchsorted(symbols.low, window, "left")
         last = np.searchsorted(symbols.high, window + self.size, "right")
         held = last > first
@@ -85,6 +93,10 @@ class Words(Kind):
         return b" ".join(compress(text.split(), kept.tolist())).decode("utf-8")
 
 
-def dedup_substrings(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Every row as (`__rest`, text, `_n_units` (words), `_n_removed`, `_n_spans`, `_kept`: the text that stays)."""
-    return remove_repeats(docs, Words(size), "string")
+def dedup_substrings(docs: DataFrame, size: int = WINDOW, in_rounds: bool = False) -> DataFrame:
+    """Every row as (`__rest`, text, `_n_units` (words), `_n_removed`, `_n_spans`, `_kept`: the text that stays).
+
+    With `in_rounds` Spark rounds name all runs and pairs by dictionaries of the whole corpus (`global_rounds`), at
+    many times the cost; otherwise every task names them by hashes, which agree everywhere. The result is the same.
+    """
+    return remove_repeats(docs, Words(size, in_rounds=in_rounds), "string")

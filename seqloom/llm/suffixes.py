@@ -151,7 +151,7 @@ class Bytes(Kind):
     def units(self, data, at):
         return T.byte_values(data), at
 
-    def ranges(self, units, offsets):
+    def ranges(self, units, offsets, part):
         window = window_starts(offsets, self.size)
         if not len(window):
             empty = np.zeros(0, np.int64)

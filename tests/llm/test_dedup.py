@@ -51,6 +51,17 @@ def test_substrings_of_few_words(spark, tmp_path, seed):
     assert [got[i]["_n_removed"] for i in range(30)] == [sum(g) for g in removed(texts, 8)]
 
 
+def test_substrings_named_in_spark_rounds(docs, rows, spark, tmp_path):
+    """Dictionaries of the whole corpus lead to the same repeats as hashes do."""
+    plain, rounds = found(substrings.dedup_substrings(docs, 5)), found(substrings.dedup_substrings(docs, 5, in_rounds=True))
+    assert {i: r["_kept"] for i, r in plain.items()} == {i: r["_kept"] for i, r in rounds.items()}
+    rng = random.Random(9)
+    texts = [[rng.choice("ab" if i % 2 else "abcde") for _ in range(rng.randint(0, 60))] for i in range(30)]
+    spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id LONG, text STRING").write.parquet(str(tmp_path / "t"))
+    got = found(substrings.dedup_substrings(spark.read.parquet(str(tmp_path / "t")), 8, in_rounds=True))
+    assert [got[i]["_n_removed"] for i in range(30)] == [sum(g) for g in removed(texts, 8)]
+
+
 @pytest.mark.parametrize("size", [20, 200])
 def test_bytes_match_brute_force(docs, rows, size):
     got = found(suffixes.dedup_bytes(docs, size))
@@ -175,15 +186,17 @@ def test_near_duplicates_in_chains(spark, tmp_path, hub_rounds):
 
 def test_prefixes_of_similar_sets_share_what_is_asked():
     rng = np.random.default_rng(4)
-    hits = rng.integers(0, 2000, jaccard.COUNTERS)
+    known = np.unique(rng.integers(0, 2**63, 4000, dtype=np.uint64))
+    hits = jaccard.Common(known, rng.integers(2, 2000, len(known)))
     for _ in range(300):
         common = rng.integers(0, 2**63, rng.integers(3, 200), dtype=np.uint64)
+        common = np.unique(np.concatenate([common, rng.choice(known, rng.integers(0, 60))]))
         a = np.unique(np.concatenate([common, rng.integers(0, 2**63, rng.integers(0, len(common) // 6 + 1), dtype=np.uint64)]))
         b = np.unique(np.concatenate([common, rng.integers(0, 2**63, rng.integers(0, len(common) // 6 + 1), dtype=np.uint64)]))
         same = len(np.intersect1d(a, b))
         if 100 * same < 75 * (len(a) + len(b) - same):
             continue
-        (pa, _, ka), (pb, _, kb) = (jaccard.ordered_prefixes(v, np.array([0, len(v)]), hits, 100.0) for v in (a, b))
+        (pa, _, ka, _), (pb, _, kb, _) = (jaccard.ordered_prefixes(v, np.array([0, len(v)]), hits) for v in (a, b))
         ka, kb = int(ka[0]), int(kb[0])
         matches = len(np.intersect1d(pa, pb))
         left = max(-(-75 * len(a) // 100) - ka, -(-75 * len(b) // 100) - kb)
