@@ -2,7 +2,7 @@
 
 Both models are interpolated word bigram models over one vocabulary: words and bigrams that the background
 holds at least twice, at any size. Other words are the unknown word, and other bigrams leave their mass to the
-unigram part. All counts stay Spark tables. Rows are taken in blocks; each block's own words and bigrams are
+unigram part. All counts stay Spark tables. Rows are taken in blocks of bounded bytes; each block's own words and bigrams are
 joined to the tables, and every block is then counted or scored next to the entries that it needs.
 
 Defined results: a null text or one without words has n_words 0 and null losses and score; equal
@@ -29,8 +29,8 @@ LEAST = 2
 INTERPOLATION = 0.7
 #: Distinct keys a task merges before it hands them on.
 TASK_KEYS = 2_000_000
-#: Rows of a block, as bits; hashes that stand for the unknown word and the start of a text.
-BLOCK_BITS = 10
+#: Rows of a block, as bits, and bytes from which a text is a block of its own, so that blocks are bounded; hashes that stand for the unknown word and the start of a text.
+BLOCK_BITS, LONG_TEXT = 10, 1 << 14
 UNKNOWN, START = 0, 1
 BACKGROUND, TARGET, SCORED = 1, 2, 4
 _CLOSING = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
@@ -117,7 +117,8 @@ def _blocks(frame: DataFrame, no: int, role: int, id_type: str) -> DataFrame:
     """(block, doc_id, text, role) of one corpus."""
     doc_id = F.col("doc_id") if role & SCORED else F.lit(None).cast(id_type)
     rows = number_rows(frame.select("doc_id", "text") if role & SCORED else frame.select("text"))
-    block = F.shiftright("_row", BLOCK_BITS) + F.lit(no << 60).cast("long")
+    alone = F.octet_length("text") > LONG_TEXT
+    block = F.when(alone, F.col("_row") + (1 << 59)).otherwise(F.shiftright("_row", BLOCK_BITS)) + F.lit(no << 60).cast("long")
     return rows.select(block.alias("block"), doc_id.alias("doc_id"), "text", F.lit(role).alias("role"))
 
 

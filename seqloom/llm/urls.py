@@ -1,6 +1,7 @@
 """URL filters: host and path rules first, then naive Bayes over segmented host and path words.
 
-Concatenated names are split by a unigram Viterbi whose word shares come from the text of all pages. A
+Concatenated names are split by a unigram Viterbi whose word shares come from the text of all pages. A word has at
+most `LONGEST_WORD` letters: longer runs of letters in the markup are no words and count in no share. A
 multinomial naive Bayes then weighs the words of host and path; its training pages are all pages, labelled
 by a short table of words that unwanted sites use, so the words that stand beside them are learned too.
 
@@ -29,6 +30,7 @@ from seqloom.llm.store import number_rows, settled, store
 
 #: Occurrences that a word of the markup needs, at any size.
 LEAST = 2
+#: Letters of the longest word that a name may hold.
 LONGEST_WORD = 24
 #: Corpora of running text hold no single letters worth a name's part, but for the few real words.
 SINGLE = ("a", "i", "y", "o", "e")
