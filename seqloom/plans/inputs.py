@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table's rows over all cores where it has fewer files than cores, for what builds or parses long texts of each row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def orders_in_order(spark: SparkSession, sf: str) -> DataFrame:
     """Orders whose key serves as `_pos` where only the order matters."""
     return table(spark, sf, "orders").withColumn(POS, F.col("o_orderkey"))
@@ -128,9 +134,9 @@ RUN_COLUMNS = {
 
 def run_table(spark: SparkSession, sf: str) -> DataFrame:
     """The run table with file names and paths; missing parts show up as `None` in them."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    spread = orders.selectExpr("o_orderkey", "o_custkey", f"explode(sequence(0L, {N_FILES} - 1)) AS j")
-    rows = spread.selectExpr(*[f"{sql} AS {name}" for name, sql in RUN_COLUMNS.items()])
+    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey"))
+    files_of = orders.selectExpr("o_orderkey", "o_custkey", f"explode(sequence(0L, {N_FILES} - 1)) AS j")
+    rows = files_of.selectExpr(*[f"{sql} AS {name}" for name, sql in RUN_COLUMNS.items()])
     read = F.when(F.col("read_type") != "", F.col("read_type"))
     kind, sample = F.col("filetype"), F.col("gsm_id")
     filename = files.dumped_filename(sample, kind, F.lit("S1"), F.col("lane_id"), read)

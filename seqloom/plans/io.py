@@ -270,7 +270,8 @@ def src_run_xml(spark: SparkSession, sf: str) -> DataFrame:
     )
     given = F.when(F.col("o_orderkey") % 19 == 0, F.lit("")).otherwise(files)
     whole = F.concat(head, given, F.lit(second))
-    texts = inputs.table(spark, sf, "orders").select(
+    orders = inputs.spread(inputs.table(spark, sf, "orders").select("o_orderkey", "o_custkey"))
+    texts = orders.select(
         F.expr("concat('SRR', o_orderkey) AS run_id"),
         F.when(F.col("o_orderkey") % 17 == 0, F.lit("<RUN_SET><RUN>cut off")).otherwise(whole).alias("xml"),
     )
@@ -305,9 +306,8 @@ def _run_pages(spark: SparkSession, sf: str, before: str = "") -> DataFrame:
     heading = F.expr("concat('<h1>GSM', o_custkey, ': a run; Homo sapiens; x (SRR', o_orderkey, ')</h1>')")
     head = "<table><thead><tr><th>Name</th><th>Size</th><th>Location</th><th>Free Egress</th></tr></thead><tbody>"
     table = F.concat(F.lit(head), rows, F.lit("<tr><td>no</td></tr></tbody></table>"))
-    return inputs.table(spark, sf, "orders").select(
-        "o_orderkey", heading.alias("heading"), F.concat(heading, F.lit(before), table).alias("html")
-    )
+    orders = inputs.spread(inputs.table(spark, sf, "orders").select("o_orderkey", "o_custkey"))
+    return orders.select("o_orderkey", heading.alias("heading"), F.concat(heading, F.lit(before), table).alias("html"))
 
 
 def _cells(found: DataFrame, *more: str | Column) -> DataFrame:
