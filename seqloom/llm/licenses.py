@@ -9,9 +9,9 @@ A file whose whole text is like a licence (`FILE_THRESHOLD`), or of whose words
 units, is a licence file and speaks for its directory. A file without a licence of its own takes that of the nearest
 directory above it that has a licence file.
 
-A unit without a template word has cosine 0 with every header template: leaving it out drops nothing. Texts are read
-once, in blocks of bounded bytes; what leaves a task are its units with template words and one count for each
-different term.
+A unit without a template word has cosine 0 with every header template: leaving it out drops nothing. Nor does leaving
+out one whose cosine stays below the threshold even if its other terms weighed least. Texts are read once, in blocks of
+bounded bytes; what leaves a task are its units with template words and one count for each different term.
 
 Terms are runs of letters, digits and other characters beyond Latin-1 signs and general punctuation, without
 stop words; ASCII case does not matter.
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -238,25 +239,91 @@ def _shape(templates, whole: bool) -> list[tuple]:
     ]
 
 
+class Weights:
+    """Term weights of the templates that units of one kind are compared with; their terms are a fixed set."""
+
+    def __init__(self, shape: list[tuple], idf: dict[int, float], threshold: float):
+        names = sorted({t for t, *_ in shape})
+        self.terms = np.array(sorted({term for *_, term, _ in shape}), np.int64)
+        self.idf = np.array([idf[t] for t in self.terms.tolist()])
+        self.of = np.zeros((len(self.terms), len(names)))
+        for template, _, _, term, tf in shape:
+            at = np.searchsorted(self.terms, term)
+            self.of[at, names.index(template)] = (1.0 + np.log(tf)) * self.idf[at]
+        self.norm = np.sqrt((self.of**2).sum(0))
+        self.threshold = threshold
+
+    def plausible(self, unit: np.ndarray, term: np.ndarray, tf: np.ndarray, n: int) -> np.ndarray:
+        """Which of n units can reach the threshold: terms of no template weigh at least as if every unit held them."""
+        at = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
+        known = self.terms[at] == term
+        weight = (1.0 + np.log(tf)) * np.where(known, self.idf[at], 1.0)
+        norm = np.sqrt(np.bincount(unit, weight**2, n))
+        unit, at, weight = unit[known], at[known], weight[known]
+        best = np.zeros(n)
+        for k in range(self.of.shape[1]):
+            best = np.maximum(best, np.bincount(unit, weight * self.of[at, k], n) / self.norm[k])
+        return best >= (self.threshold - 1e-9) * norm
+
+
+def _plausible(units: DataFrame, headers: Weights, wholes: Weights) -> DataFrame:
+    """(_row, kind, unit, words, terms, tf): the units that can reach their threshold, each term once with its count."""
+    names = ["_row", "kind", "unit", "words", "terms", "tf"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, lists = batch.num_rows, batch.column("terms")
+            count = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            unit, term = np.repeat(np.arange(n), count), lists.flatten().to_numpy(zero_copy_only=False)
+            order = np.lexsort((term, unit))
+            unit, term = unit[order], term[order]
+            edge = np.flatnonzero(np.append(True, (unit[1:] != unit[:-1]) | (term[1:] != term[:-1])))
+            tf = np.diff(np.append(edge, len(unit)))
+            unit, term = unit[edge], term[edge]
+            whole = batch.column("kind").to_numpy() == FILE
+            good = np.where(whole, wholes.plausible(unit, term, tf, n), headers.plausible(unit, term, tf, n))
+            held = good[unit]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(unit[held], minlength=n)[good])])
+            kept = batch.select(names[:4]).filter(pa.array(good))
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, T.list_array(term[held], offsets, pa.int64()), T.list_array(tf[held].astype(np.int32), offsets, pa.int32())],
+                names,
+            )
+
+    return map_arrow(units, run, "_row long, kind byte, unit long, words long, terms array<bigint>, tf array<int>")
+
+
 def own_licences(
     files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, wholes=WHOLE, file_threshold: float = FILE_THRESHOLD
 ) -> DataFrame:
-    """(_row, own_license, own_score, licenses, licensed_words, like_file): for files with a matching unit."""
+    """(_row, own_license, own_score, licenses, licensed_words, like_file): for files with a matching unit.
+
+    Units that cannot reach their threshold whatever their other terms weigh are dropped first, knowing only the
+    frequencies of the templates' own terms, which are a fixed set; the others are compared exactly.
+    """
     spark = files.sparkSession
     told = units_and_counts(files, templates)
+    release(spark)
+    shape = [_shape(templates, False), _shape(wholes.items(), True)]
+    wanted = spark.createDataFrame(shape[0] + shape[1], "template string, license string, whole boolean, term long, tf int")
+    every = told.where("term IS NOT NULL").select("term", "df")
+    of_templates = F.broadcast(wanted.select("term").distinct())
+    seen = {r["term"]: r["df"] for r in every.join(of_templates, "term").groupBy("term").agg(F.sum("df").alias("df")).collect()}
+    many = float(told.where("term = 0").agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0])
+    idf_of = {t: float(np.log((many + 1.0) / (seen.get(t, 0) + 1.0)) + 1.0) for part in shape for *_, t, _ in part}
+    weights = Weights(shape[0], idf_of, threshold), Weights(shape[1], idf_of, file_threshold)
     units = told.where("kind IS NOT NULL").select("_row", "kind", "unit", "words", "terms")
-    shape = _shape(templates, False) + _shape(wholes.items(), True)
-    wanted = spark.createDataFrame(shape, "template string, license string, whole boolean, term long, tf int")
-    counted = units.select("_row", "kind", "unit", F.explode("terms").alias("term")).groupBy("_row", "kind", "unit", "term").agg(
-        F.count("*").alias("tf")
+    units = store(_plausible(units, *weights), "headers")
+
+    counted = units.select("_row", "kind", "unit", F.explode(F.arrays_zip("terms", "tf")).alias("x")).select(
+        "_row", "kind", "unit", F.col("x.terms").alias("term"), F.col("x.tf").alias("tf")
     )
-    every = told.where("term IS NOT NULL").groupBy("term").agg(F.sum("df").alias("df"))
-    many = float(told.where("term = 0").agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0])
     needed = counted.select("term").union(wanted.select("term")).distinct()
-    terms = needed.join(every, "term", "left")
-    idf = store(
-        terms.select("term", (F.ln(F.lit(many + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0).alias("idf")), "idf"
+    sums = every.join(needed, "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
+    idf = needed.join(sums, "term", "left").select(
+        "term", (F.ln(F.lit(many + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0).alias("idf")
     )
+    idf = store(idf, "idf")
     release(spark)
     weight = (F.lit(1.0) + F.ln(F.col("tf").cast("double"))) * F.col("idf")
     of_units = counted.join(idf, "term").withColumn("w", weight)
