@@ -211,7 +211,8 @@ def _first_pass(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
 
     opened = f"struct<name:bigint,start:int,weight:int,windows:int,variants:bigint,content:{kind.content}>"
     made = f"_row long, _starts array<int>, _ends array<int>, _pending boolean, _open array<{opened}>"
-    return map_arrow(docs.join(marks, "_row"), run, made)
+    # marks and spans grow with the corpus, and compressed files hide how much: neither is broadcast
+    return map_arrow(docs.join(marks.hint("merge"), "_row"), run, made)
 
 
 def _lengths(lists: pa.Array):
@@ -264,7 +265,7 @@ def remove_repeats(docs: DataFrame, kind: Kind, kept_type: str) -> DataFrame:
     """
     numbered = number_rows(pack_rest(docs, "text"))
     spans = settled(docs.sparkSession, "spans", lambda: _removed_spans(numbered.select("_row", "text"), kind))
-    return _second_pass(numbered.join(spans, "_row", "left"), [REST, "text"], kind, kept_type)
+    return _second_pass(numbered.join(spans.hint("merge"), "_row", "left"), [REST, "text"], kind, kept_type)
 
 
 def _removed_spans(texts: DataFrame, kind: Kind) -> DataFrame:
