@@ -10,7 +10,11 @@ Equal sets become one node before any comparison. Similar groups are then joined
 prefix shingle's list each node is compared with a few hubs only, and lists whose nodes are all connected
 drop out. A last round compares what is left of the lists without any such choice, so that no link that
 would join two components is missed, while nodes already connected are never paired again. It pairs by the part
-of the prefixes that the two sizes ask for, then counts matches over the whole prefixes.
+of the prefixes that the two sizes ask for, then counts matches over the whole prefixes. Before any texts meet, bitmaps of the
+sets' cells rule out pairs that cannot have enough in common.
+
+Lists and nodes grow with the corpus, so they are never broadcast to what they meet, however small they happen to be: plans are
+alike at every size.
 
 The order needs frequencies only as a hint: they come from the shingles that some task meets in several sets, of
 which a fixed number, those with the most hits, is collected and broadcast. All others come first, by their hashes.
@@ -44,13 +48,15 @@ COMMON = 1 << 18
 #: Shingles that a task gathers before it looks which of them came again.
 GATHERED = 1 << 22
 MOST_MATCHES = 4
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 #: Hubs of a list, and hubs that a node is compared with, in one round.
 HUBS = 4
 #: What verifying one candidate costs, in prefix rows.
 VERIFY_COST = 8.0
 #: Hits from which a shingle counts as shared without asking.
 SURE = 4096
+#: Cells of a set's bitmap.
+CELLS = 1024
 #: Tasks that a shingle with as many hits is dealt over.
 SALTS = 64
 #: Sets that a task remembers, to take copies once.
@@ -103,10 +109,38 @@ class _Unseen:
         return np.array([x not in self.seen and not self.seen.add(x) for x in nodes.tolist()], bool) & (n > 0)
 
 
+def sketches(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """For each set a bitmap of the cells that its shingles fall into, as longs."""
+    held = np.zeros((len(offsets) - 1, CELLS), bool)
+    held[T.owners(offsets), (values >> np.uint64(32)).astype(np.int64) % CELLS] = True
+    longs = np.packbits(held, axis=1, bitorder="little").view(np.int64)
+    return T.list_array(longs.ravel(), np.arange(len(offsets)) * (CELLS // 64), pa.int64())
+
+
+def possible(pairs: DataFrame, described_rows: DataFrame) -> DataFrame:
+    """The pairs whose bitmaps leave room for enough common shingles.
+
+    A cell that only one of two sets has holds a shingle that the other lacks. So a set has at most as many common
+    shingles as it has shingles, less such cells of its own.
+    """
+    known = described_rows.where("sketch IS NOT NULL").select("node", "n", "sketch")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = store(known.join(ends, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sketches")
+    of = {side: known.select(*[F.col(c).alias(f"{side}_{c}") for c in known.columns]) for side in "ab"}
+    both = pairs.join(of["a"], F.col("a") == F.col("a_node")).join(of["b"], F.col("b") == F.col("b_node"))
+
+    def alone(x: str, y: str) -> Column:
+        return sum((F.bit_count(F.col(x)[i].bitwiseAND(F.bitwise_not(F.col(y)[i]))) for i in range(CELLS // 64)), F.lit(0))
+
+    room = F.least(F.col("a_n") - alone("a_sketch", "b_sketch"), F.col("b_n") - alone("b_sketch", "a_sketch"))
+    return both.where(room >= _overlap("a_n", "b_n")).select("a", "b")
+
+
 def described(docs: DataFrame) -> DataFrame:
-    """(_row, doc_id, n, node) for every text, and (shingle, hits) for what a task meets in several sets, in one stored table."""
+    """One stored table of (_row, doc_id, n, node) for every text, with a sketch of each set once a task, and of
+    (shingle, hits) for what a task meets in several sets."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["_row", "doc_id", "n", "node", "shingle", "hits"]
+    names = ["_row", "doc_id", "n", "node", "sketch", "shingle", "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         id_type, unseen, gathered, held = None, _Unseen(), [], 0
@@ -116,8 +150,10 @@ def described(docs: DataFrame) -> DataFrame:
             shingle, hits = shingle[hits > 1], hits[hits > 1]
             none = pa.nulls(len(shingle), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [none, pa.nulls(len(shingle), id_type), none, none, pa.array(shingle.view(np.int64)), pa.array(hits.astype(np.int64))], names
-            )
+                [none, pa.nulls(len(shingle), id_type), none, none, pa.nulls(len(shingle), pa.list_(pa.int64())),
+                 pa.array(shingle.view(np.int64)), pa.array(hits.astype(np.int64))],
+                names,
+            )
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
@@ -128,8 +164,11 @@ def described(docs: DataFrame) -> DataFrame:
                 gathered.append(values[T.ragged(offsets[:-1][new], n[new])])
                 held += len(gathered[-1])
                 none = pa.nulls(len(n), pa.int64())
+                once = np.where(new, np.cumsum(new) - 1, 0)
+                edges = np.concatenate([[0], np.cumsum(n[new])])
+                drawn = sketches(gathered[-1], edges).take(pa.array(once, mask=~new))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_row"), part.column("doc_id"), pa.array(n), pa.array(node, mask=n == 0), none, none], names
+                    [part.column("_row"), part.column("doc_id"), pa.array(n), pa.array(node, mask=n == 0), drawn, none, none], names
                 )
                 if held > GATHERED:
                     yield met_again()
@@ -139,7 +178,7 @@ def described(docs: DataFrame) -> DataFrame:
 
     return store(
         map_arrow(docs.select("_row", "doc_id", "text"), run,
-                  f"_row long, doc_id {kind}, n long, node long, shingle long, hits long"),
+                  f"_row long, doc_id {kind}, n long, node long, sketch array<bigint>, shingle long, hits long"),
         "sets",
     )
 
@@ -252,6 +291,8 @@ def enough_matches(n_a: str, k_a: str, n_b: str, k_b: str, matches: Column):
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the threshold, by their whole texts."""
+    ends = store(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
+    texts = texts.join(ends, "node", "left_semi")
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -291,7 +332,7 @@ def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
         F.min("label").alias("low"), F.max("label").alias("high"), F.array(*[hub(i) for i in range(HUBS)]).alias("hubs")
     )
     lists = store(lists.where("low < high").select("token", "hubs"), "lists")
-    met = rows.join(lists, "token").select(
+    met = rows.join(lists.hint("merge"), "token").select(
         "node", "n", "k", "label", F.explode(F.array_distinct(F.transform("hubs", lambda h: h.dropFields("h")))).alias("hub")
     )
     met = met.select(
@@ -299,10 +340,14 @@ def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
         F.col("hub.k").alias("hub_k"), F.col("hub.label").alias("hub_label"),
     )
     other = met.where((F.col("label") != F.col("hub_label")) & similar_size("n", "hub_n"))
-    counted = other.groupBy("node", "hub").agg(
-        F.count("*").alias("matches"), F.first(F.struct("n", "k", "hub_n", "hub_k")).alias("s")
-    )
-    counted = counted.select("node", "hub", "matches", "s.*").where(enough_matches("n", "k", "hub_n", "hub_k", F.col("matches")))
+    long = lambda c: F.col(c).cast("long")
+    sizes = F.shiftleft(long("n"), 34) + F.shiftleft(long("k"), 31) + F.shiftleft(long("hub_n"), 3) + long("hub_k")
+    counted = other.groupBy("node", "hub").agg(F.count("*").alias("matches"), F.first(sizes).alias("sizes"))
+    packed = F.col("sizes")
+    counted = counted.select(
+        "node", "hub", "matches", F.shiftright(packed, 34).alias("n"), F.shiftright(packed, 31).bitwiseAND(7).alias("k"),
+        F.shiftright(packed, 3).bitwiseAND((1 << 28) - 1).alias("hub_n"), packed.bitwiseAND(7).alias("hub_k"),
+    ).where(enough_matches("n", "k", "hub_n", "hub_k", F.col("matches")))
     best = F.slice(F.sort_array(F.collect_list(F.struct("matches", "hub")), asc=False), 1, HUBS)
     chosen = counted.groupBy("node").agg(best.alias("hubs")).select("node", F.explode("hubs.hub").alias("hub"))
     return chosen.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
@@ -325,7 +370,7 @@ def _remaining_pairs(rows: DataFrame) -> DataFrame:
     lists = by_label.groupBy("token").agg(
         F.count("*").alias("labels"), F.max_by("label", F.struct("c", "label")).alias("main")
     ).where("labels > 1").select("token", "main")
-    there = store(rows.join(store(lists, "lists"), "token").select("token", "node", "n", "place", "label", "main"), "listed")
+    there = store(rows.join(store(lists, "lists").hint("merge"), "token").select("token", "node", "n", "place", "label", "main"), "listed")
     smaller = there.where(F.col("place") < F.col("n") - F.ceil(F.col("n") * 2 * NUMERATOR / (NUMERATOR + DENOMINATOR) - 1e-9) + 1)
     smaller = smaller.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "place", "label", "main")])
     meets = (
@@ -371,7 +416,7 @@ def _components(numbered: DataFrame, described_rows: DataFrame, hub_rounds: int)
 
     one = texts_of.where("node IS NOT NULL").groupBy("node").agg(F.min("_row").alias("_row"))
     needed = one.join(rows.select("node").distinct(), "node", "left_semi")
-    texts = store(numbered.select("_row", "text").join(needed, "_row").select("node", "text"), "texts")
+    texts = store(numbered.select("_row", "text").join(needed.hint("merge"), "_row").select("node", "text"), "texts")
     release(spark)
 
     links, labels = None, None
@@ -379,6 +424,7 @@ def _components(numbered: DataFrame, described_rows: DataFrame, hub_rounds: int)
         known = _labelled(rows, labels)
         choose = partial(_hub_pairs, known, round_) if round_ < hub_rounds else partial(_remaining_pairs, known)
         pairs = settled(spark, "pairs", choose)
+        pairs = settled(spark, "possible", partial(possible, pairs, texts_of))
         found = settled(spark, "verified", partial(verified, pairs, texts))
         links = found if links is None else links.unionByName(found)
         labels = components(links, 1 if round_ < hub_rounds - 1 else None)

@@ -203,6 +203,24 @@ def test_prefixes_of_similar_sets_share_what_is_asked():
         assert matches >= min(ka, kb) and matches + left >= -(-75 * (len(a) + len(b)) // 175)
 
 
+def test_sketches_never_rule_out_a_link(spark):
+    rng = np.random.default_rng(8)
+    rows, pairs, linked_pairs = [], [], set()
+    for i in range(0, 400, 2):
+        common = rng.integers(0, 2**63, rng.integers(1, 300 if i % 40 else 4000), dtype=np.uint64)
+        both = [np.unique(np.concatenate([common, rng.integers(0, 2**63, rng.integers(0, len(common) // 3 + 2), dtype=np.uint64)])) for _ in "ab"]
+        for j, values in enumerate(both):
+            longs = jaccard.sketches(values, np.array([0, len(values)]))[0].as_py()
+            rows.append((i + j, len(values), longs))
+        same = len(np.intersect1d(*both))
+        pairs.append((i, i + 1))
+        if 100 * same >= 75 * (len(both[0]) + len(both[1]) - same):
+            linked_pairs.add((i, i + 1))
+    known = spark.createDataFrame(rows, "node LONG, n LONG, sketch ARRAY<LONG>")
+    left = {(r.a, r.b) for r in jaccard.possible(spark.createDataFrame(pairs, "a LONG, b LONG"), known).collect()}
+    assert linked_pairs <= left and len(left) < len(linked_pairs) + (len(pairs) - len(linked_pairs)) / 2
+
+
 def test_components(spark):
     for seed in range(2):
         rng = random.Random(seed)
