@@ -1,11 +1,15 @@
 """Catalog joins, scalar functions and run-table rules on small literal records."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from seqloom.functions import accession, files
 from seqloom.operators import aggregates as agg
 from seqloom.operators import catalog, runtable
+from seqloom.plans import catalog as plans
+from seqloom.sources import storage
 
 
 def column(spark, values, fn, kind="string"):
@@ -167,3 +171,18 @@ def test_free_lanes_fill_the_gaps_of_a_sample(spark):
     }
     given = {r.run_id: (r.lane_id, r.clash) for r in runtable.repair_lanes(table).collect()}
     assert given["r1"] == ("L004", False) and given["r3"] == ("L005", True) and given["r0"] == ("L001", False)
+
+
+def test_result_files_need_no_folder_of_their_own(spark, tmp_path, monkeypatch):
+    """Few folders however many ids; null ids have no file, and other file systems get Spark's writer."""
+    monkeypatch.setattr(plans, "FOLDERS", 4)
+    ids = spark.createDataFrame([(i % 40,) for i in range(90)] + [(None,)], "k LONG")
+    roots = iter([str(tmp_path / "disk"), str(tmp_path / "none"), str(tmp_path / "other")])
+    monkeypatch.setattr(plans, "new_path", lambda *_: next(roots))
+    want = sorted(str(i) for i in range(40))
+    assert sorted(r.k for r in plans._written(spark, ids, "k", "x").collect()) == want
+    assert len([d for d in os.listdir(tmp_path / "disk")]) <= 4
+    assert sum(len([f for f in names if not f.startswith(".")]) for _, _, names in os.walk(tmp_path / "disk")) == 40
+    assert plans._written(spark, ids.limit(0), "k", "x").count() == 0
+    monkeypatch.setattr(storage, "local_path", lambda *_: None)
+    assert sorted(r.k for r in plans._written(spark, ids, "k", "x").collect()) == want
