@@ -189,16 +189,23 @@ def _ordered_double(x: Column) -> Column:
     return F.when(F.isnan(x), F.lit("F" * 18)).otherwise(signed)
 
 
-def splitters(keys: DataFrame, key: Column, integral: bool, by: list[str], bucket_rows: int = BUCKET_ROWS) -> Splitters:
+def splitters(
+    keys: DataFrame, key: Column, integral: bool, by: list[str], bucket_rows: int = BUCKET_ROWS, ties: bool = False
+) -> Splitters | None:
     """Splitters under which no (group, bucket) holds more than twice `bucket_rows` rows, if groups have unique keys.
 
+    With `ties` keys may repeat: None where equal keys, or nulls, are too many for one bucket.
+
     One job reads the key's ends and count. Only beyond two buckets' rows others sample it and count the cells,
     again for as long as a cell is overfull; the driver sees splitters and overfull cells, no more than
     `MOST_PIECES` of them. `IrregularKeysError` means that they would not do.
     """
     group = F.xxhash64(*by) if by else F.lit(0).cast("long")
-    rows = keys.select(key.alias(_KEY), group.alias(_GROUP)).where(F.col(_KEY).isNotNull())
-    low, high, n = rows.agg(F.min(_KEY), F.max(_KEY), F.count(F.lit(1))).first()
+    every = keys.select(key.alias(_KEY), group.alias(_GROUP))
+    rows = every.where(F.col(_KEY).isNotNull())
+    low, high, n, with_nulls = every.agg(F.min(_KEY), F.max(_KEY), F.count(_KEY), F.count(F.lit(1))).first()
+    if ties and with_nulls - n > 2 * bucket_rows:
+        return None
     if n == 0:
         return Splitters([Piece(0 if integral else b"")], 0 if integral else b"")
     plain = (lambda k: int(k)) if integral else (lambda k: bytes(k))
@@ -222,8 +229,10 @@ def splitters(keys: DataFrame, key: Column, integral: bool, by: list[str], bucke
             raise IrregularKeysError(len(full))
         finer = _refined(found, placed, full, plain, bucket_rows)
         if finer.pieces == found.pieces:
-            break  # equal keys: nothing is left to split
+            return None if ties else found  # equal keys: nothing is left to split
         found = finer
+    else:
+        return None if ties else found
     return found
 
 

@@ -57,6 +57,30 @@ def test_a_hot_group_is_split_beside_many_small_ones(spark):
     assert placed.groupBy("g", "__bucket").count().agg(F.max("count")).first()[0] <= 2 * ROWS
 
 
+def test_a_leading_integer_spares_the_bytes_of_all_columns(spark, monkeypatch):
+    monkeypatch.setattr(at, "binary_key", lambda *_: pytest.fail("all columns as bytes"))
+    df = spark.range(N).select(F.expr("id div 4").alias("k"), (3 - F.col("id") % 4).alias("j"), (F.col("id") % 3).alias("g"))
+    assert at._bucketed(df, [], ["k", "j"], ROWS).groupBy("__bucket").count().agg(F.max("count")).first()[0] <= 2 * ROWS
+    got = {(r.k, r.j): r["_pos"] for r in at.with_pos(df, ["k", "j"], bucket_rows=ROWS).collect()}
+    assert got == {(i // 4, i % 4): i for i in range(N)}
+    by_group = at.with_pos(df, ["k", "j"], "g", bucket_rows=ROWS).collect()
+    places = Counter()
+    for r in sorted(by_group, key=lambda r: (r.k, r.j)):
+        assert r["_pos"] == places[r.g]
+        places[r.g] += 1
+
+
+@pytest.mark.parametrize("leading", ["CAST(NULL AS LONG)", "7L", "CASE WHEN id < 3000 THEN 7L WHEN id < 6000 THEN NULL ELSE id END"])
+def test_a_leading_integer_that_repeats_too_often_is_not_enough(spark, leading):
+    df = spark.range(N).selectExpr(f"{leading} AS k", "id * 7919 % 20011 AS j")
+    placed = at._bucketed(df, [], ["k", "j"], ROWS)
+    assert placed.groupBy("__bucket").count().agg(F.max("count")).first()[0] <= 2 * ROWS
+    rows = df.collect()
+    got = {(r.k, r.j): r["_pos"] for r in at.with_pos(df, ["k", "j"], bucket_rows=ROWS).collect()}
+    want = sorted(rows, key=lambda r: (r.k is not None, r.k or 0, r.j))
+    assert got == {(r.k, r.j): i for i, r in enumerate(want)}
+
+
 def test_too_irregular_keys_take_the_sort(spark, monkeypatch):
     monkeypatch.setattr(sp, "MOST_PIECES", 2)
     keys = spread("clusters")
