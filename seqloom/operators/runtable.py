@@ -68,7 +68,7 @@ def repair_lanes(table: DataFrame, free: bool = False, name: str = "clash") -> D
     the sample already has plus k; `clash` marks its rows where the sample already uses that lane (out of
     sequence). With `free` it gets the k-th number that the sample does not use, so that no two runs share one.
     Runs are numbered, not files, so the numbered frame is one row per broken run; a run belongs to the sample of its
-    first file.
+    first file. Broken runs, used lanes and new ones, which are read several times, are written once.
     """
     good = F.col("lane_id").startswith("L")
     fastq = table.filter(F.col("filetype") == "fastq")
@@ -76,8 +76,9 @@ def repair_lanes(table: DataFrame, free: bool = False, name: str = "clash") -> D
         F.min_by("gsm_id", POS).alias("gsm_id"), F.min_by("lane_id", POS).alias("__lane"), F.min(POS).alias(POS)
     )
     broken = runs.filter(~F.coalesce(F.col("__lane").startswith("L"), F.lit(False)))
-    numbered = with_pos(broken.withColumnRenamed(POS, "__seen"), "__seen", "gsm_id", pos="__k")
-    lanes = table.filter(good).select("gsm_id", "lane_id").distinct()
+    broken = stage(broken.select("run_id", "gsm_id", F.col(POS).alias("__seen")), "broken")
+    numbered = with_pos(broken, "__seen", "gsm_id", pos="__k")
+    lanes = stage(table.filter(good).select("gsm_id", "lane_id").distinct(), "lanes")
     if free:
         placed = _kth_free(numbered, lanes).select("run_id", "gsm_id", F.col("__free").alias("__number"))
     else:
@@ -86,6 +87,7 @@ def repair_lanes(table: DataFrame, free: bool = False, name: str = "clash") -> D
     named = placed.select("run_id", "gsm_id", F.format_string("L%03d", F.col("__number")).alias("__new"))
     taken = lanes.select("gsm_id", F.col("lane_id").alias("__new"), F.lit(True).alias("__taken"))
     fixes = named.join(taken, ["gsm_id", "__new"], "left").select("run_id", "__new", F.coalesce("__taken", F.lit(False)).alias("__taken"))
+    fixes = stage(fixes, "fixes")
     fixed = table.join(fixes, "run_id", "left").withColumn("lane_id", F.coalesce("__new", "lane_id"))
     return fixed.withColumn(name, F.coalesce("__taken", F.lit(False))).drop("__new", "__taken")
 
@@ -104,7 +106,7 @@ def _kth_free(numbered: DataFrame, lanes: DataFrame) -> DataFrame:
         F.lit(1).alias("__is_used"), F.col("__i").alias("__tie"),
     )
     runs = numbered.select("gsm_id", "run_id", F.col("__k").alias("__below"), F.lit(0).alias("__is_used"), F.lit(0).cast("long").alias("__tie"))
-    both = ranked.unionByName(runs).withColumn("__after", 1 - F.col("__is_used"))
+    both = stage(ranked.unionByName(runs).withColumn("__after", 1 - F.col("__is_used")), "ranks")
     counted = running_total(both, ["__below", "__after", "__tie"], F.col("__is_used"), "gsm_id", "__before")
     return counted.filter("__is_used = 0").withColumn("__free", F.col("__below") + 1 + F.col("__before"))
 

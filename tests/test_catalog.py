@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from seqloom.functions import accession, files
@@ -186,3 +187,20 @@ def test_result_files_need_no_folder_of_their_own(spark, tmp_path, monkeypatch):
     assert plans._written(spark, ids.limit(0), "k", "x").count() == 0
     monkeypatch.setattr(storage, "local_path", lambda *_: None)
     assert sorted(r.k for r in plans._written(spark, ids, "k", "x").collect()) == want
+
+
+RUN_ROWS = [
+    (8 * i + j, f"SRR{i}", f"GSM{i % 5}", "s", "fastq", None if i % 2 else f"L00{i % 7 + 1}", ("R1", "R2")[j], f"s3://b/{i}_{j}.fastq.gz", "x.fastq.gz", "x")
+    for i in range(60) for j in range(2)
+]
+RUN_SCHEMA = """_pos LONG, run_id STRING, gsm_id STRING, sample_name STRING, filetype STRING, lane_id STRING, read_type STRING,
+    cloud_filepath STRING, dumped_filename STRING, dumped_filepath STRING"""
+
+
+@pytest.mark.parametrize("free", [False, True])
+def test_lanes_are_repaired_from_what_is_read_once(spark, tmp_path, free):
+    """What is numbered is not taken from the table again by every read."""
+    spark.createDataFrame(RUN_ROWS, RUN_SCHEMA).write.parquet(str(tmp_path / "t"))
+    fixed = runtable.repair_lanes(spark.read.parquet(str(tmp_path / "t")), free)
+    assert fixed.where("lane_id IS NULL").isEmpty() and fixed.count() == len(RUN_ROWS)
+    assert plan_of(fixed).count(str(tmp_path)) == 1
