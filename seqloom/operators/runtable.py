@@ -179,7 +179,7 @@ def work_steps(table: DataFrame, finished: DataFrame, key: Names, workers: int)
 
     Pending runs are ordered by first file and cut into `workers` balanced contiguous
     groups. `known` is false for rejects (unknown kind or read type). The pending rows are
-    written once, since runs and files are both taken from them.
+    written once, since runs and files are both taken from them, and so are the runs, which are read several times.
     """
     keys = as_names(key)
     kind, run, read = F.col("filetype"), F.col("run_id"), F.col("read_type")
@@ -196,7 +196,7 @@ def work_steps(table: DataFrame, finished: DataFrame, key: Names, workers: int)
         ),
         "pending",
     )
-    runs = pending.groupBy("run_id").agg(F.min(POS).alias("__seen"))
+    runs = stage(pending.groupBy("run_id").agg(F.min(POS).alias("__seen")), "runs")
     cut = balanced_split(with_pos(runs, "__seen"), workers, name="worker")
     return pending.join(cut.select("run_id", "worker", F.col(POS).alias("run_pos")), "run_id")
 
@@ -204,13 +204,15 @@ def work_steps(table: DataFrame, finished: DataFrame, key: Names, workers: int)
 def work_manifest(steps: DataFrame, part_rows: int = 100_000) -> DataFrame:
     """The ordered text of each worker, one line per known step; long texts come in parts of whole runs.
 
-    A run's few lines are joined first. Runs are numbered already, so nothing is numbered or
-    stored again. `part_rows` bounds the runs of a part.
+    A run's few lines are joined first and written, since parts are measured and then cut. Runs are numbered already, so
+    nothing is numbered again. `part_rows` bounds the runs of a part.
     """
     line = F.concat_ws(" ", "action", "source", "raw_name", "target_name")
-    lines = steps.filter("known").select("worker", "run_pos", F.col(POS).alias("file_pos"), line.alias("line"))
+    lines = steps.filter("known").select("run_id", "worker", "run_pos", F.col(POS).alias("file_pos"), line.alias("line"))
     text = F.expr("listagg(line, '\n') WITHIN GROUP (ORDER BY file_pos)")
-    per_run = lines.groupBy("worker", F.col("run_pos").alias(POS)).agg(text.alias("text"))
+    # steps come dealt by run_id, as a key it spares the lines another exchange
+    per_run = lines.groupBy("run_id", "worker", F.col("run_pos").alias(POS)).agg(text.alias("text"))
+    per_run = stage(per_run.drop("run_id"), "run-lines")
     return join_strings(per_run, "text", "\n", "worker", part_rows, name="script")
 
 

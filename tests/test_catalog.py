@@ -204,3 +204,16 @@ def test_lanes_are_repaired_from_what_is_read_once(spark, tmp_path, free):
     fixed = runtable.repair_lanes(spark.read.parquet(str(tmp_path / "t")), free)
     assert fixed.where("lane_id IS NULL").isEmpty() and fixed.count() == len(RUN_ROWS)
     assert plan_of(fixed).count(str(tmp_path)) == 1
+
+
+def test_steps_and_scripts_are_taken_from_what_is_written_once(spark):
+    table = spark.createDataFrame(RUN_ROWS, RUN_SCHEMA)
+    finished = spark.createDataFrame([("SRR0",), ("SRR59",)], "run_id STRING")
+    steps = runtable.work_steps(table, finished, "run_id", 4)
+    assert plan_of(steps).count("/seqloom-pending") == 1
+    scripts = runtable.work_manifest(steps, part_rows=10)
+    assert "/seqloom-pending" not in plan_of(scripts)
+    rows = scripts.collect()
+    assert {(r.worker, r.part) for r in rows} == {(w, p) for w in range(4) for p in range(2)}
+    lines = sum((r.script.split("\n") for r in sorted(rows, key=lambda r: (r.worker, r.part))), [])
+    assert [line.split()[1] for line in lines] == [r[7] for r in RUN_ROWS if r[1] not in ("SRR0", "SRR59")]
