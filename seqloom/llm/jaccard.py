@@ -10,8 +10,8 @@ Equal sets become one node before any comparison. Similar groups are then joined
 prefix shingle's list each node is compared with a few hubs only, and lists whose nodes are all connected
 drop out. A last round compares what is left of the lists without any such choice, so that no link that
 would join two components is missed, while nodes already connected are never paired again. It pairs by the part
-of the prefixes that the two sizes ask for, then counts matches over the whole prefixes. Before any texts meet, bitmaps of the
-sets' cells rule out pairs that cannot have enough in common.
+of the prefixes that the two sizes ask for. Bitmaps of the sets' cells then rule out pairs that cannot have enough in common;
+the last round counts the matches of what is left over the whole prefixes. Only then texts meet.
 
 Lists and nodes grow with the corpus, so they are never broadcast to what they meet, however small they happen to be: plans are
 alike at every size.
@@ -358,13 +358,14 @@ def _overlap(n_a: str, n_b: str) -> Column:
     return F.ceil((F.col(n_a) + F.col(n_b)) * NUMERATOR / (NUMERATOR + DENOMINATOR) - 1e-9)
 
 
-def _remaining_pairs(rows: DataFrame) -> DataFrame:
+def _remaining_pairs(rows: DataFrame, described_rows: DataFrame) -> DataFrame:
     """Every pair of different labels that shares enough prefix shingles.
 
     Sets that need `o` common shingles hold the first one of them among their first n - o + 1, and for the smaller
     set that is a seventh of it. So only the ends of lists that both places allow become pairs; what two
     heavily edited copies share lies behind their own shingles and makes none. In each list only nodes outside of its most
-    frequent label are paired, with all of other labels. The pairs are then counted over their whole prefixes.
+    frequent label are paired, with all of other labels. Bitmaps rule out what they can, and what is left is
+    counted over its whole prefixes, each a list beside its pair: one row a pair, however much two sets share.
     """
     by_label = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
     lists = by_label.groupBy("token").agg(
@@ -383,14 +384,18 @@ def _remaining_pairs(rows: DataFrame) -> DataFrame:
     pair = F.col("x_node").alias("a"), F.col("node").alias("b")
     one = smaller.where("x_label != x_main").join(there, "token").where(meets).select(*pair)
     other = smaller.where("x_label = x_main").join(there.where("label != main"), "token").where(meets).select(*pair)
-    pairs = store(one.unionByName(other).distinct(), "met")
-    left = rows.select("token", *[F.col(c).alias(f"x_{c}") for c in ("n", "k")], F.col("node").alias("a"))
-    right = rows.select("token", "n", "k", F.col("node").alias("b"))
-    counted = pairs.join(left, "a").join(right, ["b", "token"]).groupBy("a", "b").agg(
-        F.count("*").alias("matches"), F.first(F.struct("n", "k", "x_n", "x_k")).alias("s")
+    met = store(one.unionByName(other).distinct(), "met")
+    pairs = store(possible(met, described_rows), "possible")
+    release(rows.sparkSession)
+    ends = store(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
+    whole = rows.join(ends.hint("merge"), "node", "left_semi").groupBy("node").agg(
+        F.collect_set("token").alias("tokens"), F.first("n").alias("n"), F.first("k").alias("k")
     )
-    enough = counted.select("a", "b", "matches", "s.*").where(enough_matches("n", "k", "x_n", "x_k", F.col("matches")))
-    return enough.select("a", "b")
+    whole = store(whole, "whole-prefixes")
+    of = {side: whole.select(*[F.col(c).alias(f"{side}_{c}") for c in whole.columns]).hint("merge") for side in "ab"}
+    both = pairs.join(of["a"], F.col("a") == F.col("a_node")).join(of["b"], F.col("b") == F.col("b_node"))
+    counted = both.withColumn("matches", F.size(F.array_intersect("a_tokens", "b_tokens")))
+    return counted.where(enough_matches("a_n", "a_k", "b_n", "b_k", F.col("matches"))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
@@ -422,9 +427,11 @@ def _components(numbered: DataFrame, described_rows: DataFrame, hub_rounds: int)
     links, labels = None, None
     for round_ in range(hub_rounds + 1):
         known = _labelled(rows, labels)
-        choose = partial(_hub_pairs, known, round_) if round_ < hub_rounds else partial(_remaining_pairs, known)
-        pairs = settled(spark, "pairs", choose)
-        pairs = settled(spark, "possible", partial(possible, pairs, texts_of))
+        if round_ < hub_rounds:
+            pairs = settled(spark, "pairs", partial(_hub_pairs, known, round_))
+            pairs = settled(spark, "possible", partial(possible, pairs, texts_of))
+        else:
+            pairs = settled(spark, "pairs", partial(_remaining_pairs, known, texts_of))
         found = settled(spark, "verified", partial(verified, pairs, texts))
         links = found if links is None else links.unionByName(found)
         labels = components(links, 1 if round_ < hub_rounds - 1 else None)

@@ -221,6 +221,18 @@ def test_sketches_never_rule_out_a_link(spark):
     assert linked_pairs <= left and len(left) < len(linked_pairs) + (len(pairs) - len(linked_pairs)) / 2
 
 
+def test_remaining_pairs_are_counted_a_row_a_pair(spark):
+    """Two sets share a whole prefix, a third only one shingle with them; no join makes a row a match."""
+    held = [(t, node, t) for node in (1, 2) for t in range(6)] + [(0, 3, 0), *[(100 + t, 3, t) for t in range(1, 6)]]
+    rows = spark.createDataFrame([(t, node, 20, 1, place, 6, 0, node) for t, node, place in held],
+                                 "token LONG, node LONG, n INT, k BYTE, place INT, held LONG, rank INT, label LONG")
+    known = spark.createDataFrame([(node, 20, [-1] * 16) for node in (1, 2, 3)], "node LONG, n LONG, sketch ARRAY<LONG>")
+    pairs = jaccard._remaining_pairs(rows, known)
+    assert [(r.a, r.b) for r in pairs.collect()] == [(1, 2)]
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "token#" not in "".join(line for line in plan.splitlines() if "Join" in line)
+
+
 def test_components(spark):
     for seed in range(2):
         rng = random.Random(seed)
