@@ -117,7 +117,10 @@ def _following_cells(placed: DataFrame) -> DataFrame:
 
 
 def fingerprint_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """Fingerprints of every text and of its edit by the next text, with their likenesses."""
+    """Fingerprints of every text and of its edit by the next text, with their likenesses.
+
+    Fingerprints and what else is told of a text are written by one job, whose parts read one exchange of the texts.
+    """
     rows = with_following(docs)
     n = F.length("text")
     edited = F.concat(F.expr("left(text, length(text) - int(floor(length(text) / 2)))"),
@@ -127,12 +130,12 @@ def fingerprint_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame
         F.struct(F.lit(1).alias("which"), word_array(edited).alias("words")),
     )
     words = rows.select("_cell", "_no", F.inline(both)).select("_cell", "_no", "which", F.explode("words").alias("word"))
-    found = store(signatures(words, ["_cell", "_no", "which"], samples), "fingerprints")
+    about = ("doc_id", "_cell", "_no", "_next_cell", "_next_no", "n_chars", "edited_sha256")
+    told = rows.withColumn("n_chars", n.cast("long")).withColumn("edited_sha256", F.sha2(edited, 256)).select(*about)
+    signed = signatures(words, ["_cell", "_no", "which"], samples)
+    found = store(signed.unionByName(told, allowMissingColumns=True), "fingerprints")
     release(docs.sparkSession)
-    told = rows.select(
-        "doc_id", "_cell", "_no", "_next_cell", "_next_no",
-        n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
-    )
+    told = found.where("which IS NULL").select(*about)
     own = found.where("which = 0").select("_cell", "_no", "fingerprint")
     of_edit = found.where("which = 1").select("_cell", "_no", F.col("fingerprint").alias("edited_fingerprint"))
     of_next = found.where("which = 0").select(

@@ -125,6 +125,14 @@ def test_fingerprints(docs, rows, nothing):
     assert fingerprints.fingerprint_with_edits(nothing).collect() == []
 
 
+def test_fingerprints_exchange_texts_once(docs):
+    """What the result reads holds no texts any more, so none are sent a second time."""
+    told = fingerprints.fingerprint_with_edits(docs)
+    assert told.count() == docs.count()
+    read = set(told.inputFiles())
+    assert read and not read & set(docs.inputFiles())
+
+
 def test_fingerprint_likeness_estimates_generalised_jaccard(spark):
     a, b = Counter({"x": 8, "y": 4, "z": 1}), Counter({"x": 2, "y": 4, "w": 3})
     true = (2 + 4) / (8 + 4 + 1 + 3)
