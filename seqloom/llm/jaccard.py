@@ -247,21 +247,22 @@ def prefixes(docs: DataFrame, common: Common) -> DataFrame:
 
 
 def shared_prefixes(docs: DataFrame, common: Common) -> DataFrame:
-    """(token, node, n, k, place, held, rank) of every prefix shingle that more than one set holds.
+    """(token, node, salt, n, k, place, held, rank) of every prefix shingle that more than one set holds.
 
     One exchange brings a shingle's rows together, and the least and the greatest set tell whether there are two. Shingles
-    with many hits need not be asked about: they are dealt over `SALTS` tasks by their sets.
+    with many hits need not be asked about: they are dealt over `SALTS` tasks by their sets. Their salts start at 1, all
+    others' are 0.
     """
     bits = F.shiftleft(F.col("n").cast("long"), 32) + F.shiftleft(F.col("place").cast("long"), 4)
     rest = bits + F.shiftleft(F.col("k").cast("long"), 1) + F.col("sure").cast("long")
-    salt = F.when(F.col("sure"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    salt = F.when(F.col("sure"), F.pmod(F.xxhash64("node"), F.lit(SALTS)) + 1).otherwise(F.lit(0)).cast("int")
     found = prefixes(docs, common).select("token", "node", rest.alias("rest"), salt.alias("salt")).repartition("token", "salt")
     ends = Window.partitionBy("token", "salt")
     found = found.withColumns({"low": F.min("node").over(ends), "high": F.max("node").over(ends)})
     packed = F.col("rest")
     held = found.where((F.col("low") < F.col("high")) | (packed.bitwiseAND(1) == 1)).select("token", "salt", "node", "rest").distinct()
     rows = held.select(
-        "token", "node", F.shiftright(packed, 32).cast("int").alias("n"), F.shiftright(packed, 1).bitwiseAND(7).cast("byte").alias("k"),
+        "token", "node", "salt", F.shiftright(packed, 32).cast("int").alias("n"), F.shiftright(packed, 1).bitwiseAND(7).cast("byte").alias("k"),
         F.shiftright(packed, 4).bitwiseAND((1 << 28) - 1).cast("int").alias("place"),
     )
     rows = store(rows, "prefixes")
@@ -320,7 +321,8 @@ def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
     """For each node some hubs of other labels: of its lists' hubs those met most often.
 
     Every other hub is drawn from the nodes with the least `rank`: the middle of a group of edited copies is
-    similar to all of them, while two copies need not be to one another.
+    similar to all of them, while two copies need not be to one another. Lists of shingles with many hits (`salt` above 0)
+    are summed up in every task first; any other list is short.
     """
 
     def hub(i: int):
@@ -328,11 +330,17 @@ def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
         order = F.struct(first.alias("r"), F.xxhash64(F.col("node"), F.lit(HUBS * round_ + i)).alias("x"))
         return F.min(F.struct(order.alias("h"), "node", "n", "k", "label"))
 
-    lists = rows.groupBy("token").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.array(*[hub(i) for i in range(HUBS)]).alias("hubs")
-    )
+    told = {"low": F.min("label"), "high": F.max("label"), "hubs": F.array(*[hub(i) for i in range(HUBS)])}
+    held = ("token", "node", "n", "k", "label")
+    # most lists have two or three rows, fewer than hubs: their rows travel, once, instead of hubs found in every task
+    whole = Window.partitionBy("token")
+    ends = {c: told[c].over(whole) for c in ("low", "high")}
+    found = F.array(*[hub(i).over(whole) for i in range(HUBS)])
+    short = rows.where("salt = 0").withColumns(ends).where("low < high").withColumn("hubs", found).select(*held, "hubs")
+    long_ = rows.where("salt > 0")
+    lists = long_.groupBy("token").agg(*[x.alias(c) for c, x in told.items()])
     lists = store(lists.where("low < high").select("token", "hubs"), "lists")
-    met = rows.join(lists.hint("merge"), "token").select(
+    met = short.unionByName(long_.join(lists.hint("merge"), "token").select(*held, "hubs")).select(
         "node", "n", "k", "label", F.explode(F.array_distinct(F.transform("hubs", lambda h: h.dropFields("h")))).alias("hub")
     )
     met = met.select(

@@ -331,3 +331,23 @@ def test_words_split_like_bytes():
     starts, ends, offsets = T.words(np.frombuffer(data, np.uint8), np.array([0, 4, 4, len(data)]))
     got = [data[s:e] for s, e in zip(starts, ends, strict=True)]
     assert got == data[:4].split() + data[4:].split() and offsets.tolist() == [0, 2, 2, len(got)]
+
+
+def test_short_lists_are_not_summed_up_before_they_travel(spark, monkeypatch):
+    """Lists of shingles with few hits travel as rows; dealt out or not, the same pairs come of them."""
+    kept = {}
+
+    def store(frame, label, write=jaccard.store):
+        kept[label] = write(frame, label)
+        return kept[label]
+
+    monkeypatch.setattr(jaccard, "store", store)
+    # two sets share four shingles; a third one shares one with them, a fourth is alone in its list
+    lists = [(t, v) for t in range(4) for v in (10, 20)] + [(3, 30), (9, 40)]
+    found = {}
+    for dealt in (False, True):
+        rows = [(t, v, 1 + v % 7 if dealt else 0, 8, 2, 0, 4, -16, v) for t, v in lists]
+        rows = spark.createDataFrame(rows, "token LONG, node LONG, salt INT, n INT, k BYTE, place INT, held LONG, rank INT, label LONG")
+        found[dealt] = sorted(tuple(r) for r in jaccard._hub_pairs(rows, 0).collect())
+        assert kept["lists"].count() == (4 if dealt else 0)
+    assert found[False] == found[True] == [(10, 20)]
