@@ -463,4 +463,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     alone = found.where("n_shingles = 0").select("_row")
     kept = store(lead.unionByName(alone), "kept")
     release(docs.sparkSession)
-    return packed.join(kept, "_row", "left_semi").select(*rest_of(docs.columns, ("text",)))
+    return packed.join(kept.hint("merge"), "_row", "left_semi").select(*rest_of(docs.columns, ("text",)))

@@ -333,6 +333,12 @@ def test_words_split_like_bytes():
     assert got == data[:4].split() + data[4:].split() and offsets.tolist() == [0, 2, 2, len(got)]
 
 
+def test_kept_rows_are_never_broadcast(docs):
+    plan = jaccard.keep_one(docs)._jdf.queryExecution().executedPlan().toString()
+    semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+    assert semi and all("SortMergeJoin" in line for line in semi)
+
+
 def test_short_lists_are_not_summed_up_before_they_travel(spark, monkeypatch):
     """Lists of shingles with few hits travel as rows; dealt out or not, the same pairs come of them."""
     kept = {}
