@@ -89,6 +89,66 @@ def test_lm_scores_count_rare_words_at_every_size(spark, tmp_path):
     assert len(got) == 5 and got[4].score is None
 
 
+def prose(seed, texts, words, vocabulary=3000):
+    """Texts whose bigrams are nearly all different, as in a large corpus."""
+    rng = random.Random(seed)
+    names = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(vocabulary)]
+    return [" ".join(rng.choices(names, k=words)) for _ in range(texts)]
+
+
+def stored_texts(spark, path, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_lm_scores_store_few_bytes_for_each_bigram(spark, tmp_path, monkeypatch):
+    """Names that were stored took 8 bytes and more for each different bigram of a block, beside their counts."""
+    texts = prose(1, 300, 300)
+    stored = stored_texts(spark, str(tmp_path / "d"), texts)
+    sizes, store = [], lm.store
+
+    def measured(frame, label):
+        made = store(frame, label)
+        sizes.append(sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in made.inputFiles()))
+        return made
+
+    monkeypatch.setattr(lm, "store", measured)
+    lm.cross_entropy_difference(stored, stored.where("doc_id % 2 = 0").select("text"))
+    different = len({p for t in texts for p in zip(t.split(), t.split()[1:], strict=False)})
+    assert different > 85_000 and sum(sizes) < 8 * different
+
+
+@pytest.mark.parametrize("with_background", [False, True])
+def test_lm_scores_match_brute_force_over_many_blocks(spark, tmp_path, monkeypatch, with_background):
+    """Blocks of a few rows, texts that are blocks of their own, many parts, and corpora that share only some words."""
+    monkeypatch.setattr(lm, "TIERS", ((200, 2), (500, 1)))
+    monkeypatch.setattr(lm, "LEAST_PART_BITS", 6)
+    some, other = prose(2, 30, 25, 60), prose(2, 45, 25, 60)[30:] + prose(3, 10, 12, 40)
+    texts = [*some, " ".join(some[:4]), " ".join(some[4:14]), "", None, " \n", "A. a, a! A", "only here", *some[:2]]
+    target = [*some[::3], *other[:3], None, "", "a a only"]
+    background = [*other, *some[10:20], None, "a only here only"] if with_background else None
+    got = lm.cross_entropy_difference(
+        stored_texts(spark, str(tmp_path / "d"), texts),
+        stored_texts(spark, str(tmp_path / "t"), target).select("text"),
+        stored_texts(spark, str(tmp_path / "b"), background).select("text") if with_background else None,
+    )
+    got = {r.doc_id: r for r in got.collect()}
+    assert len(got) == len(texts)
+    for i, (t_loss, b_loss) in enumerate(zip(*brute_losses(texts, target, background or texts), strict=True)):
+        assert got[i].n_words == len(lm_words(texts[i]))
+        assert (got[i].target_loss, got[i].background_loss) == ((None, None) if t_loss is None else (pytest.approx(t_loss), pytest.approx(b_loss)))
+
+
+@pytest.mark.parametrize("width", [7, 12, 41, 64])
+def test_bigram_names_are_one_to_one(width):
+    x = np.concatenate([np.arange(100, dtype=np.uint64), np.uint64((1 << width) - 1) - np.arange(28, dtype=np.uint64)])
+    names = lm.scrambled(x, width)
+    assert int(names.max()) < 1 << width and (lm.unscrambled(names, width) == x).all()
+    base = int(names.min())
+    assert (lm.unpack_sorted(lm.pack_sorted(np.sort(names), base), base) == np.sort(names)).all()
+    assert (lm.unpack(lm.pack(names)) == names).all() and not len(lm.unpack(lm.pack(names[:0])))
+
+
 def test_lm_scores_tell_held_out_labels_apart(spark):
     sf = "/root/testdata/sf0.1"
     documents, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
